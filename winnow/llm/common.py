@@ -36,7 +36,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/winnow-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that cut() wrote, once no DataFrame still to be run reads them."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import bpe, chat, fingerprint, quality, sharding
+from winnow.llm import bpe, chat, fingerprint, minhash, quality, sharding
 from winnow.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op5_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
 
@@ -32,7 +36,7 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_chat_tokens, op5_iblt_fingerprints, op8_slot_shards, op9_zstd_quality, op10_bpe_tree)}
+    return {f.__name__: f for f in (op4_chat_tokens, op5_iblt_fingerprints, op7_lsh_forest, op8_slot_shards, op9_zstd_quality, op10_bpe_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
