@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,6 +50,12 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of DataFrames that nobody holds any more: it does so when the driver's memory is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

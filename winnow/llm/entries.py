@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import bpe, chat, fingerprint, minhash, quality, sharding, vectors
+from winnow.llm import bpe, chat, fingerprint, minhash, quality, sharding, suffixes, vectors
 from winnow.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_itq_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op3_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.planted(table(spark, sf_dir, "conversations")))
 
@@ -40,7 +44,7 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_itq_hamming, op4_chat_tokens, op5_iblt_fingerprints, op7_lsh_forest, op8_slot_shards, op9_zstd_quality, op10_bpe_tree)}
+    return {f.__name__: f for f in (op1_itq_hamming, op3_induced_suffixes, op4_chat_tokens, op5_iblt_fingerprints, op7_lsh_forest, op8_slot_shards, op9_zstd_quality, op10_bpe_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
