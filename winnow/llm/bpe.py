@@ -182,8 +182,8 @@ def decode(encoded: DataFrame, model: str = MODEL, ranks: str = RANKS) -> DataFr
     return encoded.select("doc_id", "ids").mapInArrow(texts, "doc_id long, text string")
 
 
-def digests(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = RANKS) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encoded, then decoded from the ids."""
+def with_digests(encoded: DataFrame, model: str = MODEL, ranks: str = RANKS) -> DataFrame:
+    """The rows of encode() with ids_sha256 and decoded_sha256: of the ids, and of the text they decode to."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, ranks)
@@ -194,9 +194,15 @@ def digests(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str =
                 {
                     "doc_id": batch.column("doc_id"),
                     "n_tokens": batch.column("n_tokens"),
-                    "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in raw]),
-                    "decoded_sha256": pa.array(back),
+                    "ids": batch.column("ids"),
+                    "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string()),
+                    "decoded_sha256": pa.array(back, pa.string()),
                 }
             )
 
-    return encode(docs, leaf, model, ranks).mapInArrow(hashed, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encoded.mapInArrow(hashed, "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string")
+
+
+def digests(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = RANKS) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encoded, then decoded from the ids."""
+    return with_digests(encode(docs, leaf, model, ranks), model, ranks).drop("ids")

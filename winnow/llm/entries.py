@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import bpe, chat, fingerprint, minhash, quality, sharding, suffixes, vectors
+from winnow.llm import bpe, chat, fingerprint, minhash, mixing, quality, sharding, suffixes, unigram, vectors
 from winnow.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_itq_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,10 @@ def op5_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,7 +52,7 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_itq_hamming, op3_induced_suffixes, op4_chat_tokens, op5_iblt_fingerprints, op7_lsh_forest, op8_slot_shards, op9_zstd_quality, op10_bpe_tree)}
+    return {f.__name__: f for f in (op1_itq_hamming, op2_pfair_mix, op3_induced_suffixes, op4_chat_tokens, op5_iblt_fingerprints, op6_viterbi_counts, op7_lsh_forest, op8_slot_shards, op9_zstd_quality, op10_bpe_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
