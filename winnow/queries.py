@@ -2,14 +2,597 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from winnow import oracle as O
+from winnow.functions import patterns as P
+from winnow.functions import scalars as S
+from winnow.operators import evidence, prefilter, quality, rank, report, score, tables, tokens
+from winnow.plans import bindings as B
+from winnow.sources import catalog as C
+from winnow.sources import product, records
+from winnow.streaming import scores as streaming
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, *ctes: str) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with SQL on top of common table expressions."""
+
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = (f"WITH {', '.join(ctes)} " if ctes else "") + sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def text_of(column: str, name: str | None = None):
+    return F.array_join(F.col(column), "; ").alias(name or column)
+
+
+def _scored(s: SparkSession, d: str) -> DataFrame:
+    return score.scored(B.documents(s, d), B.DOC_CATALOG)
+
+
+def _sets(s: SparkSession, d: str) -> DataFrame:
+    return product.compiled_sets(B.config_paths(s, d), B.enabled(s, d), B.artifacts(s, d), product.log_objects(B.log_lines(s, d)))
+
+
+def _decided(s: SparkSession, d: str) -> DataFrame:
+    return prefilter.decide(B.orders(s, d), B.ORDER_CATALOG, _sets(s, d))
+
+
+def _order_scores(s: SparkSession, d: str) -> DataFrame:
+    return rank.postfilter(score.scored(prefilter.kept(_decided(s, d)), B.ORDER_CATALOG), 50)
+
+
+def _touched(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    r = B.orders(s, d)
+    return r, evidence.infer_paths(r, B.hints(s))
+
+
+# sources
+
+
+@query(
+    """SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, o_orderpriority AS subject, 'status ' || o_orderstatus || '  subject=not this' AS body,
+    'customer ' || o_custkey AS author_name, CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE CAST(epoch(o_orderdate) AS BIGINT) END AS author_time, CAST(7 AS BIGINT) AS commit_time,
+    CASE WHEN o_orderkey % 4 = 0 THEN 'a; b' ELSE 'a' END AS parents, (SELECT string_agg(f, '; ' ORDER BY f) FROM (SELECT DISTINCT 'p/' || l_partkey AS f FROM lineitem WHERE l_orderkey = o_orderkey UNION SELECT 'alone.txt')) AS files
+    FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)"""
+)
+def ingest_log(s, d):
+    r = records.parse_log(B.raw_log(s, d))
+    return r.select("record_id", "subject", "body", "author_name", "author_time", "commit_time", text_of("parents"), text_of("files"))
+
+
+@query(
+    """SELECT sha256(CAST(l_orderkey AS VARCHAR)) AS record_id, count(DISTINCT l_partkey) + 1 AS n_files,
+    CAST(sum(CASE WHEN l_quantity > 40 THEN 0 ELSE trunc(l_quantity) END) AS BIGINT) AS added, CAST(sum(l_linenumber) AS BIGINT) AS deleted, count(*) FILTER (l_quantity > 40) AS "binary"
+    FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey"""
+)
+def numstat_rollup(s, d):
+    return records.numstat_rollup(records.parse_log(B.raw_log(s, d)))
+
+
+@query("SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)")
+def without_merges(s, d):
+    return records.without_merges(records.parse_log(B.raw_log(s, d))).select("record_id")
+
+
+@query("SELECT DISTINCT trim(p_name) || '=y' AS symbol FROM (SELECT 'CONFIG_BRAND_' || b AS p_name FROM pp WHERE p_partkey % 2 = 0)", O.PARTS)
+def kconfig_enabled(s, d):
+    lines = B.config_paths(s, d).join(B.table(s, d, "part").where("p_partkey % 2 = 0").select(F.concat(F.lit("CONFIG_BRAND_"), F.regexp_extract("p_brand", r"(\d+)$", 1)).alias("symbol")).distinct(), "symbol", "left_semi")
+    on = lines.select(F.concat(F.lit("  "), "symbol", F.lit("=y ")).alias("value"))
+    off = lines.select(F.concat(F.lit("# "), "symbol", F.lit(" is not set")).alias("value"))
+    return product.enabled_symbols(on.union(off)).distinct()
+
+
+@query(
+    """SELECT 'CONFIG_BRAND_' || b AS symbol, arg_max(CASE WHEN p_size % 2 = 0 THEN 'y' ELSE 'm' END, p_partkey) FILTER (p_size % 5 > 0) AS "value", true AS enabled FROM pp GROUP BY b HAVING count(*) FILTER (p_size % 5 > 0) > 0
+    UNION ALL SELECT DISTINCT 'CONFIG_BRAND_' || b, CAST(NULL AS VARCHAR), false FROM pp WHERE p_size % 5 = 0""",
+    O.PARTS,
+)
+def config_values(s, d):
+    p = B.table(s, d, "part").withColumn("name", F.concat(F.lit("CONFIG_BRAND_"), F.regexp_extract("p_brand", r"(\d+)$", 1)))
+    line = F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("# "), "name", F.lit(" is not set"))).otherwise(F.concat("name", F.when(F.col("p_size") % 2 == 0, "=y").otherwise("=m")))
+    return product.parse_config(p.select(F.col("p_partkey").alias("line_no"), line.alias("line")))
+
+
+@query("SELECT DISTINCT 'CONFIG_BRAND_' || b AS symbol, 'brand_' || b || '/' || replace(p_name, ' ', '_') || '_' || p_partkey || '.c' AS path FROM pp", O.PARTS)
+def makefile_map(s, d):
+    lines = B.makefile_blobs(s, d).select(S.dirname(F.col("path")).alias("dir"), F.explode(F.split("text", "\n")).alias("line"))
+    return product.makefile_map(lines, F.col("dir"))
+
+
+@query(
+    r"""SELECT DISTINCT regexp_extract(t, '([^/]*)$', 1) AS name FROM (SELECT unnest(string_split_regex(coalesce(text, ''), '\s+')) AS t FROM documents
+    UNION ALL SELECT 'drivers/' || replace(path, '.c', '.o') FROM pp WHERE p_partkey % 37 = 0) WHERE regexp_matches(t, '\.k?o$')""",
+    O.ORDERS,
+)
+def log_objects(s, d):
+    return product.log_objects(B.table(s, d, "documents").select(F.col("text").alias("value")).union(B.log_lines(s, d)))
+
+
+@query("SELECT sha256(CAST(doc_id AS VARCHAR)) AS record_id, doc_id AS seq FROM documents ORDER BY doc_id LIMIT 100")
+def first_n(s, d):
+    return records.first_n(B.documents(s, d), 100).select("record_id", "seq")
+
+
+# scalar functions
+
+
+@query(
+    """SELECT page_id, CASE WHEN contains(p, '/') THEN regexp_extract(p, '^(.*)/[^/]*$', 1) ELSE '' END AS "dir", regexp_extract(p, '([^/]*)$', 1) AS base,
+    CASE WHEN regexp_matches(p, '^((?:.*/)?\\.*[^/.][^/]*)\\.[^./]*$') THEN regexp_extract(p, '^((?:.*/)?\\.*[^/.][^/]*)\\.[^./]*$', 1) ELSE p END AS stem
+    FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]*/?([^?#]*)', 1) AS p FROM pages)""".replace("\\\\", "\\")
+)
+def path_parts(s, d):
+    p = F.col("files")[0]
+    return records.from_pages(B.table(s, d, "pages")).select(F.col("seq").alias("page_id"), S.dirname(p).alias("dir"), S.basename(p).alias("base"), S.stem(p).alias("stem"))
+
+
+@query(
+    r"""SELECT doc_id, regexp_matches(x, '(?im)^licensed under') AS has_license, regexp_matches(x, '[A-Za-z0-9._%+-]+@[a-z]+\.[a-z]+') AS has_email, regexp_matches(x, 'https?://') AS has_url
+    FROM (SELECT doc_id, split_part(coalesce(text, ''), chr(10), 1) || chr(10) || coalesce(text, '') AS x FROM documents)"""
+)
+def annotation_flags(s, d):
+    found = score.annotated(B.documents(s, d), {"has_license": r"(?im)^licensed under", "has_email": B.EMAIL, "has_url": "https?://"})
+    return found.select(F.col("seq").alias("doc_id"), "has_license", "has_email", "has_url")
+
+
+@query("SELECT CASE WHEN score >= 70 THEN 'hi' WHEN score >= 30 THEN 'mid' ELSE 'low' END AS tier, count(*) AS n FROM t GROUP BY 1", O.DOCS)
+def score_tiers(s, d):
+    return _scored(s, d).groupBy(S.tier(F.col("score")).alias("tier")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT record_id, coalesce(string_agg(prefix, '; ' ORDER BY prefix), '') AS touched FROM r LEFT JOIN guess USING (record_id) GROUP BY record_id", O.ORDERS)
+def infer_paths(s, d):
+    return _touched(s, d)[1].select("record_id", text_of("touched"))
+
+
+@query("SELECT event_id AS seq, CAST(event_id AS VARCHAR) AS rev FROM events WHERE event_id % 100 = 0 OR event_id = (SELECT max(event_id) FROM events)")
+def sample_every_n(s, d):
+    revisions = B.table(s, d, "events").select(F.col("event_id").alias("seq"), F.col("event_id").cast("string").alias("rev"))
+    return product.sample_revisions(revisions, 100)
+
+
+# patterns
+
+
+@query(
+    r"""SELECT ptype, count(*) AS n FROM (SELECT CASE WHEN starts_with(pattern, 're:') THEN 'regex' WHEN regexp_matches(pattern, '(^|[^\\])[*?\[]') THEN 'glob' ELSE 'keyword' END AS ptype FROM pat) GROUP BY 1""", O.PARTS
+)
+def pattern_types(s, d):
+    return B.part_patterns(s, d).groupBy("ptype").agg(F.count("*").alias("n"))
+
+
+@query("SELECT record_id, license_hit AS hit FROM (SELECT *, " + "(" + " OR ".join(t("body") for t in O._LICENSE) + ") AS license_hit FROM d)", O.DOCS.split(",\nh AS")[0])
+def any_match(s, d):
+    return B.documents(s, d).select("record_id", P.any_match(B.DOC_CATALOG.of_rule("license_terms", "keywords_whitelist"), F.col("body")).alias("hit"))
+
+
+@query("SELECT record_id, bool_or(starts_with(path, 'promo/brand_1/') OR regexp_matches(path, '(^|[^a-z0-9_])ring')) AS hit FROM r JOIN fl USING (k) GROUP BY record_id", O.ORDERS)
+def any_file_match(s, d):
+    return B.orders(s, d).select("record_id", P.any_file_match(["promo/brand_1/*", r"re:(^|[^a-z0-9_])ring"], F.col("files")).alias("hit"))
+
+
+@query("SELECT record_id, bool_and(starts_with(path, 'economy/') OR starts_with(path, 'small/')) AS hit FROM r JOIN fl USING (k) GROUP BY record_id", O.ORDERS)
+def all_files_match(s, d):
+    return B.orders(s, d).select("record_id", P.all_files_match(["economy/*", "small/*"], F.col("files")).alias("hit"))
+
+
+@query(
+    "SELECT record_id, rule, kind, pattern, value, CAST(row_number() OVER (PARTITION BY record_id, rule, kind ORDER BY pord, vord) AS INTEGER) AS ord FROM ph", O.DOCS, O.PATTERN_HITS
+)
+def pattern_hits(s, d):
+    return score.pattern_hits(B.documents(s, d), B.DOC_CATALOG)
+
+
+@query(
+    "SELECT record_id, rule, kind, pattern, value FROM (SELECT *, row_number() OVER (PARTITION BY record_id, rule, kind ORDER BY pord, vord) AS n FROM ph) WHERE n = 1", O.DOCS, O.PATTERN_HITS
+)
+def first_hit(s, d):
+    return score.first_hit(score.pattern_hits(B.documents(s, d), B.DOC_CATALOG))
+
+
+# catalogs
+
+
+@query(
+    """SELECT rule, arg_min(dir, tier) AS "dir", min(tier) AS tier, arg_min(dirs > 1, tier) AS collision FROM (
+    SELECT p_brand AS rule, CAST(p_size % 2 AS INTEGER) AS tier, min(p_type) AS dir, count(DISTINCT p_type) AS dirs FROM pp GROUP BY 1, 2) GROUP BY rule""",
+    O.PARTS,
+)
+def resolve_tiered(s, d):
+    p = B.table(s, d, "part")
+    wanted = p.select(F.concat(F.lit("shared:"), "p_brand").alias("rule")).distinct()
+    found = C.resolve_tiered(wanted, p.select((F.col("p_size") % 2).cast("int").alias("tier"), F.col("p_brand").alias("name"), F.col("p_type").alias("dir")).distinct(), {"shared": "shared"})
+    return found.select(F.col("name").alias("rule"), "dir", "tier", "collision")
+
+
+@query("SELECT DISTINCT profile, kind, pattern FROM pr JOIN pat USING (rule)", O.PARTS)
+def merged_patterns(s, d):
+    return C.merged_patterns(B.part_patterns(s, d), B.part_profile_rules(s, d))
+
+
+@query("SELECT kind, pattern, min(pf.ord) AS first FROM pr JOIN pat USING (rule) JOIN pf USING (profile) GROUP BY kind, pattern", O.PARTS)
+def overall_patterns(s, d):
+    return C.overall_patterns(B.part_patterns(s, d), B.part_profile_rules(s, d), B.part_profiles(s, d))
+
+
+@query("SELECT profile, rule, weight, kind, pat.ord AS ord, pattern FROM pr JOIN pat USING (rule)", O.PARTS)
+def inflated_rules(s, d):
+    return C.inflated(B.part_patterns(s, d), B.part_profile_rules(s, d)).select("profile", "rule", "weight", "kind", "ord", "pattern")
+
+
+@query("SELECT profile, count(DISTINCT rule) AS n_rules FROM pf LEFT JOIN pr USING (profile) GROUP BY profile", O.PARTS)
+def rule_counts(s, d):
+    return C.rule_counts(B.part_profiles(s, d), B.part_profile_rules(s, d))
+
+
+@query(
+    """SELECT 'weight_range' AS problem, profile AS name FROM pf WHERE NOT weight BETWEEN 0 AND 100
+    UNION ALL SELECT 'empty_rule', rule FROM (SELECT DISTINCT rule FROM pr) WHERE rule NOT IN (SELECT rule FROM pat WHERE kind = 'path_whitelist' AND ord % 2 = 0)""",
+    O.PARTS,
+)
+def dq_profiles(s, d):
+    some = B.part_patterns(s, d).where("kind = 'path_whitelist' and ord % 2 = 0")
+    return quality.profile_problems(B.part_profiles(s, d), B.part_profile_rules(s, d), some)
+
+
+# pre-filter
+
+
+@query("SELECT record_id, action, reason FROM dk", O.ORDERS)
+def prefilter_decision(s, d):
+    return _decided(s, d).select("record_id", "action", "reason")
+
+
+@query("SELECT record_id, subject FROM dk WHERE action = 'keep'", O.ORDERS)
+def prefilter_kept(s, d):
+    return prefilter.kept(_decided(s, d)).select("record_id", "subject")
+
+
+@query("SELECT record_id, reason AS filter_reason FROM dk WHERE action = 'drop'", O.ORDERS)
+def prefilter_dropped(s, d):
+    return prefilter.dropped(_decided(s, d)).select("record_id", "filter_reason")
+
+
+@query("SELECT reason AS filter_reason, count(*) AS n FROM dk WHERE action = 'drop' GROUP BY 1 UNION ALL SELECT filter_reason, count(*) FROM low WHERE filter_reason IS NOT NULL GROUP BY 1", O.ORDERS)
+def dropped_reasons(s, d):
+    low = _order_scores(s, d).where("filter_reason is not null")
+    return prefilter.reason_counts(report.all_dropped(prefilter.dropped(_decided(s, d)), low))
+
+
+@query("SELECT DISTINCT 'file' AS kind, path AS value FROM s_file UNION ALL SELECT 'dir', dir FROM s_dir UNION ALL SELECT 'artifact', replace(path, '.c', '') FROM s_art UNION ALL SELECT 'log', base_stem FROM s_log", O.ORDERS)
+def compiled_sets(s, d):
+    return _sets(s, d)
+
+
+@query("SELECT DISTINCT record_id FROM r JOIN fl USING (k) WHERE path IN (SELECT path FROM s_art)", O.ORDERS)
+def semi_artifact(s, d):
+    return evidence.with_artifact(B.orders(s, d), _sets(s, d))
+
+
+@query("SELECT DISTINCT record_id FROM r JOIN fl USING (k) WHERE base_stem IN (SELECT base_stem FROM s_log)", O.ORDERS)
+def semi_log(s, d):
+    return evidence.in_log(B.orders(s, d), _sets(s, d))
+
+
+@query("SELECT record_id FROM r JOIN ff USING (k) WHERE covered", O.ORDERS)
+def coverage(s, d):
+    return evidence.covered(B.orders(s, d), _sets(s, d))
+
+
+@query("SELECT record_id FROM r JOIN ff USING (k) WHERE NOT covered", O.ORDERS)
+def uncovered(s, d):
+    return evidence.uncovered(B.orders(s, d), _sets(s, d))
+
+
+# scores
+
+
+@query("SELECT record_id, profile, blocked FROM ps", O.DOCS)
+def profile_blocked(s, d):
+    return score.profile_scores(_scored(s, d)).select("record_id", "profile", "blocked")
+
+
+@query("SELECT record_id, profile, rule, weight, matched, matched_level, CASE WHEN matched THEN weight ELSE 0 END AS score FROM rl", O.DOCS, O.RULES)
+def rule_hits(s, d):
+    return score.rule_hits(_scored(s, d), B.DOC_CATALOG)
+
+
+@query("SELECT record_id, profile, blocked, raw_total, capped, multiplier, final_score FROM ps", O.DOCS)
+def profile_scores(s, d):
+    return score.profile_scores(_scored(s, d))
+
+
+@query("SELECT record_id, score FROM t", O.DOCS)
+def total_scores(s, d):
+    return _scored(s, d).select("record_id", "score")
+
+
+@query("SELECT record_id, matched AS matched_profiles FROM t", O.DOCS)
+def matched_profiles(s, d):
+    return _scored(s, d).select("record_id", text_of("matched_profiles"))
+
+
+@query(
+    "SELECT record_id, profile, rule, matched_level, kind, pattern, value FROM rl LEFT JOIN (SELECT record_id, rule, kind, pattern, value FROM ph) USING (record_id, rule)", O.DOCS, O.RULES, O.PATTERN_HITS
+)
+def rule_trace(s, d):
+    return score.rule_trace(_scored(s, d), B.DOC_CATALOG)
+
+
+@query(
+    """SELECT record_id, string_agg(profile || ':' || m || '/' || n || '=' || final_score, '; ' ORDER BY profile) AS summary FROM (
+    SELECT record_id, profile, count(*) FILTER (matched) AS m, count(*) AS n FROM rh GROUP BY 1, 2) JOIN ps USING (record_id, profile) GROUP BY record_id""",
+    O.DOCS,
+    O.RULES,
+)
+def trace_summary(s, d):
+    scored = _scored(s, d)
+    return score.trace_summary(score.rule_hits(scored, B.DOC_CATALOG), score.profile_scores(scored))
+
+
+# threshold and rank
+
+
+@query("SELECT record_id, score, filter_reason FROM low", O.ORDERS)
+def postfilter(s, d):
+    return _order_scores(s, d).select("record_id", "score", "filter_reason")
+
+
+@query("SELECT record_id, score, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM t", O.DOCS)
+def ranked(s, d):
+    return rank.ranked(_scored(s, d)).select("record_id", "score", "rank")
+
+
+@query("SELECT record_id, subject, score, rank FROM (SELECT *, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM t) WHERE rank <= 20", O.DOCS)
+def top_n(s, d):
+    return rank.top_n(rank.ranked(_scored(s, d)), 20).select("record_id", "subject", "score", "rank")
+
+
+# evidence
+
+
+@query("SELECT record_id, tag FROM ev_map", O.ORDERS)
+def evidence_config_map(s, d):
+    return evidence.config_map(B.orders(s, d), B.config_paths(s, d))
+
+
+@query("SELECT record_id, tag FROM ev_dir", O.ORDERS)
+def evidence_config_dir(s, d):
+    return evidence.config_dir(_touched(s, d)[1], product.config_dirs(B.config_paths(s, d)))
+
+
+@query("SELECT record_id, tag FROM ev_log", O.ORDERS)
+def evidence_build_log(s, d):
+    return evidence.build_log(_touched(s, d)[1], product.log_objects(B.log_lines(s, d)))
+
+
+@query("SELECT record_id, tag FROM ev_art", O.ORDERS)
+def evidence_artifact(s, d):
+    return evidence.artifact(_touched(s, d)[1], B.artifacts(s, d))
+
+
+@query("SELECT record_id, tag FROM ev_text", O.ORDERS)
+def evidence_config_text(s, d):
+    return evidence.config_text(B.orders(s, d), B.symbols(s, d))
+
+
+@query("SELECT record_id, coalesce(string_agg(tag, '; ' ORDER BY tag), '') AS product_evidence FROM r LEFT JOIN ev USING (record_id) GROUP BY record_id", O.ORDERS)
+def product_evidence(s, d):
+    r, touched = _touched(s, d)
+    paths = B.config_paths(s, d)
+    found = evidence.product_evidence(r, touched, paths, product.config_dirs(paths), product.log_objects(B.log_lines(s, d)), B.artifacts(s, d), B.symbols(s, d))
+    return found.select("record_id", text_of("product_evidence"))
+
+
+@query("SELECT 'CONFIG_BRAND_' || b AS symbol, string_agg(path, '; ' ORDER BY path) AS paths FROM pp GROUP BY b", O.ORDERS)
+def config_to_paths(s, d):
+    return product.config_to_paths(B.config_paths(s, d)).select("symbol", text_of("paths"))
+
+
+@query("""SELECT DISTINCT dir || '/' AS "dir" FROM pp""", O.ORDERS)
+def config_dirs(s, d):
+    return product.config_dirs(B.config_paths(s, d))
+
+
+@query(
+    """SELECT 'CONFIG_BRAND_' || b AS symbol, 'brand_' || b || '/' || base_stem || '.c' AS path FROM pp UNION SELECT 'CONFIG_BRAND_' || b, path FROM pp""",
+    O.ORDERS,
+)
+def history_merge(s, d):
+    return product.history_merge(product.history_paths(B.makefile_blobs(s, d)), B.config_paths(s, d))
+
+
+@query(
+    """SELECT substring(sha256(rev || ':' || path), 1, 24) AS key, rev, path FROM (SELECT DISTINCT lower(p_type) AS rev, 'brand_' || b || '/Makefile' AS path FROM pp) WHERE rev NOT IN ('economy', 'promo')""",
+    O.PARTS,
+)
+def blob_misses(s, d):
+    blobs = B.makefile_blobs(s, d)
+    return product.blob_misses(blobs.select("rev", "path"), blobs.where("rev in ('economy', 'promo')"))
+
+
+@query("SELECT record_id FROM r WHERE k % 3 <> 0", O.ORDERS)
+def incremental_new(s, d):
+    r = B.orders(s, d)
+    done = r.select("record_id", F.when(F.col("seq") % 3 == 0, "now").otherwise("before").alias("fingerprint"))
+    return streaming.incremental_new(r, done, "now").select("record_id")
+
+
+# reports
+
+
+@query(
+    """SELECT p.profile AS profile, count(t.record_id) AS n, CAST(coalesce(sum(score), 0) AS BIGINT) AS total_score, coalesce(avg(score), 0) AS avg_score
+    FROM (VALUES ('legal'), ('safety'), ('broad')) p(profile) LEFT JOIN t ON contains(matched, p.profile) GROUP BY p.profile""",
+    O.DOCS,
+)
+def profile_summary(s, d):
+    scored = _scored(s, d)
+    return report.profile_summary(scored, rank.profile_frame(B.DOC_CATALOG, scored))
+
+
+@query("SELECT count(*) FILTER (matched = '') AS unmatched, count(*) FILTER (f IS NOT NULL) AS with_evidence FROM t JOIN (SELECT record_id, CASE WHEN starts_with(f, 'src1/') THEN f END AS f FROM d) USING (record_id)", O.DOCS)
+def coverage_metrics(s, d):
+    return report.coverage_metrics(_scored(s, d).withColumn("product_evidence", F.filter("files", lambda f: f.startswith("src1/"))))
+
+
+_STATS = """(SELECT (SELECT count(*) FROM r) AS collected, count(*) AS kept, (SELECT count(*) FROM r) - count(*) AS dropped, count(*) AS scored, CAST(50 AS DOUBLE) AS threshold,
+    count(*) FILTER (filter_reason IS NOT NULL) AS post_dropped, least(count(*) FILTER (filter_reason IS NULL), 5000) AS reported, CAST(5000 AS BIGINT) AS top_n,
+    CAST(coalesce(max(score) FILTER (filter_reason IS NULL), 0) AS BIGINT) AS max_score, CAST(coalesce(min(score) FILTER (filter_reason IS NULL), 0) AS BIGINT) AS min_score,
+    coalesce(avg(score) FILTER (filter_reason IS NULL), 0) AS avg_score FROM low)"""
+
+
+@query(f"SELECT * FROM {_STATS}", O.ORDERS)
+def report_stats(s, d):
+    kept = prefilter.kept(_decided(s, d))
+    return report.report_stats(B.orders(s, d), kept, _order_scores(s, d), 50, 5000)
+
+
+@query(
+    f"SELECT metric, value FROM (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in ('collected', 'kept', 'dropped', 'scored', 'threshold', 'post_dropped', 'reported', 'top_n', 'max_score', 'min_score', 'avg_score'))} FROM {_STATS}) UNPIVOT (value FOR metric IN (collected, kept, dropped, scored, threshold, post_dropped, reported, top_n, max_score, min_score, avg_score))",
+    O.ORDERS,
+)
+def stats_kv(s, d):
+    return report.stats_kv(report_stats(s, d))
+
+
+@query(
+    """SELECT record_id, CAST(max(CASE WHEN profile = 'broad' AND contains(matched, 'broad') THEN final_score ELSE 0 END) AS INTEGER) AS broad,
+    CAST(max(CASE WHEN profile = 'legal' AND contains(matched, 'legal') THEN final_score ELSE 0 END) AS INTEGER) AS legal,
+    CAST(max(CASE WHEN profile = 'safety' AND contains(matched, 'safety') THEN final_score ELSE 0 END) AS INTEGER) AS safety FROM ps JOIN t USING (record_id) GROUP BY record_id""",
+    O.DOCS,
+)
+def profile_matrix_wide(s, d):
+    return report.profile_matrix_wide(_scored(s, d), B.DOC_CATALOG.names())
+
+
+@query("SELECT record_id, profile, final_score AS score FROM ps WHERE final_score > 0 OR blocked OR any_hit", O.DOCS)
+def profile_matrix_long(s, d):
+    return report.profile_matrix_long(_scored(s, d))
+
+
+@query("SELECT record_id, reason AS filter_reason, 0 AS src FROM dk WHERE action = 'drop' UNION ALL SELECT record_id, filter_reason, 1 FROM low WHERE filter_reason IS NOT NULL", O.ORDERS)
+def all_dropped(s, d):
+    low = _order_scores(s, d).where("filter_reason is not null")
+    return report.all_dropped(prefilter.dropped(_decided(s, d)), low).select("record_id", "filter_reason", "src")
+
+
+@query(
+    """SELECT record_id, src, seq FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY src, seq) AS n FROM (
+    SELECT record_id, 0 AS src, seq FROM r WHERE k % 2 = 0 UNION ALL SELECT record_id, 1, seq FROM r)) WHERE n = 1""",
+    O.ORDERS,
+)
+def dedup_first(s, d):
+    r = B.orders(s, d).select("record_id", "seq")
+    both = r.where("seq % 2 = 0").withColumn("src", F.lit(0)).union(r.withColumn("src", F.lit(1)))
+    return report.dedup_first(both).select("record_id", "src", "seq")
+
+
+@query("SELECT substring(record_id, 1, 2) AS s1, substring(record_id, 3, 2) AS s2, count(*) AS n FROM r GROUP BY 1, 2", O.ORDERS)
+def detail_shards(s, d):
+    return report.with_shards(B.orders(s, d)).groupBy("s1", "s2").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT substring(record_id, 1, 12) AS "commit", subject, author_name AS author, strftime(make_timestamp(author_time * 1000000), '%Y-%m-%d %H:%M') AS date, CAST(score AS VARCHAR) AS score,
+    CASE WHEN score > 0 OR blocked OR capped > 0 THEN 'orders' ELSE '' END AS profiles, 'orders:' || score AS profile_scores, '' AS evidence, CAST((SELECT count(*) FROM fl WHERE fl.k = so.k) AS VARCHAR) AS n_files FROM so""",
+    O.ORDERS,
+)
+def commit_rows(s, d):
+    scored = score.scored(prefilter.kept(_decided(s, d)), B.ORDER_CATALOG)
+    return report.commit_rows(scored.withColumn("product_evidence", F.array().cast("array<string>")))
+
+
+@query("SELECT record_id, 'author_time' AS field FROM d UNION ALL SELECT record_id, 'subject' FROM d WHERE seq % 7 = 0", O.DOCS)
+def dq_required(s, d):
+    r = B.documents(s, d)
+    return quality.missing_fields(r.withColumn("subject", F.when(F.col("seq") % 7 != 0, F.col("subject"))))
+
+
+# tables
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_totalprice > 100000 AND o_totalprice < 300000 AND lower(o_orderpriority) = '1-urgent' AND regexp_matches(lower(o_orderstatus), 'o')")
+def filter_tokens(s, d):
+    return tables.filter_table(B.table(s, d, "orders"), {"o_totalprice": ">100000 <300000", "o_orderpriority": "=1-URGENT", "o_orderstatus": "o"}).select("o_orderkey")
+
+
+@query("SELECT c_custkey FROM customer WHERE contains(lower(c_mktsegment), 'build') OR contains(lower(c_mktsegment), 'mach')")
+def filter_multi(s, d):
+    return tables.filter_table(B.table(s, d, "customer"), chosen={"c_mktsegment": ["Build", "mach"]}).select("c_custkey")
+
+
+@query("SELECT p_partkey FROM part WHERE contains(lower(p_name || ' ' || p_brand || ' ' || p_type), 'ring') AND contains(lower(p_name || ' ' || p_brand || ' ' || p_type), 'brand#1')")
+def search_all(s, d):
+    return tables.filter_table(B.table(s, d, "part").select("p_partkey", "p_name", "p_brand", "p_type"), needles="Ring brand#1").select("p_partkey")
+
+
+@query("SELECT count(*) FILTER (c_acctbal > 500) AS visible, count(*) AS total FROM customer")
+def live_count(s, d):
+    c = B.table(s, d, "customer")
+    return tables.live_count(c, tables.token_filter(F.col("c_acctbal"), ">500"))
+
+
+@query("SELECT DISTINCT o_orderstatus AS value FROM orders UNION SELECT DISTINCT o_orderpriority FROM orders")
+def facets(s, d):
+    both = B.table(s, d, "orders").select(F.concat_ws("; ", "o_orderstatus", "o_orderpriority").alias("x"))
+    return tables.facets(both, "x")
+
+
+@query("SELECT token, n FROM tc", O.TOKENS)
+def token_counts(s, d):
+    return tokens.token_counts(B.table(s, d, "documents"))
+
+
+_PREFERRED, _ALWAYS = ["the", "license", "zzz", "net", "token", "mit"], ["net"]
+
+
+@query(
+    f"""SELECT token FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token = 'net'
+    UNION ALL SELECT token FROM (SELECT * FROM (SELECT * FROM tc ORDER BY n DESC, token LIMIT 200) WHERE n >= 2 AND regexp_matches(token, '^[a-z][a-z0-9+.-]*$') AND token NOT IN (SELECT token FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token = 'net')
+    ORDER BY n DESC, token LIMIT (SELECT 80 - count(*) FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token = 'net'))""",
+    O.TOKENS,
+)
+def top_prefixes(s, d):
+    counts = tokens.token_counts(B.table(s, d, "documents"))
+    return tokens.top_prefixes(counts, _PREFERRED, _ALWAYS).select("token")
+
+
+@query(r"SELECT 're:^' || token || '(?:\s|:|$)' AS pattern FROM tc WHERE regexp_matches(token, '^[a-z0-9]+$') AND n >= 5", O.TOKENS)
+def prefix_patterns(s, d):
+    counts = tokens.token_counts(B.table(s, d, "documents")).where("n >= 5")
+    return tokens.pattern_lines(counts.where(F.col("token").rlike("^[a-z0-9]+$")))
+
+
+# streaming
+
+
+@query("SELECT record_id, score FROM t", O.DOCS)
+def stream_scores(s, d):
+    base = (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir() or "/tmp/winnow-streams").rstrip("/")
+    at = f"{base}/stream-{uuid.uuid4().hex}"
+    B.documents(s, d).write.json(f"{at}/in")
+    done = streaming.write_stream(streaming.score_stream(streaming.read_stream(s, f"{at}/in"), B.DOC_CATALOG), f"{at}/out", f"{at}/state")
+    done.awaitTermination()
+    return s.read.parquet(f"{at}/out").select("record_id", "score")
