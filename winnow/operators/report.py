@@ -90,13 +90,14 @@ def with_shards(rows: DataFrame) -> DataFrame:
 
 
 def commit_rows(records: DataFrame) -> DataFrame:
-    """The nine columns of a report, as text. Expects score, matched_profiles, profile_scores, product_evidence."""
+    """The nine columns of a report, as text. Expects score, matched_profiles, profile_scores, product_evidence; records without times have an empty date."""
+    time = F.col("author_time") if "author_time" in records.columns else F.lit("")
     scores = F.map_from_arrays(F.transform("profile_scores", lambda p: p["profile"]), F.transform("profile_scores", lambda p: p["final_score"]))
     return records.select(
         short_id(F.col("record_id")).alias("commit"),
         "subject",
         F.coalesce("author_name", F.lit("")).alias("author"),
-        minute_text(F.col("author_time")).alias("date"),
+        minute_text(time).alias("date"),
         F.col("score").cast("string").alias("score"),
         joined(F.col("matched_profiles")).alias("profiles"),
         scores_text(scores).alias("profile_scores"),
