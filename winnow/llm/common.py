@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/winnow-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
@@ -52,8 +53,10 @@ def discard(*tables: DataFrame) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of DataFrames that nobody holds any more: it does so when the driver's memory is collected."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first round only finds what the second can drop
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def partitions(spark: SparkSession) -> int:
