@@ -5,15 +5,17 @@ orders the documents by its own DEPTH hashes, and documents that share the first
 them are a region of that tree: two with a similarity s meet in a region of some tree with a
 probability of 1 - (1 - s**LEAST)**TREES, which is 0.9986 at 0.75 and 0.9999 at 0.85.
 
-First pass: within each region, in the tree's order, each document is a candidate for the one
-it shares the longest prefix with, and for the region's smallest document. Candidates whose
-signatures agree enough are checked on their full sets, and those that are similar are linked
-into classes. So a region of copies costs a link per document.
-
-Second pass: how deep a region is searched depends on what it holds. A region whose documents
-are all in one class is done. Where several classes meet, all pairs across classes whose
-signatures agree enough are checked. Only pairs within one class, which no link would change,
-are left out.
+How deep a region is searched depends on what it holds:
+
+1. In the tree's order each document is a candidate for its neighbour with the longest common
+   prefix, and for the one of its block whose whole signature agrees most. Candidates whose
+   signatures agree enough are checked on their full sets, and those that are similar are
+   linked into classes. So a region of copies costs a few links per document.
+2. A region whose documents are all in one class is done. In the others, all documents outside
+   the class of the one with the most links are candidates for that one, which is what the
+   copies of one original need that resemble it more than each other.
+3. Where several classes still meet, all pairs across classes whose signatures agree enough are
+   checked. Only pairs within one class, which no link would change, are left out.
 
 Documents with the same set are collapsed into one before; regions of any size are dealt over
 blocks, so no task gathers a region. Only the documents that share a region with another are
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import components, cut, discard, partitions
+from winnow.llm.common import components, cut, discard, partitions, release, runs
 from winnow.llm.shingles import mix, pieces, shingle_sets
 
 #: Links are for a similarity of NUMERATOR/100 or more.
@@ -151,43 +153,49 @@ def _signatures(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First pass, over blocks sorted by tree, region, block and order: neighbours, and each document with its block's first."""
-    held = None
-    for batch in batches:
-        at = np.column_stack([batch.column(k).to_numpy() for k in ("tree", "region", "block")])
-        ids, sig = batch.column("doc_id").to_numpy(), _signatures(batch)
-        if held is not None:  # the open block's smallest and last document
-            at, ids, sig = np.concatenate([held[0], at]), np.concatenate([held[1], ids]), np.concatenate([held[2], sig])
-        if not len(ids):
+    """Step 1, over blocks in the tree's order: neighbours with the longest common prefix, and the best of each block."""
+    found: list[np.ndarray] = []
+    for run in runs(batches, ["tree", "region", "block"]):
+        if run.num_rows < 2:
             continue
-        new = np.append(True, (at[1:] != at[:-1]).any(1))
-        group = np.cumsum(new) - 1
-        starts = np.flatnonzero(new)
-        order = np.lexsort((ids, group))
-        pivot = order[starts][group]
+        ids, sig = run.column("doc_id").to_numpy(), _signatures(run)
+        own = run.column("tree")[0].as_py() * DEPTH
+        same = np.cumprod(sig[1:, own : own + DEPTH] == sig[:-1, own : own + DEPTH], axis=1).sum(1)
+        up, down = np.append(-1, same), np.append(same, -1)
         row = np.arange(len(ids))
-        left = np.concatenate([row, row[1:]])
-        right = np.concatenate([pivot, row[:-1]])
-        ok = np.concatenate([np.ones(len(ids), bool), ~new[1:]]) & (ids[left] != ids[right])
-        left, right = left[ok], right[ok]
-        good = np.concatenate([(sig[left[i : i + 4096]] == sig[right[i : i + 4096]]).sum(1) for i in range(0, len(left), 4096)] or [np.empty(0, int)]) >= AGREE
-        # a document that resembles the smallest needs no other candidate here
-        starred = np.zeros(len(ids), bool)
-        by_pivot = right == pivot[left]
-        starred[left[good & by_pivot]] = True
-        starred[pivot] = True
-        use = good & (by_pivot | ~starred[left] | ~starred[right])
-        x, y = ids[left[use]], ids[right[use]]
-        last = group == group[-1]
-        keep = np.unique([pivot[-1], len(ids) - 1])
-        held = (at[keep], ids[keep], sig[keep]) if last.any() else None
-        yield pa.record_batch({"a": np.maximum(x, y), "b": np.minimum(x, y)})
+        near = np.where(up >= down, row - 1, row + 1)
+        best = near
+        if len(ids) > 2:
+            best = np.empty(len(ids), np.int64)
+            by_id = np.argsort(ids, kind="stable")
+            for a in range(0, len(ids), 64):
+                agree = (sig[a : a + 64, None, :] == sig[None, by_id, :]).sum(2)
+                agree[by_id[None, :] == row[a : a + 64, None]] = -1
+                best[a : a + 64] = by_id[agree.argmax(1)]
+        pair = np.unique(np.concatenate([np.column_stack([row, near]), np.column_stack([row, best])]), axis=0)
+        pair = pair[(sig[pair[:, 0]] == sig[pair[:, 1]]).sum(1) >= AGREE]
+        both = ids[pair]
+        found.append(both[both[:, 0] != both[:, 1]])
+        if len(found) >= 2000:
+            yield _pairs(np.concatenate(found))
+            found = []
+    if found:
+        yield _pairs(np.concatenate(found))
+
+
+def _pairs(both: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({"a": both.max(1), "b": both.min(1)})
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose signatures agree enough."""
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
+        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array((x == y).sum(1) >= AGREE))
 
 
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Second pass, over blocks: all pairs across classes whose signatures agree enough."""
-    from winnow.llm.common import runs
-
+    """Step 3, over blocks: all pairs across classes whose signatures agree enough."""
     for run in runs(batches, ["tree", "region", "block", "against"]):
         ids, cls = run.column("doc_id").to_numpy(), run.column("class").to_numpy()
         minor, sig = run.column("minor").to_numpy(zero_copy_only=False), _signatures(run)
@@ -220,24 +228,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     trees = reps.select(F.col("rep").alias("doc_id"), F.posexplode("keys").alias("tree", "region"))
     counted = trees.groupBy("tree", "region").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
     shared = cut(trees.join(counted, ["tree", "region"]), "regions")
-    sets = cut(full_sets(docs.join(shared.select("doc_id").distinct(), "doc_id", "left_semi")), "sets")
+    # the ids grow with the documents, so they are not broadcast at any size
+    sets = cut(full_sets(docs.join(shared.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")), "sets")
+    release(spark)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("doc_id", "tree"), blocks).cast("int")
     order = F.substring("signature", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * DEPTH))
     sig = reps.select(F.col("rep").alias("doc_id"), "signature")
 
-    # the region's smallest document stands in each of its blocks
-    everywhere = F.when(F.col("doc_id") == F.col("least"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(block))
-    dealt = shared.select("tree", "region", "doc_id", F.explode(everywhere).alias("block")).join(sig, "doc_id")
+    dealt = shared.select("tree", "region", "doc_id", block.alias("block")).join(sig, "doc_id")
     dealt = dealt.repartition(2 * n, "tree", "region", "block").sortWithinPartitions("tree", "region", "block", order, "doc_id")
     first = cut(dealt.mapInArrow(_candidates, "a long, b long").distinct(), "candidates")
     links = cut(confirmed(first, sets), "links")
-    classes = components(links)
 
-    classed = shared.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("class", F.coalesce("component_id", "doc_id")).drop("component_id")
-    sizes = classed.groupBy("tree", "region", "class").agg(F.count("*").alias("size"))
-    open_regions = sizes.groupBy("tree", "region").agg(F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("top")).where("classes > 1")
-    open_regions = open_regions.select("tree", "region", F.col("top.class").alias("top"), F.col("top.size").alias("top_size"))
+    classed = _classed(shared, components(links))
+    ends = links.select(F.col("a").alias("doc_id")).union(links.select("b")).groupBy("doc_id").agg(F.count("*").alias("links"))
+    hubs = classed.join(ends, "doc_id").groupBy("tree", "region").agg(F.max(F.struct("links", "doc_id", "class")).alias("h"))
+    hubs = hubs.select("tree", "region", F.col("h.doc_id").alias("hub"), F.col("h.class").alias("hub_class"))
+    hubs = hubs.join(_open(classed).select("tree", "region"), ["tree", "region"])
+    to_hub = classed.join(hubs, ["tree", "region"]).where("class <> hub_class")
+    to_hub = to_hub.select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    to_hub = to_hub.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").mapInArrow(_agreeing, "a long, b long")
+    tested = cut(first.union(to_hub), "tested")
+    links = cut(links.union(confirmed(tested.join(first, ["a", "b"], "left_anti"), sets)), "links")
+
+    classed = _classed(shared, components(links))
+    open_regions = _open(classed)
     rows = classed.join(open_regions, ["tree", "region"]).withColumn("minors", F.col("n") - F.col("top_size"))
     # documents outside a region's largest class, in blocks, against all of the region, in blocks
     sides = F.ceil(F.col("minors") / BLOCK).cast("int")
@@ -245,17 +261,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     as_all = rows.select("tree", "region", "doc_id", "class", F.lit(False).alias("minor"), block.alias("block"), F.explode(F.sequence(F.lit(0), sides - 1)).alias("against"))
     as_minor = rows.where("class <> top").select("tree", "region", "doc_id", "class", F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), side.alias("against"))
     met = as_all.union(as_minor).join(sig, "doc_id").repartition(2 * n, "tree", "region", "block", "against").sortWithinPartitions("tree", "region", "block", "against")
-    second = met.mapInArrow(_crossing, "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
+    second = met.mapInArrow(_crossing, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
     more = cut(confirmed(second, sets), "more")
     final = cut(components(links.union(more)), "classes")
 
     found = copies.join(final, copies.rep == final.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "rep")).alias("component_id"))
     out = whole.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     out = cut(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "near")
-    discard(whole, reps, copies, shared, sets, first, links, more, final)
+    discard(whole, reps, copies, shared, sets, first, tested, links, more, final)
     return out
 
 
+def _classed(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each document of each region with its class so far."""
+    joined = shared.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    return joined.withColumn("class", F.coalesce("component_id", "doc_id")).drop("component_id")
+
+
+def _open(classed: DataFrame) -> DataFrame:
+    """tree, region, top (its largest class), top_size of the regions that hold several classes."""
+    sizes = classed.groupBy("tree", "region", "class").agg(F.count("*").alias("size"))
+    found = sizes.groupBy("tree", "region").agg(F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("top")).where("classes > 1")
+    return found.select("tree", "region", F.col("top.class").alias("top"), F.col("top.size").alias("top_size"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of kept documents, with the columns they have; of rows that repeat a doc_id one stays."""
     near = near_duplicates(docs)
