@@ -69,8 +69,9 @@ def grow(old: SlotMap, by: int = 1) -> SlotMap:
         load = 0
         while heap:
             most, k = heap[0]
-            fits = [s for s in held[k] if 0 < old.size[s] <= target - load]
-            if not fits or -most <= target:
+            room = min(target - load, -most - target)
+            fits = [s for s in held[k] if 0 < old.size[s] <= room]
+            if not fits:
                 break
             s = fits[-1]
             held[k].remove(s)
