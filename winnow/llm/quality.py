@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The classifier is fitted on at most so many labelled texts of each class, of at most so many bytes each.
-FIT_ROWS, FIT_BYTES = 2500, 32_768
-DICTIONARY_BYTES = 112_640
-LEVEL = 3
+FIT_ROWS, FIT_BYTES = 4000, 32_768
+#: One in so many of them goes into the dictionaries, the others fit the curve.
+DICTIONARY_SHARE = 4
+DICTIONARY_BYTES = 300_000
+#: The window holds a dictionary and what follows of a text; left to itself, it would depend on the sizes of both.
+LEVEL, WINDOW_LOG = 6, 20
 #: The size, in bytes, by which short texts are held to the middle.
-SOFTEN = 32.0
+SOFTEN = 8.0
 
 
 def learnable(docs: DataFrame) -> DataFrame:
@@ -40,11 +43,13 @@ class Model:
     weights: np.ndarray
 
     def compressors(self) -> list[zstandard.ZstdCompressor]:
-        out = [zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)]
+        settings = {"window_log": WINDOW_LOG, "write_content_size": 0, "write_checksum": 0}
+        out = [zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(LEVEL, **settings))]
         for raw in (self.good, self.bad):
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            out.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False))
+            params = zstandard.ZstdCompressionParameters.from_level(LEVEL, dict_size=len(raw), **settings)
+            d.precompute_compress(compression_params=params)
+            out.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params))
         return out
 
     def score(self, sizes: np.ndarray) -> np.ndarray:
@@ -93,7 +98,7 @@ def dictionary(texts: list[str]) -> bytes:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most: int = FIT_BYTES) -> Model:
     """A model from at most `rows` labelled texts of each class, those with the smallest hash of doc_id.
 
-    Half of them, every other one, make the dictionaries and the other half the curve. With one
+    One in DICTIONARY_SHARE of them makes the dictionaries, the others the curve. With one
     class or no labelled text at all the score is that class's share, or one half.
     """
     marked = learnable(labels.select("doc_id", "quality").where("doc_id is not null and quality is not null")).groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -107,13 +112,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most: int = FI
         found = texts.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "text").limit(rows)
         taken[q] = [r["text"] for r in found.select("text").collect()]
     bad, good = taken[0], taken[1]
-    model = Model(dictionary(good[::2]), dictionary(bad[::2]), np.zeros(11), np.ones(11), np.zeros(12))
+    model = Model(dictionary(good[::DICTIONARY_SHARE]), dictionary(bad[::DICTIONARY_SHARE]), np.zeros(11), np.ones(11), np.zeros(12))
     total = counts.get(0, 0) + counts.get(1, 0)
-    if len(good) < 4 or len(bad) < 4:
+    if len(good) < 2 * DICTIONARY_SHARE or len(bad) < 2 * DICTIONARY_SHARE:
         share = counts.get(1, 0) / total if total else 0.5
         model.weights[0] = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return model
-    held_good, held_bad = good[1::2], bad[1::2]
+    held_good, held_bad = ([t for i, t in enumerate(x) if i % DICTIONARY_SHARE] for x in (good, bad))
     sizes = measured(held_good + held_bad, model.compressors())
     x, y = features(sizes), np.array([1.0] * len(held_good) + [0.0] * len(held_bad))
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
