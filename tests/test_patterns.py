@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from winnow.functions.patterns import all_files_match, any_file_match, any_match, glob_regex, java_regex, literal, matches, pattern_type
+from winnow.functions.patterns import all_files_match, any_file_match, any_match, glob_regex, java_regex, literal, matches, pattern_type, search_regex
 
 PATTERNS = ["fix", "use-after-free", r"CVE-\*", r"a\?b", "re:^fix", "re:(?i)FIX", "re:a{,2}b", "re:(", "drivers/*", "*.c", "*usb*", "a[!b]c", "a[b-d]c", "[", "[]x]*", "?", "", "naïve", "re:\\bword\\b", "re:x$", "fix*é", "C++"]
 TEXTS = ["", "fix", "Fix: a bug", "prefix", "fixes", "drivers/usb/core.c", "drivers/", "CVE-*", "cve-* here", "CVE-2020", "a?b", "abc", "acc", "a\nc", "aab", "aaab", "[", "]x1", "x", "x\n", "xy", "naïve", "Naïve text", "word", "a word b", "fixed é", "c++ code", "use-after-free in x", "x\r", "x ", "ﬁx"]
@@ -33,6 +33,13 @@ def test_truth_table(spark):
     assert not wrong
 
 
+def test_patterns_in_a_column(spark):
+    texts = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    kept = spark.createDataFrame([(p, search_regex(p)) for p in PATTERNS if search_regex(p)], "p string, e string")
+    got = {(r.p, r.t) for r in texts.join(kept, F.regexp_like(F.col("t"), F.col("e"))).collect()}
+    assert got == {(p, t) for p in PATTERNS for t in TEXTS if expected(p, t)}
+
+
 def test_any_match_is_the_or_of_its_patterns(spark):
     df = spark.createDataFrame([(t,) for t in [*TEXTS, None]], "t string")
     for r in df.select("t", any_match(PATTERNS, F.col("t")).alias("m"), any_match([], F.col("t")).alias("none")).collect():

@@ -127,6 +127,19 @@ def _keyword(word: str) -> str:
     return rf"(?iUd)\b{quoted(word)}\b" if is_word(word) else f"(?iUd){quoted(word)}"
 
 
+def search_regex(pattern: str) -> str | None:
+    """One expression that finds what the pattern matches, for patterns kept in a column; None for an invalid one.
+
+    A glob's expression lower-cases by itself.
+    """
+    kind = pattern_type(pattern)
+    if kind == "regex":
+        return java_regex(pattern[3:])
+    if kind == "keyword":
+        return _keyword(literal(pattern))
+    return "(?iu)" + glob_regex(pattern.lower())
+
+
 def any_match(patterns: Iterable[str], text: Column) -> Column:
     """Whether any pattern matches; false without patterns. Keywords are tested as one alternation."""
     patterns = list(dict.fromkeys(patterns))

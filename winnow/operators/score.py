@@ -13,7 +13,7 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.functions.patterns import any_file_match, any_match, matches
+from winnow.functions.patterns import any_file_match, any_match, matches, search_regex
 from winnow.functions.scalars import flags, true_flags
 from winnow.sources.catalog import CAP, Catalog
 
@@ -123,6 +123,18 @@ def pattern_hits(records: DataFrame, catalog: Catalog, side: str = "whitelist")
     return out
 
 
+def pattern_join(texts: DataFrame, patterns: list[tuple[str, str, str]], column: str) -> DataFrame:
+    """The texts with each pattern that they match: rule, kind, pattern. patterns: (rule, kind, pattern).
+
+    For catalogs that are too large for one literal Column per pattern: the catalog, which people
+    write, is broadcast, and each row is tested against it.
+    """
+    rows = [(r, k, p, e) for r, k, p in patterns if (e := search_regex(p)) is not None]
+    catalog = texts.sparkSession.createDataFrame(rows, "rule string, kind string, pattern string, _expression string")
+    hit = F.regexp_like(F.coalesce(F.col(column), F.lit("")), F.col("_expression"))
+    return texts.join(F.broadcast(catalog), hit).drop("_expression")
+
+
 def first_hit(hits: DataFrame) -> DataFrame:
     """record_id, rule, kind, pattern, value of the first hit of each rule and kind."""
     first = F.min_by(F.struct("pattern", "value"), "ord").alias("h")

@@ -204,6 +204,12 @@ def pattern_hits(s, d):
     return score.pattern_hits(B.documents(s, d), B.DOC_CATALOG)
 
 
+@query("SELECT DISTINCT record_id, rule, kind, pattern FROM ph WHERE kind = 'keywords_whitelist' AND (vord = 1 OR value = body_of)".replace("body_of", "(SELECT body FROM d WHERE d.record_id = ph.record_id)"), O.DOCS, O.PATTERN_HITS)
+def pattern_join(s, d):
+    wanted = [(r, k, p) for r, k, _, p in B.DOC_CATALOG.patterns if k == "keywords_whitelist"]
+    return score.pattern_join(B.documents(s, d).select("record_id", "body"), wanted, "body").select("record_id", "rule", "kind", "pattern")
+
+
 @query(
     "SELECT record_id, rule, kind, pattern, value FROM (SELECT *, row_number() OVER (PARTITION BY record_id, rule, kind ORDER BY pord, vord) AS n FROM ph) WHERE n = 1", O.DOCS, O.PATTERN_HITS
 )
