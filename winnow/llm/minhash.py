@@ -15,7 +15,8 @@ How deep a region is searched depends on what it holds:
    the class of the one with the most links are candidates for that one, which is what the
    copies of one original need that resemble it more than each other.
 3. Where several classes still meet, all pairs across classes whose signatures agree enough are
-   checked. Only pairs within one class, which no link would change, are left out.
+   checked, in the first of the trees that they share a region of. The sets are at hand there, so
+   only links leave the task. Only pairs within one class, which no link would change, are left out.
 
 Documents with the same set are collapsed into one before; regions of any size are dealt over
 blocks, so no task gathers a region. Only the documents that share a region with another are
@@ -124,6 +125,15 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(step, "doc_id long, n_shingles long, shingles binary")
 
 
+def similar(p: np.ndarray, q: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    small, large = (p, q) if len(p) < len(q) else (q, p)
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    shared = int((large[at] == small).sum())
+    return 100 * shared >= NUMERATOR * (len(p) + len(q) - shared)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs(a, b) whose full sets are similar enough."""
 
@@ -131,12 +141,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("set_of_a").to_pylist(), batch.column("set_of_b").to_pylist(), strict=True):
-                p, q = unpacked(x), unpacked(y)
-                small, large = (p, q) if len(p) < len(q) else (q, p)
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                shared = int((large[at] == small).sum())
-                keep.append(100 * shared >= NUMERATOR * (len(p) + len(q) - shared))
+                keep.append(similar(unpacked(x), unpacked(y)))
             yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(keep, pa.bool_()))
 
     of = sets.select("doc_id", "n_shingles", "shingles")
@@ -195,16 +200,37 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3, over blocks: all pairs across classes whose signatures agree enough."""
+    """Step 3, over blocks: links across classes, one for each two classes that are linked in a block."""
+    found: list[tuple[int, int]] = []
     for run in runs(batches, ["tree", "region", "block", "against"]):
-        ids, cls = run.column("doc_id").to_numpy(), run.column("class").to_numpy()
-        minor, sig = run.column("minor").to_numpy(zero_copy_only=False), _signatures(run)
+        ids, cls, sizes = (run.column(c).to_numpy() for c in ("doc_id", "class", "n_shingles"))
+        minor, sig, tree = run.column("minor").to_numpy(zero_copy_only=False), _signatures(run), run.column("tree")[0].as_py()
+        keys, raw = np.array(run.column("keys").to_pylist(), np.int64), run.column("shingles")
+        sets: dict[int, np.ndarray] = {}
+        joined: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while (up := joined.get(c, c)) != c:
+                c = up
+            return c
+
+        def set_of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = unpacked(raw[i].as_py())
+            return sets[i]
+
         a, b = np.flatnonzero(minor), np.flatnonzero(~minor)
-        for i in a:
-            with_it = b[cls[b] != cls[i]]
-            good = with_it[(sig[with_it] == sig[i]).sum(1) >= AGREE]
-            if len(good):
-                yield pa.record_batch({"a": np.maximum(ids[good], ids[i]), "b": np.minimum(ids[good], ids[i])})
+        for i in a.tolist():
+            other = b[(cls[b] != cls[i]) & (100 * np.minimum(sizes[b], sizes[i]) >= NUMERATOR * np.maximum(sizes[b], sizes[i]))]
+            agree = (sig[other] == sig[i]).sum(1)
+            fit = (agree >= AGREE) & ~(keys[other, :tree] == keys[i, :tree]).any(1)
+            for j in other[fit][np.argsort(-agree[fit], kind="stable")].tolist():
+                x, y = top(int(cls[i])), top(int(cls[j]))
+                if x != y and similar(set_of(i), set_of(j)):
+                    joined[max(x, y)] = min(x, y)
+                    found.append((max(int(ids[i]), int(ids[j])), min(int(ids[i]), int(ids[j]))))
+    if found:
+        yield _pairs(np.array(found, np.int64))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -260,9 +286,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     side = F.pmod(F.xxhash64("doc_id", "tree"), sides).cast("int")
     as_all = rows.select("tree", "region", "doc_id", "class", F.lit(False).alias("minor"), block.alias("block"), F.explode(F.sequence(F.lit(0), sides - 1)).alias("against"))
     as_minor = rows.where("class <> top").select("tree", "region", "doc_id", "class", F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), side.alias("against"))
-    met = as_all.union(as_minor).join(sig, "doc_id").repartition(2 * n, "tree", "region", "block", "against").sortWithinPartitions("tree", "region", "block", "against")
-    second = met.mapInArrow(_crossing, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
-    more = cut(confirmed(second, sets), "more")
+    known_of = reps.select(F.col("rep").alias("doc_id"), "keys", "signature").join(sets.select("doc_id", "n_shingles", "shingles"), "doc_id")
+    met = as_all.union(as_minor).join(known_of, "doc_id").repartition(2 * n, "tree", "region", "block", "against").sortWithinPartitions("tree", "region", "block", "against")
+    more = cut(met.mapInArrow(_crossing, "a long, b long"), "more")
     final = cut(components(links.union(more)), "classes")
 
     found = copies.join(final, copies.rep == final.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "rep")).alias("component_id"))
