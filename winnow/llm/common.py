@@ -96,33 +96,36 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(open_parts)
 
 
+#: Links that one task of a round takes.
+LINKS_PER_TASK = 100_000
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of edges(a, b): one row (id, component_id) per id that occurs.
 
-    component_id is the smallest id that links reach. Alternating large-star and
-    small-star steps: every round hangs each id on the smallest id among its neighbours
-    first for its larger, then for its smaller neighbours, until nothing changes; the
-    number of rounds grows with the logarithm of the longest chain. No round gathers the
-    neighbours of an id, so a centre with very many links is a count of rows in a join
-    which adaptive execution splits, not one large group. Rounds are cut with a table.
+    component_id is the smallest id that links reach. Links point from the larger to the smaller
+    id, and rounds of two steps change them until nothing changes: each link's smaller end
+    gives way to its own smallest neighbour (large star), then all smaller neighbours of an id
+    are hung on the smallest of them (small star). The number of rounds grows with the logarithm of
+    the longest chain. No round gathers the neighbours of an id: minima are summed up before they
+    are shuffled, and an id with very many links is a skewed join that adaptive execution splits.
+    Rounds are cut with a table, and have as many tasks as their links need.
     """
-    now = cut(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        name,
-    )
+    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    least = edges.sparkSession.sparkContext.defaultParallelism
     seen = None
     while True:
         mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         mark = (mark["n"], mark["h"])
         if mark == seen or not mark[0]:
             break
-        seen = mark
-        both = now.select("a", "b").union(now.select(F.col("b"), F.col("a")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
-        large = both.join(low, both.a == low.k).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut(large.where("a <> b").distinct(), name)
-        low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
-        small = large.join(low, large.a == low.k).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = cut(small.where("a <> b").union(low.select("k", "m")).distinct(), name)
+        seen, before = mark, now
+        tasks = max(least, -(-mark[0] // LINKS_PER_TASK))
+        low = now.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks).select(F.col("a").alias("k"), "m")
+        large = now.join(low, now.b == low.k, "left").select("a", F.coalesce("m", "b").alias("b")).coalesce(tasks)
+        low = large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks).select(F.col("a").alias("k"), "m")
+        small = large.join(low, large.a == low.k).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks)
+        now = cut(small.union(low).distinct().coalesce(tasks), name)
+        discard(before)
     members = now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id"))
     return members.union(now.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
