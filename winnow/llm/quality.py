@@ -109,7 +109,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most: int = FI
         n = max(1, counts.get(q, 0))
         # somewhat more ids than needed, as not every labelled row is in docs or short enough
         ids = marked.where(F.col("quality") == 1 if q else F.col("quality") != 1).where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < 2 * rows).select("doc_id")
-        found = texts.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "text").limit(rows)
+        # at most so many ids: small enough to broadcast, whatever the table's size
+        found = texts.join(F.broadcast(ids.limit(3 * rows)), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "text").limit(rows)
         taken[q] = [r["text"] for r in found.select("text").collect()]
     bad, good = taken[0], taken[1]
     model = Model(dictionary(good[::DICTIONARY_SHARE]), dictionary(bad[::DICTIONARY_SHARE]), np.zeros(11), np.ones(11), np.zeros(12))
