@@ -110,6 +110,14 @@ def test_stream_is_the_batch(spark, docs, tmp_path):
     assert got == {(r.record_id, r.reason, r.score) for r in streaming.score_stream(docs, B.DOC_CATALOG).collect()}
 
 
+def test_inspection_of_dropped(docs):
+    t = triage(docs, B.DOC_CATALOG, threshold=20)
+    low, early, every = (prefilter.inspect(t.dropped, c, 5) for c in ("low-score", "prefilter", "all"))
+    assert [r.filter_reason for r in low[0].collect()] == ["score_below_threshold (20.0)"] and low[1].count() == 5
+    counts = [r.n for r in every[0].collect()]
+    assert counts == sorted(counts, reverse=True) and sum(counts) == t.dropped.count() and not early[0].isEmpty()
+
+
 def test_increment(spark, docs, tmp_path):
     path = str(tmp_path / "scores")
     first = streaming.score_increment(docs.limit(50), path, B.DOC_CATALOG, "f1")

@@ -66,3 +66,9 @@ def by_reason_class(rows: DataFrame, which: str = "all") -> DataFrame:
     """Dropped rows of a class: all, prefilter or low-score."""
     low = F.col("filter_reason").startswith("score_below_threshold")
     return rows if which == "all" else rows.where(low if which == "low-score" else ~low)
+
+
+def inspect(rows: DataFrame, which: str = "all", n: int = 50) -> tuple[DataFrame, DataFrame]:
+    """Reasons of a class by count, descending, and a sample of its rows, in log order."""
+    some = by_reason_class(rows, which)
+    return reason_counts(some).orderBy(F.desc("n"), "filter_reason"), some.orderBy("seq").limit(n)

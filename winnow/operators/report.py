@@ -19,6 +19,11 @@ def profile_summary(scored: DataFrame, profiles: DataFrame) -> DataFrame:
     return profiles.select("profile").join(by, "profile", "left").select("profile", F.coalesce("n", zero).alias("n"), F.coalesce("total_score", zero).alias("total_score"), F.coalesce("avg_score", F.lit(0.0)).alias("avg_score"))
 
 
+def by_count(summary: DataFrame) -> DataFrame:
+    """A summary in the order of a report: most records first, ties by profile."""
+    return summary.orderBy(F.desc("n"), "profile")
+
+
 def coverage_metrics(scored: DataFrame) -> DataFrame:
     """One row: records without a matched profile, records with product evidence."""
     return scored.agg(F.count_if(F.size("matched_profiles") == 0).alias("unmatched"), F.count_if(F.size("product_evidence") > 0).alias("with_evidence"))
@@ -141,7 +146,7 @@ def report(scored: DataFrame, dropped: DataFrame, profiles: DataFrame, names: li
     return {
         "relevant": commit_rows(top),
         "filtered": dropped,
-        "summary": profile_summary(top, profiles),
+        "summary": by_count(profile_summary(top, profiles)),
         "matrix": profile_matrix_wide(top, names),
         "matrix_long": profile_matrix_long(top),
         "details": with_shards(top),
