@@ -55,5 +55,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_itq_hamming, op2_pfair_mix, op3_induced_suffixes, op4_chat_tokens, op5_iblt_fingerprints, op6_viterbi_counts, op7_lsh_forest, op8_slot_shards, op9_zstd_quality, op10_bpe_tree)}
 
 
+_REACH = """reach(x, y) AS (SELECT id, id FROM ids UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x), c AS (SELECT x AS id, min(y) AS component_id FROM reach GROUP BY x)"""
+
+_VECTORS = f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+ids AS (SELECT vec_id AS id FROM embeddings), {_REACH},
+n AS (SELECT x AS id, count(*) AS n FROM l GROUP BY x)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept FROM c LEFT JOIN n USING (id)"""
+
+_DOCUMENTS = rf"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id AS id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+i AS (SELECT a.id AS x, b.id AS y, count(*) AS i FROM s a JOIN s b ON a.s = b.s AND a.id < b.id GROUP BY 1, 2),
+p AS (SELECT x, y FROM i JOIN n a ON a.id = x JOIN n b ON b.id = y WHERE 100 * i >= 75 * (a.n + b.n - i)),
+l AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+ids AS (SELECT doc_id AS id FROM documents), {_REACH}
+SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept FROM c LEFT JOIN n USING (id)"""
+
+_REPEATS = """WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM b)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+g AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS new FROM w JOIN f USING (s) WHERE least < doc_id),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g) GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM r),
+m AS (SELECT doc_id, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS kept FROM k JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM b LEFT JOIN m USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The whole of three operators in plain SQL; digests of tokens, sketches and compressed sizes are beyond it."""
+    return {"op1_itq_hamming": _VECTORS, "op3_induced_suffixes": _REPEATS, "op7_lsh_forest": _DOCUMENTS}
