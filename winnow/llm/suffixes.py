@@ -31,15 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import cut, discard, partitions, release
+from winnow.llm.common import cut, discard, partitions, release, runs
 from winnow.llm.shingles import mix, pieces
 
 LENGTH, GRAM = 50, 16
 SPAN = LENGTH - GRAM
 #: Sampled suffixes a shard of the first shuffle is meant to hold.
 SHARD = 1_000_000
-#: Tuples that are induced together.
-QUEUE = 100_000
+#: Tuples that are induced together, and those of one gram at most: strings of more common grams are counted one by one.
+QUEUE, HEAVY = 100_000, 300_000
 #: Bytes of texts whose samples are looked for together.
 CHUNK = 1 << 20
 
@@ -155,7 +155,11 @@ def _sample_row(shard: int, ids: np.ndarray, own: np.ndarray, h: np.ndarray, t:
 
 
 def shared_samples(rows: DataFrame) -> DataFrame:
-    """doc_id, own, nths: those sampled positions of a text whose gram another text has, too; several rows a text."""
+    """doc_id, own, nths: those sampled positions of a text whose gram another text has, too; a row a text.
+
+    A shard answers with a row per bucket of texts, and the answers are put together by bucket.
+    """
+    n = partitions(rows.sparkSession)
 
     def flush(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         h, ids, own, k = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -167,16 +171,17 @@ def shared_samples(rows: DataFrame) -> DataFrame:
         many = np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts)
         sizes = np.diff(np.append(starts, len(h)))
         keep = np.repeat(many, sizes) & (k >= 0)
-        yield from emit(ids[keep], own[keep], k[keep])
-
-    def emit(ids: np.ndarray, own: np.ndarray, k: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(ids):
-            return
-        order = np.lexsort((own, ids))
-        ids, own, k = ids[order], own[order], k[order].astype("<u4")
-        starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (own[1:] != own[:-1])))
-        cuts = np.append(starts, len(ids)).tolist()
-        yield pa.record_batch({"doc_id": ids[starts], "own": own[starts], "nths": pa.array([k[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
+        yield from answer(ids[keep], own[keep], k[keep])
+
+    def answer(ids: np.ndarray, own: np.ndarray, k: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bucket = (mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int64)
+        order = np.lexsort((own, ids, bucket))
+        ids, own, k, bucket = ids[order], own[order], k[order].astype("<u4"), bucket[order]
+        for part in np.split(np.arange(len(ids)), np.flatnonzero(bucket[1:] != bucket[:-1]) + 1):
+            if len(part):
+                first, counts = _texts(ids[part], own[part])
+                packed = {"ids": ids[part][first].astype("<i8"), "own": own[part][first].astype("<i8"), "counts": counts.astype("<u4"), "nths": k[part]}
+                yield pa.record_batch({"bucket": pa.array([bucket[part[0]]], pa.int32())} | {c: pa.array([v.tobytes()], pa.binary()) for c, v in packed.items()})
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts = None, []
@@ -185,7 +190,7 @@ def shared_samples(rows: DataFrame) -> DataFrame:
                 ids, own = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["own"], "<i8")
                 h, t, k = _numbers(r["hashes"], 6, "<u8"), _numbers(r["owners"], 4, "<u4").astype(np.int64), _numbers(r["nths"], 4, "<u4").astype(np.int64)
                 if r["shard"] < 0:
-                    yield from emit(ids[t], own[t], k)
+                    yield from answer(ids[t], own[t], k)
                     continue
                 if r["shard"] != shard and parts:
                     yield from flush(parts)
@@ -205,24 +210,42 @@ def shared_samples(rows: DataFrame) -> DataFrame:
         if parts:
             yield from flush(parts)
 
-    n = partitions(rows.sparkSession)
-    return rows.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(step, "doc_id long, own long, nths binary")
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, ["bucket"]):
+            ids, own, counts, k = (np.frombuffer(b"".join(run.column(c).to_pylist()), kind) for c, kind in (("ids", "<i8"), ("own", "<i8"), ("counts", "<u4"), ("nths", "<u4")))
+            ids, own = np.repeat(ids, counts), np.repeat(own, counts)
+            order = np.lexsort((own, ids))
+            ids, own, k = ids[order], own[order], k[order]
+            first, counts = _texts(ids, own)
+            for a in range(0, len(first), 2000):
+                some = slice(a, a + 2000)
+                parts = [k[b : b + c].tobytes() for b, c in zip(first[some].tolist(), counts[some].tolist(), strict=True)]
+                yield pa.record_batch({"doc_id": ids[first[some]], "own": own[first[some]], "nths": pa.array(parts, pa.binary())})
+
+    answers = rows.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(step, "bucket int, ids binary, own binary, counts binary, nths binary")
+    return answers.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "doc_id long, own long, nths binary")
+
+
+def _texts(ids: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text starts in sorted (id, own) pairs, and how many it has."""
+    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (own[1:] != own[:-1]))) if len(ids) else np.empty(0, np.int64)
+    return first, np.diff(np.append(first, len(ids)))
 
 
 def tuples(texts: DataFrame) -> DataFrame:
-    """From texts with the numbers of their shared samples: doc_id, own, pos, gram, low, high, context.
+    """From texts with nths, the numbers of their shared samples: doc_id, own, pos, gram, low, high, context.
 
     context: from `high` bytes before the sample to LENGTH - low behind its start.
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, owns, found = batch.column("doc_id").to_numpy(), batch.column("own").to_numpy(), batch.column("found").to_pylist()
+            ids, owns, found = batch.column("doc_id").to_numpy(), batch.column("own").to_numpy(), batch.column("nths").to_pylist()
             texts = batch.column("text").to_pylist()
             for s, e in pieces(texts, 2 * CHUNK):
                 raw = [t.encode() for t in texts[s:e]]
                 x = Samples(raw)
-                nths = [np.unique(np.frombuffer(b"".join(f), "<u4")) for f in found[s:e]]
+                nths = [np.unique(np.frombuffer(f, "<u4")) for f in found[s:e]]
                 at = np.concatenate([x.start[i] + k for i, k in enumerate(nths)]).astype(np.int64)
                 t, pos, low, high = x.text[at], x.pos[at], x.low[at], x.high[at]
                 context = [raw[i][a:b] for i, a, b in zip(t.tolist(), (pos - high).tolist(), (pos - low + LENGTH).tolist(), strict=True)]
@@ -287,7 +310,10 @@ def induce(gram: np.ndarray, low: np.ndarray, high: np.ndarray, context: list[by
 
 
 def noted(distinct: DataFrame) -> DataFrame:
-    """For merged tuples: gram, tuple_id, marks. marks: (first step, last step, smallest doc_id) triples."""
+    """For merged tuples: gram, tuple_id, marks. marks: (first step, last step, smallest doc_id) triples.
+
+    A gram with more than HEAVY tuples gets one row without marks instead: see counted.
+    """
 
     def emit(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         gram, ids = rows.column("gram").to_numpy(), rows.column("tuple_id").to_numpy()
@@ -310,18 +336,26 @@ def noted(distinct: DataFrame) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        count = 0
+        count, heavy = 0, None
         for batch in batches:
+            if heavy is not None:
+                batch = batch.slice(int(np.searchsorted(batch.column("gram").to_numpy(), heavy, side="right")))
+                if not batch.num_rows:
+                    continue
+                heavy = None
             held.append(batch)
             count += batch.num_rows
             if count >= QUEUE:
                 rows = pa.Table.from_batches(held)
                 gram = rows.column("gram").to_numpy()
-                end = np.searchsorted(gram, gram[-1])  # the last gram may go on
+                end = int(np.searchsorted(gram, gram[-1]))  # the last gram may go on
                 if end:
                     yield from emit(rows.slice(0, end))
                     held = rows.slice(end).to_batches()
                     count = len(gram) - end
+                if count > HEAVY:
+                    heavy, held, count = gram[-1], [], 0
+                    yield pa.record_batch({"gram": gram[-1:], "tuple_id": np.zeros(1, np.int64), "marks": pa.array([None], pa.binary())})
         if held and count:
             yield from emit(pa.Table.from_batches(held))
 
@@ -331,6 +365,16 @@ def noted(distinct: DataFrame) -> DataFrame:
     return ordered.mapInArrow(step, "gram long, tuple_id long, marks binary")
 
 
+def counted(occurrences: DataFrame, heavy: DataFrame) -> DataFrame:
+    """doc_id, own, first, last of the strings to remove whose sample has one of the heavy grams: each string by itself, with its smallest doc_id."""
+    some = occurrences.join(heavy, "gram", "left_semi").select("doc_id", "own", "pos", "high", "context", F.explode(F.sequence(F.col("low").cast("int"), F.col("high").cast("int"))).alias("back"))
+    string = F.expr(f"substring(context, high - back + 1, {LENGTH})")
+    some = some.select("doc_id", "own", (F.col("pos") - F.col("back")).cast("long").alias("first"), F.xxhash64(string).alias("s1"), F.xxhash64(F.lit(1), string).alias("s2"))
+    least = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"))
+    gone = some.join(least, ["s1", "s2"]).where("least < doc_id")
+    return gone.select("doc_id", "own", "first", (F.col("first") + LENGTH).alias("last"))
+
+
 def spans(hits: DataFrame) -> DataFrame:
     """doc_id, own, starts, ends of the removed strings, merged per tuple, from occurrences with marks."""
 
@@ -385,15 +429,19 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     release(spark)
     # copies of a text add nothing to its smallest doc_id
     originals = marked.where("not copy and doc_id is not null").select("doc_id", "own").distinct()
-    mine = found.join(originals, ["doc_id", "own"], "left_semi").groupBy("doc_id", "own").agg(F.collect_list("nths").alias("found"))
+    mine = found.join(originals, ["doc_id", "own"], "left_semi")
     table = cut(tuples(rows.join(mine, ["doc_id", "own"])), "tuples")
     release(spark)
     occurrences = table.withColumn("tuple_id", F.xxhash64("context", "low", "high"))
     distinct = occurrences.groupBy("gram", "tuple_id", "low", "high", "context").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     marks = cut(noted(distinct), "marks")
     release(spark)
-    hits = occurrences.select("doc_id", "own", "pos", "gram", "tuple_id").join(marks, ["gram", "tuple_id"])
-    gone = cut(spans(hits).groupBy("doc_id", "own").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "spans")
+    hits = occurrences.select("doc_id", "own", "pos", "gram", "tuple_id").join(marks.where("marks is not null"), ["gram", "tuple_id"])
+    strings = spans(hits)
+    heavy = marks.where("marks is null").select("gram").distinct()
+    if not heavy.isEmpty():
+        strings = strings.union(counted(occurrences, heavy))
+    gone = cut(strings.groupBy("doc_id", "own").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "spans")
     discard(base, found, table, marks)
     release(spark)
     return marked, gone
