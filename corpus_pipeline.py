@@ -30,7 +30,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: ids of every text, and the digests of the ids and of what they decode to."""
-    return bpe.with_digests(bpe.encode(docs))
+    return bpe.encode(docs, digests=True)
 
 
 STAGES = [

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -24,7 +25,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import partitions, runs
+from winnow.llm.common import partitions, runs, slices
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,16 +42,25 @@ class Codec:
 
     def __init__(self, model: str = MODEL, ranks: str = RANKS):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(model)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.model, self._tokenizer = model, None
+        with open(model, encoding="utf-8") as f:
+            self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         with open(ranks, "rb") as f:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens=self.special)
 
+    @property
+    def tokenizer(self):
+        """The library's own tokenizer, loaded when the first text needs it."""
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self.model)
+            self._tokenizer.no_truncation()
+            self._tokenizer.no_padding()
+        return self._tokenizer
+
     def encode(self, text: str) -> list[int]:
         if SETTLED.search(text):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -110,9 +120,25 @@ def packed(ids: list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
-def encode(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = RANKS) -> DataFrame:
+_COLUMNS = "doc_id long, n_tokens long, ids binary"
+_DIGESTS = ", ids_sha256 string, decoded_sha256 string"
+
+
+def _rows(c: Codec, doc_id: pa.Array, ids: list[list[int]], digests: bool) -> pa.RecordBatch:
+    """Encoded rows; with digests of the ids and of the text that they decode to."""
+    raw = list(map(packed, ids))
+    out = {"doc_id": doc_id, "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(raw, pa.binary())}
+    if digests:
+        out["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string())
+        out["decoded_sha256"] = pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string())
+    return pa.record_batch(out)
+
+
+def encode(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = RANKS, digests: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids): the ids of every text, as little-endian unsigned 32-bit integers.
 
+    digests: ids_sha256 and decoded_sha256 as well, of the ids and of the text that they decode to.
+
     A null or empty text has no ids. Repeated rows and a null doc_id are rows like others,
     extra columns are ignored, an empty table gives no rows.
     """
@@ -122,16 +148,11 @@ def encode(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = R
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, ranks)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [c.encode(t) for t in part.column("text").to_pylist()]
-                yield pa.record_batch(
-                    {"doc_id": part.column("doc_id"), "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(map(packed, ids), pa.binary())}
-                )
+        for part in slices(batches, 256):
+            yield _rows(c, part.column("doc_id"), [c.encode(t) for t in part.column("text").to_pylist()], digests)
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 16):
             for row in batch.to_pylist():
                 pieces = cuts(row["text"], leaf)
                 for at in range(0, len(pieces), 64):
@@ -148,23 +169,21 @@ def encode(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = R
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, ranks)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 16):
-                part = batch.slice(at, 16)
-                ids = [packed(c.encode(t)) for t in part.column("text").to_pylist()]
-                yield pa.record_batch({k: part.column(k) for k in ("doc_id", "copy", "piece")} | {"ids": pa.array(ids, pa.binary())})
+        for part in slices(batches, 16):
+            ids = [packed(c.encode(t)) for t in part.column("text").to_pylist()]
+            yield pa.record_batch({k: part.column(k) for k in ("doc_id", "copy", "piece")} | {"ids": pa.array(ids, pa.binary())})
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, ranks)
         for run in runs(batches, ["doc_id", "copy"]):
             ids = c.concatenate([np.frombuffer(x, "<u4").tolist() for x in run.column("ids").to_pylist()])
-            yield pa.record_batch({"doc_id": run.column("doc_id").combine_chunks()[:1], "n_tokens": pa.array([len(ids)], pa.int64()), "ids": pa.array([packed(ids)], pa.binary())})
+            yield _rows(c, run.column("doc_id").combine_chunks()[:1], [ids], digests)
 
     n = partitions(docs.sparkSession)
     pieces = long.withColumn("copy", F.monotonically_increasing_id()).mapInArrow(leaves, "doc_id long, copy long, piece long, text string")
     pieces = pieces.repartition(n, "doc_id", "copy", "piece").mapInArrow(parts, "doc_id long, copy long, piece long, ids binary")
     pieces = pieces.repartition(n, "doc_id", "copy").sortWithinPartitions("doc_id", "copy", "piece")
-    out = "doc_id long, n_tokens long, ids binary"
+    out = _COLUMNS + _DIGESTS * digests
     return short.mapInArrow(whole, out).union(pieces.mapInArrow(joined, out))
 
 
@@ -173,36 +192,13 @@ def decode(encoded: DataFrame, model: str = MODEL, ranks: str = RANKS) -> DataFr
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, ranks)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out = [c.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in part.column("ids").to_pylist()]
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "text": pa.array(out, pa.string())})
+        for part in slices(batches, 256):
+            out = [c.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in part.column("ids").to_pylist()]
+            yield pa.record_batch({"doc_id": part.column("doc_id"), "text": pa.array(out, pa.string())})
 
     return encoded.select("doc_id", "ids").mapInArrow(texts, "doc_id long, text string")
 
 
-def with_digests(encoded: DataFrame, model: str = MODEL, ranks: str = RANKS) -> DataFrame:
-    """The rows of encode() with ids_sha256 and decoded_sha256: of the ids, and of the text they decode to."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(model, ranks)
-        for batch in batches:
-            raw = batch.column("ids").to_pylist()
-            back = [hashlib.sha256(c.decode(np.frombuffer(x, "<u4").tolist()).encode()).hexdigest() for x in raw]
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_tokens": batch.column("n_tokens"),
-                    "ids": batch.column("ids"),
-                    "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string()),
-                    "decoded_sha256": pa.array(back, pa.string()),
-                }
-            )
-
-    return encoded.mapInArrow(hashed, "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string")
-
-
 def digests(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = RANKS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encoded, then decoded from the ids."""
-    return with_digests(encode(docs, leaf, model, ranks), model, ranks).drop("ids")
+    return encode(docs, leaf, model, ranks, digests=True).drop("ids")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import components, cut, discard, partitions, release, runs
+from winnow.llm.common import components, cut, discard, partitions, release, runs, slices
 from winnow.llm.shingles import mix, pieces, shingle_sets
 
 #: Links are for a similarity of NUMERATOR/100 or more.
@@ -86,7 +86,7 @@ def features(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_a and set_b (a 128-bit digest of the set), keys (per tree), signature."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             for s, e in pieces(texts):
                 hashes, sizes = shingle_sets(texts[s:e])
@@ -113,7 +113,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, shingles."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             for s, e in pieces(texts):
                 hashes, sizes = shingle_sets(texts[s:e])
@@ -138,7 +138,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs(a, b) whose full sets are similar enough."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for x, y in zip(batch.column("set_of_a").to_pylist(), batch.column("set_of_b").to_pylist(), strict=True):
                 keep.append(similar(unpacked(x), unpacked(y)))

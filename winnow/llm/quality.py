@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnow.llm.common import slices
+
 #: The classifier is fitted on at most so many labelled texts of each class, of at most so many bytes each.
 FIT_ROWS, FIT_BYTES = 4000, 32_768
 #: One in so many of them goes into the dictionaries, the others fit the curve.
@@ -139,11 +141,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = model.compressors()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                p = model.score(measured(part.column("text").to_pylist(), compressors))
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "score": p, "predicted": pa.array((p >= 0.5).astype(np.int32))})
+        for part in slices(batches):
+            p = model.score(measured(part.column("text").to_pylist(), compressors))
+            yield pa.record_batch({"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "score": p, "predicted": pa.array((p >= 0.5).astype(np.int32))})
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     rows = docs.select("doc_id", held.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
@@ -155,9 +155,8 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = model.compressors()
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            p = np.concatenate([model.score(measured(texts[i : i + 512], compressors)) for i in range(0, len(texts), 512)] or [np.empty(0)])
-            yield batch.filter(pa.array(p >= 0.5))
+        for part in slices(batches):
+            p = model.score(measured([t or "" for t in part.column("text").to_pylist()], compressors))
+            yield part.filter(pa.array(p >= 0.5))
 
     return docs.mapInArrow(step, docs.schema)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import cut, discard, partitions, release, runs
+from winnow.llm.common import cut, discard, partitions, release, runs, slices
 from winnow.llm.shingles import mix, pieces
 
 LENGTH, GRAM = 50, 16
@@ -39,7 +39,7 @@ SPAN = LENGTH - GRAM
 #: Sampled suffixes a shard of the first shuffle is meant to hold.
 SHARD = 1_000_000
 #: Tuples that are induced together, and those of one gram at most: strings of more common grams are counted one by one.
-QUEUE, HEAVY = 100_000, 300_000
+QUEUE, HEAVY = 50_000, 300_000
 #: Bytes of texts whose samples are looked for together.
 CHUNK = 1 << 20
 
@@ -117,9 +117,9 @@ def sampled(docs: DataFrame, shards: int) -> DataFrame:
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, owns, texts = batch.column("doc_id").to_numpy(), batch.column("own").to_numpy(), batch.column("text").to_pylist()
-            for s, e in pieces(texts, 2 * CHUNK):
+            for s, e in pieces(texts, CHUNK):
                 raw, own = [t.encode() for t in texts[s:e]], owns[s:e]
                 x = Samples(raw)
                 order = np.argsort(x.hash)
@@ -185,7 +185,7 @@ def shared_samples(rows: DataFrame) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts = None, []
-        for batch in batches:
+        for batch in slices(batches):
             for r in batch.to_pylist():
                 ids, own = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["own"], "<i8")
                 h, t, k = _numbers(r["hashes"], 6, "<u8"), _numbers(r["owners"], 4, "<u4").astype(np.int64), _numbers(r["nths"], 4, "<u4").astype(np.int64)
@@ -239,10 +239,10 @@ def tuples(texts: DataFrame) -> DataFrame:
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, owns, found = batch.column("doc_id").to_numpy(), batch.column("own").to_numpy(), batch.column("nths").to_pylist()
             texts = batch.column("text").to_pylist()
-            for s, e in pieces(texts, 2 * CHUNK):
+            for s, e in pieces(texts, CHUNK):
                 raw = [t.encode() for t in texts[s:e]]
                 x = Samples(raw)
                 nths = [np.unique(np.frombuffer(f, "<u4")) for f in found[s:e]]
@@ -462,7 +462,7 @@ def digests(docs: DataFrame) -> DataFrame:
     base, gone = removed_spans(docs)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             runs = [_runs(r) for r in batch.column("ranges").to_pylist()]
             shas = [hashlib.sha256(remaining(t.encode(), r)).hexdigest() for t, r in zip(batch.column("text").to_pylist(), runs, strict=True)]
             yield pa.record_batch(
@@ -502,7 +502,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     joined = docs.withColumn("_own", F.xxhash64(F.coalesce("text", F.lit("")))).join(known, ["doc_id", "_own"], "left").select(*columns, "_ranges")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t if not r else remaining(t.encode(), _runs(r)).decode(errors="ignore") for t, r in zip(batch.column("text").to_pylist(), batch.column("_ranges").to_pylist(), strict=True)]
             new = {"text": pa.array(texts, pa.string())}
             if "n_chars" in columns:

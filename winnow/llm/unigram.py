@@ -24,6 +24,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnow.llm.common import slices
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -137,7 +139,7 @@ def token_counts(docs: DataFrame, path: str = PIECES) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_chars": pa.array(map(len, texts), pa.int64()), "n_tokens": pa.array(np.fromiter(map(c.text, texts), np.int64, len(texts)))})
 

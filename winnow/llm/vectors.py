@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import components, cut, discard, partitions, runs
+from winnow.llm.common import components, cut, discard, partitions, runs, slices
 
 LEAST_COSINE = 0.98
 #: The rotations are fitted on at most so many vectors, those with the smallest hash of vec_id.
@@ -133,7 +133,7 @@ def near_vectors(vectors: DataFrame, cosine: float = LEAST_COSINE, fit_rows: int
     model = fit(distinct.select(F.col("rep").alias("vec_id"), "embedding"), size["n"], size["labels"], cosine, fit_rows)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 4096):
             lists = batch.column("embedding").to_pylist()
             length = np.array([len(v) for v in lists])
             for d in np.unique(length):
