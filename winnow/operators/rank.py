@@ -32,7 +32,8 @@ def ranked(scored: DataFrame, width: int = WIDTH) -> DataFrame:
     Each window ranks the records of one score and one range of seq; what stands before it is a
     running sum over the counts of such groups, a table as small as records / width.
     """
-    rows = scored.withColumn("_range", F.floor(F.col("seq") / width))
+    # a shuffle between scores and ranks: both sides of the join below read it, so each score is computed once
+    rows = scored.withColumn("_range", F.floor(F.col("seq") / width)).repartition("seq")
     counts = rows.groupBy("score", "_range").agg(F.count("*").alias("_n"))
     order = Window.orderBy(F.desc("score"), F.asc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0))).drop("_n")
