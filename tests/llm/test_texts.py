@@ -1,6 +1,7 @@
 """Operators 2, 4, 5, 6, 8, 9 and 10: round trips, brute force and held-out accuracy."""
 
 import collections
+import fractions
 import hashlib
 import random
 import zlib
@@ -153,6 +154,18 @@ def test_pfair():
             assert all(abs(bisect_left(at, t) - t * slots[s] / period) < 1 for t in range(period + 1))
 
 
+@pytest.mark.parametrize("weights", [{"hot": 10.0} | {str(i): 20 / 19 for i in range(19)}, {"hot": 1.0, "rare": 1e-4, "other": 0.3}])
+def test_mix_keeps_to_the_target_weights(weights):
+    blocks = {s: int(w / sum(weights.values()) * 20_000) for s, w in weights.items()}
+    plan, total = mixing.schedule(blocks, weights), sum(map(fractions.Fraction, weights.values()))
+    assert {s: len(p[1]) for s, p in plan.items()} == blocks
+    assert sorted(t for p in plan.values() for t in p[1]) == list(range(sum(blocks.values())))
+    for s, (phase, slot, _, _) in plan.items():
+        at, share = [t for f, t in zip(phase, slot, strict=True) if f == 0], fractions.Fraction(weights[s]) / total
+        # just before and after each of its blocks, the source is less than one block from its share
+        assert len(at) > 0 and all(abs(i - t * share) < 1 and abs(i + 1 - (t + 1) * share) < 1 for i, t in enumerate(at))
+
+
 def test_mix(docs, odd, empty):
     rows = mixing.mix(docs, block_rows=3, period=64).collect()
     assert len(rows) == docs.count() and len({r.position for r in rows}) == len(rows)

@@ -5,24 +5,29 @@ block i is released at slot floor(i / w) and due at slot ceil((i + 1) / w); in e
 released block that is due first goes next. No deadline is missed, and after any number of slots each
 source has had its share of them to within less than one block.
 
-Shares are whole numbers of slots in a period, so the schedule repeats: one period is scheduled
-on the driver, and each block's slot follows from a division. When a source runs out, the others' shares
-grow in proportion and a new phase begins. All rows of all sources stay in the mix, each once.
+Shares are those of the weights as they are, in whole-number arithmetic. The driver schedules
+every block (about a quarter of a byte for each row) and sends the slots to the rows in chunks. When a source runs out, the
+others' shares grow in proportion and a new phase begins. All rows of all sources stay in the mix, each once.
 """
 
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
-from dataclasses import dataclass
+import math
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.llm.common import cut, partitions
 
-PERIOD = 1024
+MOST_SOURCES = 1024
 BLOCK_ROWS = 16
+#: Blocks of a source whose slots go to the rows together.
+CHUNK = 4096
 #: Without target weights, shares follow the sources' rows to this power.
 TEMPER = 0.5
 #: Rows that are ranked together.
@@ -42,67 +47,77 @@ def quantised(weights: dict[str, float], period: int) -> dict[str, int]:
     return out
 
 
+def in_turn(shares: dict[str, int]) -> Iterator[tuple[str, int, int]]:
+    """(source, released, due) of each slot, without end: earliest deadline first among released blocks; ties by name."""
+    total = sum(shares.values())
+    done = dict.fromkeys(shares, 0)
+    waiting = [(0, s) for s in sorted(shares)]
+    ready: list[tuple[int, str, int]] = []
+    t = 0
+    while True:
+        while waiting and waiting[0][0] <= t:
+            released, s = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(done[s] + 1) * total // shares[s]), s, released))
+        due, s, released = heapq.heappop(ready)
+        yield s, released, due
+        done[s], t = done[s] + 1, t + 1
+        heapq.heappush(waiting, (done[s] * total // shares[s], s))
+
+
 def one_period(slots: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in a period: earliest deadline first among released blocks; ties by name."""
-    period = sum(slots.values())
+    """The slots of each source in a period of as many slots as they take together."""
     out: dict[str, list[int]] = {s: [] for s in slots}
-    waiting = [(0, s) for s in sorted(slots)]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str]] = []
-    for t in range(period):
-        while waiting and waiting[0][0] <= t:
-            s = heapq.heappop(waiting)[1]
-            heapq.heappush(ready, (-(-(len(out[s]) + 1) * period // slots[s]), s))
-        s = heapq.heappop(ready)[1]
+    for t, (s, _, _) in zip(range(sum(slots.values())), in_turn(slots)):
         out[s].append(t)
-        if (i := len(out[s])) < slots[s]:
-            heapq.heappush(waiting, (i * period // slots[s], s))
     return out
 
 
-@dataclass
-class Phase:
-    source: str
-    phase: int
-    first: int  # block
-    last: int  # block, not included
-    base: int  # slot
-    share: int
-    offsets: list[int]
+def whole(weights: dict[str, float]) -> dict[str, int]:
+    """The weights as whole numbers in exactly their proportion."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * scale) for s, w in exact.items()}
+
+
+#: phase, slot, released, due of each block of a source.
+Places = tuple[array, array, array, array]
 
 
-def schedule(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[Phase]:
-    """For each source and phase: which blocks, and the slots of a period that they take."""
-    left, done, base, out, phase = dict(blocks), dict.fromkeys(blocks, 0), 0, [], 0
-    left = {s: n for s, n in left.items() if n}
+def schedule(blocks: dict[str, int], weights: dict[str, float], period: int | None = None) -> dict[str, Places]:
+    """The places of all blocks of each source. With a period, shares are rounded to whole slots of it."""
+    out: dict[str, Places] = {s: (array("q"), array("q"), array("q"), array("q")) for s, n in blocks.items() if n}
+    left, base, phase = {s: n for s, n in blocks.items() if n}, 0, 0
     while left:
-        share = quantised({s: weights[s] for s in left}, period)
-        offsets = one_period(share)
-        length = min((n - 1) // share[s] * period + offsets[s][(n - 1) % share[s]] + 1 for s, n in left.items())
-        whole, rest = divmod(length, period)
-        for s in sorted(left):
-            n = whole * share[s] + bisect_left(offsets[s], rest)
-            out.append(Phase(s, phase, done[s], done[s] + n, base, share[s], offsets[s]))
-            left[s], done[s] = left[s] - n, done[s] + n
+        some = {s: weights[s] for s in left}
+        for s, released, due in in_turn(whole(some) if period is None else quantised(some, period)):
+            for column, x in zip(out[s], (phase, base, released, due), strict=True):
+                column.append(x)
+            base += 1
+            left[s] -= 1
+            if not left[s]:
+                break
         left = {s: n for s, n in left.items() if n}
-        base, phase = base + length, phase + 1
+        phase += 1
     return out
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None, seed: int = 0) -> DataFrame:
     """Each row's place in the mix.
 
     Returns doc_id, source, source_rank (in the seeded order), block, phase, slot, released,
     due (slots, counted from the phase's first), position (the order of the mix). weights: by source, as they are
-    or in proportion; a null source is one of its own. Rows that repeat a doc_id have places of
-    their own. Extra columns are ignored; an empty table gives no rows. The number of sources is
-    limited to the slots of a period, and with it what the driver schedules.
+    or in proportion; a null source is one of its own. period: shares are rounded to whole slots of such a period; without
+    it, they are the weights' own. Rows that repeat a doc_id have places of
+    their own. Extra columns are ignored; an empty table gives no rows. There
+    are at most MOST_SOURCES sources, as each that runs out is a phase of all others.
     """
     spark = docs.sparkSession
     none = "\0"
     rows = docs.select("doc_id", "source", F.coalesce("source", F.lit(none)).alias("src"), F.xxhash64(F.lit(seed), "doc_id").alias("h"))
     rows = cut(rows, "mix")
-    sizes = {r["src"]: r["n"] for r in rows.groupBy("src").agg(F.count("*").alias("n")).limit(period + 1).collect()}
+    sizes = {r["src"]: r["n"] for r in rows.groupBy("src").agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()}
+    if len(sizes) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     if weights is None:
         share = {s: n**TEMPER for s, n in sizes.items()}
     else:
@@ -120,20 +135,14 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
     ranked = rows.withColumn("at", F.row_number().over(Window.partitionBy("src", "range").orderBy(unsigned)))
     ranked = ranked.join(before, ["src", "range"]).withColumn("source_rank", F.col("before") + F.col("at") - 1)
     ranked = ranked.withColumn("block", F.floor(F.col("source_rank") / block_rows))
-    table = spark.createDataFrame([(p.source, p.phase, p.first, p.last, p.base, p.share, p.offsets) for p in plan], "src string, phase int, first long, last long, base long, share long, offsets array<int>")
-    placed = ranked.join(F.broadcast(table), "src").where("block >= first and block < last").withColumn("i", F.col("block") - F.col("first"))
-    slot = F.expr(f"base + (i div share) * {period} + offsets[cast(i % share as int)]")
-    return placed.withColumn("slot", slot).select(
-        "doc_id",
-        "source",
-        "source_rank",
-        "block",
-        "phase",
-        "slot",
-        F.expr(f"i * {period} div share").alias("released"),
-        F.expr(f"((i + 1) * {period} + share - 1) div share").alias("due"),
-        (F.col("slot") * block_rows + F.col("source_rank") % block_rows).alias("position"),
-    )
+    names = ["phase", "slot", "released", "due"]
+    chunks = [(s, at // CHUNK, *(c[at : at + CHUNK] for c in places)) for s, places in plan.items() for at in range(0, len(places[0]), CHUNK)]
+    columns = zip(["src", "chunk", *names], [pa.string(), pa.int64(), *[pa.list_(pa.int64())] * 4], strict=True)
+    table = spark.createDataFrame(pa.table({k: pa.array([c[i] for c in chunks], kind) for i, (k, kind) in enumerate(columns)}))
+    placed = ranked.withColumn("chunk", F.expr(f"block div {CHUNK}")).join(F.broadcast(table), ["src", "chunk"])
+    placed = placed.select("doc_id", "source", "source_rank", "block", *(F.expr(f"{k}[cast(block % {CHUNK} as int)]").alias(k) for k in names))
+    position = (F.col("slot") * block_rows + F.col("source_rank") % block_rows).alias("position")
+    return placed.select("doc_id", "source", "source_rank", "block", F.col("phase").cast("int").alias("phase"), "slot", "released", "due", position)
 
 
 def in_mix_order(docs: DataFrame, **options) -> DataFrame:
