@@ -29,8 +29,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: ids of every text, and the digests of the ids and of what they decode to."""
-    return bpe.encode(docs, digests=True)
+    """Operator 10: ids of every text, and the digests of the ids and of what they decode to; each row with its slot and position in the mix, and in that order.
+
+    Row order is lost between stages, so the places, which follow from the rows alone, are found again here.
+    """
+    return mixing.sorted_by_position(bpe.encode(mixing.placed(docs), digests=True, keep=("slot", "position")), docs.count())
 
 
 STAGES = [

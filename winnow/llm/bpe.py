@@ -120,36 +120,38 @@ def packed(ids: list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
-_COLUMNS = "doc_id long, n_tokens long, ids binary"
+_COLUMNS = ", n_tokens long, ids binary"
 _DIGESTS = ", ids_sha256 string, decoded_sha256 string"
 
 
-def _rows(c: Codec, doc_id: pa.Array, ids: list[list[int]], digests: bool) -> pa.RecordBatch:
-    """Encoded rows; with digests of the ids and of the text that they decode to."""
+def _rows(c: Codec, own: dict[str, pa.Array], ids: list[list[int]], digests: bool) -> pa.RecordBatch:
+    """Encoded rows with their own columns; with digests of the ids and of the text that they decode to."""
     raw = list(map(packed, ids))
-    out = {"doc_id": doc_id, "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(raw, pa.binary())}
+    out = own | {"n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(raw, pa.binary())}
     if digests:
         out["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string())
         out["decoded_sha256"] = pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string())
     return pa.record_batch(out)
 
 
-def encode(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = RANKS, digests: bool = False) -> DataFrame:
+def encode(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = RANKS, digests: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_tokens, ids): the ids of every text, as little-endian unsigned 32-bit integers.
 
     digests: ids_sha256 and decoded_sha256 as well, of the ids and of the text that they decode to.
+    keep: columns of whole numbers (long) that go with their rows, after doc_id.
 
     A null or empty text has no ids. Repeated rows and a null doc_id are rows like others,
     extra columns are ignored, an empty table gives no rows.
     """
-    text = F.coalesce("text", F.lit(""))
-    short = docs.select("doc_id", text.alias("text")).where(F.char_length("text") <= leaf)
-    long = docs.select("doc_id", text.alias("text")).where(F.char_length("text") > leaf)
+    own = ("doc_id", *keep)
+    texts = docs.select(*own, F.coalesce("text", F.lit("")).alias("text"))
+    short = texts.where(F.char_length("text") <= leaf)
+    long = texts.where(F.char_length("text") > leaf)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, ranks)
         for part in slices(batches, 256):
-            yield _rows(c, part.column("doc_id"), [c.encode(t) for t in part.column("text").to_pylist()], digests)
+            yield _rows(c, {k: part.column(k) for k in own}, [c.encode(t) for t in part.column("text").to_pylist()], digests)
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 16):
@@ -160,8 +162,7 @@ def encode(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = R
                     n = len(some)
                     yield pa.record_batch(
                         {
-                            "doc_id": pa.array([row["doc_id"]] * n, pa.int64()),
-                            "copy": pa.array([row["copy"]] * n, pa.int64()),
+                            **{k: pa.array([row[k]] * n, pa.int64()) for k in (*own, "copy")},
                             "piece": pa.array(range(at, at + n), pa.int64()),
                             "text": pa.array(some, pa.string()),
                         }
@@ -171,19 +172,20 @@ def encode(docs: DataFrame, leaf: int = LEAF, model: str = MODEL, ranks: str = R
         c = codec(model, ranks)
         for part in slices(batches, 16):
             ids = [packed(c.encode(t)) for t in part.column("text").to_pylist()]
-            yield pa.record_batch({k: part.column(k) for k in ("doc_id", "copy", "piece")} | {"ids": pa.array(ids, pa.binary())})
+            yield pa.record_batch({k: part.column(k) for k in (*own, "copy", "piece")} | {"ids": pa.array(ids, pa.binary())})
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, ranks)
         for run in runs(batches, ["doc_id", "copy"]):
             ids = c.concatenate([np.frombuffer(x, "<u4").tolist() for x in run.column("ids").to_pylist()])
-            yield _rows(c, run.column("doc_id").combine_chunks()[:1], [ids], digests)
+            yield _rows(c, {k: run.column(k).combine_chunks()[:1] for k in own}, [ids], digests)
 
     n = partitions(docs.sparkSession)
-    pieces = long.withColumn("copy", F.monotonically_increasing_id()).mapInArrow(leaves, "doc_id long, copy long, piece long, text string")
-    pieces = pieces.repartition(n, "doc_id", "copy", "piece").mapInArrow(parts, "doc_id long, copy long, piece long, ids binary")
+    kept = ", ".join(f"{k} long" for k in own)
+    pieces = long.withColumn("copy", F.monotonically_increasing_id()).mapInArrow(leaves, f"{kept}, copy long, piece long, text string")
+    pieces = pieces.repartition(n, "doc_id", "copy", "piece").mapInArrow(parts, f"{kept}, copy long, piece long, ids binary")
     pieces = pieces.repartition(n, "doc_id", "copy").sortWithinPartitions("doc_id", "copy", "piece")
-    out = _COLUMNS + _DIGESTS * digests
+    out = kept + _COLUMNS + _DIGESTS * digests
     return short.mapInArrow(whole, out).union(pieces.mapInArrow(joined, out))
 
 

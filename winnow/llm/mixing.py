@@ -150,3 +150,20 @@ def in_mix_order(docs: DataFrame, **options) -> DataFrame:
     places = mix(docs, **options).groupBy("doc_id", F.col("source").alias("_source")).agg(F.min("position").alias("_position"))
     joined = docs.join(places.withColumnRenamed("doc_id", "_doc_id"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")))
     return joined.repartitionByRange(partitions(docs.sparkSession), "_position").sortWithinPartitions("_position").select(*docs.columns)
+
+
+def placed(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, text, slot, position of every row: rows that repeat a doc_id have its places in order of their texts."""
+    keys = ["d", "s", "no_d", "no_s"]
+    known = [F.coalesce("doc_id", F.lit(0)).alias("d"), F.coalesce("source", F.lit("")).alias("s"), F.isnull("doc_id").alias("no_d"), F.isnull("source").alias("no_s")]
+    places = mix(docs, **options).select(*known, "slot", "position")
+    places = places.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("position")))
+    rows = docs.select("doc_id", "text", *known).withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("text")))
+    return rows.join(places, [*keys, "nth"]).select("doc_id", "text", "slot", "position")
+
+
+def sorted_by_position(rows: DataFrame, count: int) -> DataFrame:
+    """The rows, about `count` of them, in order of position. Positions leave few gaps, so ranges need no sample."""
+    n = partitions(rows.sparkSession)
+    range_ = F.expr(f"cast(least({n - 1}, position * {n} div {max(1, count)}) as int)")
+    return rows.repartitionById(n, range_).sortWithinPartitions("position")
