@@ -253,3 +253,20 @@ def test_quality(spark, odd, empty):
     # what is held out, and the other columns, change nothing
     changed = docs.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 3 = 1, 'x', text) text", "'q' lang", "'s' source")
     assert quality.fit(changed, labels).weights.tolist() == model.weights.tolist()
+
+
+def test_long_texts_keep_their_class(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = quality.fit(docs, labels)
+    found = docs.join(labels.select("doc_id", "quality"), "doc_id").where("crc32(cast(doc_id as string)) % 3 = 1 and length(text) > 300").orderBy("doc_id").collect()
+    for q in (0, 1):
+        texts = [r.text for r in found if r.quality == q][:30]
+        base = ["\n".join(texts[i : i + 6]) for i in range(0, len(texts), 6)]
+        own = model.score(quality.measured(base, model.compressors()))
+        long = model.score(quality.measured([t * (3_000_000 // len(t.encode()) + 1) for t in base] + ["\n".join(texts * 200)[:3_000_000]], model.compressors()))
+        assert ((own >= 0.5) == q).all() and ((long >= 0.5) == q).all()
+    # what stands late in a text counts like what stands early
+    bad, good = ("\n".join([r.text for r in found if r.quality == q] * 200)[:2_000_000] for q in (0, 1))
+    first, last = model.score(quality.measured([good + bad, bad + good], model.compressors()))
+    assert first == pytest.approx(last, abs=0.05)

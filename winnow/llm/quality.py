@@ -1,7 +1,7 @@
 """Quality by compression: dictionaries of good and of bad text, and which of them fits a text better.
 
 A zstandard dictionary is built from texts labelled good, another from texts labelled bad. A
-text is compressed with each and without any; the difference of the compressed sizes, divided
+text is compressed, piece by piece, with each and without any; the difference of the compressed sizes, divided
 by the text's size, tells which kind it resembles. A logistic curve, fitted on labelled texts
 that went into neither dictionary, turns the difference (and how far the text compresses at
 all, which marks mere repetition) into a probability.
@@ -27,6 +27,8 @@ DICTIONARY_SHARE = 4
 DICTIONARY_BYTES = 300_000
 #: The window holds a dictionary and what follows of a text; left to itself, it would depend on the sizes of both.
 LEVEL, WINDOW_LOG = 6, 20
+#: Bytes of a text that are compressed together, at most: of a longer text all pieces, which are of one size, meet the dictionaries.
+PIECE = 2048
 #: The size, in bytes, by which short texts are held to the middle.
 SOFTEN = 8.0
 
@@ -60,9 +62,13 @@ class Model:
 
 
 def measured(texts: list[str], compressors: list[zstandard.ZstdCompressor]) -> np.ndarray:
-    """Bytes of each text: raw, compressed without a dictionary, with the good one, with the bad one."""
-    raw = [t.encode() for t in texts]
-    return np.array([[len(b), *(len(c.compress(b)) for c in compressors)] for b in raw], float).reshape(-1, 1 + len(compressors))
+    """Bytes of each text: raw, compressed without a dictionary, with the good one, with the bad one; the average of its pieces."""
+    out = []
+    for b in (t.encode() for t in texts):
+        n = max(1, -(-len(b) // PIECE))
+        ends = [len(b) * i // n for i in range(n + 1)]
+        out.append([len(b) / n, *(sum(len(c.compress(b[i:j])) for i, j in zip(ends, ends[1:], strict=False)) / n for c in compressors)])
+    return np.array(out, float).reshape(-1, 1 + len(compressors))
 
 
 def features(sizes: np.ndarray) -> np.ndarray:
