@@ -122,6 +122,23 @@ def test_large_differences_peel():
     assert fingerprint.likeness(a, b) == pytest.approx([sets_likeness(x, y) for x, y in zip(a, b, strict=True)])
 
 
+def words_likeness(a, b):
+    x, y = collections.Counter(a.split()), collections.Counter(b.split())
+    return (x & y).total() / (x | y).total()
+
+
+def test_likeness_does_not_depend_on_length():
+    r = random.Random(8)
+    text = " ".join(r.choice(["rain", "went", "over", "a", "green", "hill", "cut", "some", "seven", "that", "house."]) + str(i)[-1:] * (i % 3 == 0) for i in range(400))
+    for n in (100, 256, 390, 590, 599, 1000, 1500):
+        for longer in (n + 4, n + 20):
+            a, b = text[:n], text[:longer]
+            assert fingerprint.likeness([a], [b])[0] > words_likeness(a, b) - 0.35 * (n < 300) - 0.2, (n, longer)
+    a, b = text[:700], text[800:900]
+    e = fingerprint.edited(a, b)
+    assert len(e) < 600 and fingerprint.likeness([a], [e])[0] == pytest.approx(words_likeness(a, e), abs=0.15)
+
+
 def test_counts(docs, odd, empty):
     vocab = unigram.vocabulary()
     t = Tokenizer(models.Unigram([("<unk>", min(vocab.values())), *vocab.items()], unk_id=0, byte_fallback=False))

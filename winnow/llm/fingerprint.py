@@ -7,9 +7,9 @@ hold one digest recovers those that only one has. Where the difference is too la
 table, peeling gets stuck, and both texts are sketched again with a table four times as large
 and other cells, until it succeeds.
 
-Paragraphs are lines, cut after sentence ends. Lines that stay long are cut at words that end
-in n or t, and then after every 256 code points; a text of fewer than 600 code points is
-taken word by word. The second, third, ... occurrence of a paragraph counts as another one.
+Paragraphs are lines, cut after sentence ends, after words that end in n or t and after the
+signs that do the same in texts without spaces, whatever the length of the line or text; between two
+cuts there are at most 256 code points. The second, third, ... occurrence of a paragraph counts as another one.
 """
 
 from __future__ import annotations
@@ -29,7 +29,9 @@ from winnow.llm.common import partitions
 
 #: Cells of a third of the first table; those of the next are four times as many.
 FIRST_CELLS = 8
-SHORT, LONG, PIECE = 600, 400, 256
+PIECE = 256
+#: A cut follows each of these; a space goes.
+ENDS = (". ", "! ", "? ", "n ", "t ", "。", "！", "？", "、", "，", "的", "の")
 #: Texts that are sketched together.
 BATCH = 128
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -44,15 +46,13 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 def paragraphs(text: str) -> list[str]:
-    if len(text) < SHORT:
-        return text.split()
-    lines = text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n").split("\n")
+    for end in ENDS:
+        text = text.replace(end, end.rstrip() + "\n")
     out = []
-    for line in lines:
-        if len(line) <= LONG:
-            out.append(line)
-            continue
-        for part in line.replace("n ", "n\n").replace("t ", "t\n").split("\n"):
+    for part in text.split("\n"):
+        if len(part) <= PIECE:
+            out.append(part)
+        else:
             out += [part[i : i + PIECE] for i in range(0, len(part), PIECE)]
     return [x for x in out if x]
 
