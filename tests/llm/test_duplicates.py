@@ -190,3 +190,20 @@ def test_near_vectors_odd(spark):
     assert got[3] == [(1, 3, True)] and sorted(got[13]) == [(0, 3, False), (1, 3, False)] and got[None][0][0] == 3
     assert vectors.near_vectors(df.limit(0)).collect() == []
     assert vectors.near_vectors(table(spark, "embeddings")).count() == 500
+
+
+@pytest.mark.parametrize(("common", "n"), [(0.0, 2000), (0.9, 4000), (0.99, 1000)])
+def test_links_around_a_common_component(spark, common, n):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(n, 64))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) * np.sqrt(1 - common**2)
+    x[:, 0] += common
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = r.normal(size=x.shape)
+    u -= (u * x).sum(1, keepdims=True) * x
+    y = 0.981 * x + np.sqrt(1 - 0.981**2) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    both = np.concatenate([x, y])
+    want = ((both / np.linalg.norm(both, axis=1, keepdims=True)) @ (both / np.linalg.norm(both, axis=1, keepdims=True)).T >= 0.98).sum() - len(both)
+    df = spark.createDataFrame([(i, 1, v) for i, v in enumerate(both.tolist())], "vec_id long, label int, embedding array<double>")
+    got = vectors.near_vectors(df).agg({"n_links": "sum"}).first()[0]
+    assert 0.998 * want < got <= want + 2

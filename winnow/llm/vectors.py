@@ -7,11 +7,12 @@ of its projections. The code is cut into tables of `width` bits; vectors of one
 a table's bits are candidates. They are compared by the cosine of the original vectors, in
 double precision.
 
-The angle between two vectors is about pi times the share of bits in which their codes differ,
+The angle of two vectors, seen from the mean, is about pi times the share of bits in which their codes differ,
 so a pair at the least cosine shares a table's bits with a probability p of about
 (1 - angle / pi) ** width, and there are as many tables as make 1 - (1 - p) ** tables at least
-the asked recall. The width grows with the logarithm of the number of vectors per label, so that a bucket
-keeps its size. A pair that shares several tables counts in the first of them alone, which both
+the asked recall. That angle is wider the nearer the vectors are to the mean, as where all share a common
+component; it is taken for the near ones of the sample. The width grows with the logarithm of the number of vectors per label, so that a bucket
+keeps its size, but no further than MOST_TABLES allow; with width 0 all vectors of a label meet. A pair that shares several tables counts in the first of them alone, which both
 codes tell.
 
 Buckets of any size are dealt over pairs of blocks; no pair leaves the task that finds it: a
@@ -37,6 +38,11 @@ LEAST_COSINE = 0.98
 FIT_ROWS = 20_000
 ITERATIONS = 40
 RECALL = 0.999
+#: The share of sampled vectors that may be nearer to the mean than the tables are meant for.
+NEARER = 0.01
+#: A number of dimensions with fewer vectors in the sample is coded without their mean.
+LEAST_FIT = 256
+MOST_TABLES = 64
 #: Distinct vectors that a bucket is meant to hold, and those of a bucket that are compared together at most.
 BUCKET, BLOCK = 24, 512
 
@@ -72,14 +78,31 @@ def rotated(x: np.ndarray, seed: int) -> np.ndarray:
 
 
 def fit_part(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mean = x.mean(0)
+    mean = x.mean(0) if len(x) >= LEAST_FIT else np.zeros(x.shape[1])
     values, axes = np.linalg.eigh(np.cov((x - mean).T).reshape(x.shape[1], x.shape[1]) if len(x) > 1 else np.eye(x.shape[1]))
     axes = axes[:, np.argsort(-values)]
     out, seed = [], 0
     while sum(p.shape[1] for p in out) < bits:
         out.append(axes @ rotated((x - mean) @ axes, seed))
         seed += 1
-    return mean, np.concatenate(out, axis=1)[:, :bits]
+    return mean, np.concatenate([np.zeros((x.shape[1], 0)), *out], axis=1)[:, :bits]
+
+
+def angle(x: np.ndarray, mean: np.ndarray, cosine: float) -> float:
+    """Of pairs of unit vectors at that cosine, as seen from the mean: for those among x that are near it."""
+    radius = np.quantile(np.linalg.norm(x - mean, axis=1), NEARER)
+    return math.acos(max(-1.0, 1 - (1 - cosine) / max(radius, 1e-9) ** 2)) if cosine < 1 else 0.0
+
+
+def tables_for(angle: float, width: int) -> tuple[int, int]:
+    """(width, tables): of that width, or less, where the asked recall takes too many tables."""
+    while width:
+        p = (1 - angle / math.pi) ** width
+        tables = 1 if p >= RECALL else math.ceil(math.log(1 - RECALL) / math.log1p(-p)) if p > 1e-9 else MOST_TABLES + 1
+        if tables <= MOST_TABLES:
+            return width, tables
+        width -= 1
+    return 0, 1
 
 
 def unit(vectors: list) -> np.ndarray:
@@ -90,13 +113,14 @@ def unit(vectors: list) -> np.ndarray:
 def fit(usable: DataFrame, n: int, labels: int, cosine: float, rows: int) -> Model:
     """A model from a sample of usable(vec_id, embedding)."""
     width = min(24, max(8, round(math.log2(max(2, n / max(1, labels) / BUCKET))) + 1))
-    p = (1 - math.acos(cosine) / math.pi) ** width
-    tables = math.ceil(math.log(1 - RECALL) / math.log(1 - p))
     sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).select("embedding").collect()
     by: dict[int, list] = {}
     for r in sample:
         by.setdefault(len(r["embedding"]), []).append(r["embedding"])
-    return Model(width, tables, {d: fit_part(unit(v), width * tables) for d, v in by.items()})
+    units = {d: unit(v) for d, v in by.items()}
+    centred = [angle(x, x.mean(0), cosine) for x in units.values() if len(x) >= LEAST_FIT]
+    width, tables = tables_for(max([math.acos(cosine), *centred]), width)
+    return Model(width, tables, {d: fit_part(x, width * tables) for d, x in units.items()})
 
 
 def _spread(minimum: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
