@@ -69,6 +69,73 @@ def test_coverage_needs_a_product(spark):
     assert off.isEmpty()
 
 
+def test_every_row_is_decided_by_itself(spark):
+    c = Catalog([("p", "", 100.0, 0)], [("p", "a", 80, 0)], [("a", "keywords_whitelist", 0, "x")])
+    r = spark.createDataFrame([("1", 0, "x", "", ["a/b.c"]), ("1", 1, "y", "", ["z/z.c"]), (None, 2, "y", "", ["a/b.c"]), (None, 3, "y", None, None), ("2", 4, "y", "", [])], "record_id string, seq long, subject string, body string, files array<string>")
+    paths = spark.createDataFrame([("CONFIG_A", "a/b.c")], "symbol string, path string")
+    sets = product.compiled_sets(paths, spark.createDataFrame([("CONFIG_A=y",)], "symbol string"), spark.createDataFrame([], "path string"), spark.createDataFrame([], "name string"))
+    got = [(x.seq, x.reason) for x in prefilter.decide(r, c, sets).orderBy("seq").collect()]
+    assert got == [(0, "keywords_whitelist"), (1, "no_kconfig_coverage"), (2, "default"), (3, "no_kconfig_coverage"), (4, "no_kconfig_coverage")]
+
+
+def scans_and_tests(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    plan = capsys.readouterr().out
+    return plan.count("FileScan parquet"), plan.count("RLIKE")
+
+
+def test_records_are_scored_once(spark, capsys):
+    """However much is asked of a score, texts are read once and each pattern is tested once for a record."""
+    from winnow.queries import queries
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    scans, tests = scans_and_tests(queries()["total_scores"](spark, SMALL), capsys)
+    assert scans == 1 and tests
+    for name, most in (("profile_scores", tests), ("rule_hits", tests), ("top_n", tests), ("profile_summary", tests), ("profile_matrix_long", tests), ("pattern_hits", 2 * tests), ("rule_trace", 3 * tests)):
+        n, m = scans_and_tests(queries()[name](spark, SMALL), capsys)
+        assert n == 1 and m <= most, name
+    assert scans_and_tests(queries()["ranked"](spark, SMALL), capsys)[1] == 0  # scores are written before
+
+
+def test_best_is_the_start_of_the_rank(docs):
+    s = score.scored(docs, B.DOC_CATALOG)
+    want = {(r.record_id, r.rank) for r in rank.top_n(rank.ranked(s), 15).collect()}
+    assert {(r.record_id, r.rank) for r in rank.best(s, 15).collect()} == want and len(want) == 15
+    assert rank.top_n(rank.ranked(s), 0).count() == s.count()
+    with pytest.raises(ValueError, match="top"):
+        rank.top_n(s, -1)
+
+
+def test_report_of_a_worked_example(spark):
+    """Averages to one decimal, halves to even; only profiles that are seen have a column; what is reported counts."""
+    rows = [("a" * 16, 0, "s0", 80, ["p"]), ("b" * 16, 1, "s1", 15, ["p", "q"]), ("c" * 16, 2, "s2", 14, []), ("d" * 16, 3, "s3", 5, ["p"])]
+    df = spark.createDataFrame(rows, "record_id string, seq long, subject string, score int, matched_profiles array<string>")
+    df = df.withColumn("profile_scores", F.transform("matched_profiles", lambda p: F.struct(p.alias("profile"), (F.col("score") - 1).alias("final_score"))))
+    profiles = spark.createDataFrame([("p", "first"), ("q", None), ("z", "last")], "profile string, description string")
+    got = [tuple(r) for r in report.by_count(report.profile_summary(df, profiles)).collect()]
+    assert got == [("p", "first", 3, 100, 33.3), ("q", "", 1, 15, 15.0), ("z", "last", 0, 0, 0.0)]
+    halves = spark.createDataFrame([(22.25,), (22.75,), (None,)], "x double").select(report.tenth(F.col("x"))).collect()
+    assert [r[0] for r in halves] == [22.2, 22.8, 0.0]
+    r = rank.ranked(df)
+    matrix = report.profile_matrix_wide(r, report.seen_profiles(r))
+    assert matrix.columns == ["rank", "commit", "score", "subject", "p", "q"]
+    assert [tuple(x) for x in matrix.orderBy("rank").collect()][:2] == [(1, "a" * 12, 80, "s0", 79, 0), (2, "b" * 12, 15, "s1", 14, 14)]
+    judged = df.withColumns({"action": F.when(F.col("seq") == 3, "drop").otherwise("keep"), "filter_reason": F.when(F.col("seq") >= 2, "no")})
+    s = report.report_stats(judged, 15, 1).first()
+    assert (s.collected, s.kept, s.dropped, s.post_dropped, s.reported, s.max_score, s.min_score, s.avg_score, s.unmatched) == (4, 3, 1, 1, 1, 80, 80, 80.0, 0)
+    every = report.report_stats(judged, 15, 0).first()
+    assert (every.reported, every.min_score, every.avg_score) == (2, 15, 47.5)
+
+
+def test_patterns_beyond_one_list(spark, docs, monkeypatch):
+    patterns = [(r, k, p) for r, k, _, p in B.DOC_CATALOG.patterns]
+    whole = {tuple(r) for r in score.pattern_join(docs.select("record_id", "body"), patterns, "body").select("record_id", "rule", "kind", "pattern").collect()}
+    monkeypatch.setattr(score, "PATTERNS_TOGETHER", 3)
+    assert {tuple(r) for r in score.pattern_join(docs.select("record_id", "body"), patterns, "body").select("record_id", "rule", "kind", "pattern").collect()} == whole and whole
+
+
 def test_trigram_join_is_the_plain_join(spark, docs, monkeypatch):
     words = spark.createDataFrame([("CONFIG_THE",), ("CONFIG_TION=y",), ("CONFIG_OF",), ("CONFIG_ZZZZ",)], "symbol string")
     plain = {tuple(r) for r in evidence.config_text(docs, words).collect()}

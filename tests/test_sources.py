@@ -2,10 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from winnow.functions import scalars as S
-from winnow.sources import catalog, product, records
+from winnow.sources import catalog, product, records, stages
 
 
 def test_log(spark, tmp_path):
@@ -57,17 +58,54 @@ def test_catalog(spark, tmp_path):
     (tmp_path / "profiles").mkdir()
     (tmp_path / "profiles/one.json").write_text('{ // first\n "name": "one", "description": "d", "rules": {"usb": 70, "x:net": {"weight": 20, "path_whitelist_extra": ["net/*"]}}}')
     (tmp_path / "profiles/two.json").write_text('# second\n{"rules": {"usb": {}}}')
-    c = catalog.read_catalog(spark, str(tmp_path / "rules"), str(tmp_path / "profiles"), str(tmp_path / "more"))
+    (tmp_path / "profiles/two.json").write_text('# second\n{"description": "see https://x # y", "rules": {"usb": {}}}')
+    read = lambda: catalog.read_catalog(spark, str(tmp_path / "rules"), str(tmp_path / "profiles"), str(tmp_path / "more"))
+    c = read()
+    assert [p[1] for p in c.profiles] == ["d", "see https://x # y"]
     assert c.names() == ["one", "two"] and dict(c.rules_of("one")) == {"usb": 70, "x:net": 20} and c.rules_of("two") == [("usb", 50)]
     assert c.of_rule("usb", "keywords_whitelist") == ["usb", "xhci"] and c.of_rule("x:net", "keywords_whitelist") == ["skb"]
     assert c.of_rule("x:net", "path_whitelist") == ["net/*"]
     assert catalog.catalog_problems(c) == []
     bad = catalog.Catalog([("p", "", 120.0, 0)], [("p", "r", 1, 0)], [("q", "keywords_whitelist", 0, "re:(")])
     assert {x[0] for x in catalog.catalog_problems(bad)} == {"weight_range", "empty_rule", "invalid_regex"}
+    (tmp_path / "profiles/three.json").write_text("no profile")
+    with pytest.raises(ValueError, match="three"):
+        read()
+    (tmp_path / "profiles/three.json").write_text('{"name": "one", "rules": {}}')
+    with pytest.raises(ValueError, match="collision.*one"):
+        read()
+    (tmp_path / "profiles/three.json").write_text("{}")
+    (tmp_path / "rules/deep/usb").mkdir(parents=True)
+    (tmp_path / "rules/deep/usb/path_whitelist.txt").write_text("x/*")
+    with pytest.raises(ValueError, match="collision.*usb"):
+        read()
     frames = c.frames(spark)
     assert catalog.fingerprint(*frames).first()[0] == catalog.fingerprint(*[f.orderBy(F.rand(1)) for f in frames]).first()[0]
 
 
+def test_stage_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert records.stage_table(spark, path, "a int").collect() == []
+    spark.range(3).selectExpr("cast(id as int) a").write.parquet(path)
+    assert records.stage_table(spark, path, "a int").count() == 3
+
+
+def test_written_steps(spark, monkeypatch):
+    written = stages.cut(spark.range(10).repartition(3), "ten")
+    assert written.count() == 10 and written.cut_path.startswith(stages.session_dir(spark) + "/ten")
+    stages.discard(written)
+    with pytest.raises(Exception, match="(?i)exist"):
+        spark.read.parquet(written.cut_path)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+    class Elsewhere:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "spark://far:7077", "getCheckpointDir": lambda self: None})()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        stages.shared_dir(Elsewhere())
+
+
 def test_scalars(spark):
     paths = ["a/b/c.tar.gz", "x", "a/.hidden", "a.b/c", ".x.y", "dir/", ""]
     import os.path as op

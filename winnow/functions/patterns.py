@@ -2,7 +2,7 @@ r"""Patterns as Columns: keyword, glob and regular expression.
 
 A pattern is a string of one of three types:
 
-* ``re:EXPR``: a regular expression that is searched for, case-sensitive; an invalid one never matches.
+* ``re:EXPR``: a regular expression that is searched for, case-sensitive; one that is invalid, or that the JVM cannot express, never matches.
 * with an unescaped ``*``, ``?`` or ``[``: a glob over the whole lower-cased text.
 * else a keyword: case-insensitive, as a whole word if it starts and ends with a word
   character, anywhere otherwise. ``\*``, ``\?`` and ``\[`` stand for the characters.
@@ -14,11 +14,13 @@ matching stays within generated code. A null text is an empty one.
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterable
-from functools import reduce
+from functools import cache, reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _META = re.compile(r"(?<!\\)[*?\[]")
@@ -52,16 +54,73 @@ def is_word(text: str) -> bool:
     return bool(re.match(r"\w", text) and re.search(r"\w\Z", text))
 
 
+def _translated(body: str) -> str:
+    """A valid Python expression in the JVM's dialect, character by character.
+
+    Within classes the JVM knows nested classes and intersections, which Python does not; groups' names, comments, open
+    repetitions and the end of the text are written otherwise.
+    """
+    out, i, n, inside = [], 0, len(body), False
+    while i < n:
+        c = body[i]
+        if c == "\\":
+            out.append("\\z" if body[i + 1 : i + 2] == "Z" and not inside else body[i : i + 2])
+            i += 2
+        elif inside:
+            inside = c != "]"
+            out.append("\\" + c if c in "[&" else c)
+            i += 1
+        elif c == "[":
+            inside = True
+            out.append(c)
+            i += 1
+            if body[i : i + 1] == "^":
+                out.append("^")
+                i += 1
+            if body[i : i + 1] == "]":
+                out.append("\\]")
+                i += 1
+        elif body.startswith("(?P<", i):
+            out.append("(?<")
+            i += 4
+        elif m := re.match(r"\(\?P=(\w+)\)", body[i:]):
+            out.append(f"\\k<{m[1]}>")
+            i += len(m[0])
+        elif m := re.match(r"\(\?#[^)]*\)", body[i:]):
+            i += len(m[0])
+        elif m := re.match(r"\{,(\d+)\}", body[i:]):
+            out.append("{0," + m[1] + "}")
+            i += len(m[0])
+        else:
+            out.append(c)
+            i += 1
+    # Python's classes know Unicode, and its dot stops at newlines alone
+    return "(?Ud)" + "".join(out)
+
+
+@cache
+def _compiles(expression: str) -> bool:
+    """Whether the JVM takes an expression: Spark folds a test of it on the driver. Without a session nothing is known against it."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return True
+    try:
+        spark.range(1).select(F.lit("").rlike(expression)).collect()
+    except PySparkException:
+        return False
+    return True
+
+
 def java_regex(body: str) -> str | None:
-    """A Python expression in the JVM's dialect, or None where it is invalid."""
+    """A Python expression in the JVM's dialect, or None where it is invalid in either: it never matches, and catalog_problems tells of it."""
     try:
-        re.compile(body)
-    except (re.error, OverflowError):
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore", FutureWarning)
+            re.compile(body)
+    except (re.error, OverflowError, RecursionError):
         return None
-    body = re.sub(r"(?<!\\)\{,(\d+)\}", r"{0,\1}", body)
-    body = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", body).replace("(?P<", "(?<")
-    # Python's classes know Unicode, and its dot stops at newlines alone
-    return "(?Ud)" + body.replace("\\Z", "\\z")
+    found = _translated(body)
+    return found if _compiles(found) else None
 
 
 def glob_regex(pattern: str) -> str:

@@ -7,7 +7,7 @@ equality. Where a join stays a theta join, it is between distinct values of two
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions.scalars import ancestors, basename, dirname, is_build_file, stem
@@ -34,12 +34,12 @@ def config_map(records: DataFrame, config_paths: DataFrame) -> DataFrame:
 
     Symbols count whether enabled or not.
     """
-    paths = _files(records).select("file").distinct()
-    above = paths.select("file", F.explode(ancestors(F.col("file"))).alias("dir"))
-    mapped = config_paths.select("symbol", dirname(F.col("path")).alias("dir"), "path").distinct()
-    under = above.join(mapped.where("dir <> ''").select("symbol", "dir").distinct(), "dir").select("file", "symbol")
-    same = paths.join(mapped.select("symbol", F.col("path").alias("file")), "file").select("file", "symbol")
-    tags = under.union(same).distinct()
+    # a file is asked for as itself and below each of its directories: one join by equality finds both
+    ways = F.concat(F.array(F.struct(F.lit("same").alias("way"), F.col("file").alias("at"))), F.transform(ancestors(F.col("file")), lambda d: F.struct(F.lit("under").alias("way"), d.alias("at"))))
+    asked = _files(records).select("file").distinct().select("file", F.explode(ways).alias("x")).select("file", "x.way", "x.at")
+    answers = F.array(F.struct(F.lit("same").alias("way"), F.col("path").alias("at")), F.struct(F.lit("under").alias("way"), dirname(F.col("path")).alias("at")))
+    mapped = config_paths.select("symbol", F.explode(answers).alias("x")).select("symbol", "x.way", "x.at").where("at <> ''").distinct()
+    tags = asked.join(mapped, ["way", "at"]).select("file", "symbol").distinct()
     return _files(records).join(tags, "file").select("record_id", F.concat(F.lit("config_map:"), "symbol").alias("tag")).distinct()
 
 
@@ -72,59 +72,68 @@ def artifact(touched: DataFrame, artifacts: DataFrame) -> DataFrame:
     return _base_in(touched, artifacts.select("path"), "artifact")
 
 
-#: Symbols up to which texts are tested against each; beyond, candidates come from trigrams.
-FEW_SYMBOLS = 1000
+#: Length of the strings by which symbols and texts find each other.
+GRAM = 3
+#: Rows up to which a list of symbols is small enough to be sent to every task.
+FEW_SYMBOLS = 100_000
+
+
+def _grams(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (GRAM - 1), F.lit(1))), lambda i: F.substring(text, i, F.lit(GRAM))))
 
 
 def config_text(records: DataFrame, symbols: DataFrame, literal_suffix: bool = False) -> DataFrame:
     """record_id, tag: symbols whose lower-cased name, without CONFIG_, the lower-cased subject and body hold.
 
-    literal_suffix keeps =y and =m as a part of the name. With many symbols, a symbol is a candidate for
-    a text that holds its rarest trigram, which is a join by equality.
+    literal_suffix keeps =y and =m as a part of the name. A symbol is tested against those texts alone that hold one
+    trigram of it, the one that fewest other symbols have. Up to FEW_SYMBOLS symbols go to the texts; more are joined
+    with the texts' trigrams and the pairs that meet joined back, with the same result. Names of one or two characters are few,
+    as there are few such names, and are tested everywhere.
     """
     name = F.col("symbol") if literal_suffix else bare(F.col("symbol"))
     needles = symbols.select(name.alias("symbol")).distinct().withColumn("needle", F.lower(F.regexp_replace("symbol", "^CONFIG_", ""))).where("needle <> ''")
     texts = records.select("record_id", F.lower(F.concat_ws("\n", F.coalesce("subject", F.lit("")), F.coalesce("body", F.lit("")))).alias("low"))
+    of_symbols = needles.where(F.length("needle") >= GRAM).select("symbol", "needle", F.explode(_grams(F.col("needle"))).alias("gram"))
+    rare = of_symbols.groupBy("gram").agg(F.count("*").alias("n"))
+    chosen = of_symbols.join(rare, "gram").groupBy("symbol", "needle").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    holds = F.col("low").contains(F.col("needle"))
     if needles.limit(FEW_SYMBOLS + 1).count() <= FEW_SYMBOLS:
-        hit = texts.join(F.broadcast(needles), F.col("low").contains(F.col("needle")))
+        long = texts.select("record_id", "low", F.explode(_grams(F.col("low"))).alias("gram")).join(F.broadcast(chosen), "gram").where(holds)
     else:
-        gram = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3)))
-        of_symbols = needles.select("symbol", "needle", F.explode(F.array_distinct(gram(F.col("needle")))).alias("gram"))
-        rare = of_symbols.groupBy("gram").agg(F.count("*").alias("n"))
-        chosen = of_symbols.join(rare, "gram").groupBy("symbol", "needle").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-        long = chosen.where(F.length("needle") >= 3)
-        of_texts = texts.select("record_id", F.explode(F.array_distinct(gram(F.col("low")))).alias("gram"))
-        pairs = of_texts.join(long, "gram").select("record_id", "symbol", "needle")
-        short = texts.join(F.broadcast(chosen.where(F.length("needle") < 3).select("symbol", "needle")), F.col("low").contains(F.col("needle")))
-        hit = pairs.join(texts, "record_id").where(F.col("low").contains(F.col("needle"))).select("record_id", "symbol").union(short.select("record_id", "symbol"))
+        met = texts.select("record_id", F.explode(_grams(F.col("low"))).alias("gram")).join(chosen, "gram").select("record_id", "symbol", "needle")
+        long = met.join(texts, "record_id").where(holds)
+    short = texts.join(needles.where(F.length("needle") < GRAM), holds)
+    hit = long.select("record_id", "symbol").union(short.select("record_id", "symbol"))
     return hit.select("record_id", F.concat(F.lit("config_text:"), "symbol").alias("tag")).distinct()
 
 
 def product_evidence(records: DataFrame, touched: DataFrame, config_paths: DataFrame, dirs: DataFrame, log_objects: DataFrame, artifacts: DataFrame, symbols: DataFrame) -> DataFrame:
-    """record_id, product_evidence: all tags of a record, sorted; none is an empty list."""
+    """record_id, product_evidence: all tags of a record, sorted; none is an empty list.
+
+    Five links read the records and the map: give tables that are written (see stages.cut) where they come from joins.
+    """
     tags = config_map(records, config_paths).union(config_dir(touched, dirs)).union(build_log(touched, log_objects)).union(artifact(touched, artifacts)).union(config_text(records, symbols))
     found = tags.groupBy("record_id").agg(F.array_sort(F.collect_set("tag")).alias("product_evidence"))
     return records.select("record_id").join(found, "record_id", "left").select("record_id", F.coalesce("product_evidence", F.array().cast("array<string>")).alias("product_evidence"))
 
 
 def file_flags(records: DataFrame, sets: DataFrame) -> DataFrame:
-    """record_id, has_artifact, covered: whether any file has an artifact, or is compiled, in a compiled directory or steers the build.
+    """files, has_artifact, covered of every distinct list of files: whether any of them has an artifact, or is compiled, in a compiled directory or steers the build.
 
     sets(kind, value): see compiled_sets. Each distinct file is looked up once.
     """
-    files = _files(records).select("file").distinct().withColumns({"stem": stem(F.col("file")), "base_stem": stem(basename(F.col("file"))), "dir": dirname(F.col("file"))})
-    of = lambda kind: sets.where(F.col("kind") == kind).select(F.col("value").alias("v"), F.lit(True).alias(f"in_{kind}"))
+    lists = records.select("files").where(F.size("files") > 0).distinct()
+    each = lists.select("files", F.explode("files").alias("file"))
+    files = each.select("file").distinct().withColumns({"stem": stem(F.col("file")), "base_stem": stem(basename(F.col("file"))), "dir": dirname(F.col("file"))})
     for kind, key in (("artifact", "stem"), ("log", "base_stem"), ("file", "file"), ("dir", "dir")):
-        side = of(kind)
+        side = sets.where(F.col("kind") == kind).select(F.col("value").alias("v"), F.lit(True).alias(f"in_{kind}"))
         files = files.join(side, files[key] == side.v, "left").drop("v")
     known = files.select(
         "file",
-        F.coalesce(F.col("in_artifact") | F.col("in_log"), F.col("in_artifact"), F.col("in_log"), F.lit(False)).alias("has_artifact"),
+        (F.col("in_artifact").isNotNull() | F.col("in_log").isNotNull()).alias("has_artifact"),
         (F.col("in_file").isNotNull() | F.col("in_dir").isNotNull() | is_build_file(F.col("file"))).alias("covered"),
     )
-    by = _files(records).join(known, "file").groupBy("record_id").agg(F.bool_or("has_artifact").alias("has_artifact"), F.bool_or("covered").alias("covered"))
-    no = F.lit(False)
-    return records.select("record_id").join(by, "record_id", "left").select("record_id", F.coalesce("has_artifact", no).alias("has_artifact"), F.coalesce("covered", no).alias("covered"))
+    return each.join(known, "file").groupBy("files").agg(F.bool_or("has_artifact").alias("has_artifact"), F.bool_or("covered").alias("covered"))
 
 
 def with_artifact(records: DataFrame, sets: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from winnow.functions.patterns import all_files_match, any_file_match, any_match
 from winnow.operators.evidence import file_flags
-from winnow.sources.catalog import Catalog
+from winnow.sources.catalog import KINDS, Catalog
 
 
-def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage: bool | None = None, available: bool = False, has_artifact: Column | None = None, covered: Column | None = None) -> Column:
+def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage: bool | None = None, available: Column | bool = False, has_artifact: Column | None = None, covered: Column | None = None) -> Column:
     """struct(action, reason): the first rule that holds, in this order.
 
     lists: patterns by kind, over all profiles. Texts are subject and body as one. Coverage is required as told, or
@@ -28,24 +28,25 @@ def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage
     chain = chain.when(all_files_match(of("path_blacklist"), F.col("files")), says("drop", "path_blacklist_all"))
     chain = chain.when(any_file_match(of("path_whitelist"), F.col("files")), says("keep", "path_whitelist"))
     chain = chain.when(has_artifact if has_artifact is not None else no, says("keep", "build_artifact"))
-    required = available if require_coverage is None else require_coverage and available
-    if required:
-        chain = chain.when(~(covered if covered is not None else no) & ~wanted, says("drop", "no_kconfig_coverage"))
+    if require_coverage is not False and available is not False:
+        lacks = ~(covered if covered is not None else no) & ~wanted
+        chain = chain.when(lacks if available is True else available & lacks, says("drop", "no_kconfig_coverage"))
     chain = chain.when(wanted, says("keep", "keywords_whitelist"))
     chain = chain.when(any_match(of("keywords_blacklist"), text), says("drop", "keywords_blacklist"))
     return chain.otherwise(says("keep", "default"))
 
 
 def decide(records: DataFrame, catalog: Catalog, sets: DataFrame | None = None, enabled: bool = True, require_coverage: bool | None = None) -> DataFrame:
-    """The records with action and reason. sets: what is built; see compiled_sets."""
-    from winnow.sources.catalog import KINDS
-
+    """The records with action and reason. sets: what is built; see compiled_sets. Every row is decided by itself, whether its record_id is null or repeated."""
     lists = {k: catalog.overall(k) for k in KINDS}
     if sets is None:
         return records.withColumn("d", decision(lists, enabled, require_coverage)).select(*records.columns, "d.action", "d.reason")
-    available = not sets.isEmpty()
-    flagged = records.join(file_flags(records, sets), "record_id")
-    made = decision(lists, enabled, require_coverage, available, F.col("has_artifact"), F.col("covered"))
+    # one row: whether anything is built
+    available = sets.limit(1).agg((F.count("*") > 0).alias("_available"))
+    flags = file_flags(records, sets).withColumnRenamed("files", "_files")
+    no = F.lit(False)
+    flagged = records.join(flags, F.col("files") == F.col("_files"), "left").crossJoin(F.broadcast(available))
+    made = decision(lists, enabled, require_coverage, F.col("_available"), F.coalesce("has_artifact", no), F.coalesce("covered", no))
     return flagged.withColumn("d", made).select(*records.columns, "d.action", "d.reason")
 
 

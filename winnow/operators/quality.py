@@ -23,6 +23,11 @@ def scored_problems(scored: DataFrame) -> list[str]:
     return [f"{c}: {have.get(c, 'missing')} instead of {t}" for c, t in SCORED_TYPES.items() if have.get(c) != t]
 
 
+def incomplete_scores(scored: DataFrame) -> DataFrame:
+    """record_id, field: every field of a scored record that is null or not there."""
+    return missing_fields(scored, tuple(SCORED_TYPES))
+
+
 def without_reason(dropped: DataFrame) -> DataFrame:
     """Dropped rows that do not say why."""
     return dropped.where(F.coalesce("filter_reason", F.lit("")) == "")

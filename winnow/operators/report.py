@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.scalars import joined, minute_text, scores_text, short_id
+from winnow.operators.rank import top_n
+from winnow.sources.stages import cut
 
 #: The order of fields in a written record.
 FIELDS = ("record_id", "subject", "body", "author_name", "author_email", "author_time", "commit_time", "files", "numstat", "score", "matched_profiles", "product_evidence", "filter_reason", "rank")
 
 
+def tenth(average: Column) -> Column:
+    """An average to one decimal, halves to even."""
+    return F.coalesce(F.bround(average, 1), F.lit(0.0))
+
+
 def profile_summary(scored: DataFrame, profiles: DataFrame) -> DataFrame:
-    """profile, n, total_score, avg_score: of the records that match a profile, with their total scores; profiles without any have zeros."""
-    rows = scored.select("score", F.explode("matched_profiles").alias("profile"))
+    """profile, description, n, total_score, avg_score (one decimal): of the records that match a profile, with their total scores; profiles without any have zeros."""
+    # outer: an explode that skips rows without any would compute them twice
+    rows = scored.select("score", F.explode_outer("matched_profiles").alias("profile")).where("profile is not null")
     by = rows.groupBy("profile").agg(F.count("*").alias("n"), F.sum("score").alias("total_score"), F.avg("score").alias("avg_score"))
     zero = F.lit(0).cast("long")
-    return profiles.select("profile").join(by, "profile", "left").select("profile", F.coalesce("n", zero).alias("n"), F.coalesce("total_score", zero).alias("total_score"), F.coalesce("avg_score", F.lit(0.0)).alias("avg_score"))
+    joined = profiles.select("profile", "description").join(by, "profile", "left")
+    return joined.select("profile", F.coalesce("description", F.lit("")).alias("description"), F.coalesce("n", zero).alias("n"), F.coalesce("total_score", zero).alias("total_score"), tenth(F.col("avg_score")).alias("avg_score"))
 
 
 def by_count(summary: DataFrame) -> DataFrame:
@@ -29,33 +38,35 @@ def coverage_metrics(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count_if(F.size("matched_profiles") == 0).alias("unmatched"), F.count_if(F.size("product_evidence") > 0).alias("with_evidence"))
 
 
-def report_stats(collected: DataFrame, kept: DataFrame, scored: DataFrame, threshold: float, n: int) -> DataFrame:
-    """One row of counts. scored: the kept records with score and filter_reason."""
-    a = collected.agg(F.count("*").alias("collected"))
-    b = kept.agg(F.count("*").alias("kept"))
-    passed = F.col("filter_reason").isNull()
-    c = scored.agg(
-        F.count("*").alias("scored"),
-        F.count_if(~passed).alias("post_dropped"),
-        F.count_if(passed).alias("passed"),
-        F.coalesce(F.max(F.when(passed, F.col("score"))), F.lit(0)).cast("long").alias("max_score"),
-        F.coalesce(F.min(F.when(passed, F.col("score"))), F.lit(0)).cast("long").alias("min_score"),
-        F.coalesce(F.avg(F.when(passed, F.col("score"))), F.lit(0.0)).alias("avg_score"),
+def report_stats(judged: DataFrame, threshold: float, n: int) -> DataFrame:
+    """One row of counts, of records that triage.judged has seen: collected ones, then those kept, dropped and scored, and the scores and matches of those reported.
+
+    Reported are the first n by rank of those that pass, with n = 0 all. One pass, and one more over a written table
+    of scores for the reported ones.
+    """
+    evidence = F.size("product_evidence") if "product_evidence" in judged.columns else F.lit(0)
+    rows = cut(judged.select("seq", "action", "score", "filter_reason", F.size("matched_profiles").alias("n_profiles"), evidence.alias("n_evidence")), "judged")
+    keep, passed = F.col("action") == "keep", F.col("filter_reason").isNull()
+    counts = rows.agg(
+        F.count("*").alias("collected"),
+        F.count_if(keep).alias("kept"),
+        F.count_if(~keep).alias("dropped"),
+        F.count_if(keep).alias("scored"),
+        F.count_if(keep & ~passed).alias("post_dropped"),
     )
-    # three rows in all
-    one = a.crossJoin(b).crossJoin(c)
+    some = rows.where(keep & passed)
+    of = (some.orderBy(F.desc("score"), "seq").limit(n) if n else some).agg(
+        F.count("*").alias("reported"),
+        F.coalesce(F.max("score"), F.lit(0)).cast("long").alias("max_score"),
+        F.coalesce(F.min("score"), F.lit(0)).cast("long").alias("min_score"),
+        tenth(F.avg("score")).alias("avg_score"),
+        F.count_if(F.col("n_profiles") == 0).alias("unmatched"),
+        F.count_if(F.col("n_evidence") > 0).alias("with_evidence"),
+    )
+    # two rows in all
+    one = counts.crossJoin(of)
     return one.select(
-        "collected",
-        "kept",
-        (F.col("collected") - F.col("kept")).alias("dropped"),
-        "scored",
-        F.lit(float(threshold)).alias("threshold"),
-        "post_dropped",
-        F.least("passed", F.lit(n).cast("long")).alias("reported"),
-        F.lit(n).cast("long").alias("top_n"),
-        "max_score",
-        "min_score",
-        "avg_score",
+        "collected", "kept", "dropped", "scored", F.lit(float(threshold)).alias("threshold"), "post_dropped", "reported", F.lit(n).cast("long").alias("top_n"), "max_score", "min_score", "avg_score", "unmatched", "with_evidence"
     )
 
 
@@ -65,16 +76,21 @@ def stats_kv(stats: DataFrame) -> DataFrame:
     return stats.select(F.explode(cells).alias("c")).select("c.metric", "c.value")
 
 
-def profile_matrix_wide(scored: DataFrame, names: list[str]) -> DataFrame:
-    """record_id and a column per profile: its score where it is matched, else 0."""
-    of = lambda name: F.coalesce(F.when(F.array_contains("matched_profiles", name), F.filter("profile_scores", lambda p: p["profile"] == name)[0]["final_score"]), F.lit(0))
-    return scored.select("record_id", *[of(name).alias(name) for name in sorted(names)])
+def seen_profiles(scored: DataFrame) -> list[str]:
+    """The profiles that any record matches, sorted: no more than the catalog has."""
+    return sorted(r[0] for r in scored.select(F.explode("matched_profiles")).distinct().collect())
+
+
+def profile_matrix_wide(ranked: DataFrame, names: list[str]) -> DataFrame:
+    """rank, commit (the short id), score, subject and a column per profile of names (see seen_profiles): its score, else 0."""
+    of = lambda name: F.coalesce(F.get(F.filter("profile_scores", lambda p: p["profile"] == name), F.lit(0))["final_score"], F.lit(0))
+    return ranked.select("rank", short_id(F.col("record_id")).alias("commit"), "score", "subject", *[of(name).alias(name) for name in sorted(names)])
 
 
 def profile_matrix_long(scored: DataFrame) -> DataFrame:
     """record_id, profile, score: a row per matched profile."""
     pairs = F.map_from_arrays(F.transform("profile_scores", lambda p: p["profile"]), F.transform("profile_scores", lambda p: p["final_score"]))
-    rows = scored.select("record_id", pairs.alias("m"), F.explode("matched_profiles").alias("profile"))
+    rows = scored.select("record_id", pairs.alias("m"), F.explode_outer("matched_profiles").alias("profile")).where("profile is not null")
     return rows.select("record_id", "profile", F.col("m")[F.col("profile")].alias("score"))
 
 
@@ -112,8 +128,9 @@ def commit_rows(records: DataFrame) -> DataFrame:
 
 
 def table_rows(records: DataFrame) -> DataFrame:
-    """The slim projection of a table: a missing reason is left out by the JSON writer."""
-    return records.select("record_id", "subject", "author_name", "author_time", "score", "matched_profiles", F.when(F.col("filter_reason") != "", F.col("filter_reason")).alias("filter_reason"))
+    """The slim projection of a table: a missing reason is left out by the JSON writer, and so are columns that records lack."""
+    given = lambda c: F.col(c) if c in records.columns else F.lit(None).cast("string")
+    return records.select("record_id", "subject", "author_name", given("author_time").alias("author_time"), "score", "matched_profiles", F.nullif(given("filter_reason"), F.lit("")).alias("filter_reason"))
 
 
 def ordered(records: DataFrame) -> DataFrame:
@@ -123,9 +140,15 @@ def ordered(records: DataFrame) -> DataFrame:
 
 
 def write_json(records: DataFrame, path: str) -> None:
+    """A JSON row per record, with its fields in the fixed order."""
     ordered(records).write.mode("overwrite").json(path)
 
 
+def write_lines(records: DataFrame, path: str) -> None:
+    """Collected records as they are, a JSON row each."""
+    records.write.mode("overwrite").json(path)
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
@@ -140,14 +163,15 @@ def write_table(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def report(scored: DataFrame, dropped: DataFrame, profiles: DataFrame, names: list[str], n: int = 5000) -> dict[str, DataFrame]:
-    """What a report holds, as tables. scored: ranked records that passed."""
-    top = scored.where(F.col("rank") <= n)
+def report(ranked: DataFrame, dropped: DataFrame, profiles: DataFrame, n: int = 5000) -> dict[str, DataFrame]:
+    """What a report holds, as tables. ranked: records that passed."""
+    top = top_n(ranked, n)
     return {
         "relevant": commit_rows(top),
+        "table": table_rows(top),
         "filtered": dropped,
         "summary": by_count(profile_summary(top, profiles)),
-        "matrix": profile_matrix_wide(top, names),
+        "matrix": profile_matrix_wide(top, seen_profiles(top)),
         "matrix_long": profile_matrix_long(top),
         "details": with_shards(top),
     }

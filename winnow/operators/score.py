@@ -18,6 +18,8 @@ from winnow.functions.scalars import flags, true_flags
 from winnow.sources.catalog import CAP, Catalog
 
 TEXTS = ("subject", "body")
+#: Patterns of a large catalog that a task holds together.
+PATTERNS_TOGETHER = 5000
 
 
 def _any_text(patterns: list[str]) -> Column:
@@ -38,7 +40,8 @@ def with_hits(records: DataFrame, catalog: Catalog) -> DataFrame:
     rules, names = catalog.rules(), catalog.names()
     hits = [_hit(_lists(lambda k, r=r: catalog.of_rule(r, k), "whitelist")) for r in rules]
     blocks = [_hit(_lists(lambda k, p=p: catalog.merged(p, k), "blacklist")) for p in names]
-    return records.withColumns({"hits": F.array(*hits) if hits else F.array().cast("array<boolean>"), "blocks": F.array(*blocks) if blocks else F.array().cast("array<boolean>")})
+    # no test is null; compacted arrays are values of their own, while elements of plain ones would be tested again wherever they are used
+    return records.withColumns({"hits": F.array_compact(F.array(*hits).cast("array<boolean>")), "blocks": F.array_compact(F.array(*blocks).cast("array<boolean>"))})
 
 
 def scored(records: DataFrame, catalog: Catalog) -> DataFrame:
@@ -74,9 +77,14 @@ def scored(records: DataFrame, catalog: Catalog) -> DataFrame:
     return out.withColumns({"score": total, "matched_profiles": matched})
 
 
+def _each(rows: DataFrame, values: Column, name: str) -> DataFrame:
+    """record_id and each of the values. The plain explode would first filter rows by whether they have any, and compute all of them once more for it."""
+    return rows.select("record_id", F.explode_outer(values).alias(name)).where(F.col(name).isNotNull())
+
+
 def profile_scores(scored_records: DataFrame) -> DataFrame:
     """record_id, profile, blocked, raw_total, capped, multiplier, final_score."""
-    rows = scored_records.select("record_id", F.explode("profile_scores").alias("p"))
+    rows = _each(scored_records, F.col("profile_scores"), "p")
     return rows.select("record_id", "p.profile", "p.blocked", "p.raw_total", "p.capped", "p.multiplier", "p.final_score")
 
 
@@ -91,48 +99,62 @@ def rule_hits(scored_records: DataFrame, catalog: Catalog) -> DataFrame:
             rows.append(F.struct(F.lit(p).alias("profile"), F.lit(r).alias("rule"), F.lit(w).alias("weight"), hit.alias("matched"), level.alias("matched_level"), F.when(hit, F.lit(w)).otherwise(F.lit(0)).alias("score")))
     if not rows:
         return scored_records.select("record_id").where("false").selectExpr("record_id", "'' profile", "'' rule", "0 weight", "false matched", "'' matched_level", "0 score")
-    return scored_records.select("record_id", F.explode(F.array(*rows)).alias("h")).select("record_id", "h.*")
+    return _each(scored_records, F.array(*rows), "h").select("record_id", "h.*")
+
 
+_HIT = "struct<rule:string,kind:string,pattern:string,value:string,ord:int>"
 
-def _found(pattern: str, values: Column) -> Column:
+
+def _pairs(pattern: str, values: Column) -> Column:
     """The values that match, each with the pattern."""
     return F.transform(F.filter(values, lambda v: matches(pattern, v)), lambda v: F.struct(F.lit(pattern).alias("pattern"), v.alias("value")))
 
 
+def _numbered(rule: str, kind: str, pairs: Column) -> Column:
+    return F.transform(pairs, lambda h, at: F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), h["pattern"].alias("pattern"), h["value"].alias("value"), (at + 1).cast("int").alias("ord")))
+
+
+def _found(catalog: Catalog, rule: str, side: str) -> Column:
+    """A rule's hits in a record, as an array of _HIT: by kind, pattern and value."""
+    values = {
+        "keywords": F.array_distinct(F.array(*[F.coalesce(t, F.lit("")) for t in TEXTS])),
+        "path": F.array_distinct(F.coalesce("files", F.array().cast("array<string>"))),
+        "commit": F.array("record_id"),
+    }
+    parts = [F.array().cast(f"array<{_HIT}>")]
+    for kind, of in values.items():
+        patterns = list(dict.fromkeys(catalog.of_rule(rule, f"{kind}_{side}")))
+        if patterns:
+            parts.append(_numbered(rule, f"{kind}_{side}", F.concat(*[_pairs(p, of) for p in patterns])))
+    return F.concat(*parts)
+
+
 def pattern_hits(records: DataFrame, catalog: Catalog, side: str = "whitelist") -> DataFrame:
     """record_id, rule, kind, pattern, value, ord: every pattern with every value it matches, distinct.
 
     Values are the subject, the body, each file, the id. ord counts a record's hits within a rule and kind, by
-    pattern and then by value as they stand in the record.
+    pattern and then by value as they stand in the record. One pass, whatever the catalog's size.
     """
-    empty = F.array().cast("array<struct<rule:string,kind:string,pattern:string,value:string,ord:int>>")
-    parts = []
-    for rule in catalog.rules():
-        for kind in ("keywords", "path", "commit"):
-            patterns = list(dict.fromkeys(catalog.of_rule(rule, f"{kind}_{side}")))
-            if not patterns:
-                continue
-            values = {"keywords": F.array_distinct(F.array(*[F.coalesce(t, F.lit("")) for t in TEXTS])), "path": F.col("files"), "commit": F.array("record_id")}[kind]
-            parts.append((rule, f"{kind}_{side}", F.flatten(F.array(*[_found(p, values) for p in patterns]))))
-    if not parts:
-        return records.select("record_id", F.explode(empty).alias("h")).select("record_id", "h.*")
-    out = None
-    for rule, kind, found in parts:
-        rows = records.select("record_id", F.posexplode(found).alias("at", "h")).select("record_id", F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), "h.pattern", "h.value", (F.col("at") + 1).cast("int").alias("ord"))
-        out = rows if out is None else out.union(rows)
-    return out
+    found = F.concat(F.array().cast(f"array<{_HIT}>"), *[_found(catalog, r, side) for r in catalog.rules()])
+    return _each(records, found, "h").select("record_id", "h.*")
 
 
 def pattern_join(texts: DataFrame, patterns: list[tuple[str, str, str]], column: str) -> DataFrame:
     """The texts with each pattern that they match: rule, kind, pattern. patterns: (rule, kind, pattern).
 
-    For catalogs that are too large for one literal Column per pattern: the catalog, which people
-    write, is broadcast, and each row is tested against it.
+    For catalogs that are too large for one literal Column per pattern: patterns go to the texts in lists of
+    PATTERNS_TOGETHER, which bounds what a task holds of them; each text is tested against every list.
     """
     rows = [(r, k, p, e) for r, k, p in patterns if (e := search_regex(p)) is not None]
-    catalog = texts.sparkSession.createDataFrame(rows, "rule string, kind string, pattern string, _expression string")
-    hit = F.regexp_like(F.coalesce(F.col(column), F.lit("")), F.col("_expression"))
-    return texts.join(F.broadcast(catalog), hit).drop("_expression")
+    text = F.coalesce(F.col(column), F.lit(""))
+    out = texts.withColumns({c: F.lit("") for c in ("rule", "kind", "pattern")}).where("false")
+    for at in range(0, len(rows), PATTERNS_TOGETHER):
+        some = [dict(zip(("rule", "kind", "pattern", "e"), r, strict=True)) for r in rows[at : at + PATTERNS_TOGETHER]]
+        listed = texts.sparkSession.createDataFrame([(some,)], "_l array<struct<rule:string,kind:string,pattern:string,e:string>>")
+        # one row
+        paired = texts.crossJoin(F.broadcast(listed)).withColumn("_h", F.explode(F.filter("_l", lambda x: F.regexp_like(text, x["e"]))))
+        out = out.union(paired.select(*texts.columns, "_h.rule", "_h.kind", "_h.pattern"))
+    return out
 
 
 def first_hit(hits: DataFrame) -> DataFrame:
@@ -142,24 +164,48 @@ def first_hit(hits: DataFrame) -> DataFrame:
 
 
 def rule_trace(scored_records: DataFrame, catalog: Catalog) -> DataFrame:
-    """record_id, profile, rule, matched_level, kind, pattern, value: a row per match, one for a rule without any, one for a profile without rules."""
-    hits = pattern_hits(scored_records, catalog).select("record_id", "rule", "kind", "pattern", "value")
-    rules = rule_hits(scored_records, catalog).select("record_id", "profile", "rule", "matched_level")
-    traced = rules.join(hits, ["record_id", "rule"], "left").select("record_id", "profile", "rule", "matched_level", "kind", "pattern", "value")
-    bare = [p for p in catalog.names() if not catalog.rules_of(p)]
-    if not bare:
-        return traced
-    nothing = F.lit(None).cast("string")
-    rest = scored_records.select("record_id", F.explode(F.array(*map(F.lit, bare))).alias("profile"), nothing.alias("rule"), F.lit("no-match").alias("matched_level"), nothing.alias("kind"), nothing.alias("pattern"), nothing.alias("value"))
-    return traced.union(rest)
-
-
-def trace_summary(hits: DataFrame, scores: DataFrame) -> DataFrame:
-    """record_id, summary: `profile:matched/rules=score` parts, by profile."""
-    by = hits.groupBy("record_id", "profile").agg(F.count_if("matched").alias("m"), F.count("*").alias("n"))
-    joined = by.join(scores.select("record_id", "profile", "final_score"), ["record_id", "profile"])
-    part = F.concat("profile", F.lit(":"), F.col("m").cast("string"), F.lit("/"), F.col("n").cast("string"), F.lit("="), F.col("final_score").cast("string"))
-    return joined.groupBy("record_id").agg(F.array_join(F.array_sort(F.collect_list(part)), "; ").alias("summary"))
+    """record_id, profile, rule, matched_level, rule_score, profile_score, kind, pattern, value: a row per match, one for a rule without any, one for a profile without rules.
+
+    A record's whole trace is one array, and so one pass and no join.
+    """
+    rules, kinds = catalog.rules(), ("kind", "pattern", "value")
+    traced = scored_records.withColumn("_found", F.array_compact(F.array(*[_found(catalog, r, "whitelist") for r in rules]).cast(f"array<array<{_HIT}>>")))
+
+    def row(profile: str, j: int, rule: str | None, level: Column, gained: Column, hit: Column | None) -> Column:
+        cells = [F.lit(None).cast("string") if hit is None else hit[c] for c in kinds]
+        return F.struct(
+            F.lit(profile).alias("profile"),
+            F.lit(rule).cast("string").alias("rule"),
+            level.alias("matched_level"),
+            gained.cast("int").alias("rule_score"),
+            F.col("profile_scores")[j]["final_score"].alias("profile_score"),
+            *[c.alias(k) for c, k in zip(cells, kinds, strict=True)],
+        )
+
+    def rows(profile: str, j: int, rule: str, weight: int) -> Column:
+        i = rules.index(rule)
+        hit, found = F.col("hits")[i], F.col("_found")[i]
+        level = F.when(F.col("blocks")[j], "blocked").when(hit, "matched").otherwise("no-match")
+        gained = F.when(hit, F.lit(weight)).otherwise(F.lit(0))
+        return F.when(F.size(found) == 0, F.array(row(profile, j, rule, level, gained, None))).otherwise(F.transform(found, lambda h: row(profile, j, rule, level, gained, h)))
+
+    parts = []
+    for j, p in enumerate(catalog.names()):
+        of = catalog.rules_of(p)
+        parts += [rows(p, j, r, w) for r, w in of] or [F.array(row(p, j, None, F.lit(""), F.lit(0), None))]
+    if not parts:
+        return scored_records.select("record_id").where("false").selectExpr("record_id", "'' profile", "'' rule", "'' matched_level", "0 rule_score", "0 profile_score", *[f"'' {c}" for c in kinds])
+    return _each(traced, F.concat(*parts), "t").select("record_id", "t.*")
+
+
+def trace_summary(scored_records: DataFrame, catalog: Catalog) -> DataFrame:
+    """record_id, summary: `profile:matched/rules=score` parts, by profile, of the profiles that have rules."""
+    rules, parts = catalog.rules(), []
+    for j, p in enumerate(catalog.names()):
+        if of := [rules.index(r) for r, _ in catalog.rules_of(p)]:
+            matched = reduce(add, [F.when(F.col("hits")[i], 1).otherwise(0) for i in of])
+            parts.append(F.concat(F.lit(f"{p}:"), matched.cast("string"), F.lit(f"/{len(of)}="), F.col("profile_scores")[j]["final_score"].cast("string")))
+    return scored_records.select("record_id", F.array_join(F.array_sort(F.array(*parts).cast("array<string>")), "; ").alias("summary"))
 
 
 def annotated(records: DataFrame, expressions: dict[str, str] | None = None, flatten_body: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.operators.report import write_csv
@@ -68,8 +68,9 @@ def export(df: DataFrame, path: str, **filters) -> None:
 def facets(df: DataFrame, column: str, most: int = FACET_VALUES) -> DataFrame:
     """value: the distinct values of a column, lists split at ; and ,; none if there are more than `most`."""
     parts = df.select(F.explode(F.split(F.coalesce(F.col(column).cast("string"), F.lit("")), r"[;,]\s*")).alias("value")).where("value <> ''")
-    few = parts.distinct().limit(most + 1)
-    return few.where(F.lit(few.count() <= most))
+    # most + 1 rows
+    few = parts.distinct().limit(most + 1).withColumn("n", F.count("*").over(Window.partitionBy()))
+    return few.where(F.col("n") <= most).select("value")
 
 
 def sort_table(df: DataFrame, column: str, descending: bool = False) -> DataFrame:

@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Words that say what was done, words that say nothing, and words that are always listed.
+#: Words that say what was done, and words that say nothing.
 ACTIONS = (
-    "add added fix fixed merge remove removed update updated use using allow make move rename convert drop dont do introduce expand fold kill annotate "
-    "optimize provide teach change set take unify replace clean cleanup build disable enable accept prevent return split simplify reset restore print mark "
-    "validate export extract construct create delete lift pass raise force automate abort"
-).split()
+    "add", "added", "fix", "fixed", "merge", "remove", "removed", "update", "updated", "use", "using", "allow", "make", "move", "rename", "convert",
+    "drop", "dont", "do", "introduce", "expand", "fold", "kill", "annotate", "optimize", "provide", "teach", "change", "set", "take", "unify",
+    "replace", "clean", "cleanup", "build", "disable", "enable", "accept", "prevent", "return", "split", "simplify", "reset", "restore", "print",
+    "mark", "validate", "export", "extract", "construct", "create", "delete", "lift", "pass", "raise", "force", "automate", "abort",
+)
 COMMON = (
-    "the and for with from into next branch tag of git https http linux kernel driver drivers tools selftests samples documentation maintainers patch patches"
-).split()
-#: A word of letters, digits and _+.- that stands on its own, before a space or a colon.
+    "the", "and", "for", "with", "from", "into", "next", "branch", "tag", "of", "git", "https", "http", "linux", "kernel", "driver", "drivers",
+    "tools", "selftests", "samples", "documentation", "maintainers", "patch", "patches",
+)
+#: Prefixes that go first, and those of them that are listed whether they occur or not.
+PREFERRED = (
+    "net", "can", "ethernet", "phy", "phylib", "phylink", "mdio", "ethtool", "ipv4", "ipv6", "tcp", "udp", "tls", "xfrm", "vlan", "bluetooth", "wifi",
+    "wireless", "cfg80211", "mac80211", "nl80211", "usb", "pci", "tty", "serial", "i2c", "spi", "pinctrl", "gpio", "irqchip", "clk", "regulator",
+    "thermal", "watchdog", "pm", "cpufreq", "cpuidle", "mmc", "ufs", "mtd", "block", "ext4", "f2fs", "ubifs", "nvdimm", "dm", "scsi", "nvme", "iommu",
+    "crypto", "security", "keys", "integrity", "selinux", "apparmor", "kasan", "ubsan", "fortify", "arm", "arm64", "dt", "dt-bindings", "devicetree",
+    "of",
+)
+ALWAYS = (
+    "net", "can", "usb", "pci", "arm64", "crypto", "security", "mmc", "ext4", "thermal", "watchdog", "pm", "bluetooth", "wireless", "dt-bindings",
+    "of",
+)
+#: A word of letters, digits and _+.- that stands on its own, before a space or a colon; a version.
 TOKEN = r"(?<![A-Za-z0-9_./-])([A-Za-z][A-Za-z0-9_+.-]{1,40})(?=\s|:)"
 VERSION = r"^v?\d+(?:[.-]\d+)*$"
 
@@ -27,16 +43,16 @@ def token_counts(texts: DataFrame, column: str = "text", stop: tuple[str, ...] =
     return kept.groupBy("token").agg(F.count("*").alias("n"))
 
 
-def top_prefixes(counts: DataFrame, preferred: list[str], always: list[str], limit: int = 80, pool: int = 200) -> DataFrame:
+def top_prefixes(counts: DataFrame, preferred: Sequence[str] = PREFERRED, always: Sequence[str] = ALWAYS, limit: int = 80, pool: int = 200) -> DataFrame:
     """token, place: preferred ones that occur or are always listed, in their order; then tokens that occur twice or more, of the `pool` most frequent, until the limit."""
     spark = counts.sparkSession
     first = spark.createDataFrame([(t, i, t in always) for i, t in enumerate(preferred)], "token string, ord int, fixed boolean")
     present = first.join(counts, "token", "left").where(F.col("n").isNotNull() | F.col("fixed")).select("token", F.lit(0).alias("group"), F.col("ord").cast("long").alias("key"))
     most = counts.orderBy(F.desc("n"), "token").limit(pool)
     fill = most.join(present.select("token"), "token", "left_anti").where((F.col("n") >= 2) & F.col("token").rlike("^[a-z][a-z0-9+.-]*$")).select("token", F.lit(1).alias("group"), (-F.col("n")).alias("key"))
-    n = present.count()  # at most as many as are preferred
-    room = max(0, limit - n)
-    return present.select("token", "group", "key").union(fill.orderBy("key", "token").limit(room))
+    # at most as many rows as are preferred and in the pool
+    listed = present.union(fill).withColumn("place", F.row_number().over(Window.orderBy("group", "key", "token")))
+    return listed.where((F.col("group") == 0) | (F.col("place") <= limit)).select("token", "place")
 
 
 def pattern_lines(tokens: DataFrame) -> DataFrame:

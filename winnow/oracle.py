@@ -87,16 +87,17 @@ fl AS (SELECT DISTINCT l_orderkey AS k, path, dir, base_stem FROM lineitem JOIN
 r AS (
   SELECT o_orderkey AS k, sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, o_orderkey AS seq, o_orderpriority AS subject,
          'status ' || o_orderstatus || ' priority ' || o_orderpriority AS body, c_name AS author_name, CAST(epoch(o_orderdate) AS BIGINT) AS author_time
-  FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderkey IN (SELECT k FROM fl)),
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
 s_file AS (SELECT DISTINCT path FROM pp WHERE b <= 8),
 s_dir AS (SELECT DISTINCT dir FROM pp WHERE b <= 8),
 s_art AS (SELECT DISTINCT path FROM pp WHERE p_size > 45),
 s_log AS (SELECT DISTINCT base_stem FROM pp WHERE p_partkey % 37 = 0),
 ff AS (
-  SELECT k, bool_or(path IN (SELECT path FROM s_art) OR base_stem IN (SELECT base_stem FROM s_log)) AS has_artifact,
-         bool_or(path IN (SELECT path FROM s_file) OR dir IN (SELECT dir FROM s_dir)) AS covered,
-         bool_and(starts_with(path, 'economy/')) AS all_denied, bool_or(starts_with(path, 'economy/')) AS any_denied, bool_or(starts_with(path, 'promo/brand_1/')) AS allowed
-  FROM fl GROUP BY k),
+  SELECT k, coalesce(bool_or(path IN (SELECT path FROM s_art) OR base_stem IN (SELECT base_stem FROM s_log)), false) AS has_artifact,
+         coalesce(bool_or(path IN (SELECT path FROM s_file) OR dir IN (SELECT dir FROM s_dir)), false) AS covered,
+         coalesce(bool_and(starts_with(path, 'economy/')), false) AS all_denied, coalesce(bool_or(starts_with(path, 'economy/')), false) AS any_denied,
+         coalesce(bool_or(starts_with(path, 'promo/brand_1/')), false) AS allowed
+  FROM (SELECT o_orderkey AS k FROM orders) LEFT JOIN fl USING (k) GROUP BY k),
 dec AS (
   SELECT r.*, CASE
     WHEN k IN (3, 5) THEN 'commit_whitelist' WHEN k IN (6, 7) THEN 'commit_blacklist' WHEN all_denied THEN 'path_blacklist_all'
@@ -133,7 +134,7 @@ pat AS (
          CASE WHEN p_partkey % 3 = 0 THEN lower(p_type) || '/brand_' || b || '/*' WHEN p_partkey % 5 = 0 THEN 're:^' || p_name WHEN p_partkey % 7 = 0 THEN p_name || '\*' ELSE p_name END AS pattern
   FROM pp),
 pr AS (SELECT p_type AS profile, p_brand AS rule, CAST(sum(p_size) % 101 AS INTEGER) AS weight, CAST(min(p_partkey) AS INTEGER) AS ord FROM pp GROUP BY 1, 2),
-pf AS (SELECT p_type AS profile, CAST(count(*) % 150 AS DOUBLE) AS weight, CAST(min(p_partkey) AS INTEGER) AS ord FROM pp GROUP BY 1)"""
+pf AS (SELECT p_type AS profile, CAST(15 * length(p_type) AS DOUBLE) AS weight, CAST(min(p_partkey) AS INTEGER) AS ord FROM pp GROUP BY 1)"""
 
 _STOP = ", ".join(f"'{w}'" for w in (*ACTIONS, *COMMON))
 TOKENS = rf"""tok AS (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from winnow.functions.patterns import pattern_type_column
 from winnow.sources import records as R
 from winnow.sources.catalog import Catalog
+from winnow.sources.stages import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,10 @@ DOC_CATALOG = Catalog(
         ("abuse_words", "path_blacklist", 0, "src3/*"),
         ("secrets", "keywords_whitelist", 0, "token"),
         ("secrets", "keywords_whitelist", 1, f"re:{EMAIL}"),
+        # invalid, beyond the JVM, and a class that is an intersection to the JVM alone: none of them matches a document
+        ("secrets", "keywords_whitelist", 2, "re:(token"),
+        ("secrets", "keywords_whitelist", 3, "re:(t)?(?(1)oken|never)"),
+        ("secrets", "keywords_whitelist", 4, "re:[\u2603&&\u2604][[]"),
         ("secrets", "commit_whitelist", 0, sha(12)),
         ("secrets", "commit_blacklist", 0, sha(11)),
     ],
@@ -75,7 +80,7 @@ EXTRA_SYMBOLS = [("CONFIG_URGENT=y",), ("CONFIG_LOW=m",)]
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return R.from_documents(table(spark, d, "documents"))
+    return R.from_documents(spread(table(spark, d, "documents")))
 
 
 def orders(spark: SparkSession, d: str) -> DataFrame:
@@ -133,7 +138,58 @@ def part_profile_rules(spark: SparkSession, d: str) -> DataFrame:
 
 def part_profiles(spark: SparkSession, d: str) -> DataFrame:
     by = _parts(spark, d).groupBy(F.col("p_type").alias("profile"))
-    return by.agg((F.count("*") % 150).cast("double").alias("weight"), F.min("p_partkey").cast("int").alias("ord"))
+    return by.agg((F.length(F.first("p_type")) * 15).cast("double").alias("weight"), F.min("p_partkey").cast("int").alias("ord"))
+
+
+def pattern_files(spark: SparkSession, d: str) -> DataFrame:
+    """A pattern file per brand, with comments and blank lines: path, value."""
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: F.concat(x["p_name"], F.lit("  # "), x["p_partkey"].cast("string")))
+    by = _parts(spark, d).groupBy("b").agg(F.array_join(lines, "\n").alias("lines"))
+    folder = F.concat(F.lit("file:/rules/brand"), F.col("b").cast("string"))
+    return by.select(F.concat(folder, F.lit("/keywords_whitelist.txt")).alias("path"), F.concat(F.lit("# names\n"), "lines", F.lit("\n\n")).alias("value")).union(by.select(F.concat(folder, F.lit("/notes.txt")), F.lit("none")))
+
+
+def profile_files(spark: SparkSession, d: str) -> DataFrame:
+    """A profile file per type, with comments: a rule's entry is a number, an object with a weight and extras, or empty. file, value.
+
+    Types of an even length have a name of their own.
+    """
+    by = part_profile_rules(spark, d)
+    weight = F.col("weight").cast("string")
+    extras = F.concat(F.lit('{"weight": '), weight, F.lit(', "path_whitelist_extra": ["a/*", "'), "profile", F.lit('/*"]}'))
+    spec = F.when(F.col("weight") % 3 == 0, weight).when(F.col("weight") % 3 == 1, extras).otherwise("{}")
+    entry = F.concat(F.lit('"'), "rule", F.lit('": '), spec)
+    rules = by.groupBy("profile").agg(F.array_join(F.array_sort(F.collect_list(entry)), ",\n").alias("rules"))
+    name = F.when(F.length("profile") % 2 == 0, F.concat(F.lit("all "), "profile")).otherwise(F.col("profile"))
+    value = F.concat(F.lit('{ // a profile\n"name": "'), name, F.lit('", # and\n"description": "https://x # y",\n"rules": {'), "rules", F.lit("}}"))
+    return rules.select(F.concat("profile", F.lit(".json")).alias("file"), value.alias("value"))
+
+
+def hint_files(spark: SparkSession, d: str) -> DataFrame:
+    """A hint file per region: nations with two prefixes or one that stands alone. value."""
+    n = table(spark, d, "nation")
+    entry = F.concat(F.lit('"'), "n_name", F.lit('": '), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit('["a/'), "n_name", F.lit('", "b"]'))).otherwise(F.concat(F.lit('"c/'), "n_name", F.lit('"'))))
+    return n.groupBy("n_regionkey").agg(F.concat(F.lit('{"// note": "x", '), F.array_join(F.collect_list(entry), ", "), F.lit("}")).alias("value")).select("value")
+
+
+def build_files(spark: SparkSession, d: str) -> DataFrame:
+    """Sources and what is built of them, as a listing: path."""
+    p = _parts(spark, d)
+    built = F.regexp_replace("path", r"\.c$", F.when(F.col("p_size") % 2 == 0, ".o").otherwise(".ko"))
+    at = lambda c: F.concat(F.lit("file:///build/out/"), c).alias("path")
+    return p.select(at(F.col("path"))).union(p.select(at(built))).union(p.select(F.concat(F.lit("file:///elsewhere/"), built)))
+
+
+def flagged_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as records whose texts say what their priority and status tell."""
+    o, key = table(spark, d, "orders"), F.col("o_orderkey").cast("string")
+    first = F.substring("o_orderpriority", 1, 1)
+    subject = F.when(first == "1", F.concat(F.lit("Fixes : "), F.substring(F.sha2(key, 256), 1, 8), F.lit(" in orders"))).otherwise(F.concat(F.lit("order "), key))
+    body = F.concat(
+        F.when(first == "2", F.concat(F.lit("see cve-2024-"), F.lpad(key, 5, "0"))).when(first == "3", "found by SyzBot").when(first == "4", "fixes: none").otherwise("plain"),
+        F.when(F.col("o_orderstatus") == "F", "\nCC: someone, stable list").otherwise("\nfixes: 0123456789ab"),
+    )
+    return o.select(F.sha2(key, 256).alias("record_id"), F.col("o_orderkey").alias("seq"), subject.alias("subject"), body.alias("body"))
 
 
 def makefile_blobs(spark: SparkSession, d: str) -> DataFrame:
@@ -148,7 +204,7 @@ def raw_log(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
         F.array_join(F.array_sort(F.collect_list(F.concat_ws("\t", F.when(F.col("l_quantity") > 40, "-").otherwise(F.col("l_quantity").cast("long").cast("string")), F.col("l_linenumber").cast("string"), F.concat(F.lit("p/"), F.col("l_partkey").cast("string"))))), "\n").alias("tail")
     )
-    o = table(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    o = table(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     head = F.concat(
         F.lit("\ncommit="),
         F.sha2(F.col("o_orderkey").cast("string"), 256),
@@ -164,4 +220,4 @@ def raw_log(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_orderstatus"),
         F.lit("\n\nsubject=not this\n"),
     )
-    return o.select(F.col("o_orderkey").alias("seq"), F.concat(head, F.lit(R.TAIL_MARK), F.lit("\n"), "tail", F.lit("\nalone.txt\n")).alias("value"))
+    return o.select(F.col("o_orderkey").alias("seq"), F.concat(head, F.lit(R.TAIL_MARK), F.lit("\n"), F.coalesce("tail", F.lit("")), F.lit("\nalone.txt\n")).alias("value"))

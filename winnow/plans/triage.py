@@ -19,16 +19,22 @@ class Triage:
     dropped: DataFrame
 
 
+def judged(decided: DataFrame, catalog: Catalog, threshold: object = 0) -> DataFrame:
+    """Decided records with their scores, filter_reason (why either filter drops them, else null) and src (0: the pre-filter drops it, 1: the threshold decides)."""
+    early = F.col("action") == "drop"
+    late = rank.postfilter(score.scored(decided, catalog), threshold)
+    return late.withColumns({"filter_reason": F.when(early, F.col("reason")).otherwise(F.col("filter_reason")), "src": F.when(early, 0).otherwise(1)})
+
+
 def triage(records: DataFrame, catalog: Catalog, sets: DataFrame | None = None, threshold: float = 0, require_coverage: bool | None = None) -> Triage:
-    """Lazy tables of each step. sets: what is built; see compiled_sets."""
+    """The tables of each step, of which ranked is written. sets: what is built; see compiled_sets."""
     decided = prefilter.decide(records, catalog, sets, require_coverage=require_coverage)
-    scored = rank.postfilter(score.scored(prefilter.kept(decided), catalog), threshold)
-    passed = scored.where("filter_reason is null")
-    low = scored.where("filter_reason is not null")
-    return Triage(decided, scored, rank.ranked(passed), report.all_dropped(prefilter.dropped(decided), low))
+    every = judged(decided, catalog, threshold)
+    scored = every.where("action = 'keep'").drop("action", "reason", "src")
+    dropped = every.where("filter_reason is not null").drop("action", "reason", "hits", "blocks")
+    return Triage(decided, scored, rank.ranked(scored.where("filter_reason is null")), dropped)
 
 
 def full_report(t: Triage, catalog: Catalog, n: int = 5000) -> dict[str, DataFrame]:
     ranked = t.ranked if "product_evidence" in t.ranked.columns else t.ranked.withColumn("product_evidence", F.array().cast("array<string>"))
-    profiles = rank.profile_frame(catalog, ranked)
-    return report.report(ranked, t.dropped, profiles, catalog.names(), n)
+    return report.report(ranked, t.dropped, rank.profile_frame(catalog, ranked), n)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +12,10 @@ from winnow.functions import patterns as P
 from winnow.functions import scalars as S
 from winnow.operators import evidence, prefilter, quality, rank, report, score, tables, tokens
 from winnow.plans import bindings as B
+from winnow.plans import triage
 from winnow.sources import catalog as C
 from winnow.sources import product, records
+from winnow.sources.stages import cut, new_path, spread
 from winnow.streaming import scores as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,16 +56,26 @@ def _sets(s: SparkSession, d: str) -> DataFrame:
 
 
 def _decided(s: SparkSession, d: str) -> DataFrame:
-    return prefilter.decide(B.orders(s, d), B.ORDER_CATALOG, _sets(s, d))
+    # several joins read both: written once
+    return prefilter.decide(cut(B.orders(s, d), "orders"), B.ORDER_CATALOG, cut(_sets(s, d), "sets"))
+
+
+def _judged(s: SparkSession, d: str) -> DataFrame:
+    return triage.judged(_decided(s, d), B.ORDER_CATALOG, 50)
 
 
 def _order_scores(s: SparkSession, d: str) -> DataFrame:
-    return rank.postfilter(score.scored(prefilter.kept(_decided(s, d)), B.ORDER_CATALOG), 50)
+    return _judged(s, d).where("action = 'keep'")
 
 
-def _touched(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    r = B.orders(s, d)
-    return r, evidence.infer_paths(r, B.hints(s))
+def _all_dropped(s: SparkSession, d: str) -> DataFrame:
+    return _judged(s, d).where("filter_reason is not null")
+
+
+def _guesses(s: SparkSession, d: str) -> DataFrame:
+    """Guessed paths need no files: they are read from the orders alone."""
+    r = B.table(s, d, "orders").select(F.sha2(F.col("o_orderkey").cast("string"), 256).alias("record_id"), F.col("o_orderpriority").alias("subject"))
+    return evidence.infer_paths(r, B.hints(s))
 
 
 # sources
@@ -74,7 +85,7 @@ def _touched(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, o_orderpriority AS subject, 'status ' || o_orderstatus || '  subject=not this' AS body,
     'customer ' || o_custkey AS author_name, CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE CAST(epoch(o_orderdate) AS BIGINT) END AS author_time, CAST(7 AS BIGINT) AS commit_time,
     CASE WHEN o_orderkey % 4 = 0 THEN 'a; b' ELSE 'a' END AS parents, (SELECT string_agg(f, '; ' ORDER BY f) FROM (SELECT DISTINCT 'p/' || l_partkey AS f FROM lineitem WHERE l_orderkey = o_orderkey UNION SELECT 'alone.txt')) AS files
-    FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)"""
+    FROM orders"""
 )
 def ingest_log(s, d):
     r = records.parse_log(B.raw_log(s, d))
@@ -82,25 +93,24 @@ def ingest_log(s, d):
 
 
 @query(
-    """SELECT sha256(CAST(l_orderkey AS VARCHAR)) AS record_id, count(DISTINCT l_partkey) + 1 AS n_files,
-    CAST(sum(CASE WHEN l_quantity > 40 THEN 0 ELSE trunc(l_quantity) END) AS BIGINT) AS added, CAST(sum(l_linenumber) AS BIGINT) AS deleted, count(*) FILTER (l_quantity > 40) AS "binary"
-    FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey"""
+    """SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, count(DISTINCT l_partkey) + 1 AS n_files,
+    CAST(coalesce(sum(CASE WHEN l_quantity > 40 THEN 0 ELSE trunc(l_quantity) END), 0) AS BIGINT) AS added, CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS deleted, count(*) FILTER (l_quantity > 40) AS "binary"
+    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey"""
 )
 def numstat_rollup(s, d):
     return records.numstat_rollup(records.parse_log(B.raw_log(s, d)))
 
 
-@query("SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)")
+@query("SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id FROM orders WHERE o_orderkey % 4 <> 0")
 def without_merges(s, d):
     return records.without_merges(records.parse_log(B.raw_log(s, d))).select("record_id")
 
 
-@query("SELECT DISTINCT trim(p_name) || '=y' AS symbol FROM (SELECT 'CONFIG_BRAND_' || b AS p_name FROM pp WHERE p_partkey % 2 = 0)", O.PARTS)
+@query("SELECT DISTINCT 'CONFIG_BRAND_' || b || '=y' AS symbol FROM pp WHERE p_size % 2 = 0", O.PARTS)
 def kconfig_enabled(s, d):
-    lines = B.config_paths(s, d).join(B.table(s, d, "part").where("p_partkey % 2 = 0").select(F.concat(F.lit("CONFIG_BRAND_"), F.regexp_extract("p_brand", r"(\d+)$", 1)).alias("symbol")).distinct(), "symbol", "left_semi")
-    on = lines.select(F.concat(F.lit("  "), "symbol", F.lit("=y ")).alias("value"))
-    off = lines.select(F.concat(F.lit("# "), "symbol", F.lit(" is not set")).alias("value"))
-    return product.enabled_symbols(on.union(off)).distinct()
+    p = B.table(s, d, "part").withColumn("name", F.concat(F.lit("CONFIG_BRAND_"), F.regexp_extract("p_brand", r"(\d+)$", 1)))
+    line = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("  "), "name", F.lit("=y "))).otherwise(F.concat(F.lit("# "), "name", F.lit(" is not set")))
+    return product.enabled_symbols(p.select(line.alias("value"))).distinct()
 
 
 @query(
@@ -126,7 +136,7 @@ def makefile_map(s, d):
     O.ORDERS,
 )
 def log_objects(s, d):
-    return product.log_objects(B.table(s, d, "documents").select(F.col("text").alias("value")).union(B.log_lines(s, d)))
+    return product.log_objects(spread(B.table(s, d, "documents")).select(F.col("text").alias("value")).union(B.log_lines(s, d)))
 
 
 @query("SELECT sha256(CAST(doc_id AS VARCHAR)) AS record_id, doc_id AS seq FROM documents ORDER BY doc_id LIMIT 100")
@@ -163,7 +173,7 @@ def score_tiers(s, d):
 
 @query("SELECT record_id, coalesce(string_agg(prefix, '; ' ORDER BY prefix), '') AS touched FROM r LEFT JOIN guess USING (record_id) GROUP BY record_id", O.ORDERS)
 def infer_paths(s, d):
-    return _touched(s, d)[1].select("record_id", text_of("touched"))
+    return _guesses(s, d).select("record_id", text_of("touched"))
 
 
 @query("SELECT event_id AS seq, CAST(event_id AS VARCHAR) AS rev FROM events WHERE event_id % 100 = 0 OR event_id = (SELECT max(event_id) FROM events)")
@@ -187,12 +197,12 @@ def any_match(s, d):
     return B.documents(s, d).select("record_id", P.any_match(B.DOC_CATALOG.of_rule("license_terms", "keywords_whitelist"), F.col("body")).alias("hit"))
 
 
-@query("SELECT record_id, bool_or(starts_with(path, 'promo/brand_1/') OR regexp_matches(path, '(^|[^a-z0-9_])ring')) AS hit FROM r JOIN fl USING (k) GROUP BY record_id", O.ORDERS)
+@query("SELECT record_id, coalesce(bool_or(starts_with(path, 'promo/brand_1/') OR regexp_matches(path, '(^|[^a-z0-9_])ring')), false) AS hit FROM r LEFT JOIN fl USING (k) GROUP BY record_id", O.ORDERS)
 def any_file_match(s, d):
     return B.orders(s, d).select("record_id", P.any_file_match(["promo/brand_1/*", r"re:(^|[^a-z0-9_])ring"], F.col("files")).alias("hit"))
 
 
-@query("SELECT record_id, bool_and(starts_with(path, 'economy/') OR starts_with(path, 'small/')) AS hit FROM r JOIN fl USING (k) GROUP BY record_id", O.ORDERS)
+@query("SELECT record_id, coalesce(bool_and(starts_with(path, 'economy/') OR starts_with(path, 'small/')), false) AS hit FROM r LEFT JOIN fl USING (k) GROUP BY record_id", O.ORDERS)
 def all_files_match(s, d):
     return B.orders(s, d).select("record_id", P.all_files_match(["economy/*", "small/*"], F.col("files")).alias("hit"))
 
@@ -254,12 +264,68 @@ def rule_counts(s, d):
 
 @query(
     """SELECT 'weight_range' AS problem, profile AS name FROM pf WHERE NOT weight BETWEEN 0 AND 100
-    UNION ALL SELECT 'empty_rule', rule FROM (SELECT DISTINCT rule FROM pr) WHERE rule NOT IN (SELECT rule FROM pat WHERE kind = 'path_whitelist' AND ord % 2 = 0)""",
+    UNION ALL SELECT 'no_rules', r_name FROM region UNION ALL SELECT DISTINCT 'empty_rule', 'rule of ' || p_type FROM part""",
     O.PARTS,
 )
 def dq_profiles(s, d):
-    some = B.part_patterns(s, d).where("kind = 'path_whitelist' and ord % 2 = 0")
-    return quality.profile_problems(B.part_profiles(s, d), B.part_profile_rules(s, d), some)
+    bare = B.table(s, d, "region").select(F.col("r_name").alias("profile"), F.lit(50.0).alias("weight"), F.lit(0).alias("ord"))
+    profiles, rules = B.part_profiles(s, d), B.part_profile_rules(s, d)
+    unknown = profiles.select("profile", F.concat(F.lit("rule of "), "profile").alias("rule"), F.lit(1).alias("weight"), F.lit(0).alias("ord"))
+    return quality.profile_problems(profiles.union(bare), rules.union(unknown), B.part_patterns(s, d))
+
+
+@query("SELECT profile, weight / 100 AS multiplier FROM pf", O.PARTS)
+def profile_multipliers(s, d):
+    return B.part_profiles(s, d).select("profile", C.multiplier_column(F.col("weight").cast("string")).alias("multiplier"))
+
+
+@query(
+    "SELECT 0 AS tier, 'file:/rules/brand' || b AS \"dir\", 'brand' || b AS rule, 'keywords_whitelist' AS kind, CAST(row_number() OVER (PARTITION BY b ORDER BY p_partkey) AS INTEGER) AS ord, p_name AS pattern FROM pp",
+    O.PARTS,
+)
+def catalog_patterns(s, d):
+    return C.parse_patterns(B.pattern_files(s, d))
+
+
+_NAMED = "CASE WHEN length(profile) % 2 = 0 THEN 'all ' || profile ELSE profile END"
+
+
+@query(f"SELECT {_NAMED} AS profile, rule, CAST(CASE WHEN weight % 3 = 2 THEN 50 ELSE weight END AS INTEGER) AS weight FROM pr", O.PARTS)
+def catalog_profiles(s, d):
+    return C.parse_profiles(B.profile_files(s, d))[1].select("profile", "rule", "weight")
+
+
+@query(
+    f"""SELECT rule, profile, 'path_whitelist' AS kind, CAST(ord AS INTEGER) AS ord, pattern FROM (SELECT rule, profile, unnest([0, 1]) AS ord, unnest(['a/*', type || '/*']) AS pattern FROM (
+    SELECT rule, min({_NAMED}) AS profile, arg_min(profile, {_NAMED}) AS type FROM pr WHERE weight % 3 = 1 GROUP BY rule))""",
+    O.PARTS,
+)
+def rule_extras(s, d):
+    return C.parse_profiles(B.profile_files(s, d))[2]
+
+
+@query("SELECT profile AS stem, 'all ' || profile AS profile FROM pf WHERE length(profile) % 2 = 0", O.PARTS)
+def profile_stems(s, d):
+    return C.profile_name_problems(C.parse_profiles(B.profile_files(s, d))[0])
+
+
+@query(
+    """SELECT sha256(string_agg(line, chr(10) ORDER BY line)) AS fingerprint FROM (SELECT concat_ws(chr(9), 'pattern', rule, kind, ord, pattern) AS line FROM pat
+    UNION ALL SELECT concat_ws(chr(9), 'profile', profile, CAST(weight AS VARCHAR)) FROM pf UNION ALL SELECT concat_ws(chr(9), 'rule', profile, rule, weight) FROM pr)""",
+    O.PARTS,
+)
+def catalog_fingerprint(s, d):
+    return C.fingerprint(B.part_patterns(s, d), B.part_profiles(s, d), B.part_profile_rules(s, d))
+
+
+@query("SELECT n_name AS keyword, unnest(CASE WHEN n_nationkey % 2 = 0 THEN ['a/' || n_name, 'b'] ELSE ['c/' || n_name] END) AS prefix FROM nation")
+def hints_scan(s, d):
+    return product.parse_hints(B.hint_files(s, d))
+
+
+@query("SELECT replace(path, '.c', CASE WHEN p_size % 2 = 0 THEN '.o' ELSE '.ko' END) AS path FROM pp", O.ORDERS)
+def artifact_listing(s, d):
+    return product.artifact_paths(B.build_files(s, d), "file:/build/out/")
 
 
 # pre-filter
@@ -282,8 +348,7 @@ def prefilter_dropped(s, d):
 
 @query("SELECT reason AS filter_reason, count(*) AS n FROM dk WHERE action = 'drop' GROUP BY 1 UNION ALL SELECT filter_reason, count(*) FROM low WHERE filter_reason IS NOT NULL GROUP BY 1", O.ORDERS)
 def dropped_reasons(s, d):
-    low = _order_scores(s, d).where("filter_reason is not null")
-    return prefilter.reason_counts(report.all_dropped(prefilter.dropped(_decided(s, d)), low))
+    return prefilter.reason_counts(_all_dropped(s, d))
 
 
 @query("SELECT DISTINCT 'file' AS kind, path AS value FROM s_file UNION ALL SELECT 'dir', dir FROM s_dir UNION ALL SELECT 'artifact', replace(path, '.c', '') FROM s_art UNION ALL SELECT 'log', base_stem FROM s_log", O.ORDERS)
@@ -340,7 +405,7 @@ def matched_profiles(s, d):
 
 
 @query(
-    "SELECT record_id, profile, rule, matched_level, kind, pattern, value FROM rl LEFT JOIN (SELECT record_id, rule, kind, pattern, value FROM ph) USING (record_id, rule)", O.DOCS, O.RULES, O.PATTERN_HITS
+    "SELECT record_id, profile, rule, matched_level, CASE WHEN matched THEN weight ELSE 0 END AS rule_score, final_score AS profile_score, kind, pattern, value FROM rl JOIN ps USING (record_id, profile) LEFT JOIN (SELECT record_id, rule, kind, pattern, value FROM ph) USING (record_id, rule)", O.DOCS, O.RULES, O.PATTERN_HITS
 )
 def rule_trace(s, d):
     return score.rule_trace(_scored(s, d), B.DOC_CATALOG)
@@ -353,8 +418,7 @@ def rule_trace(s, d):
     O.RULES,
 )
 def trace_summary(s, d):
-    scored = _scored(s, d)
-    return score.trace_summary(score.rule_hits(scored, B.DOC_CATALOG), score.profile_scores(scored))
+    return score.trace_summary(_scored(s, d), B.DOC_CATALOG)
 
 
 # threshold and rank
@@ -367,12 +431,12 @@ def postfilter(s, d):
 
 @query("SELECT record_id, score, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM t", O.DOCS)
 def ranked(s, d):
-    return rank.ranked(_scored(s, d)).select("record_id", "score", "rank")
+    return rank.ranked(_scored(s, d).select("record_id", "seq", "score")).select("record_id", "score", "rank")
 
 
 @query("SELECT record_id, subject, score, rank FROM (SELECT *, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM t) WHERE rank <= 20", O.DOCS)
 def top_n(s, d):
-    return rank.top_n(rank.ranked(_scored(s, d)), 20).select("record_id", "subject", "score", "rank")
+    return rank.best(_scored(s, d), 20).select("record_id", "subject", "score", "rank")
 
 
 # evidence
@@ -380,22 +444,22 @@ def top_n(s, d):
 
 @query("SELECT record_id, tag FROM ev_map", O.ORDERS)
 def evidence_config_map(s, d):
-    return evidence.config_map(B.orders(s, d), B.config_paths(s, d))
+    return evidence.config_map(cut(B.orders(s, d).select("record_id", "files"), "orders"), B.config_paths(s, d))
 
 
 @query("SELECT record_id, tag FROM ev_dir", O.ORDERS)
 def evidence_config_dir(s, d):
-    return evidence.config_dir(_touched(s, d)[1], product.config_dirs(B.config_paths(s, d)))
+    return evidence.config_dir(_guesses(s, d), product.config_dirs(B.config_paths(s, d)))
 
 
 @query("SELECT record_id, tag FROM ev_log", O.ORDERS)
 def evidence_build_log(s, d):
-    return evidence.build_log(_touched(s, d)[1], product.log_objects(B.log_lines(s, d)))
+    return evidence.build_log(_guesses(s, d), product.log_objects(B.log_lines(s, d)))
 
 
 @query("SELECT record_id, tag FROM ev_art", O.ORDERS)
 def evidence_artifact(s, d):
-    return evidence.artifact(_touched(s, d)[1], B.artifacts(s, d))
+    return evidence.artifact(_guesses(s, d), B.artifacts(s, d))
 
 
 @query("SELECT record_id, tag FROM ev_text", O.ORDERS)
@@ -405,8 +469,8 @@ def evidence_config_text(s, d):
 
 @query("SELECT record_id, coalesce(string_agg(tag, '; ' ORDER BY tag), '') AS product_evidence FROM r LEFT JOIN ev USING (record_id) GROUP BY record_id", O.ORDERS)
 def product_evidence(s, d):
-    r, touched = _touched(s, d)
-    paths = B.config_paths(s, d)
+    r, paths = cut(B.orders(s, d).drop("author_name", "author_time"), "orders"), cut(B.config_paths(s, d), "paths")
+    touched = cut(_guesses(s, d), "touched")
     found = evidence.product_evidence(r, touched, paths, product.config_dirs(paths), product.log_objects(B.log_lines(s, d)), B.artifacts(s, d), B.symbols(s, d))
     return found.select("record_id", text_of("product_evidence"))
 
@@ -448,35 +512,41 @@ def incremental_new(s, d):
 # reports
 
 
-@query(
-    """SELECT p.profile AS profile, count(t.record_id) AS n, CAST(coalesce(sum(score), 0) AS BIGINT) AS total_score, coalesce(avg(score), 0) AS avg_score
-    FROM (VALUES ('legal'), ('safety'), ('broad')) p(profile) LEFT JOIN t ON contains(matched, p.profile) GROUP BY p.profile""",
-    O.DOCS,
-)
+_SUMMARY = """SELECT p.profile AS profile, description, count(t.record_id) AS n, CAST(coalesce(sum(score), 0) AS BIGINT) AS total_score, coalesce(round_even(avg(score), 1), 0) AS avg_score
+    FROM (VALUES ('legal', 'licence terms'), ('safety', 'abuse and secrets'), ('broad', 'anything of note')) p(profile, description) LEFT JOIN t ON contains(matched, p.profile) GROUP BY ALL"""
+
+
+@query(_SUMMARY, O.DOCS)
 def profile_summary(s, d):
     scored = _scored(s, d)
     return report.profile_summary(scored, rank.profile_frame(B.DOC_CATALOG, scored))
 
 
+@query(f"SELECT * FROM ({_SUMMARY}) ORDER BY n DESC, profile LIMIT 2", O.DOCS)
+def summary_by_count(s, d):
+    return report.by_count(profile_summary(s, d)).limit(2)
+
+
 @query("SELECT count(*) FILTER (matched = '') AS unmatched, count(*) FILTER (f IS NOT NULL) AS with_evidence FROM t JOIN (SELECT record_id, CASE WHEN starts_with(f, 'src1/') THEN f END AS f FROM d) USING (record_id)", O.DOCS)
 def coverage_metrics(s, d):
     return report.coverage_metrics(_scored(s, d).withColumn("product_evidence", F.filter("files", lambda f: f.startswith("src1/"))))
 
 
-_STATS = """(SELECT (SELECT count(*) FROM r) AS collected, count(*) AS kept, (SELECT count(*) FROM r) - count(*) AS dropped, count(*) AS scored, CAST(50 AS DOUBLE) AS threshold,
-    count(*) FILTER (filter_reason IS NOT NULL) AS post_dropped, least(count(*) FILTER (filter_reason IS NULL), 5000) AS reported, CAST(5000 AS BIGINT) AS top_n,
-    CAST(coalesce(max(score) FILTER (filter_reason IS NULL), 0) AS BIGINT) AS max_score, CAST(coalesce(min(score) FILTER (filter_reason IS NULL), 0) AS BIGINT) AS min_score,
-    coalesce(avg(score) FILTER (filter_reason IS NULL), 0) AS avg_score FROM low)"""
+_STATS_COLUMNS = ("collected", "kept", "dropped", "scored", "threshold", "post_dropped", "reported", "top_n", "max_score", "min_score", "avg_score", "unmatched", "with_evidence")
+_STATS = """(SELECT * FROM (SELECT (SELECT count(*) FROM r) AS collected, count(*) AS kept, (SELECT count(*) FROM r) - count(*) AS dropped, count(*) AS scored, CAST(50 AS DOUBLE) AS threshold,
+    count(*) FILTER (filter_reason IS NOT NULL) AS post_dropped, CAST(5000 AS BIGINT) AS top_n FROM low), (SELECT count(*) AS reported, CAST(coalesce(max(score), 0) AS BIGINT) AS max_score, CAST(coalesce(min(score), 0) AS BIGINT) AS min_score,
+    coalesce(round_even(avg(score), 1), 0) AS avg_score, count(*) FILTER (score = 0 AND NOT blocked AND capped = 0) AS unmatched, count(*) FILTER (k IN (SELECT k FROM fl WHERE starts_with(path, 'promo/'))) AS with_evidence
+    FROM (SELECT * FROM low WHERE filter_reason IS NULL ORDER BY score DESC, seq LIMIT 5000)))"""
 
 
 @query(f"SELECT * FROM {_STATS}", O.ORDERS)
 def report_stats(s, d):
-    kept = prefilter.kept(_decided(s, d))
-    return report.report_stats(B.orders(s, d), kept, _order_scores(s, d), 50, 5000)
+    judged = _judged(s, d).withColumn("product_evidence", F.filter("files", lambda f: f.startswith("promo/")))
+    return report.report_stats(judged, 50, 5000)
 
 
 @query(
-    f"SELECT metric, value FROM (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in ('collected', 'kept', 'dropped', 'scored', 'threshold', 'post_dropped', 'reported', 'top_n', 'max_score', 'min_score', 'avg_score'))} FROM {_STATS}) UNPIVOT (value FOR metric IN (collected, kept, dropped, scored, threshold, post_dropped, reported, top_n, max_score, min_score, avg_score))",
+    f"SELECT metric, value FROM (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _STATS_COLUMNS)} FROM {_STATS}) UNPIVOT (value FOR metric IN ({', '.join(_STATS_COLUMNS)}))",
     O.ORDERS,
 )
 def stats_kv(s, d):
@@ -484,13 +554,13 @@ def stats_kv(s, d):
 
 
 @query(
-    """SELECT record_id, CAST(max(CASE WHEN profile = 'broad' AND contains(matched, 'broad') THEN final_score ELSE 0 END) AS INTEGER) AS broad,
-    CAST(max(CASE WHEN profile = 'legal' AND contains(matched, 'legal') THEN final_score ELSE 0 END) AS INTEGER) AS legal,
-    CAST(max(CASE WHEN profile = 'safety' AND contains(matched, 'safety') THEN final_score ELSE 0 END) AS INTEGER) AS safety FROM ps JOIN t USING (record_id) GROUP BY record_id""",
+    """SELECT rank, substring(record_id, 1, 12) AS "commit", score, subject, broad, legal, safety FROM (SELECT record_id, subject, score, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM t)
+    JOIN (SELECT record_id, max(final_score) FILTER (profile = 'broad') AS broad, max(final_score) FILTER (profile = 'legal') AS legal, max(final_score) FILTER (profile = 'safety') AS safety FROM ps GROUP BY record_id) USING (record_id)""",
     O.DOCS,
 )
 def profile_matrix_wide(s, d):
-    return report.profile_matrix_wide(_scored(s, d), B.DOC_CATALOG.names())
+    ranked = rank.ranked(_scored(s, d).select("record_id", "seq", "subject", "score", "matched_profiles", "profile_scores"))
+    return report.profile_matrix_wide(ranked, report.seen_profiles(ranked))
 
 
 @query("SELECT record_id, profile, final_score AS score FROM ps WHERE final_score > 0 OR blocked OR any_hit", O.DOCS)
@@ -500,8 +570,9 @@ def profile_matrix_long(s, d):
 
 @query("SELECT record_id, reason AS filter_reason, 0 AS src FROM dk WHERE action = 'drop' UNION ALL SELECT record_id, filter_reason, 1 FROM low WHERE filter_reason IS NOT NULL", O.ORDERS)
 def all_dropped(s, d):
-    low = _order_scores(s, d).where("filter_reason is not null")
-    return report.all_dropped(prefilter.dropped(_decided(s, d)), low).select("record_id", "filter_reason", "src")
+    judged = cut(_judged(s, d).select("record_id", "seq", "action", "reason", "filter_reason"), "judged")
+    early, low = prefilter.dropped(judged.drop("filter_reason")), judged.where("action = 'keep' and filter_reason is not null").drop("action", "reason")
+    return report.all_dropped(early, low).select("record_id", "filter_reason", "src")
 
 
 @query(
@@ -568,26 +639,27 @@ def facets(s, d):
 
 @query("SELECT token, n FROM tc", O.TOKENS)
 def token_counts(s, d):
-    return tokens.token_counts(B.table(s, d, "documents"))
+    return tokens.token_counts(spread(B.table(s, d, "documents")))
 
 
-_PREFERRED, _ALWAYS = ["the", "license", "zzz", "net", "token", "mit"], ["net"]
+_PREFERRED = [*tokens.PREFERRED, "license", "zzz", "token", "mit"]
+_ALWAYS = ", ".join(f"'{t}'" for t in tokens.ALWAYS)
 
 
 @query(
-    f"""SELECT token FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token = 'net'
-    UNION ALL SELECT token FROM (SELECT * FROM (SELECT * FROM tc ORDER BY n DESC, token LIMIT 200) WHERE n >= 2 AND regexp_matches(token, '^[a-z][a-z0-9+.-]*$') AND token NOT IN (SELECT token FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token = 'net')
-    ORDER BY n DESC, token LIMIT (SELECT 80 - count(*) FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token = 'net'))""",
+    f"""SELECT token FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token IN ({_ALWAYS})
+    UNION ALL SELECT token FROM (SELECT * FROM (SELECT * FROM tc ORDER BY n DESC, token LIMIT 200) WHERE n >= 2 AND regexp_matches(token, '^[a-z][a-z0-9+.-]*$') AND token NOT IN (SELECT token FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token IN ({_ALWAYS}))
+    ORDER BY n DESC, token LIMIT (SELECT 80 - count(*) FROM (SELECT unnest({_PREFERRED}) AS token) WHERE token IN (SELECT token FROM tc) OR token IN ({_ALWAYS})))""",
     O.TOKENS,
 )
 def top_prefixes(s, d):
-    counts = tokens.token_counts(B.table(s, d, "documents"))
-    return tokens.top_prefixes(counts, _PREFERRED, _ALWAYS).select("token")
+    counts = tokens.token_counts(spread(B.table(s, d, "documents")))
+    return tokens.top_prefixes(counts, _PREFERRED).select("token")
 
 
 @query(r"SELECT 're:^' || token || '(?:\s|:|$)' AS pattern FROM tc WHERE regexp_matches(token, '^[a-z0-9]+$') AND n >= 5", O.TOKENS)
 def prefix_patterns(s, d):
-    counts = tokens.token_counts(B.table(s, d, "documents")).where("n >= 5")
+    counts = tokens.token_counts(spread(B.table(s, d, "documents"))).where("n >= 5")
     return tokens.pattern_lines(counts.where(F.col("token").rlike("^[a-z0-9]+$")))
 
 
@@ -596,9 +668,103 @@ def prefix_patterns(s, d):
 
 @query("SELECT record_id, score FROM t", O.DOCS)
 def stream_scores(s, d):
-    base = (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir() or "/tmp/winnow-streams").rstrip("/")
-    at = f"{base}/stream-{uuid.uuid4().hex}"
-    B.documents(s, d).write.json(f"{at}/in")
+    at = new_path(s, "stream")
+    report.write_lines(B.documents(s, d), f"{at}/in")
     done = streaming.write_stream(streaming.score_stream(streaming.read_stream(s, f"{at}/in"), B.DOC_CATALOG), f"{at}/out", f"{at}/state")
     done.awaitTermination()
     return s.read.parquet(f"{at}/out").select("record_id", "score")
+
+
+@query("SELECT record_id, 'now' AS fingerprint, score FROM t", O.DOCS)
+def score_increments(s, d):
+    path, docs = new_path(s, "increments"), B.documents(s, d)
+    early = docs.where("author_name < 'src2'")
+    streaming.score_increment(early, path, B.DOC_CATALOG, "now")
+    return streaming.score_increment(docs, path, B.DOC_CATALOG, "now")
+
+
+# flags
+
+
+@query(
+    r"""SELECT record_id, is_fix, has_cve, has_syzbot, has_stable_cc, array_to_string(list_filter([CASE WHEN is_fix THEN 'is_fix' END, CASE WHEN has_cve THEN 'has_cve' END, CASE WHEN has_syzbot THEN 'has_syzbot' END, CASE WHEN has_stable_cc THEN 'has_stable_cc' END], lambda x: x IS NOT NULL), '; ') AS meta_flags
+    FROM (SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, starts_with(o_orderpriority, '1') OR o_orderstatus <> 'F' AS is_fix, starts_with(o_orderpriority, '2') AS has_cve, starts_with(o_orderpriority, '3') AS has_syzbot, o_orderstatus = 'F' AS has_stable_cc FROM orders)"""
+)
+def commit_flags(s, d):
+    return score.annotated(B.flagged_orders(s, d)).select("record_id", "is_fix", "has_cve", "has_syzbot", "has_stable_cc", text_of("meta_flags"))
+
+
+@query("SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id FROM orders WHERE starts_with(o_orderpriority, '1')")
+def flags_of_flat_bodies(s, d):
+    return score.annotated(B.flagged_orders(s, d), flatten_body=True).where("is_fix").select("record_id")
+
+
+# checks
+
+
+@query("SELECT record_id, 'score' AS field FROM d WHERE author_name = 'src1' UNION ALL SELECT record_id, 'product_evidence' FROM d", O.DOCS)
+def dq_scored(s, d):
+    return quality.incomplete_scores(_scored(s, d).withColumn("score", F.when(F.col("author_name") != "src1", F.col("score"))))
+
+
+@query("SELECT record_id FROM dk WHERE action = 'drop' AND starts_with(subject, '5')", O.ORDERS)
+def dq_reasons(s, d):
+    dropped = prefilter.dropped(_decided(s, d))
+    return quality.without_reason(dropped.withColumn("filter_reason", F.when(~F.col("subject").startswith("5"), F.col("filter_reason")))).select("record_id")
+
+
+@query("SELECT record_id, reason AS filter_reason FROM dk WHERE action = 'drop' ORDER BY seq LIMIT 50", O.ORDERS)
+def dropped_sample(s, d):
+    return prefilter.inspect(_all_dropped(s, d), "prefilter", 50)[1].select("record_id", "filter_reason")
+
+
+# sinks, each read back
+
+
+@query("SELECT record_id, 'record_id,subject,body,author_name,files,score,matched_profiles,seq,_note' AS keys FROM t", O.DOCS)
+def json_records(s, d):
+    path = new_path(s, "json")
+    report.write_json(_scored(s, d).select(F.lit("x").alias("_note"), "seq", "score", "matched_profiles", "files", "body", "author_name", "subject", "record_id"), path)
+    return s.read.text(path).select(F.get_json_object("value", "$.record_id").alias("record_id"), F.array_join(F.json_object_keys("value"), ",").alias("keys"))
+
+
+@query("SELECT record_id, seq, subject, author_name FROM r", O.ORDERS)
+def collected_lines(s, d):
+    path = new_path(s, "lines")
+    report.write_lines(B.orders(s, d).select("record_id", "seq", "subject", "author_name"), path)
+    return s.read.schema("record_id string, seq long, subject string, author_name string").json(path)
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 500 AND contains(lower(c_mktsegment), 'auto')")
+def export_csv(s, d):
+    path = new_path(s, "csv")
+    tables.export(B.table(s, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), path, tokens={"c_acctbal": ">500"}, chosen={"c_mktsegment": ["AUTO"]})
+    return s.read.schema("c_custkey long, c_name string, c_acctbal double, c_mktsegment string").csv(path, header=True).select("c_custkey", "c_name")
+
+
+@query("SELECT record_id, substring(record_id, 1, 2) AS s1, substring(record_id, 3, 2) AS s2 FROM d", O.DOCS)
+def detail_files(s, d):
+    path = new_path(s, "details")
+    docs = B.documents(s, d).select("record_id", "seq", F.lit(1).alias("src"))
+    report.write_details(docs.union(docs.withColumn("src", F.lit(2))), path)
+    return s.read.schema("record_id string, s1 string, s2 string").json(path)
+
+
+@query("SELECT record_id, subject, author_name, CAST(NULL AS VARCHAR) AS author_time, score, matched AS matched_profiles, CASE WHEN score < 40 THEN 'score_below_threshold (40.0)' END AS filter_reason FROM t", O.DOCS)
+def table_rows(s, d):
+    rows = report.table_rows(rank.postfilter(_scored(s, d), "40"))
+    return rows.withColumn("matched_profiles", text_of("matched_profiles"))
+
+
+@query("SELECT record_id, score FROM t", O.DOCS)
+def stage_tables(s, d):
+    path = new_path(s, "table")
+    report.write_table(_scored(s, d).select("record_id", "score"), path)
+    none = records.stage_table(s, new_path(s, "absent"), "record_id string, score int")
+    return records.stage_table(s, path, "record_id string, score int").union(none)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
+def sorted_table(s, d):
+    o = B.table(s, d, "orders").select("o_orderkey", "o_totalprice")
+    return tables.sort_table(o.withColumn("shown", F.col("o_totalprice").cast("string")), "shown", descending=True).limit(100).drop("shown")

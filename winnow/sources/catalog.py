@@ -71,11 +71,9 @@ def rule_weight(spec: Column) -> Column:
     return F.coalesce(spec.try_cast("int"), F.get_json_object(spec, "$.weight").try_cast("int"), F.lit(DEFAULT_WEIGHT))
 
 
-def read_patterns(spark: SparkSession, folder: str, tier: int = 0) -> DataFrame:
-    """Pattern files <folder>/<rule>/<kind>.txt: tier, dir, rule, kind, ord, pattern. Comments and blank lines are left out."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*list.txt").text(folder, wholetext=True)
-    path = F.col("_metadata.file_path")
-    lines = files.select(path.alias("path"), F.posexplode(F.split("value", "\r?\n")).alias("ord", "line"))
+def parse_patterns(files: DataFrame, tier: int = 0) -> DataFrame:
+    """Pattern files(path, value), <folder>/<rule>/<kind>.txt: tier, dir, rule, kind, ord, pattern. Comments and blank lines are left out."""
+    lines = files.select("path", F.posexplode(F.split("value", "\r?\n")).alias("ord", "line"))
     pattern = F.trim(F.regexp_replace("line", r"(^|(?<=\s))#.*$", ""))
     return (
         lines.select(
@@ -91,18 +89,30 @@ def read_patterns(spark: SparkSession, folder: str, tier: int = 0) -> DataFrame:
     )
 
 
-def read_profiles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Profile files: (profiles, profile_rules, extras) with each file's stem.
+def read_patterns(spark: SparkSession, folder: str, tier: int = 0) -> DataFrame:
+    """The pattern files below a folder; see parse_patterns."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*list.txt").text(folder, wholetext=True)
+    return parse_patterns(files.select(F.col("_metadata.file_path").alias("path"), "value"), tier)
+
+
+#: A comment, and what stands before it: strings go first, so that marks within them are none.
+_COMMENT = r'("(?:[^"\\]|\\.)*")|(?://|#)[^\n]*'
+
 
-    `//` and `#` comments are allowed. A rule's entry is a weight or an object with one and with lists named
-    <kind>_extra; of a rule's extras those of the first profile, by name, that lists any count.
+def parse_profiles(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Profile files(file, value): (profiles with each file's stem, profile_rules, extras).
+
+    `//` and `#` comments are allowed outside of strings. A rule's entry is a weight or an object with one and with lists named
+    <kind>_extra; of a rule's extras those of the first profile, by name, that lists any count. A file that is no
+    JSON object is a profile with problem set, named after its file.
     """
-    raw = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
-    text = F.regexp_replace("value", r"(?m)(^|\s)(//|#).*$", "$1")
-    parsed = raw.select("file", F.from_json(text, "name string, description string, weight string, rules map<string,string>").alias("p"))
+    text = F.regexp_replace("value", _COMMENT, "$1")
+    shape = "name string, description string, weight string, rules map<string,string>, _bad string"
+    parsed = files.select("file", F.from_json(text, shape, {"columnNameOfCorruptRecord": "_bad"}).alias("p"))
     stem = F.regexp_replace("file", r"\.json$", "")
-    named = parsed.select(stem.alias("stem"), F.coalesce("p.name", stem).alias("profile"), F.coalesce("p.description", F.lit("")).alias("description"), F.col("p.weight").try_cast("double").alias("weight"), "p.rules")
-    profiles = named.select("stem", "profile", "description", "weight")
+    problem = F.when(F.col("p").isNull() | F.col("p._bad").isNotNull(), "no JSON object").alias("problem")
+    named = parsed.select(stem.alias("stem"), F.coalesce("p.name", stem).alias("profile"), F.coalesce("p.description", F.lit("")).alias("description"), F.col("p.weight").try_cast("double").alias("weight"), problem, "p.rules")
+    profiles = named.select("stem", "profile", "description", "weight", "problem")
     entries = named.select("profile", F.posexplode("rules").alias("ord", "rule", "spec"))
     rules = entries.select("profile", "rule", rule_weight(F.col("spec")).alias("weight"), "ord")
     extra = F.from_json("spec", T.StructType([T.StructField(f"{k}_extra", T.ArrayType(T.StringType())) for k in KINDS]))
@@ -114,18 +124,34 @@ def read_profiles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame,
     return profiles, rules, extras.join(first, ["rule", "profile"])
 
 
+def read_profiles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The profile files of a folder; see parse_profiles."""
+    raw = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    return parse_profiles(raw.select(F.col("_metadata.file_name").alias("file"), "value"))
+
+
 def read_catalog(spark: SparkSession, rules: str, profiles: str, fallback_rules: str | None = None, aliases: dict[str, str] | None = None) -> Catalog:
-    """A catalog from folders. Rules come from the first folder that has them."""
+    """A catalog from folders. Rules come from the first folder that has them.
+
+    A rule that one folder has in several places is an error, and so are two files of one profile and a file that is no profile.
+    """
     found = read_patterns(spark, rules)
     if fallback_rules:
         found = found.union(read_patterns(spark, fallback_rules, tier=1))
     heads, entries, extras = read_profiles(spark, profiles)
+    order = sorted(heads.collect(), key=lambda r: r["profile"])
+    if bad := [r["stem"] for r in order if r["problem"]]:
+        raise ValueError(f"no JSON object in {bad}")
+    if twice := sorted({a["profile"] for a, b in zip(order, order[1:], strict=False) if a["profile"] == b["profile"]}):
+        raise ValueError(f"name collision: several files for the profiles {twice}")
     wanted = entries.select("rule").distinct()
     best = resolve_tiered(wanted, found.select("tier", F.col("rule").alias("name"), "dir").distinct(), aliases)
+    # as many rows as the profiles name rules
+    if twice := sorted(r["rule"] for r in best.where("collision").select("rule").collect()):
+        raise ValueError(f"name collision: several folders for the rules {twice}")
     patterns = found.drop("rule").join(best.select("rule", "dir"), "dir").select("rule", "kind", "ord", "pattern")
     offset = patterns.groupBy("rule", "kind").agg((F.max("ord") + 1).alias("offset"))
     extra = extras.join(offset, ["rule", "kind"], "left").select("rule", "kind", (F.col("ord") + F.coalesce("offset", F.lit(0))).alias("ord"), "pattern")
-    order = sorted(heads.collect(), key=lambda r: r["profile"])
     return Catalog(
         [(r["profile"], r["description"], 100.0 if r["weight"] is None else r["weight"], i) for i, r in enumerate(order)],
         sorted(tuple(r) for r in entries.select("profile", "rule", "weight", "ord").collect()),
@@ -162,7 +188,7 @@ def overall_patterns(patterns: DataFrame, profile_rules: DataFrame, profiles: Da
 
 def inflated(patterns: DataFrame, profile_rules: DataFrame) -> DataFrame:
     """Every profile's patterns with the weight that it gives their rule."""
-    return profile_rules.select("profile", "rule", "weight").join(F.broadcast(patterns), "rule")
+    return profile_rules.select("profile", "rule", "weight").join(patterns, "rule")
 
 
 def rule_counts(profiles: DataFrame, profile_rules: DataFrame) -> DataFrame:

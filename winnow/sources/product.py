@@ -78,22 +78,31 @@ def read_build_logs(spark: SparkSession, paths: list[str]) -> DataFrame:
     return log_objects(spark.read.text(paths))
 
 
-def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """path of the objects and modules under root, relative to it. Empty files are not listed."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{o,ko}").load(root).select("path")
+def artifact_paths(files: DataFrame, root: str) -> DataFrame:
+    """path of the objects and modules among files(path) under root, relative to it."""
     at = F.regexp_replace("path", "^[a-z]+:/*", "/")
-    base = "/" + root.split(":", 1)[-1].strip("/")
-    return files.select(F.regexp_replace(at, "^" + base.replace(".", r"\.") + "/", "").alias("path"))
+    base = "/" + root.split(":", 1)[-1].strip("/") + "/"
+    below = files.select(at.alias("path")).where(F.col("path").startswith(base) & F.col("path").rlike(r"\.k?o\z"))
+    return below.select(F.expr(f"substring(path, {len(base) + 1})").alias("path"))
 
 
-def read_hints(spark: SparkSession, path: str) -> DataFrame:
-    """keyword, prefix of a JSON object; a single prefix may stand without a list. Comment keys are left out."""
-    raw = spark.read.text(path, wholetext=True)
-    entries = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("keyword", "spec")).where(~F.col("keyword").startswith("//"))
+def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
+    """The artifacts below a folder. Spark's readers do not list empty files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{o,ko}").load(root)
+    return artifact_paths(files.select("path"), root)
+
+
+def parse_hints(files: DataFrame) -> DataFrame:
+    """keyword, prefix of JSON objects in files(value); a single prefix may stand without a list. Comment keys are left out."""
+    entries = files.select(F.explode(F.from_json("value", "map<string,string>")).alias("keyword", "spec")).where(~F.col("keyword").startswith("//"))
     listed = F.when(F.col("spec").startswith("["), F.from_json("spec", "array<string>")).otherwise(F.array("spec"))
     return entries.select("keyword", F.explode(listed).alias("prefix"))
 
 
+def read_hints(spark: SparkSession, path: str) -> DataFrame:
+    return parse_hints(spark.read.text(path, wholetext=True))
+
+
 def config_to_paths(config_paths: DataFrame) -> DataFrame:
     """symbol -> its distinct paths, sorted."""
     return config_paths.groupBy("symbol").agg(F.array_sort(F.collect_set("path")).alias("paths"))

@@ -6,6 +6,7 @@ author_time, commit_time, parents, numstat.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,10 +77,12 @@ def first_n(records: DataFrame, n: int) -> DataFrame:
 
 def stage_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A written stage table, or an empty one of the schema where there is none."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+    try:
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def _id(key: str) -> Column:
@@ -105,18 +108,19 @@ def part_path(prefix: str = "") -> Column:
 
 
 def from_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame, customer: DataFrame) -> DataFrame:
-    """Orders as records, the paths of their parts as files; orders without lines are left out."""
+    """Orders as records, the paths of their parts as files; orders without lines have none."""
     paths = part.select(F.col("p_partkey").alias("l_partkey"), part_path().alias("path"))
     # the distinct parts of an order before their paths: numbers are shuffled, not strings
     lines = lineitem.select("l_orderkey", "l_partkey").distinct().join(paths, "l_partkey")
     files = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("path")).alias("files"))
     named = orders.join(customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("author_name")), "o_custkey", "left")
-    return named.join(files, named.o_orderkey == files.l_orderkey).select(
+    none = F.array().cast("array<string>")
+    return named.join(files, named.o_orderkey == files.l_orderkey, "left").select(
         _id("o_orderkey").alias("record_id"),
         F.col("o_orderkey").alias("seq"),
         F.col("o_orderpriority").alias("subject"),
         F.concat_ws(" ", F.lit("status"), "o_orderstatus", F.lit("priority"), "o_orderpriority").alias("body"),
-        "files",
+        F.coalesce("files", none).alias("files"),
         "author_name",
         F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("author_time"),
     )
