@@ -89,14 +89,15 @@ def test_records_are_scored_once(spark, capsys):
     """However much is asked of a score, texts are read once and each pattern is tested once for a record."""
     from winnow.queries import queries
 
+    d = "/root/testdata/sf0.01"
     spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
     spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
-    scans, tests = scans_and_tests(queries()["total_scores"](spark, SMALL), capsys)
+    scans, tests = scans_and_tests(queries()["total_scores"](spark, d), capsys)
     assert scans == 1 and tests
     for name, most in (("profile_scores", tests), ("rule_hits", tests), ("top_n", tests), ("profile_summary", tests), ("profile_matrix_long", tests), ("pattern_hits", 2 * tests), ("rule_trace", 3 * tests)):
-        n, m = scans_and_tests(queries()[name](spark, SMALL), capsys)
+        n, m = scans_and_tests(queries()[name](spark, d), capsys)
         assert n == 1 and m <= most, name
-    assert scans_and_tests(queries()["ranked"](spark, SMALL), capsys)[1] == 0  # scores are written before
+    assert scans_and_tests(queries()["ranked"](spark, d), capsys)[1] == 0  # scores are written before
 
 
 def test_best_is_the_start_of_the_rank(docs):
