@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import time
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,49 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and the executors share: spark.checkpoint.dir, or a new one where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+from winnow.sources.stages import cut, discard, session_dir, spread  # noqa: F401
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: its lineage ends there.
-
-    A lost executor then costs a read, not a recomputation, and steps that are used
-    twice run once.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/winnow-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.cut_path = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete tables that cut() wrote, once no DataFrame still to be run reads them."""
-    for df in tables:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.cut_path)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path.getParent(), True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of DataFrames that nobody holds any more: it does so when the driver's memory is collected."""
-    for _ in range(2):  # the first round only finds what the second can drop
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.7)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables, in as many parts as there are cores at least."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def partitions(spark: SparkSession) -> int:

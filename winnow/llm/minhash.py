@@ -1,43 +1,45 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
 Every document has a signature of TREES x DEPTH minimum hashes of its shingle set. A tree
-orders the documents by its own DEPTH hashes, and documents that share the first LEAST of
-them are a region of that tree: two with a similarity s meet in a region of some tree with a
-probability of 1 - (1 - s**LEAST)**TREES, which is 0.9986 at 0.75 and 0.9999 at 0.85.
-
-How deep a region is searched depends on what it holds:
+orders the documents by its own DEPTH hashes; documents with a common prefix are a region of that tree. How deep a
+region is follows from what it holds: it begins with the first LEAST hashes, and as long as more documents than a
+block takes share them, the next hash splits it. Two documents with a similarity s share a first region of some tree with a
+probability of 1 - (1 - s**LEAST)**TREES, which is 0.99995 at 0.75.
 
 1. In the tree's order each document is a candidate for its neighbour with the longest common
-   prefix, and for the one of its block whose whole signature agrees most. Candidates whose
+   prefix, and in regions that fit a block for the one whose whole signature agrees most. Candidates whose
    signatures agree enough are checked on their full sets, and those that are similar are
    linked into classes. So a region of copies costs a few links per document.
-2. A region whose documents are all in one class is done. In the others, all documents outside
+2. A region whose documents are all in one class is done. In the others, of every depth, all documents outside
    the class of the one with the most links are candidates for that one, which is what the
    copies of one original need that resemble it more than each other.
 3. Where several classes still meet, all pairs across classes whose signatures agree enough are
-   checked, in the first of the trees that they share a region of. The sets are at hand there, so
-   only links leave the task. Only pairs within one class, which no link would change, are left out.
-
-Documents with the same set are collapsed into one before; regions of any size are dealt over
-blocks, so no task gathers a region. Only the documents that share a region with another are
-read again for their full sets: sorted 40-bit prefixes of 64-bit hashes, five bytes a shingle.
+   checked on their sets: at the least depth at which the documents outside a region's largest class fit a block.
+   So nearly settled regions of any size are compared as a whole, and only those are split whose documents resemble each other
+   in great number without being similar. Only links leave the task; pairs within one class, which no link would change, are left out.
+
+Documents with the same set are collapsed into one before. No task gathers a region: large ones are dealt by ranges of the order in step 1, and over
+blocks in step 3, where a document's set is sent once, and those of the block outside the largest class to each of them. Only a region that all DEPTH hashes leave
+with several such blocks sends sets more often. Only documents that share a region with another are
+read again for their full sets: sorted 64-bit hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import components, cut, discard, partitions, release, runs, slices
+from winnow.llm.common import components, cut, discard, partitions, runs, slices
 from winnow.llm.shingles import mix, pieces, shingle_sets
 
 #: Links are for a similarity of NUMERATOR/100 or more.
 NUMERATOR = 75
-TREES, DEPTH, LEAST = 12, 8, 3
+TREES, DEPTH, LEAST = 12, 8, 2
 HASHES = TREES * DEPTH
 #: Signatures that agree in fewer of their hashes are no candidates: 0.75 less four standard deviations.
 AGREE = int(HASHES * 0.75 - 4 * (HASHES * 0.75 * 0.25) ** 0.5)
@@ -59,31 +61,8 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def tree_keys(signature: np.ndarray) -> np.ndarray:
-    """For each tree a 64-bit hash of the first LEAST values."""
-    h = np.zeros((len(signature), TREES), np.uint64)
-    parts = signature.reshape(len(signature), TREES, DEPTH)
-    for j in range(LEAST):
-        h = mix(h + parts[:, :, j].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    return h.view(np.int64)
-
-
-def packed(values: np.ndarray) -> bytes:
-    """Sorted hashes as differences of their first 40 bits, five bytes each, byte columns side by side."""
-    v = values >> np.uint64(24)
-    d = np.diff(v, prepend=np.uint64(0))
-    return np.ascontiguousarray(d.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes()
-
-
-def unpacked(raw: bytes) -> np.ndarray:
-    cols = np.frombuffer(raw, np.uint8).reshape(5, -1)
-    wide = np.zeros((cols.shape[1], 8), np.uint8)
-    wide[:, :5] = cols.T
-    return np.cumsum(wide.view("<u8").ravel())
-
-
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a and set_b (a 128-bit digest of the set), keys (per tree), signature."""
+    """doc_id, n_shingles, set_a and set_b (a 128-bit digest of the set), signature (32-bit numbers, tree by tree)."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -100,13 +79,12 @@ def features(docs: DataFrame) -> DataFrame:
                         "n_shingles": sizes,
                         "set_a": a,
                         "set_b": b,
-                        "keys": pa.array(list(tree_keys(sig)), pa.list_(pa.int64())),
-                        "signature": pa.array([x.tobytes() for x in sig.astype("<u2")], pa.binary()),
+                        "signature": pa.array([x.tobytes() for x in sig.astype("<u4")], pa.binary()),
                     }
                 )
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(step, "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, signature binary")
+    return rows.mapInArrow(step, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -118,7 +96,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
             for s, e in pieces(texts):
                 hashes, sizes = shingle_sets(texts[s:e])
                 ends = np.cumsum(sizes).tolist()
-                raw = pa.array([packed(hashes[y - n : y]) for y, n in zip(ends, sizes.tolist(), strict=True)], pa.binary())
+                raw = pa.array([hashes[y - n : y].astype("<u8").tobytes() for y, n in zip(ends, sizes.tolist(), strict=True)], pa.binary())
                 yield pa.record_batch({"doc_id": batch.column("doc_id").slice(s, e - s), "n_shingles": sizes, "shingles": raw})
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -141,7 +119,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in slices(batches):
             keep = []
             for x, y in zip(batch.column("set_of_a").to_pylist(), batch.column("set_of_b").to_pylist(), strict=True):
-                keep.append(similar(unpacked(x), unpacked(y)))
+                keep.append(similar(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")))
             yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(keep, pa.bool_()))
 
     of = sets.select("doc_id", "n_shingles", "shingles")
@@ -154,7 +132,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _signatures(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
     raw = b"".join(batch.column("signature").to_pylist())
-    return np.frombuffer(raw, "<u2").reshape(-1, HASHES)
+    return np.frombuffer(raw, "<u4").reshape(-1, HASHES)
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +173,7 @@ def _pairs(both: np.ndarray) -> pa.RecordBatch:
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures agree enough."""
     for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
         yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array((x == y).sum(1) >= AGREE))
 
 
@@ -204,8 +182,7 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: list[tuple[int, int]] = []
     for run in runs(batches, ["tree", "region", "block", "against"]):
         ids, cls, sizes = (run.column(c).to_numpy() for c in ("doc_id", "class", "n_shingles"))
-        minor, sig, tree = run.column("minor").to_numpy(zero_copy_only=False), _signatures(run), run.column("tree")[0].as_py()
-        keys, raw = np.array(run.column("keys").to_pylist(), np.int64), run.column("shingles")
+        sig, raw = _signatures(run), run.column("shingles")
         sets: dict[int, np.ndarray] = {}
         joined: dict[int, int] = {}
 
@@ -216,14 +193,14 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         def set_of(i: int) -> np.ndarray:
             if i not in sets:
-                sets[i] = unpacked(raw[i].as_py())
+                sets[i] = np.frombuffer(raw[i].as_py(), "<u8")
             return sets[i]
 
-        a, b = np.flatnonzero(minor), np.flatnonzero(~minor)
+        a, b = (np.flatnonzero(run.column(c).to_numpy(zero_copy_only=False)) for c in ("minor", "any"))
         for i in a.tolist():
             other = b[(cls[b] != cls[i]) & (100 * np.minimum(sizes[b], sizes[i]) >= NUMERATOR * np.maximum(sizes[b], sizes[i]))]
             agree = (sig[other] == sig[i]).sum(1)
-            fit = (agree >= AGREE) & ~(keys[other, :tree] == keys[i, :tree]).any(1)
+            fit = agree >= AGREE
             for j in other[fit][np.argsort(-agree[fit], kind="stable")].tolist():
                 x, y = top(int(cls[i])), top(int(cls[j]))
                 if x != y and similar(set_of(i), set_of(j)):
@@ -233,6 +210,51 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _pairs(np.array(found, np.int64))
 
 
+def regions(reps: DataFrame) -> list[DataFrame]:
+    """By depth, a written table of the regions with two documents at least: tree, region, parent, n (its documents), doc_id, order (the document's hashes of the tree).
+
+    What more than BLOCK documents share is split by the next hash, and is the parent of its parts.
+    """
+    trees = reps.select(F.col("rep").alias("doc_id"), "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    order = F.substring("signature", F.col("tree") * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
+    left = trees.select("doc_id", "tree", order.alias("order"), F.lit(None).cast("long").alias("parent"))
+    levels = []
+    for depth in range(LEAST, DEPTH + 1):
+        keyed = left.withColumn("region", F.xxhash64(F.lit(depth), "tree", F.substring("order", 1, 4 * depth)))
+        counted = keyed.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
+        levels.append(cut(keyed.join(counted, ["tree", "region"]), "regions"))
+        large = levels[-1].where(F.col("n") > BLOCK)
+        if large.isEmpty():
+            break
+        left = large.select("doc_id", "tree", "order", F.col("region").alias("parent"))
+    return levels
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 1 in large regions: neighbours in the tree's order."""
+    last = None
+    for batch in batches:
+        tree, region, ids, sig = batch.column("tree").to_numpy(), batch.column("region").to_numpy(), batch.column("doc_id").to_numpy(), _signatures(batch)
+        if last is not None:
+            tree, region, ids, sig = (np.concatenate([x, y]) for x, y in zip(last, (tree, region, ids, sig), strict=True))
+        near = (tree[1:] == tree[:-1]) & (region[1:] == region[:-1]) & ((sig[1:] == sig[:-1]).sum(1) >= AGREE)
+        yield _pairs(np.column_stack([ids[1:], ids[:-1]])[near])
+        last = tree[-1:], region[-1:], ids[-1:], sig[-1:]
+
+
+def _to_check(opened: DataFrame, depths: int) -> DataFrame:
+    """Of open regions those that are compared as a whole: no parent of theirs is, and what is outside their largest class fits a block, or nothing splits them."""
+    found, covered = [], None
+    for i in range(depths):
+        here = opened.where(F.col("level") == i)
+        rest = here if covered is None else here.join(covered, "parent", "left_anti")
+        mine = rest.where((F.least("n", F.col("n") - F.col("top_size")) <= BLOCK) | F.lit(i == DEPTH - LEAST))
+        found.append(mine)
+        below = mine.select(F.col("region").alias("parent"))
+        covered = below if covered is None else below.union(here.join(covered, "parent", "left_semi").select(F.col("region").alias("parent")))
+    return reduce(DataFrame.unionByName, found).select("tree", "region", "top", "top_size")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """The class of every document: doc_id, n_shingles, component_id, kept.
 
@@ -242,32 +264,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     document that has the links of all of them; a row without a doc_id is linked with nothing,
     and kept. Extra columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    n = partitions(spark)
+    n = partitions(docs.sparkSession)
     whole = cut(features(docs), "features")
     known = whole.where("n_shingles > 0 and doc_id is not null")
-    one = F.min_by(F.struct("keys", "signature"), "doc_id")
-    reps = known.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), one.alias("own"))
-    reps = cut(reps.select("set_a", "set_b", "rep", "own.keys", "own.signature"), "representatives")
+    reps = cut(known.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature")), "representatives")
     copies = cut(known.select("doc_id", "set_a", "set_b").join(reps, ["set_a", "set_b"]).select("doc_id", "rep").distinct(), "copies")
 
-    trees = reps.select(F.col("rep").alias("doc_id"), F.posexplode("keys").alias("tree", "region"))
-    counted = trees.groupBy("tree", "region").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
-    shared = cut(trees.join(counted, ["tree", "region"]), "regions")
+    levels = regions(reps)
+    shared = reduce(DataFrame.unionByName, [x.withColumn("level", F.lit(i)) for i, x in enumerate(levels)])
     # the ids grow with the documents, so they are not broadcast at any size
-    sets = cut(full_sets(docs.join(shared.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")), "sets")
-    release(spark)
+    sets = cut(full_sets(docs.join(levels[0].select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")), "sets")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("doc_id", "tree"), blocks).cast("int")
-    order = F.substring("signature", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * DEPTH))
     sig = reps.select(F.col("rep").alias("doc_id"), "signature")
 
-    dealt = shared.select("tree", "region", "doc_id", block.alias("block")).join(sig, "doc_id")
-    dealt = dealt.repartition(2 * n, "tree", "region", "block").sortWithinPartitions("tree", "region", "block", order, "doc_id")
-    first = cut(dealt.mapInArrow(_candidates, "a long, b long").distinct(), "candidates")
+    last = (F.col("n") <= BLOCK) | (F.col("level") == DEPTH - LEAST)
+    dealt = shared.where(last).select("tree", "region", "doc_id", "order", block.alias("block")).join(sig, "doc_id")
+    dealt = dealt.repartition(2 * n, "tree", "region", "block").sortWithinPartitions("tree", "region", "block", "order", "doc_id")
+    first = dealt.mapInArrow(_candidates, "a long, b long")
+    if len(levels) > 1:
+        # a larger level holds what the next ones do: its order has all their neighbours
+        large = levels[0].where(F.col("n") > BLOCK).select("tree", "region", "doc_id", "order").join(sig, "doc_id")
+        first = first.union(large.repartitionByRange(2 * n, "tree", "order", "doc_id").sortWithinPartitions("tree", "order", "doc_id").mapInArrow(_in_order, "a long, b long"))
+    first = cut(first.distinct(), "candidates")
     links = cut(confirmed(first, sets), "links")
 
-    classed = _classed(shared, components(links))
+    shared = shared.drop("order")
+    classed = cut(_classed(shared, components(links)), "classed")
     ends = links.select(F.col("a").alias("doc_id")).union(links.select("b")).groupBy("doc_id").agg(F.count("*").alias("links"))
     hubs = classed.join(ends, "doc_id").groupBy("tree", "region").agg(F.max(F.struct("links", "doc_id", "class")).alias("h"))
     hubs = hubs.select("tree", "region", F.col("h.doc_id").alias("hub"), F.col("h.class").alias("hub_class"))
@@ -275,26 +298,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     to_hub = classed.join(hubs, ["tree", "region"]).where("class <> hub_class")
     to_hub = to_hub.select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     to_hub = to_hub.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").mapInArrow(_agreeing, "a long, b long")
-    tested = cut(first.union(to_hub), "tested")
-    links = cut(links.union(confirmed(tested.join(first, ["a", "b"], "left_anti"), sets)), "links")
-
-    classed = _classed(shared, components(links))
-    open_regions = _open(classed)
-    rows = classed.join(open_regions, ["tree", "region"]).withColumn("minors", F.col("n") - F.col("top_size"))
-    # documents outside a region's largest class, in blocks, against all of the region, in blocks
-    sides = F.ceil(F.col("minors") / BLOCK).cast("int")
+    more = cut(links.union(confirmed(to_hub, sets)), "links")
+
+    again = cut(_classed(shared, components(more)), "classed")
+    rows = again.join(_to_check(cut(_open(again), "open"), len(levels)), ["tree", "region"])
+    cells = lambda df, minor, every, i, j: df.select("tree", "region", "doc_id", "class", minor.alias("minor"), every.alias("any"), i.alias("block"), j.alias("against"))
+    none, yes, no = F.lit(0), F.lit(True), F.lit(False)
+    met = cells(rows.where(F.col("n") <= BLOCK), F.col("class") != F.col("top"), yes, none, none)
+    # documents outside the region's largest class, in blocks (mostly one), against all of it, in blocks
+    large = rows.where(F.col("n") > BLOCK)
+    sides = F.ceil((F.col("n") - F.col("top_size")) / BLOCK).cast("int")
     side = F.pmod(F.xxhash64("doc_id", "tree"), sides).cast("int")
-    as_all = rows.select("tree", "region", "doc_id", "class", F.lit(False).alias("minor"), block.alias("block"), F.explode(F.sequence(F.lit(0), sides - 1)).alias("against"))
-    as_minor = rows.where("class <> top").select("tree", "region", "doc_id", "class", F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), side.alias("against"))
-    known_of = reps.select(F.col("rep").alias("doc_id"), "keys", "signature").join(sets.select("doc_id", "n_shingles", "shingles"), "doc_id")
-    met = as_all.union(as_minor).join(known_of, "doc_id").repartition(2 * n, "tree", "region", "block", "against").sortWithinPartitions("tree", "region", "block", "against")
-    more = cut(met.mapInArrow(_crossing, "a long, b long"), "more")
-    final = cut(components(links.union(more)), "classes")
+    met = met.union(cells(large, no, yes, block, F.explode(F.sequence(none, sides - 1))))
+    met = met.union(cells(large.where("class <> top"), yes, no, F.explode(F.sequence(none, blocks - 1)), side))
+    known_of = sig.join(sets.select("doc_id", "n_shingles", "shingles"), "doc_id")
+    met = met.join(known_of, "doc_id").repartition(2 * n, "tree", "region", "block", "against").sortWithinPartitions("tree", "region", "block", "against")
+    across = cut(met.mapInArrow(_crossing, "a long, b long"), "across")
+    final = cut(components(more.union(across)), "classes")
 
     found = copies.join(final, copies.rep == final.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "rep")).alias("component_id"))
     out = whole.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     out = cut(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "near")
-    discard(whole, reps, copies, shared, sets, first, tested, links, more, final)
+    discard(whole, reps, copies, *levels, sets, first, links, classed, more, again, across, final)
     return out
 
 
@@ -305,10 +330,10 @@ def _classed(shared: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _open(classed: DataFrame) -> DataFrame:
-    """tree, region, top (its largest class), top_size of the regions that hold several classes."""
-    sizes = classed.groupBy("tree", "region", "class").agg(F.count("*").alias("size"))
-    found = sizes.groupBy("tree", "region").agg(F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("top")).where("classes > 1")
-    return found.select("tree", "region", F.col("top.class").alias("top"), F.col("top.size").alias("top_size"))
+    """tree, region, level, parent, n, top (its largest class), top_size of the regions that hold several classes."""
+    sizes = classed.groupBy("level", "parent", "tree", "region", "n", "class").agg(F.count("*").alias("size"))
+    found = sizes.groupBy("level", "parent", "tree", "region", "n").agg(F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("top")).where("classes > 1")
+    return found.select("tree", "region", "level", "parent", "n", F.col("top.class").alias("top"), F.col("top.size").alias("top_size"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import cut, discard, partitions, release, runs, slices
+from winnow.llm.common import cut, discard, partitions, runs, slices
 from winnow.llm.shingles import mix, pieces
 
 LENGTH, GRAM = 50, 16
@@ -426,16 +426,13 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     total = base.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     shards = max(n, -(-total // (18 * SHARD)))
     found = cut(shared_samples(sampled(rows, shards)), "samples")
-    release(spark)
     # copies of a text add nothing to its smallest doc_id
     originals = marked.where("not copy and doc_id is not null").select("doc_id", "own").distinct()
     mine = found.join(originals, ["doc_id", "own"], "left_semi")
     table = cut(tuples(rows.join(mine, ["doc_id", "own"])), "tuples")
-    release(spark)
     occurrences = table.withColumn("tuple_id", F.xxhash64("context", "low", "high"))
     distinct = occurrences.groupBy("gram", "tuple_id", "low", "high", "context").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     marks = cut(noted(distinct), "marks")
-    release(spark)
     hits = occurrences.select("doc_id", "own", "pos", "gram", "tuple_id").join(marks.where("marks is not null"), ["gram", "tuple_id"])
     strings = spans(hits)
     heavy = marks.where("marks is null").select("gram").distinct()
@@ -443,7 +440,6 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         strings = strings.union(counted(occurrences, heavy))
     gone = cut(strings.groupBy("doc_id", "own").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "spans")
     discard(base, found, table, marks)
-    release(spark)
     return marked, gone
 
 
