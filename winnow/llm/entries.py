@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from winnow.llm import bpe, chat, fingerprint, minhash, mixing, quality, sharding, suffixes, unigram, vectors
 from winnow.llm.common import table
+from winnow.sources.stages import new_path
 
 
 def op1_itq_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,7 @@ def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
+    return sharding.assign(table(spark, sf_dir, "documents"), shards=40, store=new_path(spark, "slot-map"))
 
 
 def op9_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
