@@ -9,6 +9,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pytest
+import zstandard
 from llm_helpers import PROSE, table, texts_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -228,10 +229,59 @@ def test_shards(docs, odd, empty):
     assert sharding.assign(empty).collect() == []
 
 
+def shards_brute(rows, slots, m):
+    """(shard, place there) of (slot, doc_id, crc, size) rows under a map: slots in order, rows of a slot in order."""
+    out, filled = {}, collections.Counter()
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0], rows[i][1] is not None, rows[i][1] or 0, rows[i][2:])):
+        k = m.shard[rows[i][0]]
+        out[i] = (k, filled[k])
+        filled[k] += 1
+    return collections.Counter((rows[i][1], *at) for i, at in out.items())
+
+
+def test_shards_by_brute_force(spark, docs, odd):
+    for df in (docs, odd):
+        base = sharding.sized(df)
+        m = sharding.make_map(base, 7, 256)
+        rows = [(r.virtual_slot, r.doc_id, r.text_crc32, r["size"]) for r in sharding.slotted(base, m.spread, 256).collect()]
+        # the heaviest slot first, each to what is then the lightest shard
+        weight = collections.Counter()
+        for slot, _, _, n in rows:
+            weight[slot] += n
+        loads, count, where = [0] * 7, [0] * 7, {}
+        for slot in sorted(range(256), key=lambda x: (-weight[x], x)):
+            k = min(range(7), key=lambda k: (loads[k], count[k], k))
+            where[slot], loads[k], count[k] = k, loads[k] + weight[slot], count[k] + 1
+        assert m.shard == [where[x] for x in range(256)]
+        assert collections.Counter((r.doc_id, r.shard, r.slot) for r in sharding.assign(df, 7, 256).collect()) == shards_brute(rows, 256, m)
+
+
+def test_a_given_map(spark, docs, tmp_path):
+    """A map made from some rows serves all: rows stay where it puts them, and places have no gaps."""
+    some = docs.where("doc_id % 3 = 0")
+    early = {(r.doc_id, r.virtual_slot): r.shard for r in sharding.assign(some, 5, 64, store=str(tmp_path / "map")).collect()}
+    m = sharding.read_map(spark, str(tmp_path / "map"), 1)
+    rows = sharding.assign(docs, slot_map=m).collect()
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and len(rows) == docs.count()
+    assert all((r.shard == early[r.doc_id, r.virtual_slot]) for r in rows if r.doc_id % 3 == 0)
+    # more rows and more shards leave slots alone; a text that has become heavy is dealt over slots by an edit of the map
+    copies = docs.unionByName(spark.range(1000, 3000).selectExpr("id doc_id", "'copy of a text' text", "'en' lang", "'s' source", "14L n_chars"))
+    base, grown = sharding.sized(copies), sharding.grow(m)
+    heavy = sharding.heavy_texts(base, 6)
+    assert len(heavy) == 1 and not m.spread
+    before = {r.doc_id: r.virtual_slot for r in sharding.slotted(base, grown.spread, 64).collect()}
+    edited = sharding.spread_more(grown, heavy)
+    after = {r.doc_id: r.virtual_slot for r in sharding.slotted(base, edited.spread, 64).collect()}
+    assert all(after[i] == before[i] for i in after if i < 1000) and len({after[i] for i in range(1000, 3000)}) > 5 and edited.version == 3
+
+
 def test_slot_maps(spark, docs, tmp_path):
-    rows = sharding.sized(docs, 8, 512)
+    rows = sharding.slotted(sharding.sized(docs), {}, 512)
     size, n = sharding.weigh(rows, 512)
-    one = sharding.new_map(size, n, 8)
+    one = sharding.new_map(size, n, 8, {-5: 3})
     two = sharding.grow(one)
     moved = [s for s in range(512) if one.shard[s] != two.shard[s]]
     assert moved and all(two.shard[s] == 8 for s in moved) and two.version == 2
@@ -242,7 +292,7 @@ def test_slot_maps(spark, docs, tmp_path):
     for m in (one, two):
         sharding.write_map(spark, m, str(tmp_path / "map"))
     back = sharding.read_map(spark, str(tmp_path / "map"), 2)
-    assert (back.shard, back.size, back.rows) == (two.shard, two.size, two.rows)
+    assert (back.shard, back.size, back.rows, back.spread) == (two.shard, two.size, two.rows, {-5: 3})
     with pytest.raises(Exception, match="already exists"):
         sharding.write_map(spark, one, str(tmp_path / "map"))
 
@@ -267,6 +317,17 @@ def test_quality(spark, odd, empty):
     assert len(rows) == odd.count() and not any(np.isnan(r.score) for r in rows) and len({r.score for r in rows if r.doc_id in (1, 2)}) == 1
     assert quality.score(empty, model).collect() == [] and quality.keep_good(odd, model).columns == odd.columns
     assert quality.score(odd, quality.fit(empty, labels.limit(0))).where("score <> 0.5").isEmpty()
+    # every score by hand
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    plain, good, bad = (zstandard.ZstdCompressor(dict_data=d and zstandard.ZstdCompressionDict(d), compression_params=zstandard.ZstdCompressionParameters.from_level(quality.LEVEL, dict_size=len(d) if d else 0, window_log=quality.WINDOW_LOG, write_content_size=0, write_checksum=0, write_dict_id=0)) for d in (None, model.good, model.bad))
+    for i, text in texts.items():
+        raw = text.encode()
+        k = max(1, -(-len(raw) // quality.PIECE))
+        parts = [raw[len(raw) * j // k : len(raw) * (j + 1) // k] for j in range(k)]
+        p, g, b = (sum(len(c.compress(x)) for x in parts) / k for c in (plain, good, bad))
+        per = len(raw) / k + quality.SOFTEN
+        z = model.weights[0] + sum(w * (x - m) / s for w, x, m, s in zip(model.weights[1:], ((b - g) / per, p / per), model.mean, model.scale, strict=True))
+        assert got[i].score == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-9)
     # what is held out, and the other columns, change nothing
     changed = docs.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 3 = 1, 'x', text) text", "'q' lang", "'s' source")
     assert quality.fit(changed, labels).weights.tolist() == model.weights.tolist()
