@@ -123,9 +123,9 @@ def test_repeats(spark, docs):
     assert sorted(tuple(r) for r in suffixes.digests(docs).collect()) == want and sum(w[2] for w in want)
 
 
-@pytest.mark.parametrize("heavy", [3, 300_000])
+@pytest.mark.parametrize("heavy", [1, 6, 300_000])
 def test_repeats_of_periodic_texts(spark, monkeypatch, heavy):
-    """Small alphabets and periods, tiny queues, chunks and shards; common grams apart or not."""
+    """Small alphabets and periods, tiny queues, chunks and shards; common grams split, down to single strings, or not."""
     monkeypatch.setattr(suffixes, "QUEUE", 5)
     monkeypatch.setattr(suffixes, "HEAVY", heavy)
     monkeypatch.setattr(suffixes, "CHUNK", 128)

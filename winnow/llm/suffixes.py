@@ -16,6 +16,9 @@ smaller doc_id. The strings are judged by the order of their suffixes:
    preceding byte, 1 and the least of those in between. After each step, neighbours with a common
    prefix of LENGTH or more are one string, whose smallest doc_id is noted. As strings have LENGTH bytes,
    LENGTH - GRAM steps end the recursion; each batch of tuples is a queue that these steps empty.
+   A gram with more tuples than a queue may hold is split: the first and the second half of its steps each go by a
+   longer string that all their strings have in common, and are sorted and induced like grams; and so on by halves, until a part has
+   one string.
 4. What was noted goes back to all occurrences of the tuples, and the spans to the texts.
 
 Texts with the same bytes are one: all copies but the smallest doc_id go as a whole.
@@ -38,7 +41,7 @@ LENGTH, GRAM = 50, 16
 SPAN = LENGTH - GRAM
 #: Sampled suffixes a shard of the first shuffle is meant to hold.
 SHARD = 1_000_000
-#: Tuples that are induced together, and those of one gram at most: strings of more common grams are counted one by one.
+#: Tuples that are induced together, and those of one gram at most: more common grams are split.
 QUEUE, HEAVY = 50_000, 300_000
 #: Bytes of texts whose samples are looked for together.
 CHUNK = 1 << 20
@@ -312,7 +315,7 @@ def induce(gram: np.ndarray, low: np.ndarray, high: np.ndarray, context: list[by
 def noted(distinct: DataFrame) -> DataFrame:
     """For merged tuples: gram, tuple_id, marks. marks: (first step, last step, smallest doc_id) triples.
 
-    A gram with more than HEAVY tuples gets one row without marks instead: see counted.
+    A gram with more than HEAVY tuples gets one row without marks instead: see halved.
     """
 
     def emit(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -365,14 +368,20 @@ def noted(distinct: DataFrame) -> DataFrame:
     return ordered.mapInArrow(step, "gram long, tuple_id long, marks binary")
 
 
-def counted(occurrences: DataFrame, heavy: DataFrame) -> DataFrame:
-    """doc_id, own, first, last of the strings to remove whose sample has one of the heavy grams: each string by itself, with its smallest doc_id."""
-    some = occurrences.join(heavy, "gram", "left_semi").select("doc_id", "own", "pos", "high", "context", F.explode(F.sequence(F.col("low").cast("int"), F.col("high").cast("int"))).alias("back"))
-    string = F.expr(f"substring(context, high - back + 1, {LENGTH})")
-    some = some.select("doc_id", "own", (F.col("pos") - F.col("back")).cast("long").alias("first"), F.xxhash64(string).alias("s1"), F.xxhash64(F.lit(1), string).alias("s2"))
-    least = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"))
-    gone = some.join(least, ["s1", "s2"]).where("least < doc_id")
-    return gone.select("doc_id", "own", "first", (F.col("first") + LENGTH).alias("last"))
+def halved(occurrences: DataFrame, heavy: DataFrame) -> DataFrame:
+    """The occurrences of the heavy grams, once for each half of the steps that they stand for, as occurrences of longer grams.
+
+    The strings that start first to last bytes before a sample all hold the bytes from `first` before it to
+    LENGTH - last behind its start: tuples that differ there have no string in common, and these bytes take the gram's place.
+    A half has the context of its own strings alone, so that tuples which differ elsewhere become one.
+    """
+    middle = F.expr("cast(floor((first + last) / 2) as int)")
+    halves = F.array(F.struct(F.col("first").alias("f"), middle.alias("l")), F.struct((middle + 1).alias("f"), F.col("last").alias("l")))
+    rows = occurrences.join(heavy, "gram", "left_semi").select("*", F.explode(halves).alias("half")).where("low <= half.l and high >= half.f")
+    rows = rows.withColumns({"l": F.expr("greatest(cast(low as int), half.f)"), "h": F.expr("least(cast(high as int), half.l)")})
+    shared = F.expr(f"substring(context, high - half.f + 1, half.f + {LENGTH} - half.l)")
+    own = F.expr(f"substring(context, high - h + 1, h + {LENGTH} - l)")
+    return rows.select("doc_id", "own", "pos", F.xxhash64("gram", "half.f", shared).alias("gram"), F.col("l").cast("tinyint").alias("low"), F.col("h").cast("tinyint").alias("high"), own.alias("context"), F.col("half.f").alias("first"), F.col("half.l").alias("last"))
 
 
 def spans(hits: DataFrame) -> DataFrame:
@@ -385,7 +394,17 @@ def spans(hits: DataFrame) -> DataFrame:
             row = np.repeat(np.arange(len(raw)), [len(r) // 24 for r in raw])
             doc, pos = batch.column("doc_id").to_numpy()[row], batch.column("pos").to_numpy()[row].astype(np.int64)
             gone = marks[:, 2] < doc
-            yield pa.record_batch({"doc_id": doc[gone], "own": batch.column("own").to_numpy()[row][gone], "first": pos[gone] - marks[gone, 1], "last": pos[gone] - marks[gone, 0] + LENGTH})
+            doc, own, first, last = doc[gone], batch.column("own").to_numpy()[row][gone], (pos - marks[:, 1])[gone], (pos - marks[:, 0] + LENGTH)[gone]
+            # those of one text in a batch that meet are one
+            order = np.lexsort((first, own, doc))
+            doc, own, first, last = doc[order], own[order], first[order], last[order]
+            new = np.append(True, (doc[1:] != doc[:-1]) | (own[1:] != own[:-1])) if len(doc) else np.empty(0, bool)
+            text = np.cumsum(new)
+            far = np.maximum.accumulate(last + text * (1 << 40)) - text * (1 << 40)
+            new[1:] |= first[1:] > far[:-1]
+            start = np.flatnonzero(new)
+            end = np.append(start[1:], len(doc)) - 1 if len(start) else start
+            yield pa.record_batch({"doc_id": doc[start], "own": own[start], "first": first[start], "last": far[end]})
 
     return hits.mapInArrow(step, "doc_id long, own long, first long, last long")
 
@@ -430,16 +449,21 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     originals = marked.where("not copy and doc_id is not null").select("doc_id", "own").distinct()
     mine = found.join(originals, ["doc_id", "own"], "left_semi")
     table = cut(tuples(rows.join(mine, ["doc_id", "own"])), "tuples")
-    occurrences = table.withColumn("tuple_id", F.xxhash64("context", "low", "high"))
-    distinct = occurrences.groupBy("gram", "tuple_id", "low", "high", "context").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    marks = cut(noted(distinct), "marks")
-    hits = occurrences.select("doc_id", "own", "pos", "gram", "tuple_id").join(marks.where("marks is not null"), ["gram", "tuple_id"])
-    strings = spans(hits)
-    heavy = marks.where("marks is null").select("gram").distinct()
-    if not heavy.isEmpty():
-        strings = strings.union(counted(occurrences, heavy))
+    occurrences, tables, strings = table.withColumns({"first": F.lit(0), "last": F.lit(SPAN)}), [base, found, table], None
+    while True:
+        occurrences = occurrences.withColumn("tuple_id", F.xxhash64("context", "low", "high"))
+        distinct = occurrences.groupBy("gram", "tuple_id", "low", "high", "context").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        marks = cut(noted(distinct), "marks")
+        tables.append(marks)
+        hits = occurrences.select("doc_id", "own", "pos", "gram", "tuple_id").join(marks.where("marks is not null"), ["gram", "tuple_id"])
+        strings = spans(hits) if strings is None else strings.union(spans(hits))
+        heavy = marks.where("marks is null").select("gram").distinct()
+        if heavy.isEmpty():
+            break
+        occurrences = cut(halved(occurrences, heavy), "halves")
+        tables.append(occurrences)
     gone = cut(strings.groupBy("doc_id", "own").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "spans")
-    discard(base, found, table, marks)
+    discard(*tables)
     return marked, gone
 
 
