@@ -6,7 +6,8 @@ released block that is due first goes next. No deadline is missed, and after any
 source has had its share of them to within less than one block.
 
 Shares are those of the weights as they are, in whole-number arithmetic. The driver schedules
-every block (about a quarter of a byte for each row) and sends the slots to the rows in chunks. When a source runs out, the
+every block and sends the slots to the rows in chunks; blocks have BLOCK_ROWS rows, or as many more as keep them to about
+BLOCKS, which bounds both, whatever the number of rows. When a source runs out, the
 others' shares grow in proportion and a new phase begins. All rows of all sources stay in the mix, each once.
 """
 
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from winnow.llm.common import cut, partitions
 
-MOST_SOURCES = 1024
-BLOCK_ROWS = 16
+#: Rows of a block at least, and blocks of a mix at most, but for one that a source may not fill.
+BLOCK_ROWS, BLOCKS = 16, 1 << 20
 #: Blocks of a source whose slots go to the rows together.
 CHUNK = 4096
 #: Without target weights, shares follow the sources' rows to this power.
@@ -101,23 +102,22 @@ def schedule(blocks: dict[str, int], weights: dict[str, float], period: int | No
     return out
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int | None = None, period: int | None = None, seed: int = 0) -> DataFrame:
     """Each row's place in the mix.
 
     Returns doc_id, source, source_rank (in the seeded order), block, phase, slot, released,
     due (slots, counted from the phase's first), position (the order of the mix). weights: by source, as they are
     or in proportion; a null source is one of its own. period: shares are rounded to whole slots of such a period; without
     it, they are the weights' own. Rows that repeat a doc_id have places of
-    their own. Extra columns are ignored; an empty table gives no rows. There
-    are at most MOST_SOURCES sources, as each that runs out is a phase of all others.
+    their own. Extra columns are ignored; an empty table gives no rows. block_rows: see BLOCK_ROWS. The driver
+    holds a number for each source.
     """
     spark = docs.sparkSession
     none = "\0"
     rows = docs.select("doc_id", "source", F.coalesce("source", F.lit(none)).alias("src"), F.xxhash64(F.lit(seed), "doc_id").alias("h"))
     rows = cut(rows, "mix")
-    sizes = {r["src"]: r["n"] for r in rows.groupBy("src").agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()}
-    if len(sizes) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
+    sizes = {r["src"]: r["n"] for r in rows.groupBy("src").agg(F.count("*").alias("n")).collect()}
+    block_rows = block_rows or max(BLOCK_ROWS, -(-sum(sizes.values()) // BLOCKS))
     if weights is None:
         share = {s: n**TEMPER for s, n in sizes.items()}
     else:
