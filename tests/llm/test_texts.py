@@ -207,6 +207,17 @@ def test_mix(docs, odd, empty):
     assert monkey.count() == docs.count()
 
 
+def test_blocks_grow_with_the_rows(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCKS", 10)
+    rows = mixing.mix(docs).collect()
+    assert len({r.slot for r in rows}) <= 10 + len({r.source for r in rows}) and len({r.position for r in rows}) == docs.count()
+
+
+def test_many_sources(spark):
+    rows = mixing.mix(spark.range(3000).selectExpr("id doc_id", "concat('s', id % 1500) source"), block_rows=1).collect()
+    assert sorted(r.position for r in rows) == list(range(3000))
+
+
 def test_ranking_in_ranges(docs, monkeypatch):
     whole = {r.doc_id: r.source_rank for r in mixing.mix(docs).collect()}
     monkeypatch.setattr(mixing, "RANKED", 2)

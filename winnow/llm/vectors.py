@@ -11,11 +11,12 @@ The angle of two vectors, seen from the mean, is about pi times the share of bit
 so a pair at the least cosine shares a table's bits with a probability p of about
 (1 - angle / pi) ** width, and there are as many tables as make 1 - (1 - p) ** tables at least
 the asked recall. That angle is wider the nearer the vectors are to the mean, as where all share a common
-component; it is taken for the near ones of the sample. The width grows with the logarithm of the number of vectors per label, so that a bucket
-keeps its size, but no further than MOST_TABLES allow; with width 0 all vectors of a label meet. A pair that shares several tables counts in the first of them alone, which both
+component; it is taken for the near ones of the sample. The width grows with the logarithm of the number of vectors of a label, so that a bucket
+keeps its size (of the largest label: smaller ones have smaller buckets), but no further than MOST_TABLES allow; with width 0 all vectors of a label meet. A pair that shares several tables counts in the first of them alone, which both
 codes tell.
 
-Buckets of any size are dealt over pairs of blocks; no pair leaves the task that finds it: a
+Buckets are compared as a whole; those larger than a block are dealt over pairs of blocks, for which a vector is sent once for each block
+of its bucket. No pair leaves the task that finds it: a
 task returns, for each of its vectors, how many links it has there and the smallest vector they
 reach.
 """
@@ -44,7 +45,9 @@ NEARER = 0.01
 LEAST_FIT = 256
 MOST_TABLES = 64
 #: Distinct vectors that a bucket is meant to hold, and those of a bucket that are compared together at most.
-BUCKET, BLOCK = 24, 512
+BUCKET, BLOCK = 24, 2048
+#: Vectors of a block that meet all others at a time.
+ROWS = 64
 
 
 @dataclass
@@ -110,9 +113,9 @@ def unit(vectors: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit(usable: DataFrame, n: int, labels: int, cosine: float, rows: int) -> Model:
-    """A model from a sample of usable(vec_id, embedding)."""
-    width = min(24, max(8, round(math.log2(max(2, n / max(1, labels) / BUCKET))) + 1))
+def fit(usable: DataFrame, n: int, cosine: float, rows: int) -> Model:
+    """A model from a sample of usable(vec_id, embedding), for labels of at most n vectors."""
+    width = max(8, round(math.log2(max(2, n / BUCKET))) + 1)
     sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).select("embedding").collect()
     by: dict[int, list] = {}
     for r in sample:
@@ -153,8 +156,10 @@ def near_vectors(vectors: DataFrame, cosine: float = LEAST_COSINE, fit_rows: int
     # rows with the same vector are one: their count goes with it
     distinct = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     distinct = cut(distinct.withColumn("node", F.monotonically_increasing_id()).select("node", "rep", "label", "embedding", "copies"), "vectors")
-    size = distinct.agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels")).first()
-    model = fit(distinct.select(F.col("rep").alias("vec_id"), "embedding"), size["n"], size["labels"], cosine, fit_rows)
+    largest = distinct.groupBy("label").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    model = fit(distinct.select(F.col("rep").alias("vec_id"), "embedding"), largest, cosine, fit_rows)
+    # components go to the tasks as they are given, and are normalised there
+    kind = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
@@ -171,7 +176,7 @@ def near_vectors(vectors: DataFrame, cosine: float = LEAST_COSINE, fit_rows: int
                         "copies": part.column("copies"),
                         "dims": pa.array(np.full(len(at), d), pa.int32()),
                         "codes": pa.array(list(model.codes(x)), pa.list_(pa.int64())),
-                        "raw": pa.array([v.tobytes() for v in x], pa.binary()),
+                        "raw": pa.array([np.array(lists[i], kind).tobytes() for i in at], pa.binary()),
                     }
                 )
 
@@ -194,27 +199,32 @@ def near_vectors(vectors: DataFrame, cosine: float = LEAST_COSINE, fit_rows: int
         held = 0
         for run in runs(batches, [*key, "low", "high"]):
             ids, copies, own = (run.column(k).to_numpy() for k in ("node", "copies", "own"))
-            x = np.frombuffer(b"".join(run.column("raw").to_pylist())).reshape(len(ids), -1)
+            x = np.frombuffer(b"".join(run.column("raw").to_pylist()), kind).reshape(len(ids), -1).astype(np.float64)
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
             codes = np.stack(run.column("codes").to_pylist()).astype(np.int64)
             t = run.column("table")[0].as_py()
             split = run.column("low")[0].as_py() != run.column("high")[0].as_py()
-            near = np.triu(x @ x.T >= cosine - 1e-9, 1)
-            if split:
-                near &= own[:, None] != own[None, :]
-            i, j = np.nonzero(near)
-            if not len(i):
-                continue
-            first = ~(codes[i, :t] == codes[j, :t]).any(1)
-            i, j = i[first], j[first]
-            exact = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
-            i, j = i[exact], j[exact]
-            if not len(i):
-                continue
-            links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-            low = _spread(ids.copy(), i, j)
+            links, group = np.zeros(len(ids), np.int64), np.arange(len(ids))
+            for at in range(0, len(ids), ROWS):
+                near = x[at : at + ROWS] @ x[at:].T >= cosine - 1e-9
+                if split:
+                    near &= own[at : at + ROWS, None] != own[None, at:]
+                i, j = np.nonzero(np.triu(near, 1))
+                i, j = i + at, j + at
+                first = ~(codes[i, :t] == codes[j, :t]).any(1)
+                i, j = i[first], j[first]
+                exact = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
+                i, j = i[exact], j[exact]
+                links += np.bincount(i, copies[j], len(ids)).astype(np.int64) + np.bincount(j, copies[i], len(ids)).astype(np.int64)
+                ends = np.column_stack([group[i], group[j]])
+                ends = np.unique(ends[ends[:, 0] != ends[:, 1]], axis=0)
+                if len(ends):
+                    group = _spread(np.arange(len(ids)), ends[:, 0], ends[:, 1])[group]
             some = np.flatnonzero(links)
-            out.append((ids[some], links[some].astype(np.int64), low[some]))
-            held += len(some)
+            if len(some):
+                # rows are in order of node: the first of a group is its smallest
+                out.append((ids[some], links[some], ids[group[some]]))
+                held += len(some)
             if held > 20_000:
                 yield pa.record_batch(dict(zip(("node", "links", "low"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
                 out, held = [], 0
