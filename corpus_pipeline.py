@@ -1,11 +1,15 @@
-"""A training-data pipeline over documents: each stage works on all rows that the one before kept."""
+"""A training-data pipeline over documents: each stage works on all rows that the one before kept.
+
+Stages keep the columns that their rows have, whatever their names. A null text counts as empty, and a null doc_id is that of a row
+by itself; what that and repeated rows mean to a stage is said at its operator. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from winnow.llm import bpe, minhash, mixing, quality, suffixes
-from winnow.llm.common import cut, table
+from winnow.llm.common import cut, discard, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +53,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), name)
-    name, stage = STAGES[-1]
-    return stage(spark, docs, sf_dir)
+        discard(*before)
+        before = [docs]
+    return STAGES[-1][1](spark, docs, sf_dir)
