@@ -2,9 +2,9 @@
 
 Every document has a signature of TREES x DEPTH minimum hashes of its shingle set. A tree
 orders the documents by its own DEPTH hashes; documents with a common prefix are a region of that tree. How deep a
-region is follows from what it holds: it begins with the first LEAST hashes, and as long as more documents than a
-block takes share them, the next hash splits it. Two documents with a similarity s share a first region of some tree with a
-probability of 1 - (1 - s**LEAST)**TREES, which is 0.99995 at 0.75.
+region is follows from what it holds: it begins with the first two hashes, and as long as more documents than a
+block takes share them, the next ones split it (DEPTHS). Two documents with a similarity s share a first region of some tree with a
+probability of 1 - (1 - s**2)**TREES, which is 0.99995 at 0.75.
 
 1. In the tree's order each document is a candidate for its neighbour with the longest common
    prefix, and in regions that fit a block for the one whose whole signature agrees most. Candidates whose
@@ -31,7 +31,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.llm.common import components, cut, discard, partitions, runs, slices
@@ -39,7 +39,7 @@ from winnow.llm.shingles import mix, pieces, shingle_sets
 
 #: Links are for a similarity of NUMERATOR/100 or more.
 NUMERATOR = 75
-TREES, DEPTH, LEAST = 12, 8, 2
+TREES, DEPTH, DEPTHS = 12, 8, (2, 3, 4, 6, 8)
 HASHES = TREES * DEPTH
 #: Signatures that agree in fewer of their hashes are no candidates: 0.75 less four standard deviations.
 AGREE = int(HASHES * 0.75 - 4 * (HASHES * 0.75 * 0.25) ** 0.5)
@@ -210,24 +210,28 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _pairs(np.array(found, np.int64))
 
 
-def regions(reps: DataFrame) -> list[DataFrame]:
-    """By depth, a written table of the regions with two documents at least: tree, region, parent, n (its documents), doc_id, order (the document's hashes of the tree).
+def regions(reps: DataFrame) -> DataFrame:
+    """A written table of the regions with two documents at least: level, tree, region, n (its documents), doc_id, order (the document's hashes of the tree).
 
-    What more than BLOCK documents share is split by the next hash, and is the parent of its parts.
+    What more than BLOCK documents share is split by the next of DEPTHS.
     """
     trees = reps.select(F.col("rep").alias("doc_id"), "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     order = F.substring("signature", F.col("tree") * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
-    left = trees.select("doc_id", "tree", order.alias("order"), F.lit(None).cast("long").alias("parent"))
+    left = trees.select("doc_id", "tree", order.alias("order"))
     levels = []
-    for depth in range(LEAST, DEPTH + 1):
+    for level, depth in enumerate(DEPTHS):
         keyed = left.withColumn("region", F.xxhash64(F.lit(depth), "tree", F.substring("order", 1, 4 * depth)))
         counted = keyed.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
-        levels.append(cut(keyed.join(counted, ["tree", "region"]), "regions"))
+        levels.append(cut(keyed.join(counted, ["tree", "region"]).withColumn("level", F.lit(level)), "regions"))
         large = levels[-1].where(F.col("n") > BLOCK)
         if large.isEmpty():
             break
-        left = large.select("doc_id", "tree", "order", F.col("region").alias("parent"))
-    return levels
+        left = large.select("doc_id", "tree", "order")
+    if len(levels) == 1:
+        return levels[0]
+    out = cut(reduce(DataFrame.unionByName, levels), "regions")
+    discard(*levels)
+    return out
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,19 +246,6 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = tree[-1:], region[-1:], ids[-1:], sig[-1:]
 
 
-def _to_check(opened: DataFrame, depths: int) -> DataFrame:
-    """Of open regions those that are compared as a whole: no parent of theirs is, and what is outside their largest class fits a block, or nothing splits them."""
-    found, covered = [], None
-    for i in range(depths):
-        here = opened.where(F.col("level") == i)
-        rest = here if covered is None else here.join(covered, "parent", "left_anti")
-        mine = rest.where((F.least("n", F.col("n") - F.col("top_size")) <= BLOCK) | F.lit(i == DEPTH - LEAST))
-        found.append(mine)
-        below = mine.select(F.col("region").alias("parent"))
-        covered = below if covered is None else below.union(here.join(covered, "parent", "left_semi").select(F.col("region").alias("parent")))
-    return reduce(DataFrame.unionByName, found).select("tree", "region", "top", "top_size")
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """The class of every document: doc_id, n_shingles, component_id, kept.
 
@@ -270,47 +261,48 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = cut(known.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature")), "representatives")
     copies = cut(known.select("doc_id", "set_a", "set_b").join(reps, ["set_a", "set_b"]).select("doc_id", "rep").distinct(), "copies")
 
-    levels = regions(reps)
-    shared = reduce(DataFrame.unionByName, [x.withColumn("level", F.lit(i)) for i, x in enumerate(levels)])
+    shared = regions(reps)
     # the ids grow with the documents, so they are not broadcast at any size
-    sets = cut(full_sets(docs.join(levels[0].select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")), "sets")
+    sets = cut(full_sets(docs.join(shared.where("level = 0").select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")), "sets")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("doc_id", "tree"), blocks).cast("int")
     sig = reps.select(F.col("rep").alias("doc_id"), "signature")
 
-    last = (F.col("n") <= BLOCK) | (F.col("level") == DEPTH - LEAST)
-    dealt = shared.where(last).select("tree", "region", "doc_id", "order", block.alias("block")).join(sig, "doc_id")
+    large, deepest = F.col("n") > BLOCK, F.col("level") == len(DEPTHS) - 1
+    dealt = shared.where(~large | deepest).select("tree", "region", "doc_id", "order", block.alias("block")).join(sig, "doc_id")
     dealt = dealt.repartition(2 * n, "tree", "region", "block").sortWithinPartitions("tree", "region", "block", "order", "doc_id")
     first = dealt.mapInArrow(_candidates, "a long, b long")
-    if len(levels) > 1:
-        # a larger level holds what the next ones do: its order has all their neighbours
-        large = levels[0].where(F.col("n") > BLOCK).select("tree", "region", "doc_id", "order").join(sig, "doc_id")
-        first = first.union(large.repartitionByRange(2 * n, "tree", "order", "doc_id").sortWithinPartitions("tree", "order", "doc_id").mapInArrow(_in_order, "a long, b long"))
+    # a large region of the first level has all neighbours of its parts
+    top = shared.where(large & (F.col("level") == 0)).select("tree", "region", "doc_id", "order")
+    if not top.isEmpty():
+        first = first.union(top.join(sig, "doc_id").repartitionByRange(2 * n, "tree", "order", "doc_id").sortWithinPartitions("tree", "order", "doc_id").mapInArrow(_in_order, "a long, b long"))
     first = cut(first.distinct(), "candidates")
     links = cut(confirmed(first, sets), "links")
 
-    shared = shared.drop("order")
+    written, shared = shared, shared.drop("order")
     classed = cut(_classed(shared, components(links)), "classed")
-    ends = links.select(F.col("a").alias("doc_id")).union(links.select("b")).groupBy("doc_id").agg(F.count("*").alias("links"))
+    ends = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("links"))
     hubs = classed.join(ends, "doc_id").groupBy("tree", "region").agg(F.max(F.struct("links", "doc_id", "class")).alias("h"))
     hubs = hubs.select("tree", "region", F.col("h.doc_id").alias("hub"), F.col("h.class").alias("hub_class"))
-    hubs = hubs.join(_open(classed).select("tree", "region"), ["tree", "region"])
+    # a region of one class has no document outside its hub's
     to_hub = classed.join(hubs, ["tree", "region"]).where("class <> hub_class")
     to_hub = to_hub.select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    to_hub = to_hub.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").mapInArrow(_agreeing, "a long, b long")
+    to_hub = cut(to_hub.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").mapInArrow(_agreeing, "a long, b long"), "hubs")
     more = cut(links.union(confirmed(to_hub, sets)), "links")
 
     again = cut(_classed(shared, components(more)), "classed")
-    rows = again.join(_to_check(cut(_open(again), "open"), len(levels)), ["tree", "region"])
-    cells = lambda df, minor, every, i, j: df.select("tree", "region", "doc_id", "class", minor.alias("minor"), every.alias("any"), i.alias("block"), j.alias("against"))
-    none, yes, no = F.lit(0), F.lit(True), F.lit(False)
-    met = cells(rows.where(F.col("n") <= BLOCK), F.col("class") != F.col("top"), yes, none, none)
+    # regions that are compared as a whole, and of those that a document is in the least deep one
+    opened = _open(again).where((F.least("n", F.col("n") - F.col("top_size")) <= BLOCK) | deepest).select("tree", "region", "top", "top_size")
+    rows = again.join(opened, ["tree", "region"]).withColumn("least", F.min("level").over(Window.partitionBy("doc_id", "tree"))).where("level = least")
     # documents outside the region's largest class, in blocks (mostly one), against all of it, in blocks
-    large = rows.where(F.col("n") > BLOCK)
     sides = F.ceil((F.col("n") - F.col("top_size")) / BLOCK).cast("int")
     side = F.pmod(F.xxhash64("doc_id", "tree"), sides).cast("int")
-    met = met.union(cells(large, no, yes, block, F.explode(F.sequence(none, sides - 1))))
-    met = met.union(cells(large.where("class <> top"), yes, no, F.explode(F.sequence(none, blocks - 1)), side))
+    outside, none = F.col("class") != F.col("top"), F.lit(0)
+    cell = lambda minor, every, i, j: F.struct(F.lit(minor).alias("minor") if isinstance(minor, bool) else minor.alias("minor"), F.lit(every).alias("any"), i.alias("block"), j.alias("against"))
+    as_any = F.transform(F.sequence(none, sides - 1), lambda j: cell(False, True, block, j))
+    as_minor = F.transform(F.sequence(none, blocks - 1), lambda i: cell(True, False, i, side))
+    cells = F.when(~large, F.array(cell(outside, True, none, none))).when(outside, F.concat(as_any, as_minor)).otherwise(as_any)
+    met = rows.select("tree", "region", "doc_id", "class", F.explode(cells).alias("c")).select("tree", "region", "doc_id", "class", "c.*")
     known_of = sig.join(sets.select("doc_id", "n_shingles", "shingles"), "doc_id")
     met = met.join(known_of, "doc_id").repartition(2 * n, "tree", "region", "block", "against").sortWithinPartitions("tree", "region", "block", "against")
     across = cut(met.mapInArrow(_crossing, "a long, b long"), "across")
@@ -319,7 +311,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = copies.join(final, copies.rep == final.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "rep")).alias("component_id"))
     out = whole.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     out = cut(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "near")
-    discard(whole, reps, copies, *levels, sets, first, links, classed, more, again, across, final)
+    discard(whole, reps, copies, written, sets, first, links, classed, to_hub, more, again, across, final)
     return out
 
 
@@ -330,10 +322,10 @@ def _classed(shared: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _open(classed: DataFrame) -> DataFrame:
-    """tree, region, level, parent, n, top (its largest class), top_size of the regions that hold several classes."""
-    sizes = classed.groupBy("level", "parent", "tree", "region", "n", "class").agg(F.count("*").alias("size"))
-    found = sizes.groupBy("level", "parent", "tree", "region", "n").agg(F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("top")).where("classes > 1")
-    return found.select("tree", "region", "level", "parent", "n", F.col("top.class").alias("top"), F.col("top.size").alias("top_size"))
+    """tree, region, level, n, top (its largest class), top_size of the regions that hold several classes."""
+    sizes = classed.groupBy("level", "tree", "region", "n", "class").agg(F.count("*").alias("size"))
+    found = sizes.groupBy("level", "tree", "region", "n").agg(F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("top")).where("classes > 1")
+    return found.select("tree", "region", "level", "n", F.col("top.class").alias("top"), F.col("top.size").alias("top_size"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
