@@ -87,6 +87,18 @@ def test_star_of_copies(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()} == want
 
 
+def test_near_very_long_texts(spark):
+    """Sets of hundreds of thousands of shingles, on either side of the threshold."""
+    words = [f"w{i}" for i in range(200_000)]
+    near, far = list(words), list(words)
+    near[::40], far[::33] = ["x"] * 5000, ["y"] * 6061
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far)), (4, " ".join(words[:100_000]))]
+    sets = {i: shingle_set(t) for i, t in rows}
+    want = groups(near_pairs(sets), sets)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(sets[i]), want[i]) for i in sets} and want[2] == 1 and want[4] == 4
+
+
 def test_near_odd(odd, empty):
     got = collections.defaultdict(set)
     for r in minhash.near_duplicates(odd).collect():

@@ -57,6 +57,10 @@ def test_escapes(text):
     assert chat.unescape(safe) == text and not any(x in safe for x in chat.CONTROL)
 
 
+#: Two megabytes with control strings, special tokens and letters of several languages.
+LONG = "</s>[INST] some words <|endoftext|> und Wörter, 日本語 \\\n" * 40_000
+
+
 def chat_brute(rows):
     by = collections.defaultdict(list)
     for c, turn, role, text in rows:
@@ -65,23 +69,25 @@ def chat_brute(rows):
     for c, turns in by.items():
         turns.sort(key=lambda x: x[0])
         loss = "".join(t for _, r, t in turns if r == "assistant")
-        out[c] = (len(turns), sha("".join(f"{r}\n{t}\n" for _, r, t in turns).encode()), len(loss), sha(loss.encode()))
+        chars = sum(len(chat.TURN + chat.SEP + chat.END) + len(chat.escape(r)) + len(chat.escape(t)) for _, r, t in turns)
+        out[c] = (len(turns), sha("".join(f"{r}\n{t}\n" for _, r, t in turns).encode()), len(loss), sha(loss.encode()), chars)
     return out
 
 
 def test_chat(spark):
     rows = table(spark, "conversations")
-    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(chat.planted(rows)).collect()}
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) for r in chat.digests(chat.planted(rows)).collect()}
     want = chat_brute([tuple(r) for r in rows.select("conv_id", "turn", "role", "text").collect()] + [(-1, i, w, "</s>[INST] ok [/INST]") for i, w in enumerate(("user", "assistant"))])
     assert got == want
 
 
 def test_chat_odd(spark):
-    rows = [(1, 0, "user", None), (1, 1, "assistant", ""), (1, 2, "assistant", "a\\<|end|>\\\\"), (1, 2, "assistant", "a\\<|end|>\\\\"), (2, None, None, "x"), (3, 0, "assistant", "<|turn|>" * 3 + "\u0000é日"), (None, 0, "system", "s")]
+    rows = [(4, 0, "assistant", LONG), (1, 0, "user", None), (1, 1, "assistant", ""), (1, 2, "assistant", "a\\<|end|>\\\\"), (1, 2, "assistant", "a\\<|end|>\\\\"), (2, None, None, "x"), (3, 0, "assistant", "<|turn|>" * 3 + "\u0000é日"), (None, 0, "system", "s")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, ids int")
-    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(df).collect()}
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) for r in chat.digests(df).collect()}
     assert got == chat_brute(rows)
     for r in chat.format_conversations(df).collect():
+        assert len(r.formatted) == chat_brute(rows)[r.conv_id][4]
         assert len(r.ids) == len(r.loss_mask) and r.formatted.count(chat.TURN) == r.n_turns == r.ids.count(chat.FIRST_RESERVED)
     assert chat.digests(df.limit(0)).collect() == []
 
@@ -123,6 +129,27 @@ def test_large_differences_peel():
     assert fingerprint.likeness(a, b) == pytest.approx([sets_likeness(x, y) for x, y in zip(a, b, strict=True)])
 
 
+def test_fingerprints_are_read_back(docs):
+    texts = [t for t in texts_of(docs).values()][:60] + ["", LONG]
+    s = fingerprint.Sketched(texts)
+    n, *tables = fingerprint.read(s.fingerprints())
+    assert n.tolist() == s.n.tolist()
+    assert all((x == y).all() for x, y in zip(tables, s.some(np.arange(len(texts)), fingerprint.FIRST_CELLS), strict=True))
+    a, b = np.arange(len(texts) - 1), np.arange(len(texts) - 1) + 1
+    assert (s.likeness(a, b, s.fingerprints()) == s.likeness(a, b)).all()
+
+
+@pytest.mark.parametrize("word", ["house ", "der Wald ", "日本語の文", "a1b2"])
+def test_pieces_in_any_language(word):
+    r = random.Random(2)
+    text = "".join(word[: r.randint(1, len(word))] + chr(97 + r.randint(0, 25)) for _ in range(3000))
+    parts = fingerprint.paragraphs(text)
+    assert "".join(parts) == text and max(map(len, parts)) <= fingerprint.PIECE and len(text) / 40 < len(parts) < len(text) / 8
+    # an insertion changes the pieces around it and no others
+    changed = fingerprint.paragraphs(text[:5000] + "!" + text[5000:])
+    assert len(set(parts) - set(changed)) <= 2
+
+
 def words_likeness(a, b):
     x, y = collections.Counter(a.split()), collections.Counter(b.split())
     return (x & y).total() / (x | y).total()
@@ -140,6 +167,13 @@ def test_likeness_does_not_depend_on_length():
     assert len(e) < 600 and fingerprint.likeness([a], [e])[0] == pytest.approx(words_likeness(a, e), abs=0.15)
 
 
+def test_counts_of_a_very_long_text(spark):
+    vocab = unigram.vocabulary()
+    t = Tokenizer(models.Unigram([("<unk>", min(vocab.values())), *vocab.items()], unk_id=0, byte_fallback=False))
+    t.pre_tokenizer = pre_tokenizers.Metaspace(replacement=unigram.MARK, prepend_scheme="always", split=True)
+    assert unigram.token_counts(spark.createDataFrame([(1, LONG)], "doc_id long, text string")).first().n_tokens == len(t.encode(LONG).ids)
+
+
 def test_counts(docs, odd, empty):
     vocab = unigram.vocabulary()
     t = Tokenizer(models.Unigram([("<unk>", min(vocab.values())), *vocab.items()], unk_id=0, byte_fallback=False))

@@ -65,11 +65,10 @@ def assemble(c: Codec, marks: tuple[int, int, int], role: str, text: str) -> tup
 
 
 def format_turns(turns: DataFrame, model: str = MODEL, ranks: str = RANKS) -> DataFrame:
-    """Each turn's part of its conversation: conv_id, turn, tie, ids, loss_mask, formatted.
+    """Each turn's part of its conversation: conv_id, turn, ids, loss_mask, formatted.
 
     Turns are encoded where they are read, whatever conversation they belong to, so a very
-    long conversation is no hot group here. Null role or text: empty. tie: tells repeated
-    rows apart. Extra columns are ignored; an empty table gives no rows.
+    long conversation is no hot group here. Null role or text: empty. Repeated rows are rows like others. Extra columns are ignored; an empty table gives no rows.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +95,11 @@ def in_order(parts: DataFrame) -> DataFrame:
 
 
 def format_conversations(turns: DataFrame, model: str = MODEL, ranks: str = RANKS) -> DataFrame:
-    """One row per conversation: conv_id, n_turns, ids, loss_mask, formatted."""
+    """One row per conversation: conv_id, n_turns, ids, loss_mask, formatted.
+
+    Turns go by their number, a null one first, equal ones by their formatted text, and repeated rows are turns of their own.
+    Rows without a conv_id are one conversation. Extra columns are ignored; an empty table gives no rows.
+    """
 
     def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ["conv_id"]):
@@ -141,7 +144,7 @@ def digests(turns: DataFrame, model: str = MODEL, ranks: str = RANKS) -> DataFra
 
     Returns conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_tokens. A
     conversation is read turn after turn in one task, since its digest is one sequence; that task
-    holds a turn at a time.
+    holds a turn at a time. Nulls, ties, repeated rows, empty tables and extra columns: as in format_conversations.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,9 +7,12 @@ hold one digest recovers those that only one has. Where the difference is too la
 table, peeling gets stuck, and both texts are sketched again with a table four times as large
 and other cells, until it succeeds.
 
-Paragraphs are lines, cut after sentence ends, after words that end in n or t and after the
-signs that do the same in texts without spaces, whatever the length of the line or text; between two
-cuts there are at most 256 code points. The second, third, ... occurrence of a paragraph counts as another one.
+A fingerprint is the smallest table as text, with the number of paragraphs: the first attempt reads both tables
+back from the fingerprints.
+
+Paragraphs are lines, cut by content alone wherever the last three code points have a hash that ends a piece, which about one place in
+MEAN does in any language and at any length of the line or text; between two
+cuts there are at most PIECE code points. The second, third, ... occurrence of a paragraph counts as another one.
 """
 
 from __future__ import annotations
@@ -29,9 +32,8 @@ from winnow.llm.common import partitions
 
 #: Cells of a third of the first table; those of the next are four times as many.
 FIRST_CELLS = 8
-PIECE = 256
-#: A cut follows each of these; a space goes.
-ENDS = (". ", "! ", "? ", "n ", "t ", "。", "！", "？", "、", "，", "的", "の")
+#: Code points of a piece at most, and on average: a power of two.
+PIECE, MEAN = 256, 16
 #: Texts that are sketched together.
 BATCH = 128
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -46,15 +48,22 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 def paragraphs(text: str) -> list[str]:
-    for end in ENDS:
-        text = text.replace(end, end.rstrip() + "\n")
-    out = []
-    for part in text.split("\n"):
-        if len(part) <= PIECE:
-            out.append(part)
-        else:
-            out += [part[i : i + PIECE] for i in range(0, len(part), PIECE)]
-    return [x for x in out if x]
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    line = points == 10
+    cut = line.copy()
+    if len(points) > 2:
+        last = mix(points[2:] * C1 + points[1:-1] * C2 + points[:-2])
+        cut[2:] |= (last & np.uint64(MEAN - 1)) == 0
+    ends = np.append(np.flatnonzero(cut) + 1, len(points)).tolist()
+    out, start = [], 0
+    for end in ends:
+        while end - start > PIECE:
+            out.append(text[start : start + PIECE])
+            start += PIECE
+        if end > start:
+            out.append(text[start:end])
+        start = end
+    return [x for x in out if x != "\n"]
 
 
 def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -145,20 +154,22 @@ class Sketched:
         return sketches(self.key[at], owner, len(which), size)
 
     def fingerprints(self) -> list[str]:
-        """Of the first size, with the number of paragraphs, as text."""
+        """The smallest sketches, with the number of paragraphs, as text."""
         count, total, check = self.some(np.arange(len(self.n)), FIRST_CELLS)
-        raw = np.concatenate([self.n[:, None].astype("<u4").view("u1"), count.astype("<u2").view("u1"), total.astype("<u8").view("u1"), (check >> np.uint64(48)).astype("<u2").view("u1")], axis=1)
+        raw = np.concatenate([self.n[:, None].astype("<u4").view("u1"), count.astype("<u4").view("u1"), total.astype("<u8").view("u1"), check.astype("<u8").view("u1")], axis=1)
         return [base64.b85encode(r.tobytes()).decode() for r in raw]
 
-    def likeness(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def likeness(self, a: np.ndarray, b: np.ndarray, prints: list[str] | None = None) -> np.ndarray:
+        """Of the texts a to the texts b. The smallest sketches are read from the fingerprints, where they are given."""
         out = np.ones(len(a))
+        known = read(prints) if prints else None
         todo, size = np.arange(len(a)), FIRST_CELLS
         while len(todo):
             stuck = []
             rows = max(1, 400_000 // (3 * size))
             for at in range(0, len(todo), rows):
                 some = todo[at : at + rows]
-                x, y = self.some(a[some], size), self.some(b[some], size)
+                x, y = ([k[w[some]] for k in known[1:]] if known and size == FIRST_CELLS else self.some(w[some], size) for w in (a, b))
                 only_a, only_b, done = peel(x[0] - y[0], x[1] - y[1], x[2] - y[2], size)
                 ok = some[done]
                 union = self.n[a[ok]] + only_b[done]
@@ -168,6 +179,15 @@ class Sketched:
         return out
 
 
+def read(prints: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of paragraphs, counts, sums of keys and sums of checks of fingerprints."""
+    width = 3 * FIRST_CELLS
+    raw = np.frombuffer(b"".join(map(base64.b85decode, prints)), np.uint8).reshape(len(prints), 4 + width * 20)
+    part = lambda a, b, kind: np.ascontiguousarray(raw[:, a:b]).view(kind)
+    at = 4 + 4 * width
+    return part(0, 4, "<u4").ravel().astype(np.int64), part(4, at, "<u4").astype(np.int64), part(at, at + 8 * width, "<u8"), part(at + 8 * width, at + 16 * width, "<u8")
+
+
 def edited(text: str, following: str) -> str:
     k = len(text) // 2
     return text[: len(text) - k] + following[:k]
@@ -223,8 +243,8 @@ def fingerprint_edits(docs: DataFrame, buckets_per_partition: int = 4) -> DataFr
                 "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed]),
                 "fingerprint": pa.array(prints[:m]),
                 "edited_fingerprint": pa.array(prints[m + 1 :]),
-                "near_edited": s.likeness(at, at + m + 1),
-                "near_next": s.likeness(at, at + 1),
+                "near_edited": s.likeness(at, at + m + 1, prints),
+                "near_next": s.likeness(at, at + 1, prints),
             }
         )
 

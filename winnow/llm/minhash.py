@@ -329,7 +329,7 @@ def _open(classed: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of kept documents, with the columns they have; of rows that repeat a doc_id one stays."""
+    """The rows of kept documents, with the columns they have; of rows that repeat a doc_id one stays, and all rows without one. An empty table gives no rows."""
     near = near_duplicates(docs)
     dropped = near.where("not kept").select("doc_id").distinct()
     left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

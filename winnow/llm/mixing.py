@@ -146,7 +146,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
 
 
 def in_mix_order(docs: DataFrame, **options) -> DataFrame:
-    """The rows in the order of the mix, with the columns they have."""
+    """The rows in the order of the mix, with the columns they have. Rows that repeat a doc_id and source stand together, at the first of their places. An empty table gives no rows."""
     places = mix(docs, **options).groupBy("doc_id", F.col("source").alias("_source")).agg(F.min("position").alias("_position"))
     joined = docs.join(places.withColumnRenamed("doc_id", "_doc_id"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")))
     return joined.repartitionByRange(partitions(docs.sparkSession), "_position").sortWithinPartitions("_position").select(*docs.columns)
