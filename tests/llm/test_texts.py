@@ -144,7 +144,7 @@ def test_pieces_in_any_language(word):
     r = random.Random(2)
     text = "".join(word[: r.randint(1, len(word))] + chr(97 + r.randint(0, 25)) for _ in range(3000))
     parts = fingerprint.paragraphs(text)
-    assert "".join(parts) == text and max(map(len, parts)) <= fingerprint.PIECE and len(text) / 40 < len(parts) < len(text) / 8
+    assert "".join(parts) == text and max(map(len, parts)) <= fingerprint.PIECE and len(text) / 20 < len(parts) < len(text) / 4
     # an insertion changes the pieces around it and no others
     changed = fingerprint.paragraphs(text[:5000] + "!" + text[5000:])
     assert len(set(parts) - set(changed)) <= 2

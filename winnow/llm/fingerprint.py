@@ -4,8 +4,8 @@ A text is a set of paragraphs, each a 64-bit digest. Every digest is put into th
 a small table; a cell keeps how many digests it got, their sum and the sum of their checks.
 Two versions' tables subtract cell by cell: what both hold cancels out, and peeling cells that
 hold one digest recovers those that only one has. Where the difference is too large for the
-table, peeling gets stuck, and both texts are sketched again with a table four times as large
-and other cells, until it succeeds.
+table, peeling gets stuck, and both texts are sketched again with a table four times as large, or as many
+times four as the spread of the counts asks for, and other cells, until it succeeds.
 
 A fingerprint is the smallest table as text, with the number of paragraphs: the first attempt reads both tables
 back from the fingerprints.
@@ -33,7 +33,9 @@ from winnow.llm.common import partitions
 #: Cells of a third of the first table; those of the next are four times as many.
 FIRST_CELLS = 8
 #: Code points of a piece at most, and on average: a power of two.
-PIECE, MEAN = 256, 16
+PIECE, MEAN = 256, 8
+#: Digests for each cell up to which tables mostly peel.
+FILLED = 0.7
 #: Texts that are sketched together.
 BATCH = 128
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -128,7 +130,7 @@ def peel(count: np.ndarray, total: np.ndarray, check: np.ndarray, size: int) ->
             np.subtract.at(count, at[j], sign)
             np.subtract.at(total, at[j], by)
             np.subtract.at(check, at[j], checks)
-        touched = np.unique(at)
+        touched = at.ravel()  # with repeats, which meet again above
         live = touched[np.abs(count[touched]) == 1]
     left = (count != 0) | (total != 0) | (check != 0)
     return only[0], only[1], ~left.reshape(n, width).any(1)
@@ -157,32 +159,49 @@ class Sketched:
         """The smallest sketches, with the number of paragraphs, as text."""
         count, total, check = self.some(np.arange(len(self.n)), FIRST_CELLS)
         raw = np.concatenate([self.n[:, None].astype("<u4").view("u1"), count.astype("<u4").view("u1"), total.astype("<u8").view("u1"), check.astype("<u8").view("u1")], axis=1)
-        return [base64.b85encode(r.tobytes()).decode() for r in raw]
+        return [base64.b64encode(r.tobytes()).decode() for r in raw]
 
     def likeness(self, a: np.ndarray, b: np.ndarray, prints: list[str] | None = None) -> np.ndarray:
         """Of the texts a to the texts b. The smallest sketches are read from the fingerprints, where they are given."""
         out = np.ones(len(a))
         known = read(prints) if prints else None
-        todo, size = np.arange(len(a)), FIRST_CELLS
+        sizes = np.full(len(a), FIRST_CELLS)
+        todo = np.arange(len(a))
         while len(todo):
-            stuck = []
+            size = int(sizes[todo].min())
+            now = todo[sizes[todo] == size]
+            stuck = [todo[sizes[todo] > size]]
             rows = max(1, 400_000 // (3 * size))
-            for at in range(0, len(todo), rows):
-                some = todo[at : at + rows]
+            for at in range(0, len(now), rows):
+                some = now[at : at + rows]
                 x, y = ([k[w[some]] for k in known[1:]] if known and size == FIRST_CELLS else self.some(w[some], size) for w in (a, b))
-                only_a, only_b, done = peel(x[0] - y[0], x[1] - y[1], x[2] - y[2], size)
+                count = x[0] - y[0]
+                only_a, only_b, done = peel(count, x[1] - y[1], x[2] - y[2], size)
                 ok = some[done]
                 union = self.n[a[ok]] + only_b[done]
                 out[ok] = np.where(union > 0, (self.n[a[ok]] - only_a[done]) / np.maximum(union, 1), 1.0)
-                stuck.append(some[~done])
-            todo, size = np.concatenate(stuck), size * 4
+                left = some[~done]
+                sizes[left] = next_size(count[~done], size)
+                stuck.append(left)
+            todo = np.concatenate(stuck)
         return out
 
 
+def next_size(count: np.ndarray, size: int) -> np.ndarray:
+    """The sizes to try after subtracted counts that did not peel: four times as large, or as many times four as their spread says is needed.
+
+    A cell's count is spread by the digests in it, whichever text they are from, and is off zero by how many more one text has.
+    """
+    spread = (count.astype(float) ** 2).mean(1) - count.mean(1) ** 2
+    needed = np.maximum(spread * size / (3 * FILLED), 1.0)
+    steps = np.maximum(1, np.ceil(np.log(needed / size) / np.log(4)))
+    return (size * 4.0**steps).astype(np.int64)
+
+
 def read(prints: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of paragraphs, counts, sums of keys and sums of checks of fingerprints."""
     width = 3 * FIRST_CELLS
-    raw = np.frombuffer(b"".join(map(base64.b85decode, prints)), np.uint8).reshape(len(prints), 4 + width * 20)
+    raw = np.frombuffer(b"".join(map(base64.b64decode, prints)), np.uint8).reshape(len(prints), 4 + width * 20)
     part = lambda a, b, kind: np.ascontiguousarray(raw[:, a:b]).view(kind)
     at = 4 + 4 * width
     return part(0, 4, "<u4").ravel().astype(np.int64), part(4, at, "<u4").astype(np.int64), part(at, at + 8 * width, "<u8"), part(at + 8 * width, at + 16 * width, "<u8")
