@@ -1,6 +1,7 @@
 """File scans, with small files written here."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +23,23 @@ def test_log(spark, tmp_path):
     assert records.without_merges(df).count() == 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_first_parents(spark, seed):
+    r = random.Random(seed)
+    up = {i: [f"c{j}" for j in r.sample(range(i + 1, min(i + 6, 44)), r.randint(0, min(2, min(i + 5, 43) - i)))] or [f"c{i + 1}"] * (i % 9 > 0) for i in range(40)}
+    rows = spark.createDataFrame([(f"c{i}", i, p) for i, p in up.items()] + [("c3", 99, ["c0"]), (None, 100, ["c1"])], "record_id string, seq int, parents array<string>")
+    for head in (0, 7):
+        on, want = head, set()
+        while on in up:
+            want.add(f"c{on}")
+            on = int(up[on][0][1:]) if up[on] else None
+        got = [x.record_id for x in records.first_parents(rows, f"c{head}" if head else None).collect()]
+        assert set(got) == want and len(got) == len(want) + ("c3" in want)
+    assert records.first_parents(rows, "none").count() == 0 and records.first_parents(rows.limit(0)).count() == 0
+    loop = spark.createDataFrame([("a", 0, ["b"]), ("b", 1, ["c"]), ("c", 2, ["b"])], rows.schema)
+    assert records.first_parents(loop).count() == 3
+
+
 def test_config(spark, tmp_path):
     p = tmp_path / "config"
     p.write_text("CONFIG_A=y\n# CONFIG_B is not set\nCONFIG_C=m\nCONFIG_A=m\nCONFIG_D=\"x\"\n  CONFIG_E=y\nnoise\n")
@@ -46,7 +64,9 @@ def test_logs_artifacts_hints(spark, tmp_path):
     (tmp_path / "out/x").mkdir(parents=True)
     (tmp_path / "out/x/m.ko").write_bytes(b"1")
     (tmp_path / "out/n.o").write_bytes(b"1")
-    assert {r.path for r in product.read_artifacts(spark, str(tmp_path / "out")).collect()} == {"x/m.ko", "n.o"}
+    (tmp_path / "out/x/empty 1+1%.o").write_bytes(b"")
+    (tmp_path / "out/x/m.c").write_bytes(b"1")
+    assert {r.path for r in product.read_artifacts(spark, str(tmp_path / "out")).collect()} == {"x/m.ko", "n.o", "x/empty 1+1%.o"}
     (tmp_path / "hints.json").write_text(json.dumps({"usb": ["drivers/usb", "include/usb"], "net": "net", "// note": ["x"]}, indent=1))
     assert {(r.keyword, r.prefix) for r in product.read_hints(spark, str(tmp_path / "hints.json")).collect()} == {("usb", "drivers/usb"), ("usb", "include/usb"), ("net", "net")}
 

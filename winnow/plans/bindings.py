@@ -192,6 +192,13 @@ def flagged_orders(spark: SparkSession, d: str) -> DataFrame:
     return o.select(F.sha2(key, 256).alias("record_id"), F.col("o_orderkey").alias("seq"), subject.alias("subject"), body.alias("body"))
 
 
+def event_history(spark: SparkSession, d: str) -> DataFrame:
+    """Events as a history, newest first, in which every seventh is a merge: record_id, seq, parents."""
+    e = F.col("event_id")
+    first, second = (e - 1 - e % 97).cast("string"), (e - 1).cast("string")
+    return table(spark, d, "events").select(e.cast("string").alias("record_id"), (-e).alias("seq"), F.when(e % 7 == 0, F.array(first, second)).otherwise(F.array(first)).alias("parents"))
+
+
 def makefile_blobs(spark: SparkSession, d: str) -> DataFrame:
     """A revision per type: a makefile per brand with a line per part."""
     line = F.concat(F.lit("obj-$(CONFIG_BRAND_"), F.col("b").cast("string"), F.lit(") += "), F.regexp_replace("p_name", " ", "_"), F.lit("_"), F.col("p_partkey").cast("string"), F.lit(".o"))

@@ -106,6 +106,14 @@ def without_merges(s, d):
     return records.without_merges(records.parse_log(B.raw_log(s, d))).select("record_id")
 
 
+@query(
+    """WITH RECURSIVE c AS (SELECT max(event_id) AS e FROM events UNION ALL SELECT e - 1 - e % 97 FROM c WHERE e - 1 - e % 97 IN (SELECT event_id FROM events))
+    SELECT CAST(e AS VARCHAR) AS record_id FROM c"""
+)
+def first_parents(s, d):
+    return records.first_parents(B.event_history(s, d)).select("record_id")
+
+
 @query("SELECT DISTINCT 'CONFIG_BRAND_' || b || '=y' AS symbol FROM pp WHERE p_size % 2 = 0", O.PARTS)
 def kconfig_enabled(s, d):
     p = B.table(s, d, "part").withColumn("name", F.concat(F.lit("CONFIG_BRAND_"), F.regexp_extract("p_brand", r"(\d+)$", 1)))

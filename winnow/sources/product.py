@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,9 +89,12 @@ def artifact_paths(files: DataFrame, root: str) -> DataFrame:
 
 
 def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """The artifacts below a folder. Spark's readers do not list empty files."""
+    """The artifacts below a folder, empty files included.
+
+    No file is read: a scan would leave out the empty ones, so the names are those of its file index, which Spark keeps on the driver for any read.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{o,ko}").load(root)
-    return artifact_paths(files.select("path"), root)
+    return artifact_paths(spark.createDataFrame([(unquote(p),) for p in files.inputFiles()], "path string"), root)
 
 
 def parse_hints(files: DataFrame) -> DataFrame:

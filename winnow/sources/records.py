@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from winnow.sources.stages import cut, discard
+
 RECORD_MARK, TAIL_MARK = "\x1e", "\x1f"
 
 
@@ -70,6 +72,32 @@ def without_merges(records: DataFrame) -> DataFrame:
     return records.where(F.size("parents") <= 1)
 
 
+def first_parents(records: DataFrame, head: str | None = None) -> DataFrame:
+    """The records that first parents lead to from head, itself included; without one, from the first in log order.
+
+    Ways are doubled: each round adds what is as far again from the head as the farthest so far, and joins every way
+    with the next one of its length. So a chain takes as many rounds as its length has binary digits. A record_id that is
+    repeated has the parents of its first row, and all its rows stay; a parent that the log lacks ends the chain.
+    """
+    first = records.where("record_id is not null").groupBy("record_id").agg(F.min_by(F.get("parents", F.lit(0)), "seq").alias("up"))
+    way = cut(first.where("up is not null"), "way")
+    start = records.orderBy("seq").limit(1).select("record_id") if head is None else records.where(F.col("record_id") == head).select("record_id").distinct()
+    reached = cut(start, "reached")
+    found = reached.count()
+    while found:
+        n, before = found, reached
+        reached = cut(before.union(before.join(way, "record_id").select("up")).distinct(), "reached")
+        discard(before)
+        found = reached.count()
+        if found == n:
+            break
+        shorter, onward = way, way.select(F.col("record_id").alias("up"), F.col("up").alias("to"))
+        way = cut(shorter.join(onward, "up").select("record_id", F.col("to").alias("up")), "way")
+        discard(shorter)
+    discard(way)
+    return records.join(reached, "record_id", "left_semi").select(*records.columns)
+
+
 def first_n(records: DataFrame, n: int) -> DataFrame:
     """The first n records in log order; 0: all."""
     return records.orderBy("seq").limit(n) if n else records
