@@ -6,7 +6,7 @@ shard places them. Rebalancing edits that map and leaves the hash alone, so a re
 only when its slot does.
 
 The slot is a hash of the text, so that equal texts share one. A text whose copies outweigh a part of a
-shard has an entry in the map that tells over how many slots they are dealt; like the slots' shards, such entries are
+shard, by bytes or by rows, has an entry in the map that tells over how many slots they are dealt; like the slots' shards, such entries are
 written when a map is made or edited, and change with no later number of bytes or shards.
 
 The map has one row per slot, and entries for texts of which few can weigh that much: that bound lets it be broadcast and
@@ -26,7 +26,7 @@ from winnow.llm.common import cut
 SLOTS = 8192
 #: Bytes that a record takes besides its text.
 OVERHEAD = 16
-#: A map gets an entry for a text whose copies weigh more than this part of a shard, for so many slots in each shard's weight of them.
+#: A map gets an entry for a text whose copies are more than this part of a shard's bytes or rows, for so many slots in each shard's worth of them.
 GROUP_SHARE, PARTS = 0.25, 16
 
 
@@ -132,13 +132,14 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def heavy_texts(sized_rows: DataFrame, shards: int) -> dict[int, int]:
-    """By hash, texts whose copies weigh more than GROUP_SHARE of a shard, and over how many slots they should be dealt.
+    """By hash, texts whose copies are more than GROUP_SHARE of a shard's bytes or rows (as very many empty texts are), and over how many slots they should be dealt.
 
-    Fewer than shards / GROUP_SHARE texts can weigh that much.
+    Fewer than 2 * shards / GROUP_SHARE texts can be that many.
     """
-    total = sized_rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    by = sized_rows.groupBy("text_hash").agg(F.sum("size").alias("s"), F.count("*").alias("n")).where((F.col("s") > GROUP_SHARE * total / shards) & (F.col("n") > 1))
-    return {r["text_hash"]: -(-PARTS * shards * r["s"] // total) for r in by.collect()}
+    size, rows = sized_rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    by = sized_rows.groupBy("text_hash").agg(F.sum("size").alias("s"), F.count("*").alias("n")).where("n > 1")
+    by = by.where((F.col("s") > GROUP_SHARE * size / shards) | (F.col("n") > GROUP_SHARE * rows / shards))
+    return {r["text_hash"]: max(-(-PARTS * shards * r["s"] // size), -(-PARTS * shards * r["n"] // rows)) for r in by.collect()}
 
 
 def slotted(sized_rows: DataFrame, spread: dict[int, int], slots: int = SLOTS) -> DataFrame:
