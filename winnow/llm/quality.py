@@ -110,7 +110,7 @@ def dictionary(samples: list[bytes]) -> bytes:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """A model from at most `rows` labelled texts of each class, those with the smallest hash of doc_id.
 
-    One in DICTIONARY_SHARE of them makes the dictionaries, the others the curve. Of a doc_id with several labels the smallest
+    One in DICTIONARY_SHARE of them makes the dictionaries, the others the curve. Of a doc_id with several labels or texts the smallest
     counts; rows without a text, a doc_id or a label are left out. With fewer than two texts for each dictionary in either
     class the score is that class's share, or one half without labels.
     """
@@ -121,8 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     # somewhat more ids than needed, as not every labelled row is in docs
     ids = [marked.where(F.col("quality") == q).where(F.pmod(hashed, F.lit(max(1, counts.get(q, 0)))) < 2 * rows).limit(3 * rows) for q in (0, 1)]
     # at most so many ids: small enough to broadcast, whatever the table's size
-    found = texts.join(F.broadcast(ids[0].union(ids[1])), "doc_id")
-    nth = F.row_number().over(Window.partitionBy("quality").orderBy(hashed, "text")) - 1
+    found = texts.join(F.broadcast(ids[0].union(ids[1])), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("quality").orderBy(hashed, "doc_id")) - 1
     sample = cut(found.withColumn("nth", nth).where(F.col("nth") < rows), "labelled")
     mine = F.col("nth") % DICTIONARY_SHARE == 0
 
