@@ -198,8 +198,10 @@ def test_counts(docs, odd, empty):
 def test_pfair():
     r = random.Random(3)
     for _ in range(60):
-        slots = mixing.quantised({str(i): r.random() + 0.01 for i in range(r.randint(1, 12))}, r.choice([16, 64, 256]))
-        period, got = sum(slots.values()), mixing.one_period(slots)
+        slots = {str(i): r.randint(1, r.choice([3, 40])) for i in range(r.randint(1, 12))}
+        period, got = sum(slots.values()), collections.defaultdict(list)
+        for t, (s, _, _) in zip(range(period), mixing.in_turn(slots), strict=False):
+            got[s].append(t)
         assert sorted(x for v in got.values() for x in v) == list(range(period))
         for s, at in got.items():
             assert all(i * period // slots[s] <= t < -(-(i + 1) * period // slots[s]) for i, t in enumerate(at))
@@ -219,7 +221,7 @@ def test_mix_keeps_to_the_target_weights(weights):
 
 
 def test_mix(docs, odd, empty):
-    rows = mixing.mix(docs, block_rows=3, period=64).collect()
+    rows = mixing.mix(docs, block_rows=3).collect()
     assert len(rows) == docs.count() and len({r.position for r in rows}) == len(rows)
     blocks = {(r.source, r.block): r for r in rows}
     assert sorted(r.slot for r in blocks.values()) == list(range(len(blocks)))
@@ -227,17 +229,17 @@ def test_mix(docs, odd, empty):
     for r in blocks.values():
         start[r.phase] = min(start.get(r.phase, r.slot), r.slot)
     assert all(r.released <= r.slot - start[r.phase] < r.due for r in blocks.values())
-    one = {r.doc_id: r.position for r in mixing.mix(docs, block_rows=3, period=64).collect()}
+    one = {r.doc_id: r.position for r in mixing.mix(docs, block_rows=3).collect()}
     assert one == {r.doc_id: r.position for r in rows}
     assert len({r.position for r in mixing.mix(odd).collect()}) == odd.count()
     assert mixing.mix(empty).collect() == []
-    ordered = [r.doc_id for r in mixing.in_mix_order(docs, block_rows=3, period=64).collect()]
+    ordered = [r.doc_id for r in mixing.in_mix_order(docs, block_rows=3).collect()]
     assert ordered == [r.doc_id for r in sorted(rows, key=lambda r: r.position)]
     out = mixing.in_mix_order(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
     with pytest.raises(ValueError, match="weight"):
         mixing.mix(docs, weights={"src0": 1.0})
-    monkey = mixing.mix(docs, weights={f"src{i}": 1.0 + i for i in range(30)}, block_rows=1, period=1024)
+    monkey = mixing.mix(docs, weights={f"src{i}": 1.0 + i for i in range(30)}, block_rows=1)
     assert monkey.count() == docs.count()
 
 
@@ -350,6 +352,12 @@ def test_hot_text_is_dealt_over_slots(spark):
     assert max(load.values()) < 1.1 * min(load.values())
 
 
+def test_very_many_empty_texts_are_dealt_over_slots(spark):
+    rows = [(i, "" if i % 2 else None) for i in range(500)] + [(1000 + i, f"text {i} " * 200) for i in range(600)]
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), shards=10).collect()
+    assert max(collections.Counter(r.virtual_slot for r in got).values()) < 25 and len({(r.shard, r.slot) for r in got}) == 1100
+
+
 def test_quality(spark, odd, empty):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
@@ -373,6 +381,8 @@ def test_quality(spark, odd, empty):
         per = len(raw) / k + quality.SOFTEN
         z = model.weights[0] + sum(w * (x - m) / s for w, x, m, s in zip(model.weights[1:], ((b - g) / per, p / per), model.mean, model.scale, strict=True))
         assert got[i].score == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-9)
+    # repeated rows count once
+    assert quality.fit(docs.union(docs.where("doc_id < 300")), labels).weights.tolist() == model.weights.tolist()
     # what is held out, and the other columns, change nothing
     changed = docs.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 3 = 1, 'x', text) text", "'q' lang", "'s' source")
     assert quality.fit(changed, labels).weights.tolist() == model.weights.tolist()

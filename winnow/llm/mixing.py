@@ -35,19 +35,6 @@ TEMPER = 0.5
 RANKED = 50_000
 
 
-def quantised(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Slots of a period: in proportion, one at least, by largest remainder."""
-    if len(weights) > period:
-        raise ValueError(f"{len(weights)} sources; a period of {period} slots has room for as many at most")
-    total = sum(weights.values())
-    spare = period - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    out = {s: 1 + int(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[: period - sum(out.values())]:
-        out[s] += 1
-    return out
-
-
 def in_turn(shares: dict[str, int]) -> Iterator[tuple[str, int, int]]:
     """(source, released, due) of each slot, without end: earliest deadline first among released blocks; ties by name."""
     total = sum(shares.values())
@@ -65,14 +52,6 @@ def in_turn(shares: dict[str, int]) -> Iterator[tuple[str, int, int]]:
         heapq.heappush(waiting, (done[s] * total // shares[s], s))
 
 
-def one_period(slots: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in a period of as many slots as they take together."""
-    out: dict[str, list[int]] = {s: [] for s in slots}
-    for t, (s, _, _) in zip(range(sum(slots.values())), in_turn(slots)):
-        out[s].append(t)
-    return out
-
-
 def whole(weights: dict[str, float]) -> dict[str, int]:
     """The weights as whole numbers in exactly their proportion."""
     exact = {s: Fraction(w) for s, w in weights.items()}
@@ -84,13 +63,12 @@ def whole(weights: dict[str, float]) -> dict[str, int]:
 Places = tuple[array, array, array, array]
 
 
-def schedule(blocks: dict[str, int], weights: dict[str, float], period: int | None = None) -> dict[str, Places]:
-    """The places of all blocks of each source. With a period, shares are rounded to whole slots of it."""
+def schedule(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, Places]:
+    """The places of all blocks of each source."""
     out: dict[str, Places] = {s: (array("q"), array("q"), array("q"), array("q")) for s, n in blocks.items() if n}
     left, base, phase = {s: n for s, n in blocks.items() if n}, 0, 0
     while left:
-        some = {s: weights[s] for s in left}
-        for s, released, due in in_turn(whole(some) if period is None else quantised(some, period)):
+        for s, released, due in in_turn(whole({s: weights[s] for s in left})):
             for column, x in zip(out[s], (phase, base, released, due), strict=True):
                 column.append(x)
             base += 1
@@ -102,14 +80,13 @@ def schedule(blocks: dict[str, int], weights: dict[str, float], period: int | No
     return out
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int | None = None, period: int | None = None, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int | None = None, seed: int = 0) -> DataFrame:
     """Each row's place in the mix.
 
     Returns doc_id, source, source_rank (in the seeded order), block, phase, slot, released,
     due (slots, counted from the phase's first), position (the order of the mix). weights: by source, as they are
-    or in proportion; a null source is one of its own. period: shares are rounded to whole slots of such a period; without
-    it, they are the weights' own. Rows that repeat a doc_id have places of
-    their own. Extra columns are ignored; an empty table gives no rows. block_rows: see BLOCK_ROWS. The driver
+    or in proportion; a null source is one of its own. Rows that repeat a doc_id have places of
+    their own; those of one source, like its rows without a doc_id, are ranked in one sort. Extra columns are ignored; an empty table gives no rows. block_rows: see BLOCK_ROWS. The driver
     holds a number for each source.
     """
     spark = docs.sparkSession
@@ -124,7 +101,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
         share = {none if s is None else s: w for s, w in weights.items()}
         if missing := [s for s in sizes if share.get(s, 0) <= 0]:
             raise ValueError(f"no weight for {sorted(missing)}")
-    plan = schedule({s: -(-n // block_rows) for s, n in sizes.items()}, share, period)
+    plan = schedule({s: -(-n // block_rows) for s, n in sizes.items()}, share)
     # the sources' rows are ranked in ranges of their hash, so a large source is many small windows
     ranges = spark.createDataFrame([(s, -(-n // RANKED)) for s, n in sizes.items()], "src string, ranges long")
     rows = rows.join(F.broadcast(ranges), "src")
