@@ -19,6 +19,7 @@ from collections.abc import Iterable
 from functools import cache, reduce
 from operator import or_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -57,10 +58,11 @@ def is_word(text: str) -> bool:
 def _translated(body: str) -> str:
     """A valid Python expression in the JVM's dialect, character by character.
 
-    Within classes the JVM knows nested classes and intersections, which Python does not; groups' names, comments, open
-    repetitions and the end of the text are written otherwise.
+    Within classes the JVM knows nested classes and intersections, which Python does not; groups' names (the JVM's have no
+    underscores, so groups are numbered), comments, open repetitions and the end of the text are written otherwise.
     """
     out, i, n, inside = [], 0, len(body), False
+    names: dict[str, str] = {}
     while i < n:
         c = body[i]
         if c == "\\":
@@ -80,11 +82,11 @@ def _translated(body: str) -> str:
             if body[i : i + 1] == "]":
                 out.append("\\]")
                 i += 1
-        elif body.startswith("(?P<", i):
-            out.append("(?<")
-            i += 4
+        elif m := re.match(r"\(\?P<(\w+)>", body[i:]):
+            out.append(f"(?<{names.setdefault(m[1], f'g{len(names)}')}>")
+            i += len(m[0])
         elif m := re.match(r"\(\?P=(\w+)\)", body[i:]):
-            out.append(f"\\k<{m[1]}>")
+            out.append(f"\\k<{names[m[1]]}>")
             i += len(m[0])
         elif m := re.match(r"\(\?#[^)]*\)", body[i:]):
             i += len(m[0])
@@ -98,29 +100,64 @@ def _translated(body: str) -> str:
     return "(?Ud)" + "".join(out)
 
 
-@cache
-def _compiles(expression: str) -> bool:
-    """Whether the JVM takes an expression: Spark folds a test of it on the driver. Without a session nothing is known against it."""
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        return True
+#: What is known of expressions: whether the JVM takes them.
+_taken: dict[str, bool] = {}
+
+
+def _all_compile(spark: SparkSession, expressions: list[str]) -> bool:
+    """Whether the JVM takes all of the expressions, as one job."""
+    rows = spark.createDataFrame([(e,) for e in expressions], "e string").repartition(1)
     try:
-        spark.range(1).select(F.lit("").rlike(expression)).collect()
-    except PySparkException:
+        rows.select(F.regexp_like(F.lit(""), F.col("e")).alias("x")).agg(F.count_if("x")).collect()
+    except (PySparkException, Py4JJavaError) as e:
+        # generated code tells of a bad expression in the JVM's own words
+        if "PatternSyntaxException" not in str(e) and "INVALID_PARAMETER_VALUE" not in str(e):
+            raise
         return False
     return True
 
 
-def java_regex(body: str) -> str | None:
-    """A Python expression in the JVM's dialect, or None where it is invalid in either: it never matches, and catalog_problems tells of it."""
+def prepare(patterns: Iterable[str]) -> None:
+    """Ask once for all patterns whether the JVM takes their expressions, so that no Column built of them has to.
+
+    All are tested in one job; only where it fails, in halves down to the ones that are refused. Without a session nothing is asked, nor remembered.
+    """
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    bodies = dict.fromkeys(p[3:] for p in patterns if p.startswith("re:"))
+    todo = [[e for e in dict.fromkeys(_translated(b) for b in bodies if _python_takes(b)) if e not in _taken]]
+    while todo:
+        some = todo.pop()
+        if not some:
+            continue
+        if _all_compile(spark, some):
+            _taken.update(dict.fromkeys(some, True))
+        elif len(some) == 1:
+            _taken[some[0]] = False
+        else:
+            todo += [some[: len(some) // 2], some[len(some) // 2 :]]
+
+
+@cache
+def _python_takes(body: str) -> bool:
     try:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore", FutureWarning)
             re.compile(body)
     except (re.error, OverflowError, RecursionError):
+        return False
+    return True
+
+
+def java_regex(body: str) -> str | None:
+    """A Python expression in the JVM's dialect, or None where it is invalid in either: it never matches, and catalog_problems tells of it."""
+    if not _python_takes(body):
         return None
     found = _translated(body)
-    return found if _compiles(found) else None
+    if found not in _taken:
+        prepare(["re:" + body])
+    return found if _taken.get(found, True) else None
 
 
 def glob_regex(pattern: str) -> str:
@@ -207,7 +244,14 @@ def any_match(patterns: Iterable[str], text: Column) -> Column:
     filled = F.coalesce(text, F.lit(""))
     tests = [filled.rlike(rf"(?iUd)\b(?:{'|'.join(words[i : i + CHUNK])})\b") for i in range(0, len(words), CHUNK)]
     tests += [filled.rlike(f"(?iUd)(?:{'|'.join(others[i : i + CHUNK])})") for i in range(0, len(others), CHUNK)]
-    tests += [matches(p, text) for p in patterns if pattern_type(p) != "keyword"]
+    prepare(patterns)
+    searched = [e for p in patterns if pattern_type(p) == "regex" and (e := java_regex(p[3:])) is not None]
+    # expressions that refer to their groups keep them: numbers and names would change in an alternation
+    alone = [e for e in searched if re.search(r"\\[1-9]|\\k<|\(\?<[A-Za-z]", e)]
+    joined = [f"(?:{e})" for e in searched if e not in alone]
+    tests += [filled.rlike("|".join(joined[i : i + CHUNK])) for i in range(0, len(joined), CHUNK)]
+    tests += [filled.rlike(e) for e in alone]
+    tests += [matches(p, text) for p in patterns if pattern_type(p) == "glob"]
     return reduce(or_, tests, F.lit(False)) if tests else F.lit(False)
 
 

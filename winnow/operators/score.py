@@ -13,7 +13,7 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.functions.patterns import any_file_match, any_match, matches, search_regex
+from winnow.functions.patterns import any_file_match, any_match, matches, prepare, search_regex
 from winnow.functions.scalars import flags, true_flags
 from winnow.sources.catalog import CAP, Catalog
 
@@ -37,6 +37,7 @@ def _lists(of, side: str) -> dict[str, list[str]]:
 
 def with_hits(records: DataFrame, catalog: Catalog) -> DataFrame:
     """The records with a boolean per rule (hit_<i>) and per profile (blocked_<j>), as arrays hits and blocks."""
+    prepare(p for *_, p in catalog.patterns)
     rules, names = catalog.rules(), catalog.names()
     hits = [_hit(_lists(lambda k, r=r: catalog.of_rule(r, k), "whitelist")) for r in rules]
     blocks = [_hit(_lists(lambda k, p=p: catalog.merged(p, k), "blacklist")) for p in names]
@@ -135,6 +136,7 @@ def pattern_hits(records: DataFrame, catalog: Catalog, side: str = "whitelist")
     Values are the subject, the body, each file, the id. ord counts a record's hits within a rule and kind, by
     pattern and then by value as they stand in the record. One pass, whatever the catalog's size.
     """
+    prepare(p for *_, p in catalog.patterns)
     found = F.concat(F.array().cast(f"array<{_HIT}>"), *[_found(catalog, r, side) for r in catalog.rules()])
     return _each(records, found, "h").select("record_id", "h.*")
 
@@ -145,6 +147,7 @@ def pattern_join(texts: DataFrame, patterns: list[tuple[str, str, str]], column:
     For catalogs that are too large for one literal Column per pattern: patterns go to the texts in lists of
     PATTERNS_TOGETHER, which bounds what a task holds of them; each text is tested against every list.
     """
+    prepare(p for _, _, p in patterns)
     rows = [(r, k, p, e) for r, k, p in patterns if (e := search_regex(p)) is not None]
     text = F.coalesce(F.col(column), F.lit(""))
     out = texts.withColumns({c: F.lit("") for c in ("rule", "kind", "pattern")}).where("false")
