@@ -1,8 +1,9 @@
 """Links between records and the product they are built into.
 
-Theta joins are turned into equi-joins: a path lies under a directory when the directory is
-one of its ancestors, so every file's ancestors are exploded (as many as it is deep) and joined by
-equality. Where a join stays a theta join, it is between distinct values of two dimensions.
+No join is a nested loop. A path lies under a directory when the directory is one of its ancestors, so every file's ancestors are
+exploded (as many as it is deep) and joined by equality. What a string is the start of is found in sorted order (see
+winnow.operators.ordered), and what it occurs within is a start of a suffix. Words within texts are looked up among
+the texts' distinct tokens.
 """
 
 from __future__ import annotations
@@ -10,8 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winnow.functions.literals import TOKEN, tokens
 from winnow.functions.scalars import ancestors, basename, dirname, is_build_file, stem
+from winnow.operators.literal_index import links
+from winnow.operators.ordered import at_or_after, prefixes, suffixes
 from winnow.sources.product import bare
+from winnow.sources.stages import cut
 
 
 def infer_paths(records: DataFrame, hints: DataFrame) -> DataFrame:
@@ -51,14 +56,23 @@ def config_dir(touched: DataFrame, config_dirs: DataFrame) -> DataFrame:
     """record_id, tag: for each guessed prefix the first directory, in order, that it starts with or that starts with it."""
     guesses = _guesses(touched)
     distinct = guesses.select("guess").distinct()
-    near = F.col("guess").startswith(F.regexp_replace("dir", "/$", "")) | F.col("dir").startswith(F.col("guess"))
-    first = distinct.join(config_dirs, near).groupBy("guess").agg(F.min("dir").alias("dir"))
+    # the directories that a guess starts with are among its own prefixes
+    bare_dirs = config_dirs.select(F.regexp_replace("dir", "/$", "").alias("start"), "dir")
+    above = distinct.select("guess", F.explode(prefixes(F.col("guess"))).alias("start")).join(bare_dirs, "start").groupBy("guess").agg(F.min("dir").alias("dir"))
+    # of those that start with it the first in order is the first that does not stand before it
+    below = at_or_after(distinct.select("guess"), config_dirs.select("dir")).toDF("guess", "dir").where(F.col("dir").startswith(F.col("guess")))
+    first = above.union(below).groupBy("guess").agg(F.min("dir").alias("dir"))
     return guesses.join(first, "guess").select("record_id", F.concat(F.lit("config_dir:"), "dir").alias("tag")).distinct()
 
 
 def _base_in(touched: DataFrame, names: DataFrame, tag: str) -> DataFrame:
+    """A base occurs within a name if it is the start of one of the name's suffixes."""
     guesses = _guesses(touched).select("record_id", basename(F.regexp_replace("guess", "/+$", "")).alias("base")).where("base <> ''")
-    found = guesses.select("base").distinct().join(names.select(F.col(names.columns[0]).alias("name")).distinct(), F.col("name").contains(F.col("base"))).select("base").distinct()
+    asked = guesses.select("base").distinct()
+    # suffixes need not be longer than the longest base: one row
+    most = asked.agg(F.max(F.length("base")).alias("most"))
+    cut_short = names.select(F.col(names.columns[0]).alias("name")).distinct().crossJoin(F.broadcast(most)).select(F.explode(F.transform(suffixes(F.col("name")), lambda x: F.left(x, F.col("most")))).alias("suffix")).distinct()
+    found = at_or_after(asked, cut_short).toDF("base", "suffix").where(F.col("suffix").startswith(F.col("base"))).select("base")
     return guesses.join(found, "base").select("record_id", F.concat(F.lit(f"{tag}:"), "base").alias("tag")).distinct()
 
 
@@ -72,39 +86,35 @@ def artifact(touched: DataFrame, artifacts: DataFrame) -> DataFrame:
     return _base_in(touched, artifacts.select("path"), "artifact")
 
 
-#: Length of the strings by which symbols and texts find each other.
-GRAM = 3
-#: Rows up to which a list of symbols is small enough to be sent to every task.
-FEW_SYMBOLS = 100_000
-
-
-def _grams(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (GRAM - 1), F.lit(1))), lambda i: F.substring(text, i, F.lit(GRAM))))
+#: Pairs of a token and a symbol up to which they are sent to every task.
+FEW_LINKS = 200_000
 
 
 def config_text(records: DataFrame, symbols: DataFrame, literal_suffix: bool = False) -> DataFrame:
     """record_id, tag: symbols whose lower-cased name, without CONFIG_, the lower-cased subject and body hold.
 
-    literal_suffix keeps =y and =m as a part of the name. A symbol is tested against those texts alone that hold one
-    trigram of it, the one that fewest other symbols have. Up to FEW_SYMBOLS symbols go to the texts; more are joined
-    with the texts' trigrams and the pairs that meet joined back, with the same result. Names of one or two characters are few,
-    as there are few such names, and are tested everywhere.
+    literal_suffix keeps =y and =m as a part of the name. A name is looked up among the distinct tokens of all texts, and found in a
+    text by the token that holds it: a row of a text per distinct token, and none per symbol. Names that are no token (short ones,
+    or such with other characters) are tested for their longest token, in the texts that hold it.
     """
     name = F.col("symbol") if literal_suffix else bare(F.col("symbol"))
     needles = symbols.select(name.alias("symbol")).distinct().withColumn("needle", F.lower(F.regexp_replace("symbol", "^CONFIG_", ""))).where("needle <> ''")
-    texts = records.select("record_id", F.lower(F.concat_ws("\n", F.coalesce("subject", F.lit("")), F.coalesce("body", F.lit("")))).alias("low"))
-    of_symbols = needles.where(F.length("needle") >= GRAM).select("symbol", "needle", F.explode(_grams(F.col("needle"))).alias("gram"))
-    rare = of_symbols.groupBy("gram").agg(F.count("*").alias("n"))
-    chosen = of_symbols.join(rare, "gram").groupBy("symbol", "needle").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-    holds = F.col("low").contains(F.col("needle"))
-    if needles.limit(FEW_SYMBOLS + 1).count() <= FEW_SYMBOLS:
-        long = texts.select("record_id", "low", F.explode(_grams(F.col("low"))).alias("gram")).join(F.broadcast(chosen), "gram").where(holds)
-    else:
-        met = texts.select("record_id", F.explode(_grams(F.col("low"))).alias("gram")).join(chosen, "gram").select("record_id", "symbol", "needle")
-        long = met.join(texts, "record_id").where(holds)
-    short = texts.join(needles.where(F.length("needle") < GRAM), holds)
-    hit = long.select("record_id", "symbol").union(short.select("record_id", "symbol"))
-    return hit.select("record_id", F.concat(F.lit("config_text:"), "symbol").alias("tag")).distinct()
+    low = F.lower(F.concat_ws("\n", F.coalesce("subject", F.lit("")), F.coalesce("body", F.lit(""))))
+    texts = records.select("record_id", low.alias("low"))
+    part = F.try_element_at(F.array_sort(F.transform(F.regexp_extract_all("needle", F.lit(TOKEN), F.lit(0)), lambda t: F.struct(F.length(t).alias("n"), t.alias("t")))), F.lit(-1))["t"]
+    known = needles.withColumn("part", part)
+    key = F.array(F.struct(F.lit(False).alias("whole"), F.col("part").alias("key")))
+    keyed = known.where(F.length("part") >= 3).select(F.col("symbol").alias("id"), key.alias("keys"), "needle", "part")
+    broken = texts.withColumn("token", F.explode(tokens(F.col("low"))))
+    vocabulary = cut(broken.select("token").distinct(), "vocabulary")
+    found = cut(links(vocabulary, keyed).join(keyed.select("id", "needle", "part"), "id").select("token", F.col("id").alias("symbol"), "needle", (F.col("needle") == F.col("part")).alias("sure")), "links")
+    few = found.limit(FEW_LINKS + 1).count() <= FEW_LINKS
+    met = broken.join(F.broadcast(found) if few else found, "token")
+    hit = met.where(F.col("sure") | F.col("low").contains(F.col("needle"))).select("record_id", "symbol")
+    # names of one or two characters, or without any of the alphabet of tokens: there are few such names, one row of them
+    short = known.where(F.coalesce(F.length("part"), F.lit(0)) < 3).agg(F.collect_list(F.struct("symbol", "needle")).alias("s"))
+    tested = texts.crossJoin(F.broadcast(short)).select("record_id", F.explode(F.filter("s", lambda x: F.contains(F.col("low"), x["needle"]))).alias("x")).select("record_id", "x.symbol")
+    return hit.union(tested).select("record_id", F.concat(F.lit("config_text:"), "symbol").alias("tag")).distinct()
 
 
 def product_evidence(records: DataFrame, touched: DataFrame, config_paths: DataFrame, dirs: DataFrame, log_objects: DataFrame, artifacts: DataFrame, symbols: DataFrame) -> DataFrame:
@@ -117,23 +127,25 @@ def product_evidence(records: DataFrame, touched: DataFrame, config_paths: DataF
     return records.select("record_id").join(found, "record_id", "left").select("record_id", F.coalesce("product_evidence", F.array().cast("array<string>")).alias("product_evidence"))
 
 
+def list_key(files: Column) -> Column:
+    """128 bits that stand for a list of files."""
+    return F.struct(F.xxhash64(files).alias("a"), F.xxhash64(F.lit(1), files).alias("b"))
+
+
 def file_flags(records: DataFrame, sets: DataFrame) -> DataFrame:
-    """files, has_artifact, covered of every distinct list of files: whether any of them has an artifact, or is compiled, in a compiled directory or steers the build.
+    """key (see list_key), has_artifact, covered of every distinct list of files of which any has an artifact, or any is compiled, in a compiled directory or steers the build.
 
-    sets(kind, value): see compiled_sets. Each distinct file is looked up once.
+    sets(kind, value): see compiled_sets. Each distinct file is looked up once, for all its kinds in one join. Lists without
+    any flag are left out.
     """
-    lists = records.select("files").where(F.size("files") > 0).distinct()
-    each = lists.select("files", F.explode("files").alias("file"))
-    files = each.select("file").distinct().withColumns({"stem": stem(F.col("file")), "base_stem": stem(basename(F.col("file"))), "dir": dirname(F.col("file"))})
-    for kind, key in (("artifact", "stem"), ("log", "base_stem"), ("file", "file"), ("dir", "dir")):
-        side = sets.where(F.col("kind") == kind).select(F.col("value").alias("v"), F.lit(True).alias(f"in_{kind}"))
-        files = files.join(side, files[key] == side.v, "left").drop("v")
-    known = files.select(
-        "file",
-        (F.col("in_artifact").isNotNull() | F.col("in_log").isNotNull()).alias("has_artifact"),
-        (F.col("in_file").isNotNull() | F.col("in_dir").isNotNull() | is_build_file(F.col("file"))).alias("covered"),
-    )
-    return each.join(known, "file").groupBy("files").agg(F.bool_or("has_artifact").alias("has_artifact"), F.bool_or("covered").alias("covered"))
+    lists = records.where(F.size("files") > 0).select(list_key(F.col("files")).alias("key"), "files")
+    each = lists.groupBy("key").agg(F.first("files").alias("files")).select("key", F.explode("files").alias("file"))
+    asked = F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in (("artifact", stem(F.col("file"))), ("log", stem(basename(F.col("file")))), ("file", F.col("file")), ("dir", dirname(F.col("file"))))))
+    files = each.select("file").distinct()
+    hits = files.select("file", F.explode(asked).alias("x")).select("file", "x.kind", "x.value").join(sets.select("kind", "value"), ["kind", "value"]).select("file", "kind")
+    steering = files.where(is_build_file(F.col("file"))).select("file", F.lit("file").alias("kind"))
+    known = hits.union(steering).groupBy("file").agg(F.bool_or(F.col("kind").isin("artifact", "log")).alias("has_artifact"), F.bool_or(F.col("kind").isin("file", "dir")).alias("covered"))
+    return each.join(known, "file").groupBy("key").agg(F.bool_or("has_artifact").alias("has_artifact"), F.bool_or("covered").alias("covered"))
 
 
 def with_artifact(records: DataFrame, sets: DataFrame) -> DataFrame:

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.functions.patterns import all_files_match, any_file_match, any_match
-from winnow.operators.evidence import file_flags
+from winnow.functions.patterns import all_files_match, any_file_match, any_match, prepare
+from winnow.operators.evidence import file_flags, list_key
 from winnow.sources.catalog import KINDS, Catalog
+from winnow.sources.stages import cut
+
+#: Lists of files with flags, at 18 bytes each, up to which they are sent to the records.
+FEW_LISTS = 1_000_000
 
 
 def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage: bool | None = None, available: Column | bool = False, has_artifact: Column | None = None, covered: Column | None = None) -> Column:
@@ -37,16 +41,21 @@ def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage
 
 
 def decide(records: DataFrame, catalog: Catalog, sets: DataFrame | None = None, enabled: bool = True, require_coverage: bool | None = None) -> DataFrame:
-    """The records with action and reason. sets: what is built; see compiled_sets. Every row is decided by itself, whether its record_id is null or repeated."""
+    """The records with action and reason. sets: what is built; see compiled_sets. Every row is decided by itself, whether its record_id is null or repeated.
+
+    Records keep their place: what is known of their files comes in a narrow table by a digest of the list of files, which
+    is written, counted, and sent to them up to FEW_LISTS rows. Beyond that they are joined by the digest.
+    """
+    prepare(p for *_, p in catalog.patterns)
     lists = {k: catalog.overall(k) for k in KINDS}
     if sets is None:
         return records.withColumn("d", decision(lists, enabled, require_coverage)).select(*records.columns, "d.action", "d.reason")
-    # one row: whether anything is built
-    available = sets.limit(1).agg((F.count("*") > 0).alias("_available"))
-    flags = file_flags(records, sets).withColumnRenamed("files", "_files")
+    available = not sets.isEmpty()
+    flags = cut(file_flags(records, sets).select(F.col("key").alias("_key"), "has_artifact", "covered"), "flags")
+    few = flags.count() <= FEW_LISTS
     no = F.lit(False)
-    flagged = records.join(flags, F.col("files") == F.col("_files"), "left").crossJoin(F.broadcast(available))
-    made = decision(lists, enabled, require_coverage, F.col("_available"), F.coalesce("has_artifact", no), F.coalesce("covered", no))
+    flagged = records.join(F.broadcast(flags) if few else flags, list_key(F.col("files")) == F.col("_key"), "left")
+    made = decision(lists, enabled, require_coverage, available, F.coalesce("has_artifact", no), F.coalesce("covered", no))
     return flagged.withColumn("d", made).select(*records.columns, "d.action", "d.reason")
 
 

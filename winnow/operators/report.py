@@ -110,6 +110,12 @@ def with_shards(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"s1": F.substring("record_id", 1, 2), "s2": F.substring("record_id", 3, 2)})
 
 
+def details(kept: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The detail records of a report: every kept and every dropped record, the first row of each record_id, kept ones first, with s1 and s2. Rows without an id have none."""
+    rows = kept.withColumn("src", F.lit(0)).unionByName(dropped.withColumn("src", F.lit(1)), allowMissingColumns=True)
+    return with_shards(dedup_first(rows.where(F.coalesce("record_id", F.lit("")) != "")))
+
+
 def commit_rows(records: DataFrame) -> DataFrame:
     """The nine columns of a report, as text. Expects score, matched_profiles, profile_scores, product_evidence; records without times have an empty date."""
     time = F.col("author_time") if "author_time" in records.columns else F.lit("")
@@ -155,7 +161,7 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 def write_details(rows: DataFrame, path: str) -> None:
     """A JSON row per record, first occurrence, in folders by the start of its id."""
-    sharded = with_shards(dedup_first(rows))
+    sharded = with_shards(dedup_first(rows.where(F.coalesce("record_id", F.lit("")) != "")))
     sharded.repartition("s1").write.mode("overwrite").partitionBy("s1", "s2").json(path)
 
 
@@ -173,5 +179,5 @@ def report(ranked: DataFrame, dropped: DataFrame, profiles: DataFrame, n: int =
         "summary": by_count(profile_summary(top, profiles)),
         "matrix": profile_matrix_wide(top, seen_profiles(top)),
         "matrix_long": profile_matrix_long(top),
-        "details": with_shards(top),
+        "details": details(top, dropped),
     }

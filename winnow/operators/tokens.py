@@ -35,12 +35,55 @@ TOKEN = r"(?<![A-Za-z0-9_./-])([A-Za-z][A-Za-z0-9_+.-]{1,40})(?=\s|:)"
 VERSION = r"^v?\d+(?:[.-]\d+)*$"
 
 
-def token_counts(texts: DataFrame, column: str = "text", stop: tuple[str, ...] = (*ACTIONS, *COMMON)) -> DataFrame:
-    """token, n: lower-cased tokens, without stops and commas at their ends, of two letters at least, that are no stop word or version."""
+#: Tokens that a sketch keeps at first and at most, and candidates for each of those asked for.
+TRACKED, MOST_TRACKED, CANDIDATES = 16_384, 1_000_000, 4
+
+
+def tokens_of(texts: DataFrame, column: str = "text", stop: tuple[str, ...] = (*ACTIONS, *COMMON)) -> DataFrame:
+    """token: lower-cased tokens, without stops and commas at their ends, of two letters at least, that are no stop word or version."""
     found = texts.select(F.explode(F.regexp_extract_all(F.coalesce(F.col(column), F.lit("")), F.lit(TOKEN), F.lit(1))).alias("t"))
     token = F.lower(F.regexp_replace("t", r"^[.,]+|[.,]+$", ""))
-    kept = found.select(token.alias("token")).where((F.length("token") >= 2) & ~F.col("token").isin(*stop) & ~F.col("token").rlike(VERSION))
-    return kept.groupBy("token").agg(F.count("*").alias("n"))
+    return found.select(token.alias("token")).where((F.length("token") >= 2) & ~F.col("token").isin(*stop) & ~F.col("token").rlike(VERSION))
+
+
+def token_counts(texts: DataFrame, column: str = "text", stop: tuple[str, ...] = (*ACTIONS, *COMMON)) -> DataFrame:
+    """token, n of all tokens; see tokens_of."""
+    return tokens_of(texts, column, stop).groupBy("token").agg(F.count("*").alias("n"))
+
+
+def most_frequent(tokens: DataFrame, pool: int = 200, tracked: int = TRACKED) -> DataFrame:
+    """token, n: exactly the `pool` most frequent of tokens(token), ties by token, without a shuffled row for every distinct one.
+
+    A sketch of frequent items, one for each task and merged, names candidates; these are counted exactly, which shuffles as many rows
+    as there are candidates. A token that is no candidate occurs at most as often as the sketch says of the last candidate, or as its error allows. Where the last of the pool is not more frequent
+    than that, a larger sketch is taken; where the largest does not tell them apart, all tokens are counted.
+    """
+    spark, ask = tokens.sparkSession, CANDIDATES * pool
+    tracked = max(tracked, ask)
+    while tracked <= MOST_TRACKED:
+        seen = tokens.agg(F.count("token").alias("n"), F.expr(f"approx_top_k(token, {ask}, {tracked})").alias("top")).first()
+        if not seen["n"]:
+            return spark.createDataFrame([], "token string, n long")
+        # ask rows
+        named = spark.createDataFrame([(r["item"],) for r in seen["top"]], "token string")
+        counts = tokens.join(F.broadcast(named), "token").groupBy("token").agg(F.count("*").alias("n"))
+        best = counts.orderBy(F.desc("n"), "token").limit(pool)
+        if len(seen["top"]) < ask and seen["n"] <= tracked:
+            return best
+        # the error of such a sketch: 3.5 of all for each place of a map that is filled to three quarters
+        error = -(-(3.5 * 0.75 * seen["n"]) // tracked)
+        last = best.agg(F.min("n"), F.count("*")).first()
+        bound = max(error, seen["top"][-1]["count"] if len(seen["top"]) == ask else 0)
+        if last[1] == pool and last[0] > bound:
+            return best
+        tracked, ask = 4 * tracked, 2 * ask
+    return tokens.groupBy("token").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "token").limit(pool)
+
+
+def prefix_counts(tokens: DataFrame, preferred: Sequence[str] = PREFERRED, pool: int = 200) -> DataFrame:
+    """token, n of what top_prefixes asks for: the most frequent tokens, and the preferred ones that occur."""
+    listed = tokens.where(F.col("token").isin(*preferred)).groupBy("token").agg(F.count("*").alias("n"))
+    return most_frequent(tokens, pool).union(listed).distinct()
 
 
 def top_prefixes(counts: DataFrame, preferred: Sequence[str] = PREFERRED, always: Sequence[str] = ALWAYS, limit: int = 80, pool: int = 200) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winnow.functions.patterns import java_regex, pattern_type_column
+from winnow.functions.patterns import java_regex, pattern_type_column, prepare
 
 #: The lists that a rule may have, in the order they are traced.
 KINDS = ("keywords_whitelist", "keywords_blacklist", "path_whitelist", "path_blacklist", "commit_whitelist", "commit_blacklist")
@@ -196,18 +196,38 @@ def rule_counts(profiles: DataFrame, profile_rules: DataFrame) -> DataFrame:
     return profiles.select("profile").join(counted, "profile", "left").select("profile", F.coalesce("n_rules", F.lit(0)).cast("long").alias("n_rules"))
 
 
+#: Hexadecimal digits of a lane of the fingerprint, and lanes: sums of 60-bit numbers stay exact for any catalog.
+LANE, LANES = 15, 4
+
+
 def fingerprint(patterns: DataFrame, profiles: DataFrame, profile_rules: DataFrame) -> DataFrame:
-    """One row: a digest of the whole catalog, the same for the same content in any order."""
-    lines = [
+    """One row: a digest of the whole catalog, the same for the same content in any order.
+
+    It is that of a multiset: every line's digest is cut into LANES numbers, which are summed up by lane, so that parts of a catalog
+    are summed up where they are and no task sees all lines.
+    """
+    lines = (
         patterns.select(F.concat_ws("\t", F.lit("pattern"), "rule", "kind", "ord", "pattern").alias("line")),
         profiles.select(F.concat_ws("\t", F.lit("profile"), "profile", F.col("weight").cast("string")).alias("line")),
         profile_rules.select(F.concat_ws("\t", F.lit("rule"), "profile", "rule", "weight").alias("line")),
-    ]
-    return lines[0].union(lines[1]).union(lines[2]).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("line")), "\n"), 256).alias("fingerprint"))
+    )
+    hashed = lines[0].union(lines[1]).union(lines[2]).select(F.sha2("line", 256).alias("h"))
+    lane = lambda i: F.conv(F.substring("h", LANE * i + 1, LANE), 16, 10).cast("decimal(20,0)")
+    sums = hashed.agg(F.count("*").alias("n"), *(F.sum(lane(i)).alias(f"s{i}") for i in range(LANES)))
+    parts = [F.col("n").cast("string"), *(F.coalesce(F.col(f"s{i}").cast("string"), F.lit("0")) for i in range(LANES))]
+    return sums.select(F.sha2(F.concat_ws(":", *parts), 256).alias("fingerprint"))
+
+
+def pattern_problems(spark: SparkSession, catalog: Catalog) -> DataFrame:
+    """rule, kind, pattern of the expressions that Python or the JVM does not take: they never match."""
+    prepare(p for *_, p in catalog.patterns)
+    bad = [(r, k, p) for r, k, _, p in catalog.patterns if p.startswith("re:") and java_regex(p[3:]) is None]
+    return spark.createDataFrame(bad, "rule string, kind string, pattern string")
 
 
 def catalog_problems(catalog: Catalog) -> list[tuple[str, str, str]]:
     """(check, name, detail) of what is wrong: weights out of range, nothing active, rules without patterns, invalid expressions."""
+    prepare(p for *_, p in catalog.patterns)
     out = [("weight_range", p, f"{w}") for p, _, w, _ in catalog.profiles if w is not None and not 0 <= w <= 100]
     if not catalog.profiles:
         out.append(("no_profile", "", ""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.scalars import basename, dirname, stem
@@ -37,22 +37,35 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
     return parse_config(_lines(spark, path))
 
 
-def makefile_map(lines: DataFrame, directory: Column, column: str = "line") -> DataFrame:
-    """symbol, path from lines `obj-$(CONFIG_X) += a.o b.o`: each object's source, beside its makefile.
+def normal_path(path: Column) -> Column:
+    """The path without `.`, doubled slashes and steps back that can be taken, as a stack folded over its segments; an empty one is `.`."""
+    absolute = path.startswith("/")
+    parts = F.filter(F.split(path, "/"), lambda x: ~x.isin("", "."))
 
-    The symbol is what follows the last `$(`; it must start with CONFIG_.
+    def step(done: Column, x: Column) -> Column:
+        back = (x == "..") & (F.size(done) > 0) & (F.coalesce(F.element_at(F.concat(F.array(F.lit("")), done), -1), F.lit("")) != "..")
+        return F.when(back, F.slice(done, F.lit(1), F.size(done) - 1)).when((x == "..") & absolute, done).otherwise(F.concat(done, F.array(x)))
+
+    joined = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    lead = F.when(path.startswith("//") & ~path.startswith("///"), "//").when(absolute, "/").otherwise("")
+    whole = F.concat(lead, joined)
+    return F.when(whole == "", ".").otherwise(whole)
+
+
+def makefile_map(lines: DataFrame, directory: Column, column: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
+    """symbol, path (and the columns of keep) from lines `obj-$(CONFIG_X) += a.o b.o`: each object's source, beside its makefile.
+
+    The symbol is what follows the last `$(`; it must start with CONFIG_. Paths are normalised.
     """
     rule = r"^obj-(.*?)\s*(\+=|:=|=)\s*(.*)$"
     line = F.trim(F.col(column))
-    found = lines.where(line.rlike(rule) & ~line.startswith("#")).select(directory.alias("dir"), F.regexp_extract(line, rule, 1).alias("target"), F.regexp_extract(line, rule, 3).alias("objects"))
+    found = lines.where(line.rlike(rule) & ~line.startswith("#")).select(*keep, directory.alias("dir"), F.regexp_extract(line, rule, 1).alias("target"), F.regexp_extract(line, rule, 3).alias("objects"))
     symbol = F.regexp_replace(F.substring_index("target", "$(", -1), r"\)+$", "")
-    named = found.where(F.col("target").contains("$(")).select("dir", symbol.alias("symbol"), F.explode(F.split("objects", r"\s+")).alias("object"))
+    named = found.where(F.col("target").contains("$(")).select(*keep, "dir", symbol.alias("symbol"), F.explode(F.split("objects", r"\s+")).alias("object"))
     named = named.where(F.col("symbol").startswith("CONFIG_") & F.col("object").endswith(".o"))
     source = F.regexp_replace("object", r"\.o$", ".c")
-    path = F.when((F.col("dir") == "") | (F.col("dir") == "."), source).otherwise(F.concat_ws("/", "dir", source))
-    # a/./b and a/x/../b
-    tidy = F.regexp_replace(F.regexp_replace(path, r"(^|/)(\./)+", "$1"), r"[^/.]+/\.\./", "")
-    return named.select("symbol", tidy.alias("path")).distinct()
+    at = F.when(source.startswith("/"), source).otherwise(F.concat_ws("/", F.nullif("dir", F.lit("")), source))
+    return named.select(*keep, "symbol", normal_path(at).alias("path")).distinct()
 
 
 def read_makefiles(spark: SparkSession, root: str) -> DataFrame:
@@ -134,10 +147,53 @@ def sample_revisions(revisions: DataFrame, step: int, most: int | None = None, m
 
 def history_paths(blobs: DataFrame) -> DataFrame:
     """rev, symbol, path of makefile blobs(rev, path, text)."""
-    lines = blobs.select("rev", dirname(F.col("path")).alias("dir"), F.explode(F.split("text", "\r?\n")).alias("line"))
-    keyed = lines.withColumn("dir", F.concat_ws("\0", "rev", "dir"))
-    found = makefile_map(keyed, F.col("dir"))
-    return found.select(F.split("path", "\0", 2)[0].alias("rev"), "symbol", F.regexp_replace(F.split("path", "\0", 2)[1], "^/", "").alias("path"))
+    lines = blobs.select("rev", dirname(F.col("path")).alias("at"), F.explode(F.split("text", "\r?\n")).alias("line"))
+    return makefile_map(lines, F.col("at"), keep=("rev",))
+
+
+def history_spans(blobs: DataFrame) -> DataFrame:
+    """path, digest, first, last, end: the spans of revisions in which a makefile has one text, of blobs(seq, path, text).
+
+    A blob stands from its revision until the next one of its path; a text that is told again, or a blob that repeats, ends no
+    span. first and last: the revisions that tell it; end: the one that ends it, or null while it holds. A null text is a makefile that is gone. Of several
+    texts of a path in one revision, the first in order of their digests counts.
+    """
+    told = blobs.select("seq", "path", F.sha2("text", 256).alias("digest"))
+    one = told.groupBy("path", "seq").agg(F.min("digest").alias("digest"))
+    of = Window.partitionBy("path").orderBy("seq")
+    new = one.withColumn("new", F.coalesce((~F.col("digest").eqNullSafe(F.lag("digest").over(of))) | (F.row_number().over(of) == 1), F.lit(True)))
+    span = new.withColumn("span", F.sum(F.col("new").cast("int")).over(of))
+    spans = span.groupBy("path", "span").agg(F.first("digest").alias("digest"), F.min("seq").alias("first"), F.max("seq").alias("last"))
+    ended = spans.withColumn("end", F.lead("first").over(Window.partitionBy("path").orderBy("span")))
+    return ended.where("digest is not null").select("path", "digest", "first", "last", "end")
+
+
+#: The end of a span that holds.
+_NEVER = 2**62
+
+
+def history_intervals(blobs: DataFrame) -> DataFrame:
+    """symbol, path, first, end: from which revision until which one, or null, a makefile maps a symbol to a source, of blobs(seq, path, text).
+
+    Each distinct text of a folder is parsed once, whatever the number of revisions that have it.
+    """
+    spans = history_spans(blobs).select(dirname(F.col("path")).alias("dir"), "digest", "first", "end")
+    texts = blobs.select(F.sha2("text", 256).alias("digest"), "text").groupBy("digest").agg(F.any_value("text").alias("text"))
+    wanted = spans.select("dir", "digest").distinct().join(texts, "digest")
+    lines = wanted.select(F.col("dir").alias("at"), "digest", F.explode(F.split("text", "\r?\n")).alias("line"))
+    parsed = makefile_map(lines, F.col("at"), keep=("at", "digest")).withColumnRenamed("at", "dir")
+    each = spans.join(parsed, ["dir", "digest"]).select("symbol", "path", "first", F.coalesce("end", F.lit(_NEVER)).alias("end")).distinct()
+    # spans that meet or overlap are one
+    of = Window.partitionBy("symbol", "path").orderBy("first", "end")
+    before = F.max("end").over(of.rowsBetween(Window.unboundedPreceding, -1))
+    apart = each.withColumn("new", F.coalesce(F.col("first") > before, F.lit(True)).cast("int")).withColumn("nth", F.sum("new").over(of))
+    whole = apart.groupBy("symbol", "path", "nth").agg(F.min("first").alias("first"), F.max("end").alias("end"))
+    return whole.select("symbol", "path", "first", F.when(F.col("end") < _NEVER, F.col("end")).alias("end"))
+
+
+def map_at(intervals: DataFrame, seq: int) -> DataFrame:
+    """symbol, path of the map at a revision."""
+    return intervals.where((F.col("first") <= seq) & (F.col("end").isNull() | (F.col("end") > seq))).select("symbol", "path").distinct()
 
 
 def history_merge(snapshots: DataFrame, base: DataFrame) -> DataFrame:

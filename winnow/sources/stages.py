@@ -40,6 +40,17 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at a path of any file system that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if there is one."""
+    _delete(spark, path)
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     with suppress(Exception):  # the session may have ended before the driver does
         _delete(spark, path)
