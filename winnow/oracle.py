@@ -141,3 +141,13 @@ TOKENS = rf"""tok AS (
   SELECT lower(regexp_replace(u, '^[.,]+|[.,]+$', '', 'g')) AS token FROM (
     SELECT unnest(regexp_extract_all(regexp_replace(coalesce(text, ''), '([\s:])', '\1\1', 'g'), '(?:^|[^A-Za-z0-9_./-])([A-Za-z][A-Za-z0-9_+.-]{{1,40}})[\s:]', 1)) AS u FROM documents)),
 tc AS (SELECT token, count(*) AS n FROM tok WHERE length(token) >= 2 AND token NOT IN ({_STOP}) AND NOT regexp_matches(token, '^v?\d+([.-]\d+)*$') GROUP BY token)"""
+
+#: Sources of the makefiles: beside them, and through other folders.
+MAKEFILES = r"""mk AS (SELECT DISTINCT 'CONFIG_BRAND_' || b AS symbol, 'brand_' || b || '/' || replace(p_name, ' ', '_') || '_' || p_partkey || '.c' AS path FROM pp
+  UNION SELECT 'CONFIG_BRAND_' || b, unnest(['dotted.d/x' || p_partkey || '.c', 'brand_' || b || '/y' || p_partkey || '.c', '../above' || p_partkey || '.c']) FROM pp WHERE p_partkey % 11 = 0)"""
+
+PHRASES = rf"""bw AS (SELECT item_id, w, unnest(range(1, len(w))) AS i FROM (SELECT item_id, string_split_regex(text, '\s+') AS w FROM benchmark)),
+bp AS (SELECT DISTINCT 'item ' || item_id AS rule, (i - 1) % 3 AS k, w[i] || ' ' || w[i + 1] AS x FROM bw WHERE regexp_full_match(w[i], '[A-Za-z]{{2,}}') AND regexp_full_match(w[i + 1], '[A-Za-z]{{2,}}')),
+ht AS (SELECT d.record_id, rule, CASE k WHEN 0 THEN x WHEN 1 THEN '*' || x || '*' ELSE 're:' || x END AS pattern,
+  CASE WHEN k = 1 THEN true WHEN k = 2 THEN contains(body, x) ELSE regexp_matches(body, '(?i)(^|[^\pL\pN_])' || x || '([^\pL\pN_]|$)') END AS hit
+  FROM (SELECT sha256(CAST(doc_id AS VARCHAR)) AS record_id, coalesce(text, '') AS body, lower(coalesce(text, '')) AS low FROM documents) d JOIN bp ON contains(low, lower(x)))"""

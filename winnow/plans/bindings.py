@@ -200,12 +200,44 @@ def event_history(spark: SparkSession, d: str) -> DataFrame:
 
 
 def makefile_blobs(spark: SparkSession, d: str) -> DataFrame:
-    """A revision per type: a makefile per brand with a line per part."""
-    line = F.concat(F.lit("obj-$(CONFIG_BRAND_"), F.col("b").cast("string"), F.lit(") += "), F.regexp_replace("p_name", " ", "_"), F.lit("_"), F.col("p_partkey").cast("string"), F.lit(".o"))
+    """A revision per type: a makefile per brand with a line per part, some of which lead through other folders."""
+    key, symbol = F.col("p_partkey").cast("string"), F.concat(F.lit("obj-$(CONFIG_BRAND_"), F.col("b").cast("string"), F.lit(") += "))
+    line = F.concat(symbol, F.regexp_replace("p_name", " ", "_"), F.lit("_"), key, F.lit(".o"))
+    around = F.concat(F.lit("\n"), symbol, F.lit("../dotted.d/x"), key, F.lit(".o ./sub.d/e/../../y"), key, F.lit(".o ../../above"), key, F.lit(".o"))
+    line = F.concat(line, F.when(F.col("p_partkey") % 11 == 0, around).otherwise(""))
     by = _parts(spark, d).groupBy(F.lower("p_type").alias("rev"), F.concat(F.lit("brand_"), F.col("b").cast("string"), F.lit("/Makefile")).alias("path"))
     return by.agg(F.concat(F.lit("# parts\nobj-y += always.o\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n")).alias("text"))
 
 
+def makefile_history(spark: SparkSession, d: str) -> DataFrame:
+    """A revision per size: a makefile per brand that changes with every tenth size, when parts of these sizes come and some of the former go. seq, path, text."""
+    p = _parts(spark, d).withColumn("size", (F.col("p_size") - 1).cast("long"))
+    revisions = p.select(F.col("size").alias("seq")).distinct().withColumn("k", F.expr("seq div 10"))
+    # a handful of sizes, for each part
+    told = p.join(F.broadcast(revisions.select("k").distinct()), (F.expr("size div 10") <= F.col("k")) & ((F.col("p_size") % 7 != 0) | (F.expr("size div 10") == F.col("k"))))
+    line = F.concat(F.lit("obj-$(CONFIG_BRAND_"), F.col("b").cast("string"), F.lit(") += part_"), F.col("p_partkey").cast("string"), F.lit(".o"))
+    texts = told.groupBy("b", "k").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
+    every = p.select("b").distinct().crossJoin(F.broadcast(revisions)).join(texts, ["b", "k"], "left")
+    return every.select("seq", F.concat(F.lit("brand_"), F.col("b").cast("string"), F.lit("/Makefile")).alias("path"), F.coalesce("text", F.lit("# none")).alias("text"))
+
+
+def phrase_patterns(spark: SparkSession, d: str) -> list[tuple[str, str, str]]:
+    """A large catalog, as a list: each two words that follow each other in an item of the benchmark, as keyword, glob or expression. (rule, kind, pattern)."""
+    words = table(spark, d, "benchmark").select("item_id", F.split("text", r"\s+").alias("w"))
+    pairs = words.select("item_id", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.struct(F.get("w", i - 1).alias("a"), F.get("w", i).alias("b")))).alias("i", "x"))
+    plain = r"\A[A-Za-z]{2,}\z"
+    both = pairs.where(F.col("x.a").rlike(plain) & F.col("x.b").rlike(plain)).select(F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("rule"), (F.col("i") % 3).alias("k"), F.concat_ws(" ", "x.a", "x.b").alias("p"))
+    pattern = F.when(F.col("k") == 0, F.col("p")).when(F.col("k") == 1, F.concat(F.lit("*"), "p", F.lit("*"))).otherwise(F.concat(F.lit("re:"), "p"))
+    return [(r["rule"], "keywords_whitelist", r["p"]) for r in both.select("rule", pattern.alias("p")).distinct().collect()]
+
+
+def odd_patterns(spark: SparkSession, d: str) -> Catalog:
+    """A catalog of expressions made of parts' names: invalid ones, ones with a named group, and ones beyond the JVM."""
+    p = table(spark, d, "part")
+    body = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("re:("), "p_name")).when(F.col("p_size") % 3 == 1, F.concat(F.lit("re:(?P<a_b>"), "p_name", F.lit(")(?P=a_b)"))).otherwise(F.concat(F.lit("re:(x)?(?(1)"), "p_name", F.lit("|n)")))
+    return Catalog(patterns=[tuple(r) for r in p.select("p_brand", F.lit("keywords_whitelist"), F.col("p_partkey").cast("int"), body).collect()])
+
+
 def raw_log(spark: SparkSession, d: str) -> DataFrame:
     """Orders as a text log: seq, value."""
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from winnow import oracle as O
 from winnow.functions import patterns as P
 from winnow.functions import scalars as S
-from winnow.operators import evidence, prefilter, quality, rank, report, score, tables, tokens
+from winnow.operators import evidence, literal_index, prefilter, quality, rank, report, score, tables, tokens
 from winnow.plans import bindings as B
 from winnow.plans import triage
 from winnow.sources import catalog as C
 from winnow.sources import product, records
 from winnow.sources.stages import cut, new_path, spread
+from winnow.streaming import increments
 from winnow.streaming import scores as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,7 +133,7 @@ def config_values(s, d):
     return product.parse_config(p.select(F.col("p_partkey").alias("line_no"), line.alias("line")))
 
 
-@query("SELECT DISTINCT 'CONFIG_BRAND_' || b AS symbol, 'brand_' || b || '/' || replace(p_name, ' ', '_') || '_' || p_partkey || '.c' AS path FROM pp", O.PARTS)
+@query("SELECT symbol, path FROM mk", O.PARTS, O.MAKEFILES)
 def makefile_map(s, d):
     lines = B.makefile_blobs(s, d).select(S.dirname(F.col("path")).alias("dir"), F.explode(F.split("text", "\n")).alias("line"))
     return product.makefile_map(lines, F.col("dir"))
@@ -228,6 +229,11 @@ def pattern_join(s, d):
     return score.pattern_join(B.documents(s, d).select("record_id", "body"), wanted, "body").select("record_id", "rule", "kind", "pattern")
 
 
+@query("SELECT record_id, rule, 'keywords_whitelist' AS kind, pattern FROM ht WHERE hit", O.PHRASES)
+def pattern_index(s, d):
+    return literal_index.pattern_index(B.documents(s, d).select("record_id", "body"), B.phrase_patterns(s, d), "body").select("record_id", "rule", "kind", "pattern")
+
+
 @query(
     "SELECT record_id, rule, kind, pattern, value FROM (SELECT *, row_number() OVER (PARTITION BY record_id, rule, kind ORDER BY pord, vord) AS n FROM ph) WHERE n = 1", O.DOCS, O.PATTERN_HITS
 )
@@ -318,14 +324,19 @@ def profile_stems(s, d):
 
 
 @query(
-    """SELECT sha256(string_agg(line, chr(10) ORDER BY line)) AS fingerprint FROM (SELECT concat_ws(chr(9), 'pattern', rule, kind, ord, pattern) AS line FROM pat
-    UNION ALL SELECT concat_ws(chr(9), 'profile', profile, CAST(weight AS VARCHAR)) FROM pf UNION ALL SELECT concat_ws(chr(9), 'rule', profile, rule, weight) FROM pr)""",
+    """SELECT sha256(concat_ws(':', count(*), sum(('0x' || substring(h, 1, 15))::BIGINT), sum(('0x' || substring(h, 16, 15))::BIGINT), sum(('0x' || substring(h, 31, 15))::BIGINT), sum(('0x' || substring(h, 46, 15))::BIGINT))) AS fingerprint FROM (SELECT sha256(line) AS h FROM (SELECT concat_ws(chr(9), 'pattern', rule, kind, ord, pattern) AS line FROM pat
+    UNION ALL SELECT concat_ws(chr(9), 'profile', profile, CAST(weight AS VARCHAR)) FROM pf UNION ALL SELECT concat_ws(chr(9), 'rule', profile, rule, weight) FROM pr))""",
     O.PARTS,
 )
 def catalog_fingerprint(s, d):
     return C.fingerprint(B.part_patterns(s, d), B.part_profiles(s, d), B.part_profile_rules(s, d))
 
 
+@query("SELECT p_brand AS rule, 'keywords_whitelist' AS kind, CASE WHEN p_size % 3 = 0 THEN 're:(' || p_name ELSE 're:(x)?(?(1)' || p_name || '|n)' END AS pattern FROM part WHERE p_size % 3 <> 1")
+def invalid_patterns(s, d):
+    return C.pattern_problems(s, B.odd_patterns(s, d))
+
+
 @query("SELECT n_name AS keyword, unnest(CASE WHEN n_nationkey % 2 = 0 THEN ['a/' || n_name, 'b'] ELSE ['c/' || n_name] END) AS prefix FROM nation")
 def hints_scan(s, d):
     return product.parse_hints(B.hint_files(s, d))
@@ -493,14 +504,21 @@ def config_dirs(s, d):
     return product.config_dirs(B.config_paths(s, d))
 
 
-@query(
-    """SELECT 'CONFIG_BRAND_' || b AS symbol, 'brand_' || b || '/' || base_stem || '.c' AS path FROM pp UNION SELECT 'CONFIG_BRAND_' || b, path FROM pp""",
-    O.ORDERS,
-)
+@query("SELECT symbol, path FROM mk UNION SELECT 'CONFIG_BRAND_' || b, path FROM pp", O.ORDERS, O.MAKEFILES)
 def history_merge(s, d):
     return product.history_merge(product.history_paths(B.makefile_blobs(s, d)), B.config_paths(s, d))
 
 
+@query(
+    """SELECT 'CONFIG_BRAND_' || b AS symbol, 'brand_' || b || '/part_' || p_partkey || '.c' AS path, kf.first AS "first", CASE WHEN p_size % 7 = 0 THEN (SELECT min(l.first) FROM kf l WHERE l.k > kf.k) END AS "end"
+    FROM pp JOIN kf ON kf.k = (p_size - 1) // 10""",
+    O.PARTS,
+    "kf AS (SELECT (p_size - 1) // 10 AS k, CAST(min(p_size - 1) AS BIGINT) AS first FROM part GROUP BY 1)",
+)
+def history_intervals(s, d):
+    return product.history_intervals(B.makefile_history(s, d))
+
+
 @query(
     """SELECT substring(sha256(rev || ':' || path), 1, 24) AS key, rev, path FROM (SELECT DISTINCT lower(p_type) AS rev, 'brand_' || b || '/Makefile' AS path FROM pp) WHERE rev NOT IN ('economy', 'promo')""",
     O.PARTS,
@@ -661,8 +679,13 @@ _ALWAYS = ", ".join(f"'{t}'" for t in tokens.ALWAYS)
     O.TOKENS,
 )
 def top_prefixes(s, d):
-    counts = tokens.token_counts(spread(B.table(s, d, "documents")))
-    return tokens.top_prefixes(counts, _PREFERRED).select("token")
+    found = cut(tokens.tokens_of(spread(B.table(s, d, "documents"))), "tokens")
+    return tokens.top_prefixes(tokens.prefix_counts(found, _PREFERRED), _PREFERRED).select("token")
+
+
+@query("SELECT token, n FROM tc ORDER BY n DESC, token LIMIT 200", O.TOKENS)
+def top_tokens(s, d):
+    return tokens.most_frequent(cut(tokens.tokens_of(spread(B.table(s, d, "documents"))), "tokens"), 200)
 
 
 @query(r"SELECT 're:^' || token || '(?:\s|:|$)' AS pattern FROM tc WHERE regexp_matches(token, '^[a-z0-9]+$') AND n >= 5", O.TOKENS)
@@ -691,6 +714,39 @@ def score_increments(s, d):
     return streaming.score_increment(docs, path, B.DOC_CATALOG, "now")
 
 
+@query("SELECT record_id, score FROM t", O.DOCS)
+def increment_batches(s, d):
+    """Some documents under another text, then all: what has changed is scored again, each record counts once, and a batch that is told twice is one."""
+    docs, table = B.documents(s, d), increments.scores_table(s, new_path(s, "batches"))
+    early = docs.where("author_name < 'src2'").withColumn("body", F.lit("license"))
+    increments.score_batch(early, table, B.DOC_CATALOG, "now", "first")
+    increments.score_batch(docs, table, B.DOC_CATALOG, "now", "second")
+    increments.score_batch(early, table, B.DOC_CATALOG, "now", "second")
+    return increments.current_scores(table).select("record_id", "score")
+
+
+@query("SELECT record_id, action, reason FROM dk", O.ORDERS)
+def stream_decisions(s, d):
+    at, sets = new_path(s, "stream"), cut(_sets(s, d), "sets")
+    o = cut(B.orders(s, d), "orders")
+    report.write_lines(o.union(o.where("seq % 5 = 0")), f"{at}/in")
+    table = increments.scores_table(s, f"{at}/out")
+    read = streaming.read_stream(s, f"{at}/in", f"{streaming.RECORD}, author_time long")
+    # orders are years apart and not in order of time
+    streaming.decide_stream(streaming.once(read, "author_time", "10000 days"), table, B.ORDER_CATALOG, "now", f"{at}/state", sets).awaitTermination()
+    return increments.current_scores(table).select("record_id", "action", "reason")
+
+
+@query("SELECT record_id, score FROM t WHERE score >= 40", O.DOCS)
+def resumed_steps(s, d):
+    """Scores, and what passes: made, made again for a changed source, and kept for the same one."""
+    steps = increments.Steps(s, new_path(s, "steps"), ("scores", "passed"))
+    for source, docs in (("some", B.documents(s, d).where("author_name < 'src2'")), ("all", B.documents(s, d)), ("all", None)):
+        scores = steps.run("scores", source, lambda docs=docs: score.scored(docs, B.DOC_CATALOG).select("record_id", "score"))
+        passed = steps.run("passed", source, lambda scores=scores: scores.where("score >= 40"))
+    return passed.select("record_id", "score")
+
+
 # flags
 
 
@@ -758,6 +814,17 @@ def detail_files(s, d):
     return s.read.schema("record_id string, s1 string, s2 string").json(path)
 
 
+@query(
+    """SELECT record_id, CASE WHEN action = 'keep' AND low.filter_reason IS NULL THEN 0 ELSE 1 END AS src, coalesce(low.filter_reason, CASE WHEN action = 'drop' THEN reason END) AS filter_reason, substring(record_id, 1, 2) AS s1, substring(record_id, 3, 2) AS s2
+    FROM dk LEFT JOIN (SELECT record_id, filter_reason FROM low) low USING (record_id)""",
+    O.ORDERS,
+)
+def report_details(s, d):
+    judged = cut(_judged(s, d).select("record_id", "seq", "filter_reason"), "judged")
+    kept = judged.where("filter_reason is null")
+    return report.details(kept, judged).select("record_id", "src", "filter_reason", "s1", "s2")
+
+
 @query("SELECT record_id, subject, author_name, CAST(NULL AS VARCHAR) AS author_time, score, matched AS matched_profiles, CASE WHEN score < 40 THEN 'score_below_threshold (40.0)' END AS filter_reason FROM t", O.DOCS)
 def table_rows(s, d):
     rows = report.table_rows(rank.postfilter(_scored(s, d), "40"))

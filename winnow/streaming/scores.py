@@ -1,4 +1,4 @@
-"""Incremental and streaming scoring. Scores are row by row, so a stream needs no state."""
+"""Incremental and streaming scoring. Scores are row by row, so a stream needs state only to leave out repeated records."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from winnow.operators.prefilter import decision
 from winnow.operators.score import scored
 from winnow.sources.catalog import KINDS, Catalog
+from winnow.streaming.increments import Table, score_batch
 
+#: Records of a stream whose ids repeat within so long are one.
+REPEATS_WITHIN = "1 day"
 RECORD = "record_id string, seq long, subject string, body string, files array<string>, author_name string"
 
 
@@ -43,3 +46,25 @@ def read_stream(spark: SparkSession, folder: str, schema: str = RECORD) -> DataF
 def write_stream(scores: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write all that is there, then stop; called again, go on where it stopped."""
     return scores.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def once(records: DataFrame, time: str, within: str = REPEATS_WITHIN) -> DataFrame:
+    """A stream's records without those whose record_id was seen before within a time, by a column of seconds; those that come later than that are left out.
+
+    The state is one row per id, and goes as the watermark passes it.
+    """
+    timed = records.withColumn("_time", F.timestamp_seconds(F.coalesce(time, F.lit(0))))
+    return timed.withWatermark("_time", within).dropDuplicatesWithinWatermark(["record_id"]).drop("_time")
+
+
+def decide_stream(records: DataFrame, table: Table, catalog: Catalog, fingerprint: str, checkpoint: str, sets: DataFrame | None = None, run: str = "stream") -> StreamingQuery:
+    """Decide and score a stream's records with what is built (sets, a table at rest), as a batch would, into a table of batches.
+
+    Every micro-batch is joined with the table at rest and added under a name of its own, so that one that is repeated after a failure counts once.
+    A record that comes again is scored again if its content has changed. run: names the stream's batches in the table. Stops when all that is there is done; called again, it goes on where it stopped.
+    """
+
+    def add(rows: DataFrame, number: int) -> None:
+        score_batch(rows, table, catalog, fingerprint, f"{run}-{number:09d}", sets)
+
+    return records.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
