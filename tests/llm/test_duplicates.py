@@ -108,7 +108,59 @@ def test_near_odd(odd, empty):
     assert minhash.near_duplicates(empty).collect() == []
     kept = minhash.keep_one(odd)
     assert kept.columns == odd.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 2, 3, 4, 6, 9, 10, 11, 12, 13]
+    # two texts under one number both stay, a repeated row stays once
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 2, 3, 4, 6, 9, 10, 11, 12, 12, 13]
+
+
+def test_rows_of_one_number_are_not_lost(spark):
+    rows = [(1, "alpha beta gamma delta epsilon zeta", 5), (1, "completely different words stand in this one", 6), (1, "alpha beta gamma delta epsilon zeta", 7), (2, "alpha beta gamma delta epsilon zeta", 8), (3, None, 1), (3, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, k long")
+    got = sorted((r.doc_id, r.text or "") for r in minhash.keep_one(df).collect())
+    assert got == sorted([rows[0][:2], rows[1][:2], (3, "")])
+    assert {tuple(r) for r in minhash.keep_one(df).collect()} == {tuple(r) for r in minhash.keep_one(df.repartition(3)).collect()}
+
+
+def template_texts(n, shared, common=404, own=66, seed=1):
+    """Pages of one template, in twins: words of the template, some that two pages share, and some of each page's own, in stretches."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        k = i // 2
+        stretches = [[f"c{j}" for j in range(at, min(at + 101, common))] for at in range(0, common, 101)]
+        parts = [stretches[0], [f"t{k}x{j}" for j in range(shared)], stretches[1], [f"o{i}x{j}" for j in range(own)], *stretches[2:]]
+        rows.append((int(i), " ".join(w for p in parts for w in p)))
+    rng.shuffle(rows)
+    return [(int(i), t) for i, t in rows]
+
+
+@pytest.mark.parametrize("shared", [16, 25])
+def test_twins_among_pages_of_one_template(spark, monkeypatch, shared):
+    """In a region that is larger than what is compared as a whole no link is lost: 600 pages that resemble each other at 0.71 or less, and twins just above 0.75 among them."""
+    monkeypatch.setattr(minhash, "BLOCK", 128)
+    own = 62 if shared == 16 else 50
+    rows = template_texts(600, shared, own=own)
+    a, b, c = (shingle_set(dict(rows)[i]) for i in (0, 1, 2))
+    assert 0.75 <= len(a & b) / len(a | b) < 0.8 and len(a & c) / len(a | c) < 0.75
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_rare_regions_bring_all_similar_sets_together(spark):
+    """Sets of any sizes: every pair that is similar enough meets at a rare shingle, in roles that compare them."""
+    rng = np.random.default_rng(7)
+    base = [rng.choice(3000, 400, replace=False) for _ in range(6)]
+    sets = {}
+    for i in range(120):
+        b = base[i % 6]
+        kept = rng.choice(b, rng.integers(290, 401), replace=False)
+        sets[i] = np.unique(np.concatenate([kept, rng.integers(3000, 10**6, rng.integers(0, 60))])).astype(np.int64)
+    rows = spark.createDataFrame([(i, len(x), bytearray(x.astype("<i8").tobytes())) for i, x in sets.items()], "doc_id long, n_shingles long, shingles binary")
+    met = collections.defaultdict(list)
+    for r in minhash.rare_regions(rows.selectExpr("doc_id", "doc_id class"), rows).collect():
+        met[r.region].append(r)
+    pairs = {(min(a.doc_id, b.doc_id), max(a.doc_id, b.doc_id)) for g in met.values() for a in g if a.as_minor for b in g if b.as_any and a.doc_id != b.doc_id}
+    near = {(i, j) for i in sets for j in sets if i < j and minhash.similar(sets[i], sets[j])}
+    assert near and near <= pairs
 
 
 def removed(rows, n=50):

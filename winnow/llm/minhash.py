@@ -15,8 +15,12 @@ probability of 1 - (1 - s**2)**TREES, which is 0.99995 at 0.75.
    copies of one original need that resemble it more than each other.
 3. Where several classes still meet, all pairs across classes whose signatures agree enough are
    checked on their sets: at the least depth at which the documents outside a region's largest class fit a block.
-   So nearly settled regions of any size are compared as a whole, and only those are split whose documents resemble each other
-   in great number without being similar. Only links leave the task; pairs within one class, which no link would change, are left out.
+   So nearly settled regions of any size are compared as a whole. Only links leave the task; pairs within one class, which no link would change, are left out.
+4. Regions of the first level that are too large for that hold documents which resemble each other in great number without being similar, such as
+   pages of one template. Their documents are compared exactly: two similar sets have a shingle in common among the rarest of each, how many of them follows from
+   both sizes (a seventh for sets of one size, a quarter at most). So each rare shingle, for two bands of sizes, is a region that is compared like
+   others, and no pair is missed for being in a large region. Shingles of the template come last in that order, and make regions only for
+   documents that have little else.
 
 Documents with the same set are collapsed into one before. No task gathers a region: large ones are dealt by ranges of the order in step 1, and over
 blocks in step 3, where a document's set is sent once, and those of the block outside the largest class to each of them. Only a region that all DEPTH hashes leave
@@ -26,12 +30,13 @@ read again for their full sets: sorted 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.llm.common import components, cut, discard, partitions, runs, slices
@@ -45,6 +50,8 @@ HASHES = TREES * DEPTH
 AGREE = int(HASHES * 0.75 - 4 * (HASHES * 0.75 * 0.25) ** 0.5)
 #: Documents of a region that are compared together.
 BLOCK = 512
+#: How much larger the sets of one band of sizes may be than others of it.
+BAND = 1.05
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -292,29 +299,90 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     again = cut(_classed(shared, components(more)), "classed")
     # regions that are compared as a whole, and of those that a document is in the least deep one
-    opened = _open(again).where((F.least("n", F.col("n") - F.col("top_size")) <= BLOCK) | deepest).select("tree", "region", "top", "top_size")
+    state = cut(_open(again).withColumn("fits", (F.least("n", F.col("n") - F.col("top_size")) <= BLOCK) | deepest), "open")
+    opened = state.where("fits").select("tree", "region", "top", "top_size")
     rows = again.join(opened, ["tree", "region"]).withColumn("least", F.min("level").over(Window.partitionBy("doc_id", "tree"))).where("level = least")
-    # documents outside the region's largest class, in blocks (mostly one), against all of it, in blocks
-    sides = F.ceil((F.col("n") - F.col("top_size")) / BLOCK).cast("int")
-    side = F.pmod(F.xxhash64("doc_id", "tree"), sides).cast("int")
-    outside, none = F.col("class") != F.col("top"), F.lit(0)
-    cell = lambda minor, every, i, j: F.struct(F.lit(minor).alias("minor") if isinstance(minor, bool) else minor.alias("minor"), F.lit(every).alias("any"), i.alias("block"), j.alias("against"))
-    as_any = F.transform(F.sequence(none, sides - 1), lambda j: cell(False, True, block, j))
-    as_minor = F.transform(F.sequence(none, blocks - 1), lambda i: cell(True, False, i, side))
-    cells = F.when(~large, F.array(cell(outside, True, none, none))).when(outside, F.concat(as_any, as_minor)).otherwise(as_any)
-    met = rows.select("tree", "region", "doc_id", "class", F.explode(cells).alias("c")).select("tree", "region", "doc_id", "class", "c.*")
     known_of = sig.join(sets.select("doc_id", "n_shingles", "shingles"), "doc_id")
-    met = met.join(known_of, "doc_id").repartition(2 * n, "tree", "region", "block", "against").sortWithinPartitions("tree", "region", "block", "against")
-    across = cut(met.mapInArrow(_crossing, "a long, b long"), "across")
+    stand = {"as_minor": F.col("class") != F.col("top"), "as_any": F.lit(True), "n_minor": F.col("n") - F.col("top_size"), "n_any": F.col("n")}
+    across = compared(rows.withColumns(stand), known_of, n)
+    crowded = state.where((F.col("level") == 0) & ~F.col("fits")).select("tree", "region")
+    if not crowded.isEmpty():
+        among = again.join(crowded, ["tree", "region"]).groupBy("doc_id").agg(F.first("class").alias("class"))
+        across = across.union(compared(rare_regions(among, sets), known_of, n))
+    across = cut(across, "across")
     final = cut(components(more.union(across)), "classes")
 
     found = copies.join(final, copies.rep == final.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "rep")).alias("component_id"))
     out = whole.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     out = cut(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "near")
-    discard(whole, reps, copies, written, sets, first, links, classed, to_hub, more, again, across, final)
+    discard(whole, reps, copies, written, sets, first, links, classed, to_hub, more, again, state, across, final)
     return out
 
 
+def compared(rows: DataFrame, known_of: DataFrame, n_tasks: int) -> DataFrame:
+    """Links (a, b) across classes within the regions of rows(tree, region, doc_id, class, as_minor, as_any, n_minor, n_any), one at least for each two classes that are linked there.
+
+    Documents that stand as minor ones are compared with those that stand as any; n_minor and n_any: how many of them a region has.
+    """
+    none = F.lit(0)
+    blocks, sides = (F.greatest(F.ceil(F.col(c) / BLOCK).cast("int"), F.lit(1)) for c in ("n_any", "n_minor"))
+    block, side = (F.pmod(F.xxhash64("doc_id", "tree"), x).cast("int") for x in (blocks, sides))
+
+    def cell(minor: Column, every: Column, i: Column, j: Column) -> Column:
+        return F.struct(minor.alias("minor"), every.alias("any"), i.alias("block"), j.alias("against"))
+
+    yes, no = F.lit(True), F.lit(False)
+    minor, every = F.col("as_minor"), F.col("as_any")
+    empty = F.filter(F.array(cell(no, no, none, none)), lambda c: c["minor"])
+    as_any = F.when(every, F.transform(F.sequence(none, sides - 1), lambda j: cell(no, yes, block, j))).otherwise(empty)
+    as_minor = F.when(minor, F.transform(F.sequence(none, blocks - 1), lambda i: cell(yes, no, i, side))).otherwise(empty)
+    cells = F.when((blocks == 1) & (sides == 1), F.array(cell(minor, every, none, none))).otherwise(F.concat(as_any, as_minor))
+    met = rows.select("tree", "region", "doc_id", "class", F.explode(cells).alias("c")).select("tree", "region", "doc_id", "class", "c.*")
+    met = met.join(known_of, "doc_id").repartition(2 * n_tasks, "tree", "region", "block", "against").sortWithinPartitions("tree", "region", "block", "against")
+    return met.mapInArrow(_crossing, "a long, b long")
+
+
+def rare_regions(among: DataFrame, sets: DataFrame) -> DataFrame:
+    """Regions of the documents of among(doc_id, class), as compared() takes them: a shingle, and the bands of sizes of the documents that meet at it.
+
+    Two sets of s and t shingles that are similar enough have o >= N * (s + t) / (100 + N) in common. Of these the rarest, in one order of all
+    shingles, stands at place s - o + 1 of the one set at most, and at t - o + 1 of the other: at that shingle they meet.
+    """
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            raw = [np.frombuffer(x, "<i8") for x in batch.column("shingles").to_pylist()]
+            sizes = [len(x) for x in raw]
+            rows = pa.array(np.repeat(np.arange(len(raw)), sizes))
+            yield pa.record_batch({"doc_id": batch.column("doc_id").take(rows), "size": np.repeat(np.array(sizes, np.int64), sizes), "shingle": np.concatenate(raw) if raw else np.empty(0, np.int64)})
+
+    each = cut(sets.join(among.select("doc_id"), "doc_id").select("doc_id", "shingles").mapInArrow(step, "doc_id long, size long, shingle long"), "shingles")
+    often = each.groupBy("shingle").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("often", "shingle"))
+    band = lambda x: F.floor(F.log(x.cast("double")) / math.log(BAND)).cast("int")
+    least = F.expr(f"({NUMERATOR} * size + 99) div 100")
+    most = F.least(F.expr(f"100 * size div {NUMERATOR}"), F.expr(f"({100 + NUMERATOR} * (size + 1 - place)) div {NUMERATOR} - size"))
+    ranked = each.join(often, "shingle").withColumn("place", place).where("often > 1").withColumns({"least": least, "most": most}).where("most >= least")
+    bands = ranked.select("doc_id", "shingle", band(F.col("size")).alias("own"), F.explode(F.sequence(band(F.col("least")), band(F.col("most")))).alias("other"))
+    region = F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other"))
+    rows = cut(bands.select(region.alias("region"), "doc_id", F.signum(F.col("own") - F.col("other")).cast("int").alias("role")).join(among, "doc_id"), "rare")
+    by_class = rows.groupBy("region", "class").agg(F.count("*").alias("size"), F.count_if(F.col("role") < 0).alias("low"), F.count_if(F.col("role") > 0).alias("high"))
+    found = by_class.groupBy("region").agg(F.sum("size").alias("n"), F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("top"), F.sum("low").alias("low"), F.sum("high").alias("high"))
+    found = found.where("classes > 1 and (low > 0) = (high > 0)").withColumn("same", F.col("low") == 0)
+    out = rows.join(found, "region")
+    same = F.col("same")
+    return out.select(
+        F.lit(-1).alias("tree"),
+        "region",
+        "doc_id",
+        "class",
+        F.when(same, F.col("class") != F.col("top.class")).otherwise(F.col("role") < 0).alias("as_minor"),
+        F.when(same, F.lit(True)).otherwise(F.col("role") > 0).alias("as_any"),
+        F.when(same, F.col("n") - F.col("top.size")).otherwise(F.col("low")).alias("n_minor"),
+        F.when(same, F.col("n")).otherwise(F.col("high")).alias("n_any"),
+    )
+
+
 def _classed(shared: DataFrame, classes: DataFrame) -> DataFrame:
     """Each document of each region with its class so far."""
     joined = shared.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left")
@@ -329,11 +397,17 @@ def _open(classed: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of kept documents, with the columns they have; of rows that repeat a doc_id one stays, and all rows without one. An empty table gives no rows."""
+    """The rows of kept documents, with the columns they have, whatever their names.
+
+    Rows that repeat a doc_id go with it or stay with it: of those with one text one stays, the one whose columns have the smallest hash, and rows with
+    different texts all stay, as nothing tells that they are copies. All rows without a doc_id stay. An empty table gives no rows.
+    """
     near = near_duplicates(docs)
     dropped = near.where("not kept").select("doc_id").distinct()
     left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
     if near.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return left
     some = F.col("doc_id").isNotNull()
-    return left.where(some).dropDuplicates(["doc_id"]).union(left.where(~some))
+    row = F.struct(*docs.columns)
+    packed = left.where(some).groupBy(F.col("doc_id").alias("k"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("t")).agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("r"))
+    return packed.select("r.*").union(left.where(~some))
