@@ -33,17 +33,34 @@ def test_pipeline(spark, tokenizer):  # noqa: F811
         assert (r.ids, r.ids_sha256, r.decoded_sha256) == (bytearray(ids), sha(ids), sha(want[r.doc_id].encode()))
 
 
+#: Names that the stages use themselves.
+CLASHING = ("_own", "_ranges", "_doc_id", "_source", "_position", "ranges", "position", "nth", "row", "d", "s", "file_no", "row_no", "k", "t", "r", "near", "component_id")
+
+
 def test_stages_keep_the_columns(spark, odd):
-    docs = odd.drop("size", "own", "slot", "rank", "tree", "h", "a")
+    docs = odd.select("*", *(F.lit(i).alias(c) for i, c in enumerate(CLASHING)))
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, SMALL).dtypes == docs.dtypes
+        out = stage(spark, docs, SMALL)
+        assert out.dtypes == docs.dtypes and {r._position for r in out.select("_position").collect()} == {4}
         assert stage(spark, docs.limit(0), SMALL).isEmpty()
+    assert corpus_pipeline.bpe_stage(spark, docs, SMALL).count() == docs.count()
+    assert corpus_pipeline.bpe_stage(spark, docs.limit(0), SMALL).isEmpty()
+
+
+def test_the_mixing_stage_takes_effect(spark, tmp_path):
+    """The last stage finds the order of the mix in the table before it, and another one where that stage is left out."""
+    docs = table(spark, "documents").repartition(3)
+    docs.write.parquet(str(tmp_path / "plain"))
+    corpus_pipeline.mixing_stage(spark, docs, SMALL).write.parquet(str(tmp_path / "mixed"))
+    places = {name: {(r.doc_id, r.slot, r.position) for r in corpus_pipeline.bpe_stage(spark, spark.read.parquet(str(tmp_path / name)), SMALL).collect()} for name in ("plain", "mixed")}
+    assert places["mixed"] == {(r.doc_id, r.slot, r.position) for r in mixing.mix(docs).collect()} != places["plain"]
+    assert len(places["plain"]) == docs.count()
 
 
 def test_all_are_registered(spark):
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert set(entries.queries()) <= set(names)
 

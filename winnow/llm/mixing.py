@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +81,10 @@ def schedule(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, Pla
     return out
 
 
+def rows_of_a_block(rows: int) -> int:
+    return max(BLOCK_ROWS, -(-rows // BLOCKS))
+
+
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int | None = None, seed: int = 0) -> DataFrame:
     """Each row's place in the mix.
 
@@ -94,7 +99,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
     rows = docs.select("doc_id", "source", F.coalesce("source", F.lit(none)).alias("src"), F.xxhash64(F.lit(seed), "doc_id").alias("h"))
     rows = cut(rows, "mix")
     sizes = {r["src"]: r["n"] for r in rows.groupBy("src").agg(F.count("*").alias("n")).collect()}
-    block_rows = block_rows or max(BLOCK_ROWS, -(-sum(sizes.values()) // BLOCKS))
+    block_rows = block_rows or rows_of_a_block(sum(sizes.values()))
     if weights is None:
         share = {s: n**TEMPER for s, n in sizes.items()}
     else:
@@ -123,20 +128,53 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
 
 
 def in_mix_order(docs: DataFrame, **options) -> DataFrame:
-    """The rows in the order of the mix, with the columns they have. Rows that repeat a doc_id and source stand together, at the first of their places. An empty table gives no rows."""
-    places = mix(docs, **options).groupBy("doc_id", F.col("source").alias("_source")).agg(F.min("position").alias("_position"))
-    joined = docs.join(places.withColumnRenamed("doc_id", "_doc_id"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")))
-    return joined.repartitionByRange(partitions(docs.sparkSession), "_position").sortWithinPartitions("_position").select(*docs.columns)
-
+    """The rows in the order of the mix, with the columns they have, whatever their names; every row at a place of its own.
 
-def placed(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, text, slot, position of every row: rows that repeat a doc_id have its places in order of their texts."""
+    Rows that repeat a doc_id and a source have its places in order of their texts. A null source is one of its own; an empty table gives no rows. Written as a table, the rows keep their order in its files;
+    see places_in_order.
+    """
     keys = ["d", "s", "no_d", "no_s"]
     known = [F.coalesce("doc_id", F.lit(0)).alias("d"), F.coalesce("source", F.lit("")).alias("s"), F.isnull("doc_id").alias("no_d"), F.isnull("source").alias("no_s")]
-    places = mix(docs, **options).select(*known, "slot", "position")
-    places = places.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("position")))
-    rows = docs.select("doc_id", "text", *known).withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("text")))
-    return rows.join(places, [*keys, "nth"]).select("doc_id", "text", "slot", "position")
+    places = cut(mix(docs, **options).select(*known, "position"), "places")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *known)
+    if not places.groupBy(*keys).count().where("count > 1").isEmpty():
+        places = places.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("position")))
+        rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("row.text", F.xxhash64("row"))))
+        keys = [*keys, "nth"]
+    joined = rows.join(places, keys).select("row", "position")
+    return joined.repartitionByRange(partitions(docs.sparkSession), "position").sortWithinPartitions("position").select("row.*")
+
+
+def stored(docs: DataFrame) -> DataFrame:
+    """doc_id, text, source, file_no and row_no of a written table's rows: their places in its files. Rows from elsewhere are written first, as they come."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException as e:
+        if e.getCondition() not in ("UNRESOLVED_COLUMN.WITH_SUGGESTION", "UNRESOLVED_COLUMN.WITHOUT_SUGGESTION", "FIELD_NOT_FOUND"):
+            raise
+        docs = cut(docs, "stored")
+    file_no = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("bigint")
+    return docs.select("doc_id", "text", "source", F.coalesce(file_no, F.lit(0)).alias("file_no"), F.col("_metadata.row_index").alias("row_no"))
+
+
+def places_in_order(rows: DataFrame) -> DataFrame:
+    """file_no, row_no, slot, position of rows(source, file_no, row_no) that stand in the order of a mix: what mix() says of them, read from the order alone.
+
+    A source's rows form blocks in their order, and blocks have slots in the order of their first rows. Rows are counted within their files, and files summed up.
+    """
+    at = cut(rows.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("src"), "file_no", "row_no"), "order")
+    block_rows = rows_of_a_block(at.count())
+    earlier = lambda part, by: F.coalesce(F.sum("n").over(Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = at.groupBy("src", "file_no").agg(F.count("*").alias("n")).select("src", "file_no", earlier(["src"], "file_no").alias("before"))
+    nth = F.row_number().over(Window.partitionBy("src", "file_no").orderBy("row_no")) - 1
+    ranked = cut(at.withColumn("nth", nth).join(before, ["src", "file_no"]).select("src", "file_no", "row_no", (F.col("before") + F.col("nth")).alias("rank")), "ranked")
+    ranked = ranked.withColumns({"block": F.expr(f"rank div {block_rows}"), "place": F.col("rank") % block_rows})
+    first = ranked.where("place = 0")
+    # as many rows as there are files
+    blocks = first.groupBy("file_no").agg(F.count("*").alias("n")).select("file_no", earlier([], "file_no").alias("before"))
+    of_file = F.row_number().over(Window.partitionBy("file_no").orderBy("row_no")) - 1
+    slots = first.withColumn("nth", of_file).join(blocks, "file_no").select("src", "block", (F.col("before") + F.col("nth")).cast("bigint").alias("slot"))
+    return ranked.join(slots, ["src", "block"]).select("file_no", "row_no", "slot", (F.col("slot") * block_rows + F.col("place")).alias("position"))
 
 
 def sorted_by_position(rows: DataFrame, count: int) -> DataFrame:

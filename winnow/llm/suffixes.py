@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import cut, discard, partitions, runs, slices
+from winnow.llm.common import cut, discard, free_names, partitions, runs, slices
 from winnow.llm.shingles import mix, pieces
 
 LENGTH, GRAM = 50, 16
@@ -512,18 +512,18 @@ def digests(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The rows with what repeats removed from their texts, and n_chars as it is then; copies have an empty text.
 
-    Of a character that is removed in part, no byte stays.
+    Of a character that is removed in part, no byte stays. Columns may have any names. Rows without a doc_id or that repeat one are rows by themselves; an empty table gives no rows.
     """
     base, gone = removed_spans(docs)
     whole = base.where("copy").select("doc_id", "own", F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("n_bytes").alias("last"))).alias("ranges")).distinct()
     columns = docs.columns
-    # names that no table of documents is expected to have
-    known = gone.union(whole).toDF("doc_id", "_own", "_ranges")
-    joined = docs.withColumn("_own", F.xxhash64(F.coalesce("text", F.lit("")))).join(known, ["doc_id", "_own"], "left").select(*columns, "_ranges")
+    own, ranges = free_names(docs, "own", "ranges")
+    known = gone.union(whole).toDF("doc_id", own, ranges)
+    joined = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit("")))).join(known, ["doc_id", own], "left").select(*columns, ranges)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = [t if not r else remaining(t.encode(), _runs(r)).decode(errors="ignore") for t, r in zip(batch.column("text").to_pylist(), batch.column("_ranges").to_pylist(), strict=True)]
+            texts = [t if not r else remaining(t.encode(), _runs(r)).decode(errors="ignore") for t, r in zip(batch.column("text").to_pylist(), batch.column(ranges).to_pylist(), strict=True)]
             new = {"text": pa.array(texts, pa.string())}
             if "n_chars" in columns:
                 new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], batch.column("n_chars").type)
