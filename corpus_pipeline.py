@@ -28,16 +28,19 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: the rows in the order of the mix; all stay."""
+    """Operator 2: the rows in the order of the mix; all stay. Written, they keep that order in the table's files."""
     return mixing.in_mix_order(docs)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: ids of every text, and the digests of the ids and of what they decode to; each row with its slot and position in the mix, and in that order.
 
-    Row order is lost between stages, so the places, which follow from the rows alone, are found again here.
+    Slots and positions are read from the order that the rows have in the files of the table before.
     """
-    return mixing.sorted_by_position(bpe.encode(mixing.placed(docs), digests=True, keep=("slot", "position")), docs.count())
+    rows = mixing.stored(docs)
+    encoded = bpe.encode(rows, digests=True, keep=("file_no", "row_no"))
+    placed = encoded.join(mixing.places_in_order(rows), ["file_no", "row_no"]).drop("file_no", "row_no")
+    return mixing.sorted_by_position(placed, docs.count())
 
 
 STAGES = [
