@@ -129,6 +129,18 @@ def test_large_differences_peel():
     assert fingerprint.likeness(a, b) == pytest.approx([sets_likeness(x, y) for x, y in zip(a, b, strict=True)])
 
 
+@pytest.mark.parametrize("size", [0, 5, 300, 4000])
+def test_peeled_digests_are_the_difference(size):
+    """What comes out of subtracted sketches are the digests themselves: those of the pieces that only one text has, occurrence by occurrence."""
+    r = random.Random(size)
+    words = [f"word{r.randint(0, 500)}" for _ in range(size)]
+    a = " ".join(words)
+    b = " ".join(w for w in words if r.random() > 0.1) + " and more" * (size > 5)
+    sets = [set(fingerprint.digests([t])[0].tolist()) for t in (a, b)]
+    assert fingerprint.difference(a, b) == (sets[0] - sets[1], sets[1] - sets[0])
+    assert fingerprint.difference(a, a) == (set(), set()) and fingerprint.difference(a, "") == (sets[0], set())
+
+
 def test_fingerprints_are_read_back(docs):
     texts = [t for t in texts_of(docs).values()][:60] + ["", LONG]
     s = fingerprint.Sketched(texts)

@@ -100,11 +100,11 @@ def sketches(key: np.ndarray, owner: np.ndarray, n: int, size: int) -> tuple[np.
     return count.reshape(n, width), total.reshape(n, width), check.reshape(n, width)
 
 
-def peel(count: np.ndarray, total: np.ndarray, check: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(digests only in the first, only in the second, whether all came out) for rows of subtracted tables."""
+def peel(count: np.ndarray, total: np.ndarray, check: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The digests that come out of rows of subtracted tables: (row, digest, 1 for those of the first or -1 for those of the second, whether all of a row came out)."""
     n, width = count.shape
     count, total, check = count.ravel().copy(), total.ravel().copy(), check.ravel().copy()
-    only = np.zeros((2, n), np.int64)
+    rows, keys, signs = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     live = np.flatnonzero(np.abs(count) == 1)
     while len(live):
         sign = count[live]
@@ -120,8 +120,9 @@ def peel(count: np.ndarray, total: np.ndarray, check: np.ndarray, size: int) ->
         new = np.ones(len(row), bool)
         new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
         row, key, sign = row[new], key[new], sign[new]
-        only[0] += np.bincount(row[sign > 0], minlength=n)
-        only[1] += np.bincount(row[sign < 0], minlength=n)
+        rows.append(row)
+        keys.append(key)
+        signs.append(sign)
         at = cells_of(key, size) + row * width
         by = np.where(sign > 0, key, np.uint64(0) - key)
         checks = mix(key, 5)
@@ -133,7 +134,14 @@ def peel(count: np.ndarray, total: np.ndarray, check: np.ndarray, size: int) ->
         touched = at.ravel()  # with repeats, which meet again above
         live = touched[np.abs(count[touched]) == 1]
     left = (count != 0) | (total != 0) | (check != 0)
-    return only[0], only[1], ~left.reshape(n, width).any(1)
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(signs), ~left.reshape(n, width).any(1)
+
+
+def difference(a: str, b: str) -> tuple[set[int], set[int]]:
+    """The digests of paragraphs that only the text a and only the text b has, recovered from their subtracted sketches."""
+    s = Sketched([a, b])
+    [(x, y)] = s.differences(np.array([0]), np.array([1]))
+    return set(x.tolist()), set(y.tolist())
 
 
 def likeness(a: list[str], b: list[str]) -> np.ndarray:
@@ -162,8 +170,18 @@ class Sketched:
         return [base64.b64encode(r.tobytes()).decode() for r in raw]
 
     def likeness(self, a: np.ndarray, b: np.ndarray, prints: list[str] | None = None) -> np.ndarray:
-        """Of the texts a to the texts b. The smallest sketches are read from the fingerprints, where they are given."""
+        """Of the texts a to the texts b: from how many digests each of them has by itself. The smallest sketches are read from the fingerprints, where they are given."""
         out = np.ones(len(a))
+        for k, (only_a, only_b) in enumerate(self.differences(a, b, prints)):
+            union = self.n[a[k]] + len(only_b)
+            if union:
+                out[k] = (self.n[a[k]] - len(only_a)) / union
+        return out
+
+    def differences(self, a: np.ndarray, b: np.ndarray, prints: list[str] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The digests that only a text of a, and only the text of b beside it has, peeled out of their subtracted sketches."""
+        none = np.empty(0, np.uint64)
+        out = [(none, none)] * len(a)
         known = read(prints) if prints else None
         sizes = np.full(len(a), FIRST_CELLS)
         todo = np.arange(len(a))
@@ -176,10 +194,13 @@ class Sketched:
                 some = now[at : at + rows]
                 x, y = ([k[w[some]] for k in known[1:]] if known and size == FIRST_CELLS else self.some(w[some], size) for w in (a, b))
                 count = x[0] - y[0]
-                only_a, only_b, done = peel(count, x[1] - y[1], x[2] - y[2], size)
-                ok = some[done]
-                union = self.n[a[ok]] + only_b[done]
-                out[ok] = np.where(union > 0, (self.n[a[ok]] - only_a[done]) / np.maximum(union, 1), 1.0)
+                row, key, sign, done = peel(count, x[1] - y[1], x[2] - y[2], size)
+                order = np.lexsort((-sign, row))
+                row, key, sign = row[order], key[order], sign[order]
+                # of each row first what the first text has
+                start = np.searchsorted(2 * row + (sign < 0), np.arange(2 * len(some) + 1))
+                for k in np.flatnonzero(done).tolist():
+                    out[some[k]] = key[start[2 * k] : start[2 * k + 1]], key[start[2 * k + 1] : start[2 * k + 2]]
                 left = some[~done]
                 sizes[left] = next_size(count[~done], size)
                 stuck.append(left)
