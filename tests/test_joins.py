@@ -148,6 +148,25 @@ def test_index_is_the_plain_join(spark, monkeypatch, few):
         literal_index.pattern_index(texts.withColumn("token", F.lit(1)), patterns, "t")
 
 
+def test_scores_by_the_index_are_the_scores(spark, docs):
+    """Hits and scores of a catalog of a few hundred rules, by joins and by one Column for each pattern."""
+    r = random.Random(3)
+    words = sorted({w for x in docs.limit(40).collect() for w in x.body.split() if w.isalpha() and len(w) > 3})
+    kinds = ("keywords_whitelist", "keywords_blacklist", "path_whitelist", "commit_whitelist")
+    some = lambda k: r.choice(words) if k.startswith("key") else r.choice(["src1/*", "*/en/*", "src2/de/*"]) if k.startswith("path") else r.choice([f"re:^{r.randint(10, 99)}", B.sha(r.randint(0, 50))])
+    patterns = [(f"r{i}", k := r.choices(kinds, [8, 1, 1, 1])[0], j, some(k)) for i in range(40) for j in range(3)]
+    rules = [(f"p{i}", f"r{j}", r.randint(1, 60), j) for i in range(6) for j in r.sample(range(45), 6)]
+    c = C.Catalog([(f"p{i}", "", r.choice([None, 29.0, 100.0, 70.0]), i) for i in range(6)], rules, patterns)
+    rows = score.scored(docs, c)
+    plain = {tuple(x) for x in score.profile_scores(rows).collect() if x.blocked or x.raw_total > 0}
+    matched = {(x.record_id, p) for x in rows.collect() for p in x.matched_profiles}
+    found = {tuple(x) for x in literal_index.catalog_scores(docs, c).collect()}
+    assert found == plain and {x[:2] for x in found} == matched and plain
+    hits = lambda df: sorted((x.record_id, x.rule, x.kind, x.pattern, x.value, x.ord) for x in df.collect())
+    for side in ("whitelist", "blacklist"):
+        assert hits(literal_index.catalog_hits(docs, c, side)) == hits(score.pattern_hits(docs, c, side))
+
+
 def test_tests_grow_with_hits_and_not_with_the_catalog(spark):
     texts = spark.createDataFrame([(i, f"record {i} mentions subsystem{i * 7} and device_{i}x") for i in range(300)], "n int, t string")
     sizes = {}

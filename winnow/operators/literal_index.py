@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.literals import GRAM, required, tokens
 from winnow.functions.patterns import prepare, search_regex
-from winnow.operators.score import pattern_join
+from winnow.operators.score import TEXTS, pattern_join
+from winnow.sources.catalog import CAP, Catalog
 from winnow.sources.stages import cut
 
 #: Pairs of a token and a pattern that are sent to the texts; more are joined with their tokens, by a digest of the text.
@@ -94,3 +95,60 @@ def pattern_index(texts: DataFrame, patterns: Iterable[tuple[str, str, str]], co
     tested = survivors(texts, column, keyed).where(F.regexp_like(F.coalesce(F.col(column), F.lit("")), F.col("_p.e")))
     found = tested.select(*texts.columns, "_p.rule", "_p.kind", "_p.pattern")
     return found.union(pattern_join(texts, others, column).select(*found.columns)) if others else found
+
+
+#: What the three lists of a rule are matched against: the texts, each file, the id.
+_VALUES = {
+    "keywords": lambda: F.array(*(F.coalesce(t, F.lit("")) for t in TEXTS)),
+    "path": lambda: F.coalesce("files", F.array().cast("array<string>")),
+    "commit": lambda: F.array("record_id"),
+}
+
+
+def _found(records: DataFrame, catalog: Catalog, side: str) -> DataFrame:
+    """record_id, rule, kind, pattern, value, pord, vord: every pattern with every distinct value of a record that it matches; pord: a pattern's place in its rule and kind, vord: a value's in its record."""
+    places: dict[tuple[str, str, str], int] = {}
+    used = set(catalog.rules())
+    for rule, kind, _, pattern in sorted(catalog.patterns, key=lambda p: p[2]):
+        if kind.endswith(side) and rule in used:
+            places.setdefault((rule, kind, pattern), len(places))
+    out = None
+    for name, values in _VALUES.items():
+        wanted = [k for k in places if k[1] == f"{name}_{side}"]
+        if not wanted:
+            continue
+        # outer: an explode that skips empty arrays would compute each of them twice
+        each = records.select("record_id", F.posexplode_outer(F.array_distinct(values())).alias("vord", "value")).where("value is not null")
+        found = pattern_index(each, wanted, "value")
+        out = found if out is None else out.unionByName(found)
+    spark = records.sparkSession
+    if out is None:
+        return spark.createDataFrame([], "record_id string, rule string, kind string, pattern string, value string, pord int, vord int")
+    ords = spark.createDataFrame([(*k, n) for k, n in places.items()], "rule string, kind string, pattern string, pord int")
+    return out.join(ords, ["rule", "kind", "pattern"]).select("record_id", "rule", "kind", "pattern", "value", "pord", "vord")
+
+
+def catalog_hits(records: DataFrame, catalog: Catalog, side: str = "whitelist") -> DataFrame:
+    """record_id, rule, kind, pattern, value, ord: as score.pattern_hits has them, for catalogs of any size. Rows that repeat a record_id are one record with the values of all."""
+    hits = _found(records, catalog, side).groupBy("record_id", "rule", "kind", "pattern", "value").agg(F.min("pord").alias("pord"), F.min("vord").alias("vord"))
+    order = Window.partitionBy("record_id", "rule", "kind").orderBy("pord", "vord", "value")
+    return hits.select("record_id", "rule", "kind", "pattern", "value", F.row_number().over(order).alias("ord"))
+
+
+def catalog_scores(records: DataFrame, catalog: Catalog) -> DataFrame:
+    """record_id, profile, blocked, raw_total, capped, multiplier, final_score: as score.profile_scores has them, for catalogs of any size.
+
+    Only profiles that a record matches or that are blocked for it have a row; all others score 0. The plan does not grow with the catalog: rules and weights are
+    tables. A record_id stands for one record.
+    """
+    spark = records.sparkSession
+    weights = [(p, r, w) for p in catalog.names() for r, w in catalog.rules_of(p)]
+    rules = spark.createDataFrame(weights, "profile string, rule string, weight int")
+    profiles = spark.createDataFrame([(p, catalog.multiplier(p)) for p in catalog.names()], "profile string, multiplier double")
+    of = lambda side: _found(records, catalog, side).select("record_id", "rule").distinct().join(rules, "rule")
+    hits = of("whitelist").select("record_id", "profile", "weight", F.lit(False).alias("denied"))
+    denied = of("blacklist").select("record_id", "profile", F.lit(0).alias("weight"), F.lit(True).alias("denied")).distinct()
+    by = hits.union(denied).groupBy("record_id", "profile").agg(F.sum("weight").cast("int").alias("raw_total"), F.bool_or("denied").alias("blocked")).join(profiles, "profile")
+    capped = F.least("raw_total", F.lit(CAP))
+    final = F.when(F.col("blocked"), F.lit(0)).otherwise((capped * F.col("multiplier")).cast("int"))
+    return by.select("record_id", "profile", "blocked", "raw_total", capped.alias("capped"), "multiplier", final.alias("final_score"))

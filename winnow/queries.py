@@ -229,6 +229,18 @@ def pattern_join(s, d):
     return score.pattern_join(B.documents(s, d).select("record_id", "body"), wanted, "body").select("record_id", "rule", "kind", "pattern")
 
 
+@query(
+    "SELECT record_id, rule, kind, pattern, value, CAST(row_number() OVER (PARTITION BY record_id, rule, kind ORDER BY pord, vord) AS INTEGER) AS ord FROM ph", O.DOCS, O.PATTERN_HITS
+)
+def catalog_hits(s, d):
+    return literal_index.catalog_hits(B.documents(s, d), B.DOC_CATALOG)
+
+
+@query("SELECT record_id, profile, blocked, raw_total, capped, multiplier, final_score FROM ps WHERE any_hit OR blocked", O.DOCS)
+def catalog_scores(s, d):
+    return literal_index.catalog_scores(B.documents(s, d), B.DOC_CATALOG)
+
+
 @query("SELECT record_id, rule, 'keywords_whitelist' AS kind, pattern FROM ht WHERE hit", O.PHRASES)
 def pattern_index(s, d):
     return literal_index.pattern_index(B.documents(s, d).select("record_id", "body"), B.phrase_patterns(s, d), "body").select("record_id", "rule", "kind", "pattern")
@@ -843,3 +855,9 @@ def stage_tables(s, d):
 def sorted_table(s, d):
     o = B.table(s, d, "orders").select("o_orderkey", "o_totalprice")
     return tables.sort_table(o.withColumn("shown", F.col("o_totalprice").cast("string")), "shown", descending=True).limit(100).drop("shown")
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY c_name DESC, c_custkey DESC LIMIT 50")
+def sorted_texts(s, d):
+    c = B.table(s, d, "customer").select("c_custkey", "c_name")
+    return tables.sort_table(c, "c_name", descending=True).limit(50)
