@@ -354,18 +354,18 @@ def rare_regions(among: DataFrame, sets: DataFrame) -> DataFrame:
             raw = [np.frombuffer(x, "<i8") for x in batch.column("shingles").to_pylist()]
             sizes = [len(x) for x in raw]
             rows = pa.array(np.repeat(np.arange(len(raw)), sizes))
-            yield pa.record_batch({"doc_id": batch.column("doc_id").take(rows), "size": np.repeat(np.array(sizes, np.int64), sizes), "shingle": np.concatenate(raw) if raw else np.empty(0, np.int64)})
+            yield pa.record_batch({"doc_id": batch.column("doc_id").take(rows), "class": batch.column("class").take(rows), "size": np.repeat(np.array(sizes, np.int64), sizes), "shingle": np.concatenate(raw) if raw else np.empty(0, np.int64)})
 
-    each = cut(sets.join(among.select("doc_id"), "doc_id").select("doc_id", "shingles").mapInArrow(step, "doc_id long, size long, shingle long"), "shingles")
-    often = each.groupBy("shingle").agg(F.count("*").alias("often"))
+    each = cut(sets.select("doc_id", "shingles").join(among, "doc_id").select("doc_id", "class", "shingles").mapInArrow(step, "doc_id long, class long, size long, shingle long"), "shingles")
+    often = each.groupBy("shingle").agg(F.count("*").alias("often"), (F.min("class") < F.max("class")).alias("crosses"))
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("often", "shingle"))
     band = lambda x: F.floor(F.log(x.cast("double")) / math.log(BAND)).cast("int")
     least = F.expr(f"({NUMERATOR} * size + 99) div 100")
     most = F.least(F.expr(f"100 * size div {NUMERATOR}"), F.expr(f"({100 + NUMERATOR} * (size + 1 - place)) div {NUMERATOR} - size"))
-    ranked = each.join(often, "shingle").withColumn("place", place).where("often > 1").withColumns({"least": least, "most": most}).where("most >= least")
-    bands = ranked.select("doc_id", "shingle", band(F.col("size")).alias("own"), F.explode(F.sequence(band(F.col("least")), band(F.col("most")))).alias("other"))
+    ranked = each.join(often, "shingle").withColumn("place", place).where("crosses").withColumns({"least": least, "most": most}).where("most >= least")
+    bands = ranked.select("doc_id", "class", "shingle", band(F.col("size")).alias("own"), F.explode(F.sequence(band(F.col("least")), band(F.col("most")))).alias("other"))
     region = F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other"))
-    rows = cut(bands.select(region.alias("region"), "doc_id", F.signum(F.col("own") - F.col("other")).cast("int").alias("role")).join(among, "doc_id"), "rare")
+    rows = cut(bands.select(region.alias("region"), "doc_id", "class", F.signum(F.col("own") - F.col("other")).cast("int").alias("role")), "rare")
     by_class = rows.groupBy("region", "class").agg(F.count("*").alias("size"), F.count_if(F.col("role") < 0).alias("low"), F.count_if(F.col("role") > 0).alias("high"))
     found = by_class.groupBy("region").agg(F.sum("size").alias("n"), F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("top"), F.sum("low").alias("low"), F.sum("high").alias("high"))
     found = found.where("classes > 1 and (low > 0) = (high > 0)").withColumn("same", F.col("low") == 0)
