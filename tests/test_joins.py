@@ -84,8 +84,8 @@ def test_symbols_in_texts_are_the_plain_join(spark, docs, monkeypatch):
     needle = lambda s: s.removeprefix("CONFIG_").removesuffix("=y").removesuffix("=m").lower()
     want = {(r.record_id, "config_text:" + s.removesuffix("=y").removesuffix("=m")) for r in docs.collect() for s in symbols if needle(s) and needle(s) in f"{r.subject}\n{r.body}".lower()}
     rows = spark.createDataFrame([(s,) for s in symbols], "symbol string")
-    for few in (evidence.FEW_LINKS, 0):
-        monkeypatch.setattr(evidence, "FEW_LINKS", few)
+    for few in (evidence.FEW_SYMBOLS, 0):
+        monkeypatch.setattr(evidence, "FEW_SYMBOLS", few)
         assert {tuple(r) for r in evidence.config_text(docs, rows).collect()} == want and want
 
 

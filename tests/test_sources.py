@@ -126,6 +126,17 @@ def test_written_steps(spark, monkeypatch):
         stages.shared_dir(Elsewhere())
 
 
+def test_writes_of_several_threads(spark):
+    """Two writes of one session leave its settings as they were, in whatever order they end."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with ThreadPoolExecutor(4) as pool:
+        tables = list(pool.map(lambda n: stages.cut(spark.range(200 * n).groupBy((F.col("id") % 7).alias("k")).count(), "many"), range(1, 7)))
+    assert [sorted({r["count"] for r in t.collect()})[-1] for t in tables] == [-(-200 * n // 7) for n in range(1, 7)]
+    assert spark.conf.get(key) == "false" and not stages._writing
+
+
 def test_scalars(spark):
     paths = ["a/b/c.tar.gz", "x", "a/.hidden", "a.b/c", ".x.y", "dir/", ""]
     import os.path as op

@@ -87,7 +87,7 @@ def artifact(touched: DataFrame, artifacts: DataFrame) -> DataFrame:
 
 
 #: Pairs of a token and a symbol up to which they are sent to every task.
-FEW_LINKS = 200_000
+FEW_SYMBOLS = 200_000
 
 
 def config_text(records: DataFrame, symbols: DataFrame, literal_suffix: bool = False) -> DataFrame:
@@ -108,7 +108,7 @@ def config_text(records: DataFrame, symbols: DataFrame, literal_suffix: bool = F
     broken = texts.withColumn("token", F.explode(tokens(F.col("low"))))
     vocabulary = cut(broken.select("token").distinct(), "vocabulary")
     found = cut(links(vocabulary, keyed).join(keyed.select("id", "needle", "part"), "id").select("token", F.col("id").alias("symbol"), "needle", (F.col("needle") == F.col("part")).alias("sure")), "links")
-    few = found.limit(FEW_LINKS + 1).count() <= FEW_LINKS
+    few = found.limit(FEW_SYMBOLS + 1).count() <= FEW_SYMBOLS
     met = broken.join(F.broadcast(found) if few else found, "token")
     hit = met.where(F.col("sure") | F.col("low").contains(F.col("needle"))).select("record_id", "symbol")
     # names of one or two characters, or without any of the alphabet of tokens: there are few such names, one row of them
@@ -138,8 +138,8 @@ def file_flags(records: DataFrame, sets: DataFrame) -> DataFrame:
     sets(kind, value): see compiled_sets. Each distinct file is looked up once, for all its kinds in one join. Lists without
     any flag are left out.
     """
-    lists = records.where(F.size("files") > 0).select(list_key(F.col("files")).alias("key"), "files")
-    each = lists.groupBy("key").agg(F.first("files").alias("files")).select("key", F.explode("files").alias("file"))
+    # lists stay where they are: digests and single files move, summed up before they do
+    each = records.where(F.size("files") > 0).select(list_key(F.col("files")).alias("key"), F.explode("files").alias("file"))
     asked = F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in (("artifact", stem(F.col("file"))), ("log", stem(basename(F.col("file")))), ("file", F.col("file")), ("dir", dirname(F.col("file"))))))
     files = each.select("file").distinct()
     hits = files.select("file", F.explode(asked).alias("x")).select("file", "x.kind", "x.value").join(sets.select("kind", "value"), ["kind", "value"]).select("file", "kind")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
@@ -66,14 +67,28 @@ def session_dir(spark: SparkSession) -> str:
     return _folders[key]
 
 
+_lock = threading.Lock()
+#: Of each session, the writes under way and the setting before the first of them.
+_writing: dict[str, tuple[int, str]] = {}
+
+
 @contextmanager
 def _dropping_shuffles(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    """The setting holds as long as any thread of the session writes, and is then as it was."""
+    key = spark._jsparkSession.sessionUUID()
+    with _lock:
+        n, before = _writing.get(key) or (0, spark.conf.get(_CLEANUP, "false"))
+        _writing[key] = n + 1, before
+        spark.conf.set(_CLEANUP, "true")
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        with _lock:
+            n, before = _writing.pop(key)
+            if n > 1:
+                _writing[key] = n - 1, before
+            else:
+                spark.conf.set(_CLEANUP, before)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
