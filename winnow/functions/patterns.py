@@ -55,8 +55,8 @@ def is_word(text: str) -> bool:
     return bool(re.match(r"\w", text) and re.search(r"\w\Z", text))
 
 
-def _translated(body: str) -> str:
-    """A valid Python expression in the JVM's dialect, character by character.
+def _translated(body: str) -> str | None:
+    """A valid Python expression in the JVM's dialect, character by character; None for one with a conditional group, which the JVM lacks.
 
     Within classes the JVM knows nested classes and intersections, which Python does not; groups' names (the JVM's have no
     underscores, so groups are numbered), comments, open repetitions and the end of the text are written otherwise.
@@ -82,6 +82,8 @@ def _translated(body: str) -> str:
             if body[i : i + 1] == "]":
                 out.append("\\]")
                 i += 1
+        elif body.startswith("(?(", i):
+            return None
         elif m := re.match(r"\(\?P<(\w+)>", body[i:]):
             out.append(f"(?<{names.setdefault(m[1], f'g{len(names)}')}>")
             i += len(m[0])
@@ -126,7 +128,7 @@ def prepare(patterns: Iterable[str]) -> None:
     if spark is None:
         return
     bodies = dict.fromkeys(p[3:] for p in patterns if p.startswith("re:"))
-    todo = [[e for e in dict.fromkeys(_translated(b) for b in bodies if _python_takes(b)) if e not in _taken]]
+    todo = [[e for e in dict.fromkeys(_translated(b) for b in bodies if _python_takes(b)) if e is not None and e not in _taken]]
     while todo:
         some = todo.pop()
         if not some:
@@ -155,6 +157,8 @@ def java_regex(body: str) -> str | None:
     if not _python_takes(body):
         return None
     found = _translated(body)
+    if found is None:
+        return None
     if found not in _taken:
         prepare(["re:" + body])
     return found if _taken.get(found, True) else None
