@@ -140,6 +140,7 @@ def test_keys_hold_wherever_patterns_match(spark):
 @pytest.mark.parametrize("few", [literal_index.FEW_LINKS, 0])
 def test_index_is_the_plain_join(spark, monkeypatch, few):
     monkeypatch.setattr(literal_index, "FEW_LINKS", few)
+    monkeypatch.setattr(literal_index, "MOST_TOKENS", 500 if few else 1)
     texts = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(2, "fix"), (2, "fix")], "n int, t string")
     patterns = [(f"r{i % 3}", "keywords_whitelist", p) for i, p in enumerate([*PATTERNS, "re:(", "fix"])]
     plain = sorted(map(repr, score.pattern_join(texts, patterns, "t").collect()))

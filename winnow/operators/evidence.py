@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions.literals import TOKEN, tokens
 from winnow.functions.scalars import ancestors, basename, dirname, is_build_file, stem
-from winnow.operators.literal_index import links
+from winnow.operators.literal_index import key_tokens, links
 from winnow.operators.ordered import at_or_after, prefixes, suffixes
 from winnow.sources.product import bare
 from winnow.sources.stages import cut
@@ -107,7 +107,7 @@ def config_text(records: DataFrame, symbols: DataFrame, literal_suffix: bool = F
     keyed = known.where(F.length("part") >= 3).select(F.col("symbol").alias("id"), key.alias("keys"), "needle", "part")
     broken = texts.withColumn("token", F.explode(tokens(F.col("low"))))
     vocabulary = cut(broken.select("token").distinct(), "vocabulary")
-    found = cut(links(vocabulary, keyed).join(keyed.select("id", "needle", "part"), "id").select("token", F.col("id").alias("symbol"), "needle", (F.col("needle") == F.col("part")).alias("sure")), "links")
+    found = cut(links(key_tokens(vocabulary, keyed), keyed).join(keyed.select("id", "needle", "part"), "id").select("token", F.col("id").alias("symbol"), "needle", (F.col("needle") == F.col("part")).alias("sure")), "links")
     few = found.limit(FEW_SYMBOLS + 1).count() <= FEW_SYMBOLS
     met = broken.join(F.broadcast(found) if few else found, "token")
     hit = met.where(F.col("sure") | F.col("low").contains(F.col("needle"))).select("record_id", "symbol")

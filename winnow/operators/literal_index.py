@@ -21,6 +21,8 @@ from winnow.sources.stages import cut
 
 #: Pairs of a token and a pattern that are sent to the texts; more are joined with their tokens, by a digest of the text.
 FEW_LINKS = 200_000
+#: Distinct tokens that may hold a part before it is too common to look for.
+MOST_TOKENS = 500
 _KEYS = "array<struct<whole:boolean,key:string>>"
 
 
@@ -33,23 +35,29 @@ def _holds(token: Column, key: Column) -> Column:
     return F.when(key["whole"], token == key["key"]).otherwise(token.contains(key["key"]))
 
 
-def links(vocabulary: DataFrame, keyed: DataFrame) -> DataFrame:
-    """token, id: the tokens of vocabulary(token) that hold a key of keyed(id, keys)."""
-    each = keyed.select("id", F.explode("keys").alias("k")).select("id", "k.whole", "k.key")
-    exact = each.where("whole").join(vocabulary, F.col("key") == F.col("token")).select("token", "id")
+def key_tokens(vocabulary: DataFrame, keyed: DataFrame) -> DataFrame:
+    """whole, key, token: the tokens of vocabulary(token) that hold each distinct key of keyed(id, keys)."""
+    each = keyed.select(F.explode("keys").alias("k")).select("k.whole", "k.key").distinct()
+    exact = each.where("whole").join(vocabulary, F.col("key") == F.col("token")).select("whole", "key", "token")
     # a part is looked up by the trigram that fewest tokens have
     wide = vocabulary.where(F.length("token") >= GRAM).select("token", F.explode(_grams(F.col("token"))).alias("gram"))
-    parts = each.where("not whole").select("key", "id", F.explode(_grams(F.col("key"))).alias("gram"))
-    rare = parts.join(wide.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left").groupBy("key", "id").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("gram"))
-    within = rare.join(wide, "gram").where(F.col("token").contains(F.col("key"))).select("token", "id")
-    return exact.union(within).distinct()
+    parts = each.where("not whole").select("key", F.explode(_grams(F.col("key"))).alias("gram"))
+    rare = parts.join(wide.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left").groupBy("key").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("gram"))
+    within = rare.join(wide, "gram").where(F.col("token").contains(F.col("key"))).select(F.lit(False).alias("whole"), "key", "token")
+    return exact.union(within)
+
+
+def links(by_key: DataFrame, keyed: DataFrame) -> DataFrame:
+    """token, id: the tokens that hold a key of keyed(id, keys), by what key_tokens found."""
+    each = keyed.select("id", F.explode("keys").alias("k")).select("id", "k.whole", "k.key")
+    return each.join(by_key, ["whole", "key"]).select("token", "id").distinct()
 
 
-def survivors(texts: DataFrame, column: str, keyed: DataFrame) -> DataFrame:
-    """The texts with _p, a pattern of keyed(id, keys, ...) as a struct, for each pattern of which they hold a key; each pair once."""
+def survivors(texts: DataFrame, column: str, keyed: DataFrame, by_key: DataFrame | None = None) -> DataFrame:
+    """The texts with _p, a pattern of keyed(id, keys, ...) as a struct, for each pattern of which they hold a key; each pair once. by_key: see key_tokens."""
     broken = texts.withColumn("_t", tokens(F.col(column)))
-    vocabulary = cut(broken.select(F.explode("_t").alias("token")).distinct(), "vocabulary")
-    found = cut(links(vocabulary, keyed).join(keyed, "id").select("token", F.struct(*keyed.columns).alias("_p")), "links")
+    by_key = key_tokens(vocabulary(texts, column), keyed) if by_key is None else by_key
+    found = cut(links(by_key, keyed).join(keyed, "id").select("token", F.struct(*keyed.columns).alias("_p")), "links")
     if found.limit(FEW_LINKS + 1).count() <= FEW_LINKS:
         # FEW_LINKS rows at most
         met = broken.withColumn("token", F.explode("_t")).join(F.broadcast(found), "token")
@@ -63,6 +71,11 @@ def survivors(texts: DataFrame, column: str, keyed: DataFrame) -> DataFrame:
     return named.drop("_t").join(pairs, "_d").join(whole, "id").drop("_d", "id")
 
 
+def vocabulary(texts: DataFrame, column: str) -> DataFrame:
+    """token: a written table of the distinct tokens of all texts."""
+    return cut(texts.select(F.explode(tokens(F.col(column))).alias("token")).distinct(), "vocabulary")
+
+
 def keyed_patterns(texts: DataFrame, patterns: Iterable[tuple[str, str, str]]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
     """A written table of the patterns that have keys: id, keys, rule, kind, pattern, e (its expression); and those that have none.
 
@@ -86,13 +99,22 @@ def keyed_patterns(texts: DataFrame, patterns: Iterable[tuple[str, str, str]]) -
 def pattern_index(texts: DataFrame, patterns: Iterable[tuple[str, str, str]], column: str) -> DataFrame:
     """The texts with each pattern that they match: rule, kind, pattern; as score.pattern_join has them, for catalogs of any size.
 
-    patterns: (rule, kind, pattern). A pattern whose expression tells nothing of what a text must hold is tested against every text. Names of columns
+    patterns: (rule, kind, pattern). A pattern whose expression tells nothing of what a text must hold, or that asks for a part of more than MOST_TOKENS distinct tokens, is tested against every text. Names of columns
     that begin with an underscore, and `token` and `id`, are used here.
     """
     if taken := {"_t", "_p", "_d", "token", "id", "rule", "kind", "pattern"} & set(texts.columns):
         raise ValueError(f"rename the columns {sorted(taken)}")
     keyed, others = keyed_patterns(texts, patterns)
-    tested = survivors(texts, column, keyed).where(F.regexp_like(F.coalesce(F.col(column), F.lit("")), F.col("_p.e")))
+    by_key = cut(key_tokens(vocabulary(texts, column), keyed), "keys")
+    common = by_key.where("not whole").groupBy("whole", "key").agg(F.count("*").alias("n")).where(F.col("n") > MOST_TOKENS).select("whole", "key")
+    each = keyed.select("id", "rule", "kind", "pattern", F.explode("keys").alias("k")).select("id", "rule", "kind", "pattern", "k.whole", "k.key")
+    # a part of the catalog, which is a list of the driver's
+    wide = {r["id"]: (r["rule"], r["kind"], r["pattern"]) for r in each.join(common, ["whole", "key"]).select("id", "rule", "kind", "pattern").distinct().collect()}
+    others = others + list(wide.values())
+    if wide:
+        known = texts.sparkSession.createDataFrame([(i,) for i in wide], "id int")
+        keyed = keyed.join(known, "id", "left_anti")
+    tested = survivors(texts, column, keyed, by_key).where(F.regexp_like(F.coalesce(F.col(column), F.lit("")), F.col("_p.e")))
     found = tested.select(*texts.columns, "_p.rule", "_p.kind", "_p.pattern")
     return found.union(pattern_join(texts, others, column).select(*found.columns)) if others else found
 
