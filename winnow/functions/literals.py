@@ -1,6 +1,7 @@
 r"""What a text must hold for a pattern to match: the keys of an index over large catalogs.
 
-A key is a run of lower-case ASCII letters, digits and underscores, as whole token of the folded text or as a part of one. Folding lower-cases, and
+A key is a run of lower-case ASCII letters, digits and underscores, as whole token of the folded text or as a part of one; or a joint: the end of
+a token and the start of the next one, which a literal with several words asks for, and fewer texts hold than any of its words. Folding lower-cases, and
 maps the four letters beyond ASCII that are equal to an ASCII letter where case is ignored; the dot that lower-casing parts from one of
 them goes. So whatever a pattern matches, its keys, if it has any, tell the texts that can match from those that cannot.
 """
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import re
 import warnings
+from collections.abc import Callable
 from re import _constants as C  # noqa: PLC2701
 from re import _parser as P  # noqa: PLC2701
 
@@ -19,7 +21,7 @@ from winnow.functions.patterns import is_word, literal, pattern_type
 
 #: A token of a folded text, and the letters that folding maps besides capitals: long s, Kelvin, I with and i without a dot; the dot itself has no counterpart, and goes.
 TOKEN, LETTERS = "[a-z0-9_]+", ("ſKİı̇", "skii")
-#: Characters of a part of a token at least; alternatives of a pattern at most.
+#: Characters of either side of a joint at most, and of a part of a token at least; alternatives of a pattern at most.
 GRAM, MOST_KEYS = 3, 16
 
 #: (whether the key is a whole token, the key)
@@ -42,6 +44,23 @@ def tokens(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(folded(text), F.lit(TOKEN), F.lit(0))))
 
 
+def joints(text: Column) -> Column:
+    """The joints of each two tokens that follow each other, whatever stands between them."""
+    found = F.regexp_extract_all(folded(text), F.lit(TOKEN), F.lit(0))
+    side = F.lit(GRAM)
+    pairs = F.zip_with(found, F.slice(found, 2, F.greatest(F.size(found), F.lit(1))), lambda a, b: F.concat(F.right(a, side), F.lit(" "), F.left(b, side)))
+    # the last token has none
+    return F.array_distinct(F.array_compact(pairs))
+
+
+def _joints_of_run(run: str, open_left: bool, open_right: bool) -> list[Key]:
+    """The joints of a literal run; a token at an open end may go on, and tells its side only if that is full."""
+    run = fold(run)
+    each = list(re.finditer(TOKEN, run))
+    known = lambda m, is_open: not is_open or len(m[0]) >= GRAM
+    return [(True, f"{a[0][-GRAM:]} {b[0][:GRAM]}") for a, b in zip(each, each[1:]) if known(a, open_left and a.start() == 0) and known(b, open_right and b.end() == len(run))]
+
+
 def _of_run(run: str, open_left: bool, open_right: bool) -> list[Key]:
     """The keys of a literal run: tokens within it are whole, those at an open end may go on."""
     run = fold(run)
@@ -63,13 +82,13 @@ def _better(a: list[Key] | None, b: list[Key] | None) -> list[Key] | None:
     return max((x for x in (a, b) if x), key=rank, default=None)
 
 
-def _of_tree(tree: P.SubPattern) -> list[Key] | None:
-    """Keys of which any match of a parsed expression holds one; None where nothing is known."""
+def _of_tree(tree: P.SubPattern, of_run: Callable[..., list[Key]]) -> list[Key] | None:
+    """Keys of which any match of a parsed expression holds one; None where nothing is known. of_run: the keys of a literal."""
     best, run = None, ""
 
     def close() -> None:
         nonlocal best, run
-        best = _better(best, _best(_of_run(run, True, True)))
+        best = _better(best, _best(of_run(run, True, True)))
         run = ""
 
     for op, av in tree:
@@ -78,31 +97,36 @@ def _of_tree(tree: P.SubPattern) -> list[Key] | None:
             continue
         close()
         if op is C.SUBPATTERN:
-            best = _better(best, _of_tree(av[3]))
+            best = _better(best, _of_tree(av[3], of_run))
         elif op is C.BRANCH:
-            every = [_of_tree(x) for x in av[1]]
+            every = [_of_tree(x, of_run) for x in av[1]]
             if all(every):
                 keys = sorted({k for x in every for k in x})
                 best = _better(best, keys if len(keys) <= MOST_KEYS else None)
         elif op in (C.MAX_REPEAT, C.MIN_REPEAT, C.POSSESSIVE_REPEAT) and av[0] > 0:
-            best = _better(best, _of_tree(av[2]))
+            best = _better(best, _of_tree(av[2], of_run))
         elif op is C.ATOMIC_GROUP:
-            best = _better(best, _of_tree(av))
+            best = _better(best, _of_tree(av, of_run))
     close()
     return best
 
 
-def required(pattern: str) -> list[Key]:
-    """Keys of which every text that the pattern matches holds one; none where nothing is known."""
+def index_keys(pattern: str) -> list[Key]:
+    """Keys of which every text that the pattern matches holds one: joints, or else tokens; none where nothing is known."""
+    return required(pattern, _joints_of_run) or required(pattern)
+
+
+def required(pattern: str, of_run: Callable[..., list[Key]] = _of_run) -> list[Key]:
+    """Keys of one sort of which every text that the pattern matches holds one; none where nothing is known."""
     kind = pattern_type(pattern)
     if kind == "regex":
         with warnings.catch_warnings():
             warnings.simplefilter("ignore", FutureWarning)
-            return _of_tree(P.parse(pattern[3:])) or []
+            return _of_tree(P.parse(pattern[3:]), of_run) or []
     if kind == "keyword":
         word = literal(pattern)
         bounded = is_word(word)
-        return _best(_of_run(word, not bounded, not bounded)) or []
+        return _best(of_run(word, not bounded, not bounded)) or []
     # the runs between a glob's wildcards and classes; only at the ends of the text is a run closed
     low, runs, at = pattern.lower(), [], 0
     for m in re.finditer(r"\[!?\]?[^\]]*\]|[*?\[]", low):
@@ -111,5 +135,5 @@ def required(pattern: str) -> list[Key]:
     runs.append((low[at:], at > 0, False))
     best = None
     for run, left, right in runs:
-        best = _better(best, _best(_of_run(run, left, right)))
+        best = _better(best, _best(of_run(run, left, right)))
     return best or []

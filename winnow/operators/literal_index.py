@@ -1,7 +1,7 @@
 """Patterns of large catalogs, found by what a text must hold for them to match.
 
-Texts and patterns meet at keys (see winnow.functions.literals): a text is cut into distinct tokens, and a pattern is tested only
-against texts that hold one of its keys. Keys that are parts of tokens are looked up among the distinct tokens of all
+Texts and patterns meet at keys (see winnow.functions.literals): a text is cut into distinct tokens and joints of two tokens, and a pattern is
+tested only against texts that hold one of its keys. Keys that are parts of tokens are looked up among the distinct tokens of all
 texts, by trigrams, so that texts themselves are joined by equality of tokens alone. The number of tests grows with the texts that
 nearly match, and not with the catalog.
 """
@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnow.functions.literals import GRAM, required, tokens
+from winnow.functions.literals import GRAM, index_keys, joints, tokens
 from winnow.functions.patterns import prepare, search_regex
 from winnow.operators.score import TEXTS, pattern_join
 from winnow.sources.catalog import CAP, Catalog
@@ -31,8 +31,17 @@ def _grams(text: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (GRAM - 1)), lambda i: F.substring(text, i, F.lit(GRAM))))
 
 
+def _is_joint(token: Column) -> Column:
+    return token.contains(" ")
+
+
 def _holds(token: Column, key: Column) -> Column:
-    return F.when(key["whole"], token == key["key"]).otherwise(token.contains(key["key"]))
+    return F.when(key["whole"], token == key["key"]).otherwise(token.contains(key["key"]) & ~_is_joint(token))
+
+
+def _tokens(text: Column) -> Column:
+    """Tokens and joints of a text, distinct; joints have a space, and tokens none."""
+    return F.concat(tokens(text), joints(text))
 
 
 def key_tokens(vocabulary: DataFrame, keyed: DataFrame) -> DataFrame:
@@ -40,7 +49,7 @@ def key_tokens(vocabulary: DataFrame, keyed: DataFrame) -> DataFrame:
     each = keyed.select(F.explode("keys").alias("k")).select("k.whole", "k.key").distinct()
     exact = each.where("whole").join(vocabulary, F.col("key") == F.col("token")).select("whole", "key", "token")
     # a part is looked up by the trigram that fewest tokens have
-    wide = vocabulary.where(F.length("token") >= GRAM).select("token", F.explode(_grams(F.col("token"))).alias("gram"))
+    wide = vocabulary.where((F.length("token") >= GRAM) & ~_is_joint(F.col("token"))).select("token", F.explode(_grams(F.col("token"))).alias("gram"))
     parts = each.where("not whole").select("key", F.explode(_grams(F.col("key"))).alias("gram"))
     rare = parts.join(wide.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left").groupBy("key").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("gram"))
     within = rare.join(wide, "gram").where(F.col("token").contains(F.col("key"))).select(F.lit(False).alias("whole"), "key", "token")
@@ -55,7 +64,7 @@ def links(by_key: DataFrame, keyed: DataFrame) -> DataFrame:
 
 def survivors(texts: DataFrame, column: str, keyed: DataFrame, by_key: DataFrame | None = None) -> DataFrame:
     """The texts with _p, a pattern of keyed(id, keys, ...) as a struct, for each pattern of which they hold a key; each pair once. by_key: see key_tokens."""
-    broken = texts.withColumn("_t", tokens(F.col(column)))
+    broken = texts.withColumn("_t", _tokens(F.col(column)))
     by_key = key_tokens(vocabulary(texts, column), keyed) if by_key is None else by_key
     found = cut(links(by_key, keyed).join(keyed, "id").select("token", F.struct(*keyed.columns).alias("_p")), "links")
     if found.limit(FEW_LINKS + 1).count() <= FEW_LINKS:
@@ -72,8 +81,8 @@ def survivors(texts: DataFrame, column: str, keyed: DataFrame, by_key: DataFrame
 
 
 def vocabulary(texts: DataFrame, column: str) -> DataFrame:
-    """token: a written table of the distinct tokens of all texts."""
-    return cut(texts.select(F.explode(tokens(F.col(column))).alias("token")).distinct(), "vocabulary")
+    """token: a written table of the distinct tokens and joints of all texts."""
+    return cut(texts.select(F.explode(_tokens(F.col(column))).alias("token")).distinct(), "vocabulary")
 
 
 def keyed_patterns(texts: DataFrame, patterns: Iterable[tuple[str, str, str]]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
@@ -87,7 +96,7 @@ def keyed_patterns(texts: DataFrame, patterns: Iterable[tuple[str, str, str]]) -
     for i, (rule, kind, pattern) in enumerate(patterns):
         if (e := search_regex(pattern)) is None:
             continue
-        if keys := required(pattern):
+        if keys := index_keys(pattern):
             rows.append((i, keys, rule, kind, pattern, e))
         else:
             others.append((rule, kind, pattern))
