@@ -121,8 +121,8 @@ def _sets(s):
 # large catalogs
 
 
-PATTERNS = ["fix", "use-after-free", r"CVE-\*", "re:^fix", "re:(?i)FIX", "drivers/*", "*.c", "*usb*", "a[!b]c", "re:foo(bar|baz)+qux", "re:(alpha|beta) gamma", "re:x?y*", "naïve", "C++", "re:\\bword\\b", "fix*é", "re:(?:abc){2,}d", "K", "ſhift", "*i̇x*", "re:(?=lookahead)l", "re:(?!not)thing", "skill", "ai", "re:a_b9", "re:[ab]cdef|ghi", "?host", "host?", "re:(?x) spaced # comment", "lazy dog", "*zy do*", "re:e la", "re:brown.fox jumps", "*o-o*", "re:(quick brown|lazy) (fox|dog)s?", "re:is ſu", "a İ"]
-TEXTS = ["", None, "fix", "Fix: a bug", "prefix", "drivers/usb/core.c", "x.c", "CVE-* here", "foobarbazqux", "beta gamma", "alphagamma", "naïve", "NAÏVE text", "c++", "a word b", "fixed é", "abcabcd", "K", "k", "SHIFT", "ſhift", "İx", "aİx", "i̇x", "lookahead", "thing", "SKill", "ſkıll", "AI", "aİ", "a_b9", "acdef", "ghi", "ahost", "hosts", "host", "spaced", "use-after-free", "reuse-after-freed", "a-c", "abc", "The quick brown fox jumps", "over the LAZY dog", "crazy do-over", "lazy  dog", "lazy-dog", "no-one", "o-o", "This Sum", "this ſum", "a i", "a ı b", "aa İ"]
+PATTERNS = ["fix", "use-after-free", r"CVE-\*", "re:^fix", "re:(?i)FIX", "drivers/*", "*.c", "*usb*", "a[!b]c", "re:foo(bar|baz)+qux", "re:(alpha|beta) gamma", "re:x?y*", "naïve", "C++", "re:\\bword\\b", "fix*é", "re:(?:abc){2,}d", "K", "ſhift", "*i̇x*", "re:(?=lookahead)l", "re:(?!not)thing", "skill", "ai", "re:a_b9", "re:[ab]cdef|ghi", "?host", "host?", "re:(?x) spaced # comment", "lazy dog", "*zy do*", "re:e la", "re:brown.fox jumps", "*o-o*", "re:(quick brown|lazy) (fox|dog)s?", "re:is ſu", "a İ", "*fix*", "**I*", "re:Fix", "re:a-c", "K*", "*e  d*", "*k*"]
+TEXTS = ["", None, "fix", "Fix: a bug", "prefix", "drivers/usb/core.c", "x.c", "CVE-* here", "foobarbazqux", "beta gamma", "alphagamma", "naïve", "NAÏVE text", "c++", "a word b", "fixed é", "abcabcd", "K", "k", "SHIFT", "ſhift", "İx", "aİx", "i̇x", "lookahead", "thing", "SKill", "ſkıll", "AI", "aİ", "a_b9", "acdef", "ghi", "ahost", "hosts", "host", "spaced", "use-after-free", "reuse-after-freed", "a-c", "abc", "The quick brown fox jumps", "over the LAZY dog", "crazy do-over", "lazy  dog", "lazy-dog", "no-one", "o-o", "This Sum", "this ſum", "a i", "a ı b", "aa İ", "pre\nFix\nx", "two\nlazy dog\nlines", "lazy\ndog"]
 
 
 def test_keys_hold_wherever_patterns_match(spark):

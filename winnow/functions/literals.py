@@ -111,6 +111,38 @@ def _of_tree(tree: P.SubPattern, of_run: Callable[..., list[Key]]) -> list[Key]
     return best
 
 
+#: How a pattern is decided: by the text, or the lowered text, holding a literal; by its expression where the lowered text holds it; by its expression alone.
+IN_TEXT, IN_LOW, IF_IN_LOW, BY_EXPRESSION = "text", "low", "if low", "expression"
+_PLAIN = "[A-Za-z0-9_ /-]+"
+
+
+def shortcut(pattern: str) -> tuple[str, str]:
+    """How a pattern is decided (see above), and its literal. Expressions take many times as long on a text as a search for a literal."""
+    kind = pattern_type(pattern)
+    if kind == "regex":
+        body = pattern[3:]
+        return (IN_TEXT, body) if re.fullmatch(_PLAIN, body) else (BY_EXPRESSION, "")
+    if kind == "keyword":
+        word = literal(pattern)
+        return (IF_IN_LOW, word.lower()) if word.isascii() else (BY_EXPRESSION, "")
+    inner = re.fullmatch(rf"\*+({_PLAIN})\*+", pattern)
+    return (IN_LOW, inner[1].lower()) if inner else (BY_EXPRESSION, "")
+
+
+def lowered(text: Column) -> Column:
+    """A text as it equals ASCII letters where case is ignored: as folded, but nothing goes. A null text is empty."""
+    low, ascii_ = LETTERS
+    return F.lower(F.translate(F.coalesce(text, F.lit("")), low[: len(ascii_)], ascii_))
+
+
+def decided(text: Column, low: Column, p: Column) -> Column:
+    """Whether a text, with its lowered form, matches a pattern as a struct: e (its expression), how and lit (its shortcut)."""
+    how, held = p["how"], low.contains(p["lit"])
+    full = F.coalesce(text, F.lit(""))
+    runs = F.regexp_like(full, p["e"])
+    return F.when(how == IN_TEXT, full.contains(p["lit"])).when(how == IN_LOW, held).when(how == IF_IN_LOW, F.when(held, runs).otherwise(False)).otherwise(runs)
+
+
 def index_keys(pattern: str) -> list[Key]:
     """Keys of which every text that the pattern matches holds one: joints, or else tokens; none where nothing is known."""
     return required(pattern, _joints_of_run) or required(pattern)

@@ -13,9 +13,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnow.functions.literals import GRAM, index_keys, joints, tokens
+from winnow.functions.literals import GRAM, decided, index_keys, joints, lowered, shortcut, tokens
 from winnow.functions.patterns import prepare, search_regex
-from winnow.operators.score import TEXTS, pattern_join
+from winnow.operators.score import PATTERNS_TOGETHER, TEXTS
 from winnow.sources.catalog import CAP, Catalog
 from winnow.sources.stages import cut
 
@@ -68,11 +68,13 @@ def survivors(texts: DataFrame, column: str, keyed: DataFrame, by_key: DataFrame
     by_key = key_tokens(vocabulary(texts, column), keyed) if by_key is None else by_key
     found = cut(links(by_key, keyed).join(keyed, "id").select("token", F.struct(*keyed.columns).alias("_p")), "links")
     if found.limit(FEW_LINKS + 1).count() <= FEW_LINKS:
+        one = (F.size("_p.keys") == 1) & F.element_at("_p.keys", 1)["whole"]
         # FEW_LINKS rows at most
-        met = broken.withColumn("token", F.explode("_t")).join(F.broadcast(found), "token")
-        # a text that holds several keys of a pattern meets it at the first
+        met = lambda some: broken.withColumn("token", F.explode("_t")).join(F.broadcast(some), "token")
+        # a text that holds several keys of a pattern meets it at the first; one whole token is met once, and by generated code alone
         first = F.get(F.filter("_t", lambda t: F.exists(F.col("_p.keys"), lambda k: _holds(t, k))), F.lit(0))
-        return met.where(first == F.col("token")).drop("_t", "token")
+        several = met(found.where(~one)).where(first == F.col("token"))
+        return met(found.where(one)).union(several).drop("_t", "token")
     digest = F.struct(F.xxhash64(column), F.xxhash64(F.lit(1), column))
     named = broken.withColumn("_d", digest)
     pairs = cut(named.select("_d", F.explode("_t").alias("token")).join(found, "token").select("_d", F.col("_p.id").alias("id")).distinct(), "pairs")
@@ -86,7 +88,7 @@ def vocabulary(texts: DataFrame, column: str) -> DataFrame:
 
 
 def keyed_patterns(texts: DataFrame, patterns: Iterable[tuple[str, str, str]]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
-    """A written table of the patterns that have keys: id, keys, rule, kind, pattern, e (its expression); and those that have none.
+    """A written table of the patterns that have keys: id, keys, rule, kind, pattern, e (its expression), how and lit (its shortcut); and those that have none.
 
     patterns: (rule, kind, pattern). Patterns that neither Python nor the JVM takes are left out: they never match.
     """
@@ -97,11 +99,11 @@ def keyed_patterns(texts: DataFrame, patterns: Iterable[tuple[str, str, str]]) -
         if (e := search_regex(pattern)) is None:
             continue
         if keys := index_keys(pattern):
-            rows.append((i, keys, rule, kind, pattern, e))
+            rows.append((i, keys, rule, kind, pattern, e, *shortcut(pattern)))
         else:
             others.append((rule, kind, pattern))
     spark = texts.sparkSession
-    table = spark.createDataFrame(rows, f"id int, keys {_KEYS}, rule string, kind string, pattern string, e string")
+    table = spark.createDataFrame(rows, f"id int, keys {_KEYS}, rule string, kind string, pattern string, e string, how string, lit string")
     return cut(table, "patterns"), others
 
 
@@ -111,7 +113,7 @@ def pattern_index(texts: DataFrame, patterns: Iterable[tuple[str, str, str]], co
     patterns: (rule, kind, pattern). A pattern whose expression tells nothing of what a text must hold, or that asks for a part of more than MOST_TOKENS distinct tokens, is tested against every text. Names of columns
     that begin with an underscore, and `token` and `id`, are used here.
     """
-    if taken := {"_t", "_p", "_d", "token", "id", "rule", "kind", "pattern"} & set(texts.columns):
+    if taken := {"_t", "_p", "_d", "_f", "_l", "_h", "token", "id", "rule", "kind", "pattern"} & set(texts.columns):
         raise ValueError(f"rename the columns {sorted(taken)}")
     keyed, others = keyed_patterns(texts, patterns)
     by_key = cut(key_tokens(vocabulary(texts, column), keyed), "keys")
@@ -123,9 +125,22 @@ def pattern_index(texts: DataFrame, patterns: Iterable[tuple[str, str, str]], co
     if wide:
         known = texts.sparkSession.createDataFrame([(i,) for i in wide], "id int")
         keyed = keyed.join(known, "id", "left_anti")
-    tested = survivors(texts, column, keyed, by_key).where(F.regexp_like(F.coalesce(F.col(column), F.lit("")), F.col("_p.e")))
+    lowest = texts.withColumn("_f", lowered(F.col(column)))
+    tested = survivors(lowest, column, keyed, by_key).where(decided(F.col(column), F.col("_f"), F.col("_p")))
     found = tested.select(*texts.columns, "_p.rule", "_p.kind", "_p.pattern")
-    return found.union(pattern_join(texts, others, column).select(*found.columns)) if others else found
+    return found.union(every(lowest, others, column).select(*found.columns)) if others else found
+
+
+def every(texts: DataFrame, patterns: list[tuple[str, str, str]], column: str) -> DataFrame:
+    """The texts with each pattern that they match: rule, kind, pattern. texts have _f, their lowered form; each is tested against every list of PATTERNS_TOGETHER patterns."""
+    rows = [(r, k, p, e, *shortcut(p)) for r, k, p in patterns if (e := search_regex(p)) is not None]
+    out = texts.withColumns({c: F.lit("") for c in ("rule", "kind", "pattern")}).where("false")
+    for at in range(0, len(rows), PATTERNS_TOGETHER):
+        listed = texts.sparkSession.createDataFrame([(rows[at : at + PATTERNS_TOGETHER],)], "_l array<struct<rule:string,kind:string,pattern:string,e:string,how:string,lit:string>>")
+        # one row
+        met = texts.crossJoin(F.broadcast(listed)).withColumn("_h", F.explode(F.filter("_l", lambda x: decided(F.col(column), F.col("_f"), x))))
+        out = out.union(met.select(*texts.columns, "_h.rule", "_h.kind", "_h.pattern"))
+    return out
 
 
 #: What the three lists of a rule are matched against: the texts, each file, the id.
