@@ -182,6 +182,14 @@ def test_tests_grow_with_hits_and_not_with_the_catalog(spark):
     assert sizes[100_000][1] == 600 and sizes[100_000][0] < 2 * 600 and sizes[1_000][0] < 2 * sizes[1_000][1] + 10
 
 
+def test_a_long_text_is_not_copied_for_each_token(spark):
+    """A text of 60,000 words with patterns whose keys are words, parts and joints: copied for each token it would take many times a task's memory."""
+    texts = spark.createDataFrame([(1, " ".join(f"word{i}" for i in range(60_000))), (2, "word7")], "n int, t string")
+    patterns = [("r", "keywords_whitelist", p) for p in ("word7", "re:ord5999[0-9]", "word1 word2", "re:(word41|word42)", "word60000")]
+    found = {(r.n, r.pattern) for r in literal_index.pattern_index(texts, patterns, "t").select("n", "pattern").collect()}
+    assert found == {(1, p) for _, _, p in patterns[:4]} | {(2, "word7")}
+
+
 def test_all_expressions_are_asked_for_in_one_job(spark):
     from winnow.functions import patterns as P
 

@@ -39,18 +39,27 @@ def folded(text: Column) -> Column:
     return F.lower(F.translate(F.coalesce(text, F.lit("")), *LETTERS))
 
 
+def words_of(text: Column) -> Column:
+    """The tokens of a text, as they follow each other."""
+    return F.regexp_extract_all(folded(text), F.lit(TOKEN), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     """The distinct tokens of a text, sorted."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(folded(text), F.lit(TOKEN), F.lit(0))))
+    return F.array_sort(F.array_distinct(words_of(text)))
 
 
-def joints(text: Column) -> Column:
-    """The joints of each two tokens that follow each other, whatever stands between them."""
-    found = F.regexp_extract_all(folded(text), F.lit(TOKEN), F.lit(0))
+def joints_of(words: Column) -> Column:
+    """The joints of each two of the tokens that follow each other."""
     side = F.lit(GRAM)
-    pairs = F.zip_with(found, F.slice(found, 2, F.greatest(F.size(found), F.lit(1))), lambda a, b: F.concat(F.right(a, side), F.lit(" "), F.left(b, side)))
+    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(F.right(a, side), F.lit(" "), F.left(b, side)))
     # the last token has none
-    return F.array_distinct(F.array_compact(pairs))
+    return F.array_compact(pairs)
+
+
+def joints(text: Column) -> Column:
+    """The distinct joints of each two tokens that follow each other, whatever stands between them."""
+    return F.array_distinct(joints_of(words_of(text)))
 
 
 def _joints_of_run(run: str, open_left: bool, open_right: bool) -> list[Key]:

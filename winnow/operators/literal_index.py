@@ -13,13 +13,13 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnow.functions.literals import GRAM, decided, index_keys, joints, lowered, shortcut, tokens
+from winnow.functions.literals import GRAM, decided, index_keys, joints, joints_of, lowered, shortcut, tokens, words_of  # noqa: F401  (tokens, joints: as literals has them)
 from winnow.functions.patterns import prepare, search_regex
 from winnow.operators.score import PATTERNS_TOGETHER, TEXTS
 from winnow.sources.catalog import CAP, Catalog
 from winnow.sources.stages import cut
 
-#: Pairs of a token and a pattern that are sent to the texts; more are joined with their tokens, by a digest of the text.
+#: Pairs of a token and a pattern that are sent to the tokens of all texts, and of a text and a pattern that are sent to the texts; more are joined.
 FEW_LINKS = 200_000
 #: Distinct tokens that may hold a part before it is too common to look for.
 MOST_TOKENS = 500
@@ -35,21 +35,27 @@ def _is_joint(token: Column) -> Column:
     return token.contains(" ")
 
 
-def _holds(token: Column, key: Column) -> Column:
-    return F.when(key["whole"], token == key["key"]).otherwise(token.contains(key["key"]) & ~_is_joint(token))
+def _digest(text: Column) -> Column:
+    full = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(full), F.xxhash64(F.lit(1), full))
 
 
-def _tokens(text: Column) -> Column:
-    """Tokens and joints of a text, distinct; joints have a space, and tokens none."""
-    return F.concat(tokens(text), joints(text))
+def token_rows(texts: DataFrame, column: str, with_joints: bool = True) -> DataFrame:
+    """_d, token: a digest of each text with each of its tokens, and joints, which have a space where tokens have none; repeated as they are in the text.
+
+    Rows are narrow: where a text stands beside an array that is exploded, a task may hold a copy of it for every element.
+    """
+    words = texts.select(_digest(F.col(column)).alias("_d"), words_of(F.col(column)).alias("_w"))
+    # outer: an explode that skips empty arrays would compute each of them twice
+    return words.select("_d", F.explode_outer(F.concat("_w", joints_of(F.col("_w"))) if with_joints else F.col("_w")).alias("token")).where("token is not null")
 
 
 def key_tokens(vocabulary: DataFrame, keyed: DataFrame) -> DataFrame:
-    """whole, key, token: the tokens of vocabulary(token) that hold each distinct key of keyed(id, keys)."""
+    """whole, key, token: the tokens of vocabulary(token) that hold each distinct key of keyed(id, keys) which is a part; a whole key is its own token, whether a text has it or not."""
     each = keyed.select(F.explode("keys").alias("k")).select("k.whole", "k.key").distinct()
-    exact = each.where("whole").join(vocabulary, F.col("key") == F.col("token")).select("whole", "key", "token")
+    exact = each.where("whole").select("whole", "key", F.col("key").alias("token"))
     # a part is looked up by the trigram that fewest tokens have
-    wide = vocabulary.where((F.length("token") >= GRAM) & ~_is_joint(F.col("token"))).select("token", F.explode(_grams(F.col("token"))).alias("gram"))
+    wide = vocabulary.where(F.length("token") >= GRAM).select("token", F.explode(_grams(F.col("token"))).alias("gram"))
     parts = each.where("not whole").select("key", F.explode(_grams(F.col("key"))).alias("gram"))
     rare = parts.join(wide.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left").groupBy("key").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("gram"))
     within = rare.join(wide, "gram").where(F.col("token").contains(F.col("key"))).select(F.lit(False).alias("whole"), "key", "token")
@@ -63,28 +69,31 @@ def links(by_key: DataFrame, keyed: DataFrame) -> DataFrame:
 
 
 def survivors(texts: DataFrame, column: str, keyed: DataFrame, by_key: DataFrame | None = None) -> DataFrame:
-    """The texts with _p, a pattern of keyed(id, keys, ...) as a struct, for each pattern of which they hold a key; each pair once. by_key: see key_tokens."""
-    broken = texts.withColumn("_t", _tokens(F.col(column)))
-    by_key = key_tokens(vocabulary(texts, column), keyed) if by_key is None else by_key
-    found = cut(links(by_key, keyed).join(keyed, "id").select("token", F.struct(*keyed.columns).alias("_p")), "links")
-    if found.limit(FEW_LINKS + 1).count() <= FEW_LINKS:
-        one = (F.size("_p.keys") == 1) & F.element_at("_p.keys", 1)["whole"]
-        # FEW_LINKS rows at most
-        met = lambda some: broken.withColumn("token", F.explode("_t")).join(F.broadcast(some), "token")
-        # a text that holds several keys of a pattern meets it at the first; one whole token is met once, and by generated code alone
-        first = F.get(F.filter("_t", lambda t: F.exists(F.col("_p.keys"), lambda k: _holds(t, k))), F.lit(0))
-        several = met(found.where(~one)).where(first == F.col("token"))
-        return met(found.where(one)).union(several).drop("_t", "token")
-    digest = F.struct(F.xxhash64(column), F.xxhash64(F.lit(1), column))
-    named = broken.withColumn("_d", digest)
-    pairs = cut(named.select("_d", F.explode("_t").alias("token")).join(found, "token").select("_d", F.col("_p.id").alias("id")).distinct(), "pairs")
-    whole = keyed.select("id", F.struct(*keyed.columns).alias("_p"))
-    return named.drop("_t").join(pairs, "_d").join(whole, "id").drop("_d", "id")
-
-
-def vocabulary(texts: DataFrame, column: str) -> DataFrame:
-    """token: a written table of the distinct tokens and joints of all texts."""
-    return cut(texts.select(F.explode(_tokens(F.col(column))).alias("token")).distinct(), "vocabulary")
+    """The texts with _p, a pattern of keyed(id, keys, ...) as a struct, for each pattern of which they hold a key, and _f, their lowered form; each pair once. by_key: see key_tokens.
+
+    Only digests and tokens are exploded and joined; a text meets the list of its patterns once.
+    """
+    by_key = key_tokens(vocabulary(texts, column, keyed), keyed) if by_key is None else by_key
+    found = cut(links(by_key, keyed), "links")
+    n, jointed = found.agg(F.count("*"), F.bool_or(_is_joint(F.col("token")))).first()
+    each = token_rows(texts, column, bool(jointed))
+    if n > FEW_LINKS:
+        found = cut(found.join(each.select("token").distinct(), "token", "left_semi"), "links")
+        n = found.count()
+    pairs = each.join(F.broadcast(found) if n <= FEW_LINKS else found, "token").select("_d", "id").distinct()
+    lists = cut(pairs.groupBy("_d").agg(F.collect_list("id").alias("_ids")), "pairs")
+    few = lists.agg(F.coalesce(F.sum(F.size("_ids")), F.lit(0))).first()[0] <= FEW_LINKS
+    met = texts.withColumn("_d", _digest(F.col(column))).join(F.broadcast(lists) if few else lists, "_d").drop("_d")
+    # a catalog, which the driver has as a list
+    whole = F.broadcast(keyed.select("id", F.struct(*keyed.columns).alias("_p")))
+    return met.withColumn("_f", lowered(F.col(column))).withColumn("id", F.explode("_ids")).drop("_ids").join(whole, "id").drop("id")
+
+
+def vocabulary(texts: DataFrame, column: str, keyed: DataFrame) -> DataFrame:
+    """token: a written table of the distinct tokens of all texts, if any pattern of keyed(id, keys) asks for a part of one."""
+    if keyed.where(F.exists("keys", lambda k: ~k["whole"])).isEmpty():
+        return texts.sparkSession.createDataFrame([], "token string")
+    return cut(token_rows(texts, column, with_joints=False).select("token").distinct(), "vocabulary")
 
 
 def keyed_patterns(texts: DataFrame, patterns: Iterable[tuple[str, str, str]]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
@@ -113,10 +122,10 @@ def pattern_index(texts: DataFrame, patterns: Iterable[tuple[str, str, str]], co
     patterns: (rule, kind, pattern). A pattern whose expression tells nothing of what a text must hold, or that asks for a part of more than MOST_TOKENS distinct tokens, is tested against every text. Names of columns
     that begin with an underscore, and `token` and `id`, are used here.
     """
-    if taken := {"_t", "_p", "_d", "_f", "_l", "_h", "token", "id", "rule", "kind", "pattern"} & set(texts.columns):
+    if taken := {"_w", "_p", "_d", "_f", "_l", "_h", "_ids", "token", "id", "rule", "kind", "pattern"} & set(texts.columns):
         raise ValueError(f"rename the columns {sorted(taken)}")
     keyed, others = keyed_patterns(texts, patterns)
-    by_key = cut(key_tokens(vocabulary(texts, column), keyed), "keys")
+    by_key = cut(key_tokens(vocabulary(texts, column, keyed), keyed), "keys")
     common = by_key.where("not whole").groupBy("whole", "key").agg(F.count("*").alias("n")).where(F.col("n") > MOST_TOKENS).select("whole", "key")
     each = keyed.select("id", "rule", "kind", "pattern", F.explode("keys").alias("k")).select("id", "rule", "kind", "pattern", "k.whole", "k.key")
     # a part of the catalog, which is a list of the driver's
@@ -125,9 +134,9 @@ def pattern_index(texts: DataFrame, patterns: Iterable[tuple[str, str, str]], co
     if wide:
         known = texts.sparkSession.createDataFrame([(i,) for i in wide], "id int")
         keyed = keyed.join(known, "id", "left_anti")
-    lowest = texts.withColumn("_f", lowered(F.col(column)))
-    tested = survivors(lowest, column, keyed, by_key).where(decided(F.col(column), F.col("_f"), F.col("_p")))
+    tested = survivors(texts, column, keyed, by_key).where(decided(F.col(column), F.col("_f"), F.col("_p")))
     found = tested.select(*texts.columns, "_p.rule", "_p.kind", "_p.pattern")
+    lowest = texts.withColumn("_f", lowered(F.col(column)))
     return found.union(every(lowest, others, column).select(*found.columns)) if others else found
 
 
@@ -151,16 +160,16 @@ _VALUES = {
 }
 
 
-def _found(records: DataFrame, catalog: Catalog, side: str) -> DataFrame:
+def _found(records: DataFrame, catalog: Catalog, *sides: str) -> DataFrame:
     """record_id, rule, kind, pattern, value, pord, vord: every pattern with every distinct value of a record that it matches; pord: a pattern's place in its rule and kind, vord: a value's in its record."""
     places: dict[tuple[str, str, str], int] = {}
     used = set(catalog.rules())
     for rule, kind, _, pattern in sorted(catalog.patterns, key=lambda p: p[2]):
-        if kind.endswith(side) and rule in used:
+        if kind.endswith(sides) and rule in used:
             places.setdefault((rule, kind, pattern), len(places))
     out = None
     for name, values in _VALUES.items():
-        wanted = [k for k in places if k[1] == f"{name}_{side}"]
+        wanted = [k for k in places if k[1].startswith(f"{name}_")]
         if not wanted:
             continue
         # outer: an explode that skips empty arrays would compute each of them twice
@@ -191,10 +200,10 @@ def catalog_scores(records: DataFrame, catalog: Catalog) -> DataFrame:
     weights = [(p, r, w) for p in catalog.names() for r, w in catalog.rules_of(p)]
     rules = spark.createDataFrame(weights, "profile string, rule string, weight int")
     profiles = spark.createDataFrame([(p, catalog.multiplier(p)) for p in catalog.names()], "profile string, multiplier double")
-    of = lambda side: _found(records, catalog, side).select("record_id", "rule").distinct().join(rules, "rule")
-    hits = of("whitelist").select("record_id", "profile", "weight", F.lit(False).alias("denied"))
-    denied = of("blacklist").select("record_id", "profile", F.lit(0).alias("weight"), F.lit(True).alias("denied")).distinct()
-    by = hits.union(denied).groupBy("record_id", "profile").agg(F.sum("weight").cast("int").alias("raw_total"), F.bool_or("denied").alias("blocked")).join(profiles, "profile")
+    denies = F.col("kind").endswith("blacklist")
+    found = _found(records, catalog, "whitelist", "blacklist").select("record_id", "rule", denies.alias("denied")).distinct().join(rules, "rule")
+    weighed = found.select("record_id", "profile", F.when(F.col("denied"), 0).otherwise(F.col("weight")).alias("weight"), "denied")
+    by = weighed.groupBy("record_id", "profile").agg(F.sum("weight").cast("int").alias("raw_total"), F.bool_or("denied").alias("blocked")).join(profiles, "profile")
     capped = F.least("raw_total", F.lit(CAP))
     final = F.when(F.col("blocked"), F.lit(0)).otherwise((capped * F.col("multiplier")).cast("int"))
     return by.select("record_id", "profile", "blocked", "raw_total", capped.alias("capped"), "multiplier", final.alias("final_score"))
