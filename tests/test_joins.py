@@ -190,6 +190,16 @@ def test_a_long_text_is_not_copied_for_each_token(spark):
     assert found == {(1, p) for _, _, p in patterns[:4]} | {(2, "word7")}
 
 
+def test_short_words_at_open_ends_have_keys(spark):
+    """Patterns of two short words are met at a short joint, and not tested against every text."""
+    texts = spark.createDataFrame([("proof iterates",), ("of it",), ("of - Item",), ("o fit",), ("if it",), ("of",)], "t string")
+    patterns = [("r", "keywords_whitelist", p) for p in ("re:of it", "*of it*", "re:of.it", "of it")]
+    keyed, others = literal_index.keyed_patterns(texts, patterns)
+    assert {p for _, _, p in others} == {"re:of.it"} and literal_index.survivors(texts, "t", keyed).where("t in ('o fit', 'if it', 'of')").isEmpty()
+    found = sorted(map(repr, literal_index.pattern_index(texts, patterns, "t").collect()))
+    assert found == sorted(map(repr, score.pattern_join(texts, patterns, "t").collect())) and len(found) == 7
+
+
 def test_all_expressions_are_asked_for_in_one_job(spark):
     from winnow.functions import patterns as P
 

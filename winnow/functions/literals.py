@@ -23,6 +23,8 @@ from winnow.functions.patterns import is_word, literal, pattern_type
 TOKEN, LETTERS = "[a-z0-9_]+", ("ſKİı̇", "skii")
 #: Characters of either side of a joint at most, and of a part of a token at least; alternatives of a pattern at most.
 GRAM, MOST_KEYS = 3, 16
+#: Characters of either side of a short joint, which stands with two spaces: for tokens at an open end that are too short to tell a side of GRAM.
+SHORT = 2
 
 #: (whether the key is a whole token, the key)
 Key = tuple[bool, str]
@@ -49,10 +51,10 @@ def tokens(text: Column) -> Column:
     return F.array_sort(F.array_distinct(words_of(text)))
 
 
-def joints_of(words: Column) -> Column:
-    """The joints of each two of the tokens that follow each other."""
-    side = F.lit(GRAM)
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(F.right(a, side), F.lit(" "), F.left(b, side)))
+def joints_of(words: Column, side: int = GRAM) -> Column:
+    """The joints, or with SHORT the short ones, of each two of the tokens that follow each other."""
+    n, between = F.lit(side), F.lit(" " if side == GRAM else "  ")
+    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(F.right(a, n), between, F.left(b, n)))
     # the last token has none
     return F.array_compact(pairs)
 
@@ -63,11 +65,18 @@ def joints(text: Column) -> Column:
 
 
 def _joints_of_run(run: str, open_left: bool, open_right: bool) -> list[Key]:
-    """The joints of a literal run; a token at an open end may go on, and tells its side only if that is full."""
+    """The joints of a literal run; a token at an open end may go on, and tells its side only if that is full. Where one is not, but would be in a short joint, that is taken."""
     run = fold(run)
     each = list(re.finditer(TOKEN, run))
-    known = lambda m, is_open: not is_open or len(m[0]) >= GRAM
-    return [(True, f"{a[0][-GRAM:]} {b[0][:GRAM]}") for a, b in zip(each, each[1:]) if known(a, open_left and a.start() == 0) and known(b, open_right and b.end() == len(run))]
+    found = []
+    for a, b in zip(each, each[1:]):
+        # how much of either side is known, whatever goes on beyond the run
+        least = min([len(m[0]) for m, is_open in ((a, open_left and a.start() == 0), (b, open_right and b.end() == len(run))) if is_open], default=GRAM)
+        if least >= GRAM:
+            found.append((True, f"{a[0][-GRAM:]} {b[0][:GRAM]}"))
+        elif least >= SHORT:
+            found.append((True, f"{a[0][-SHORT:]}  {b[0][:SHORT]}"))
+    return found
 
 
 def _of_run(run: str, open_left: bool, open_right: bool) -> list[Key]:

@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnow.functions.literals import GRAM, decided, index_keys, joints, joints_of, lowered, shortcut, tokens, words_of  # noqa: F401  (tokens, joints: as literals has them)
+from winnow.functions.literals import GRAM, SHORT, decided, index_keys, joints, joints_of, lowered, shortcut, tokens, words_of  # noqa: F401  (tokens, joints: as literals has them)
 from winnow.functions.patterns import prepare, search_regex
 from winnow.operators.score import PATTERNS_TOGETHER, TEXTS
 from winnow.sources.catalog import CAP, Catalog
@@ -31,23 +31,19 @@ def _grams(text: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (GRAM - 1)), lambda i: F.substring(text, i, F.lit(GRAM))))
 
 
-def _is_joint(token: Column) -> Column:
-    return token.contains(" ")
-
-
 def _digest(text: Column) -> Column:
     full = F.coalesce(text, F.lit(""))
     return F.struct(F.xxhash64(full), F.xxhash64(F.lit(1), full))
 
 
-def token_rows(texts: DataFrame, column: str, with_joints: bool = True) -> DataFrame:
-    """_d, token: a digest of each text with each of its tokens, and joints, which have a space where tokens have none; repeated as they are in the text.
+def token_rows(texts: DataFrame, column: str, *sides: int) -> DataFrame:
+    """_d, token: a digest of each text with each of its tokens, and joints of these sides (GRAM, SHORT), which have a space where tokens have none; repeated as they are in the text.
 
     Rows are narrow: where a text stands beside an array that is exploded, a task may hold a copy of it for every element.
     """
     words = texts.select(_digest(F.col(column)).alias("_d"), words_of(F.col(column)).alias("_w"))
     # outer: an explode that skips empty arrays would compute each of them twice
-    return words.select("_d", F.explode_outer(F.concat("_w", joints_of(F.col("_w"))) if with_joints else F.col("_w")).alias("token")).where("token is not null")
+    return words.select("_d", F.explode_outer(F.concat("_w", *(joints_of(F.col("_w"), side) for side in sides))).alias("token")).where("token is not null")
 
 
 def key_tokens(vocabulary: DataFrame, keyed: DataFrame) -> DataFrame:
@@ -75,8 +71,9 @@ def survivors(texts: DataFrame, column: str, keyed: DataFrame, by_key: DataFrame
     """
     by_key = key_tokens(vocabulary(texts, column, keyed), keyed) if by_key is None else by_key
     found = cut(links(by_key, keyed), "links")
-    n, jointed = found.agg(F.count("*"), F.bool_or(_is_joint(F.col("token")))).first()
-    each = token_rows(texts, column, bool(jointed))
+    short = F.col("token").contains("  ")
+    n, full, shorter = found.agg(F.count("*"), F.bool_or(F.col("token").contains(" ") & ~short), F.bool_or(short)).first()
+    each = token_rows(texts, column, *[GRAM] * bool(full), *[SHORT] * bool(shorter))
     if n > FEW_LINKS:
         found = cut(found.join(each.select("token").distinct(), "token", "left_semi"), "links")
         n = found.count()
@@ -93,7 +90,7 @@ def vocabulary(texts: DataFrame, column: str, keyed: DataFrame) -> DataFrame:
     """token: a written table of the distinct tokens of all texts, if any pattern of keyed(id, keys) asks for a part of one."""
     if keyed.where(F.exists("keys", lambda k: ~k["whole"])).isEmpty():
         return texts.sparkSession.createDataFrame([], "token string")
-    return cut(token_rows(texts, column, with_joints=False).select("token").distinct(), "vocabulary")
+    return cut(token_rows(texts, column).select("token").distinct(), "vocabulary")
 
 
 def keyed_patterns(texts: DataFrame, patterns: Iterable[tuple[str, str, str]]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
