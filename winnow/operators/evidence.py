@@ -132,11 +132,16 @@ def list_key(files: Column) -> Column:
     return F.struct(F.xxhash64(files).alias("a"), F.xxhash64(F.lit(1), files).alias("b"))
 
 
+#: Files with flags, by a digest at 18 bytes each, up to which they are sent to every task.
+FEW_FILES = 1_000_000
+
+
 def file_flags(records: DataFrame, sets: DataFrame) -> DataFrame:
     """key (see list_key), has_artifact, covered of every distinct list of files of which any has an artifact, or any is compiled, in a compiled directory or steers the build.
 
     sets(kind, value): see compiled_sets. Each distinct file is looked up once, for all its kinds in one join. Lists without
-    any flag are left out.
+    any flag are left out. What is known of files is a written table by a 128-bit digest of the file, which is sent to the lists up to
+    FEW_FILES rows, so that a list is summed up where it is; beyond that the single files of all lists are joined with it.
     """
     # lists stay where they are: digests and single files move, summed up before they do
     each = records.where(F.size("files") > 0).select(list_key(F.col("files")).alias("key"), F.explode("files").alias("file"))
@@ -144,8 +149,11 @@ def file_flags(records: DataFrame, sets: DataFrame) -> DataFrame:
     files = each.select("file").distinct()
     hits = files.select("file", F.explode(asked).alias("x")).select("file", "x.kind", "x.value").join(sets.select("kind", "value"), ["kind", "value"]).select("file", "kind")
     steering = files.where(is_build_file(F.col("file"))).select("file", F.lit("file").alias("kind"))
-    known = hits.union(steering).groupBy("file").agg(F.bool_or(F.col("kind").isin("artifact", "log")).alias("has_artifact"), F.bool_or(F.col("kind").isin("file", "dir")).alias("covered"))
-    return each.join(known, "file").groupBy("key").agg(F.bool_or("has_artifact").alias("has_artifact"), F.bool_or("covered").alias("covered"))
+    of = hits.union(steering).groupBy("file").agg(F.bool_or(F.col("kind").isin("artifact", "log")).alias("has_artifact"), F.bool_or(F.col("kind").isin("file", "dir")).alias("covered"))
+    known = cut(of.select(list_key(F.col("file")).alias("at"), "has_artifact", "covered"), "files")
+    sent = F.broadcast(known) if known.count() <= FEW_FILES else known
+    met = each.select("key", list_key(F.col("file")).alias("at")).join(sent, "at")
+    return met.groupBy("key").agg(F.bool_or("has_artifact").alias("has_artifact"), F.bool_or("covered").alias("covered"))
 
 
 def with_artifact(records: DataFrame, sets: DataFrame) -> DataFrame:
