@@ -114,6 +114,21 @@ def test_records_keep_their_place(spark, monkeypatch, capsys, few):
     assert all("body" not in line for line in narrow.splitlines() if "Exchange hashpartitioning" in line)
 
 
+@pytest.mark.parametrize("few", [evidence.FEW_FILES, 0])
+def test_single_files_are_summed_up_where_they_are(spark, monkeypatch, capsys, few):
+    """What is known of files is sent to the lists: no exchange deals lists by their single files. Joined or sent, the result is the same."""
+    monkeypatch.setattr(evidence, "FEW_FILES", few)
+    o, sets = cut(B.orders(spark, SMALL), "orders"), cut(_sets(spark), "sets")
+    flags = evidence.file_flags(o, sets)
+    got = {(r.key.a, r.key.b): (r.has_artifact, r.covered) for r in flags.collect()}
+    has = {r.record_id for r in evidence.with_artifact(o, sets).union(evidence.in_log(o, sets)).collect()}
+    covered = {r.record_id for r in evidence.covered(o, sets).collect()}
+    for r in o.select("record_id", evidence.list_key(F.col("files")).alias("k")).collect():
+        assert got.get((r.k.a, r.k.b), (False, False)) == (r.record_id in has, r.record_id in covered)
+    plan = plan_of(flags, capsys)
+    assert not few or ("hashpartitioning(file" not in plan and "hashpartitioning(at" not in plan)
+
+
 def _sets(s):
     return product.compiled_sets(B.config_paths(s, SMALL), B.enabled(s, SMALL), B.artifacts(s, SMALL), product.log_objects(B.log_lines(s, SMALL)))
 
@@ -353,6 +368,19 @@ def test_stream_decides_as_a_batch_does(spark, tmp_path):
     assert table.rows().count() == o.count() and run() == batch(o)
 
 
+def test_a_batch_is_read_once(spark, tmp_path):
+    """A batch that is decided with sets reads its records once, however many steps ask for them."""
+    o, sets = B.orders(spark, SMALL), cut(_sets(spark), "sets")
+    read = spark.sparkContext.accumulator(0)
+    rows = o.rdd.map(lambda r: (read.add(1), r)[1])
+    n = o.count()
+    table = increments.scores_table(spark, str(tmp_path / "t"))
+    increments.score_batch(spark.createDataFrame(rows, o.schema), table, B.ORDER_CATALOG, "f", "one", sets)
+    assert read.value == n == table.rows().count()
+    increments.score_batch(o.limit(0), table, B.ORDER_CATALOG, "f", "none", sets)
+    assert table.has("none") and table.rows().count() == n
+
+
 def test_invalid_expressions_are_listed(spark):
     bad = ["re:(", "re:(a)?(?(1)b|x)", "re:*"]
     c = C.Catalog(patterns=[("r", "keywords_whitelist", i, p) for i, p in enumerate([*bad, "re:a(?P<b_c>d)", "(", "re:x"])])

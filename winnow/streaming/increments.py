@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from winnow.operators.prefilter import decide
 from winnow.operators.score import scored
 from winnow.sources.catalog import Catalog
-from winnow.sources.stages import exists, remove
+from winnow.sources.stages import cut, discard, exists, remove
 
 MANIFEST = "batch string, place long, n long, note string"
 SCORES = "record_id string, content string, fingerprint string, action string, reason string, score int, matched_profiles array<string>"
@@ -101,8 +101,13 @@ def score_batch(records: DataFrame, table: Table, catalog: Catalog, fingerprint:
     keyed = records.withColumn("content", content_digest()).dropDuplicates(["record_id", "content"])
     done = current_scores(table).where(F.col("fingerprint") == fingerprint).select("record_id", "content")
     new = keyed.join(done, ["record_id", "content"], "left_anti")
+    if sets is not None:
+        # what is known of their files is asked for in steps of their own: a stream's records would be read, parted from repeated ones and joined again for each
+        new = cut(new, "new")
     out = scored(decide(new, catalog, sets), catalog)
     table.commit(batch, out.select("record_id", "content", F.lit(fingerprint).alias("fingerprint"), "action", "reason", "score", "matched_profiles"), note=fingerprint)
+    if sets is not None:
+        discard(new)
 
 
 @dataclass
