@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from winnow.functions.patterns import all_files_match, any_file_match, any_match, glob_regex, java_regex, literal, matches, pattern_type, search_regex
+from winnow.functions.patterns import all_files_match, any_file_match, any_match, glob_regex, java_regex, literal, lowered, matches, pattern_type, required, search_regex
 from winnow.sources.catalog import Catalog, catalog_problems
 
 PATTERNS = ["fix", "use-after-free", r"CVE-\*", r"a\?b", "re:^fix", "re:(?i)FIX", "re:a{,2}b", "re:(", "drivers/*", "*.c", "*usb*", "a[!b]c", "a[b-d]c", "[", "[]x]*", "?", "", "naïve", "re:\\bword\\b", "re:x$", "fix*é", "C++", "re:[[]", "re:(a)?(?(1)b|x)", "re:[a&&b]", "re:[]x]1", "re:[^]a]b", r"re:[\[&]x?", "re:(?P<q>a)(?P=q)b(?#note)", r"re:x\Z"]
@@ -73,3 +73,24 @@ def test_types(spark):
     assert java_regex("(") is None
     assert java_regex("a{,3}") == "(?Ud)a{0,3}"
     assert glob_regex("a") == "(?s)\\Aa\\z"
+
+
+def test_literals_that_are_searched_first_lose_no_match(spark, capsys):
+    """Whatever letters a text has, and however it is put together, any_match gives the same with lowered texts as without; and a pattern that requires a literal has it searched for."""
+    some = [*PATTERNS, "mask", "KISS", "i.d.", "disk*", "*Kiss*", "re:\\bGNU\\b", "re:[a-z]+@[a-z]+", "re:(?i)gnu", "re:a\\101", "re:(?:GNU|GCC)x", "x\ny", *(f"word{i}" for i in range(9))]
+    texts = [*TEXTS, "maſK", "Kıſs", "KİSS it", "i̇.d.", "İ.D.", "DİSK x", "disk", "a kiss b", "GNU", "gnu", "GCCx", "me@x", "@", "ΣxΣ", "x\ny", "word8", None]
+    df = spark.createDataFrame([(t, "İ kiss") for t in texts], "t string, u string")
+    both = F.concat(F.coalesce("t", F.lit("")), F.lit("\n"), F.col("u"))
+    low, lows = lowered(F.col("t")), [lowered(F.col("t")), lowered(F.col("u"))]
+    # a few at once: plans with all of them are slow to compile
+    for i in range(0, len(some), 9):
+        part = some[i : i + 9]
+        pairs = [F.struct(any_match([p], F.col("t")).alias("a"), any_match([p], F.col("t"), [low]).alias("b"), any_match([p], both).alias("c"), any_match([p], both, lows).alias("d")) for p in part]
+        for r in df.select("t", F.array(*pairs).alias("x")).collect():
+            assert [(p, r["t"]) for p, x in zip(part, r["x"]) if x.a != x.b or x.c != x.d] == []
+    every = df.select(any_match(some, F.col("t")).alias("a"), any_match(some, F.col("t"), [low]).alias("b")).collect()
+    assert all(r.a == r.b for r in every)
+    df.select(any_match(["mit", "re:[a-z]+@x"], F.col("t"), [F.col("u")])).explain()
+    plan = capsys.readouterr().out
+    assert "Contains(u#" in plan and ", @x)" in plan
+    assert (required("\\bGNU\\b"), required("(?i)gnu"), required("a|b"), required("ab+c"), required("x[a]?yz"), required("\\x41")) == ("GNU", "", "", "a", "yz", "")

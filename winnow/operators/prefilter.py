@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.functions.patterns import all_files_match, any_file_match, any_match, prepare
+from winnow.functions.patterns import all_files_match, any_file_match, any_match, prepare, with_lowered
 from winnow.operators.evidence import file_flags, list_key
 from winnow.sources.catalog import KINDS, Catalog
 from winnow.sources.stages import cut
 
 #: Lists of files with flags, at 18 bytes each, up to which they are sent to the records.
 FEW_LISTS = 1_000_000
+TEXTS = ("subject", "body")
+LOWS = tuple(f"_low_{t}" for t in TEXTS)
 
 
-def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage: bool | None = None, available: Column | bool = False, has_artifact: Column | None = None, covered: Column | None = None) -> Column:
+def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage: bool | None = None, available: Column | bool = False, has_artifact: Column | None = None, covered: Column | None = None, lows: Sequence[Column] = ()) -> Column:
     """struct(action, reason): the first rule that holds, in this order.
 
     lists: patterns by kind, over all profiles. Texts are subject and body as one. Coverage is required as told, or
     else where a product map is available; without one nothing is required. A record without files is not covered.
+    lows: the lowered() subject and body; see any_match.
     """
     says = lambda action, reason: F.struct(F.lit(action).alias("action"), F.lit(reason).alias("reason"))
     text = F.concat(F.coalesce("subject", F.lit("")), F.lit("\n"), F.coalesce("body", F.lit("")))
     of = lambda kind: lists.get(kind, [])
     no = F.lit(False)
-    wanted = any_match(of("keywords_whitelist"), text)
+    wanted = any_match(of("keywords_whitelist"), text, lows)
     chain = F.when(any_match(of("commit_whitelist"), F.col("record_id")), says("keep", "commit_whitelist"))
     chain = chain.when(any_match(of("commit_blacklist"), F.col("record_id")), says("drop", "commit_blacklist"))
     if not enabled:
@@ -36,7 +41,7 @@ def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage
         lacks = ~(covered if covered is not None else no) & ~wanted
         chain = chain.when(lacks if available is True else available & lacks, says("drop", "no_kconfig_coverage"))
     chain = chain.when(wanted, says("keep", "keywords_whitelist"))
-    chain = chain.when(any_match(of("keywords_blacklist"), text), says("drop", "keywords_blacklist"))
+    chain = chain.when(any_match(of("keywords_blacklist"), text, lows), says("drop", "keywords_blacklist"))
     return chain.otherwise(says("keep", "default"))
 
 
@@ -49,7 +54,8 @@ def decide(records: DataFrame, catalog: Catalog, sets: DataFrame | None = None,
     prepare(p for *_, p in catalog.patterns)
     lists = {k: catalog.overall(k) for k in KINDS}
     if sets is None:
-        return records.withColumn("d", decision(lists, enabled, require_coverage)).select(*records.columns, "d.action", "d.reason")
+        made = decision(lists, enabled, require_coverage, lows=[F.col(c) for c in LOWS])
+        return with_lowered(records, TEXTS).withColumn("d", made).select(*records.columns, "d.action", "d.reason")
     available = not sets.isEmpty()
     flags = cut(file_flags(records, sets).select(F.col("key").alias("_key"), "has_artifact", "covered"), "flags")
     few = flags.count() <= FEW_LISTS

@@ -13,7 +13,7 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.functions.patterns import any_file_match, any_match, matches, prepare, search_regex
+from winnow.functions.patterns import any_file_match, any_match, matches, prepare, search_regex, with_lowered
 from winnow.functions.scalars import flags, true_flags
 from winnow.sources.catalog import CAP, Catalog
 
@@ -23,7 +23,8 @@ PATTERNS_TOGETHER = 5000
 
 
 def _any_text(patterns: list[str]) -> Column:
-    return reduce(or_, [any_match(patterns, F.col(t)) for t in TEXTS]) if patterns else F.lit(False)
+    """Whether any keyword matches, in records with_lowered() texts."""
+    return reduce(or_, [any_match(patterns, F.col(t), [F.col(f"_low_{t}")]) for t in TEXTS]) if patterns else F.lit(False)
 
 
 def _hit(patterns: dict[str, list[str]]) -> Column:
@@ -42,7 +43,8 @@ def with_hits(records: DataFrame, catalog: Catalog) -> DataFrame:
     hits = [_hit(_lists(lambda k, r=r: catalog.of_rule(r, k), "whitelist")) for r in rules]
     blocks = [_hit(_lists(lambda k, p=p: catalog.merged(p, k), "blacklist")) for p in names]
     # no test is null; compacted arrays are values of their own, while elements of plain ones would be tested again wherever they are used
-    return records.withColumns({"hits": F.array_compact(F.array(*hits).cast("array<boolean>")), "blocks": F.array_compact(F.array(*blocks).cast("array<boolean>"))})
+    out = with_lowered(records, TEXTS).withColumns({"hits": F.array_compact(F.array(*hits).cast("array<boolean>")), "blocks": F.array_compact(F.array(*blocks).cast("array<boolean>"))})
+    return out.drop(*(f"_low_{t}" for t in TEXTS))
 
 
 def scored(records: DataFrame, catalog: Catalog) -> DataFrame:

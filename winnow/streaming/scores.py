@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from winnow.operators.prefilter import decision
+from winnow.functions.patterns import with_lowered
+from winnow.operators.prefilter import LOWS, TEXTS, decision
 from winnow.operators.score import scored
 from winnow.sources.catalog import KINDS, Catalog
 from winnow.streaming.increments import Table, score_batch
@@ -35,7 +36,7 @@ def score_increment(records: DataFrame, path: str, catalog: Catalog, fingerprint
 def score_stream(records: DataFrame, catalog: Catalog) -> DataFrame:
     """record_id, action, reason, score, matched_profiles of a stream or a table of records."""
     lists = {k: catalog.overall(k) for k in KINDS}
-    out = scored(records.withColumn("d", decision(lists)), catalog)
+    out = scored(with_lowered(records, TEXTS).withColumn("d", decision(lists, lows=[F.col(c) for c in LOWS])), catalog)
     return out.select("record_id", "d.action", "d.reason", "score", "matched_profiles")
 
 
