@@ -1,8 +1,11 @@
 """Filters, scores, ranks, reports and streams on small records."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from winnow.functions.patterns import matches
 from winnow.operators import evidence, prefilter, rank, report, score, tables
 from winnow.plans import bindings as B
 from winnow.plans.triage import full_report, triage
@@ -192,3 +195,21 @@ def test_increment(spark, docs, tmp_path):
     assert first.count() == 50
     assert streaming.score_increment(docs, path, B.DOC_CATALOG, "f1").count() == docs.count()
     assert streaming.score_increment(docs, path, B.DOC_CATALOG, "f2").count() == 2 * docs.count()
+
+
+def test_a_trace_tests_single_patterns_where_their_rule_hits(spark, docs, capsys):
+    """A rule without a hit in a record has none of its patterns tested there; what is traced is what the patterns match one by one."""
+    s = score.scored(docs, B.DOC_CATALOG)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    score.rule_trace(s, B.DOC_CATALOG).explain()
+    plan = capsys.readouterr().out
+    assert re.search(r"CASE WHEN hits#\d+\[0\] THEN (concat|filter|transform)", plan)
+    got = {(r.record_id, r.rule, r.kind, r.pattern, r.value) for r in score.rule_trace(s, B.DOC_CATALOG).where("pattern is not null").collect()}
+    want = set()
+    for rule, kind, _, p in B.DOC_CATALOG.patterns:
+        if kind.endswith("_whitelist"):
+            for c in {"keywords": ("subject", "body"), "path": ("files",), "commit": ("record_id",)}[kind.removesuffix("_whitelist")]:
+                each = docs.select("record_id", F.explode("files").alias("v")) if c == "files" else docs.select("record_id", F.col(c).alias("v"))
+                want |= {(r.record_id, rule, kind, p, r.v) for r in each.where(matches(p, F.col("v"))).collect()}
+    assert got == want and got

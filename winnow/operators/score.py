@@ -139,8 +139,9 @@ def pattern_hits(records: DataFrame, catalog: Catalog, side: str = "whitelist")
     pattern and then by value as they stand in the record. One pass, whatever the catalog's size.
     """
     prepare(p for *_, p in catalog.patterns)
-    found = F.concat(F.array().cast(f"array<{_HIT}>"), *[_found(catalog, r, side) for r in catalog.rules()])
-    return _each(records, found, "h").select("record_id", "h.*")
+    none = F.array().cast(f"array<{_HIT}>")
+    each = [F.when(_hit(_lists(lambda k, r=r: catalog.of_rule(r, k), side)), _found(catalog, r, side)).otherwise(none) for r in catalog.rules()]
+    return _each(with_lowered(records, TEXTS), F.concat(none, *each), "h").select("record_id", "h.*")
 
 
 def pattern_join(texts: DataFrame, patterns: list[tuple[str, str, str]], column: str) -> DataFrame:
@@ -171,10 +172,10 @@ def first_hit(hits: DataFrame) -> DataFrame:
 def rule_trace(scored_records: DataFrame, catalog: Catalog) -> DataFrame:
     """record_id, profile, rule, matched_level, rule_score, profile_score, kind, pattern, value: a row per match, one for a rule without any, one for a profile without rules.
 
-    A record's whole trace is one array, and so one pass and no join.
+    A record's whole trace is one array, and so one pass and no join. Single patterns are tested where their rule hits: elsewhere none matches.
     """
-    rules, kinds = catalog.rules(), ("kind", "pattern", "value")
-    traced = scored_records.withColumn("_found", F.array_compact(F.array(*[_found(catalog, r, "whitelist") for r in rules]).cast(f"array<array<{_HIT}>>")))
+    rules, kinds, none = catalog.rules(), ("kind", "pattern", "value"), F.array().cast(f"array<{_HIT}>")
+    traced = scored_records.withColumn("_found", F.array_compact(F.array(*[F.when(F.col("hits")[i], _found(catalog, r, "whitelist")).otherwise(none) for i, r in enumerate(rules)]).cast(f"array<array<{_HIT}>>")))
 
     def row(profile: str, j: int, rule: str | None, level: Column, gained: Column, hit: Column | None) -> Column:
         cells = [F.lit(None).cast("string") if hit is None else hit[c] for c in kinds]
