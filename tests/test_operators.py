@@ -9,8 +9,11 @@ from winnow.functions.patterns import matches
 from winnow.operators import evidence, prefilter, rank, report, score, tables
 from winnow.plans import bindings as B
 from winnow.plans.triage import full_report, triage
+from winnow.plans.triage import judged as judged_of
+from winnow.queries import _judged as judged_orders
 from winnow.sources import product
 from winnow.sources.catalog import Catalog
+from winnow.streaming import increments
 from winnow.streaming import scores as streaming
 
 SMALL = "/root/testdata/sf0.001"
@@ -213,3 +216,37 @@ def test_a_trace_tests_single_patterns_where_their_rule_hits(spark, docs, capsys
                 each = docs.select("record_id", F.explode("files").alias("v")) if c == "files" else docs.select("record_id", F.col(c).alias("v"))
                 want |= {(r.record_id, rule, kind, p, r.v) for r in each.where(matches(p, F.col("v"))).collect()}
     assert got == want and got
+
+
+def test_repeated_records_are_one_without_moving_texts_for_it(spark, docs, tmp_path, capsys, monkeypatch):
+    told, commit = [], increments.Table.commit
+
+    def seen(self, batch, rows, note=""):
+        capsys.readouterr()
+        rows.explain()
+        told.append(capsys.readouterr().out)
+        commit(self, batch, rows, note)
+
+    monkeypatch.setattr(increments.Table, "commit", seen)
+    table = increments.scores_table(spark, str(tmp_path / "scores"))
+    increments.score_batch(docs.union(docs.where("seq % 3 = 0")), table, B.DOC_CATALOG, "now", "one")
+    want = {(r.record_id, r.score) for r in score.scored(docs, B.DOC_CATALOG).collect()}
+    rows = increments.current_scores(table)
+    assert rows.count() == table.rows().count() == docs.count() and {(r.record_id, r.score) for r in rows.collect()} == want
+    increments.score_batch(docs, table, B.DOC_CATALOG, "now", "two")
+    assert table.manifests().where("batch = 'two'").first().n == 0
+    # rows are put together by id and content, and hold no text by then
+    assert not any("first(body" in plan for plan in told) and len(told) == 2
+
+
+def test_reasons_are_counted_without_scoring_twice(spark, docs, capsys):
+    judged = judged_of(prefilter.decide(docs, B.DOC_CATALOG), B.DOC_CATALOG, 20)
+    got = {tuple(r) for r in prefilter.dropped_counts(judged).collect()}
+    assert got == {tuple(r) for r in prefilter.reason_counts(judged.where("filter_reason is not null")).collect()} and len(got) > 1
+    spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    from winnow.queries import queries
+
+    d = "/root/testdata/sf0.001"
+    tests = scans_and_tests(judged_orders(spark, d).select("filter_reason"), capsys)[1]
+    assert 0 < scans_and_tests(queries()["dropped_reasons"](spark, d), capsys)[1] <= tests

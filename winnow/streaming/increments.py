@@ -93,19 +93,24 @@ def current_scores(table: Table) -> DataFrame:
 def score_batch(records: DataFrame, table: Table, catalog: Catalog, fingerprint: str, batch: str, sets: DataFrame | None = None) -> None:
     """Decide and score the records whose content or catalog is not the one that they were last scored with, and add them as a batch.
 
-    Repeated rows of one content are scored once; of several contents under one id each is scored, and the one that is greatest in order of its row counts. Called again with the name
+    Repeated rows of one content are one; of several contents under one id each is scored, and the one that is greatest in order of its row counts. Called again with the name
     of a batch that counts, nothing is done. sets: what is built; see compiled_sets.
     """
     if table.has(batch):
         return
-    keyed = records.withColumn("content", content_digest()).dropDuplicates(["record_id", "content"])
-    done = current_scores(table).where(F.col("fingerprint") == fingerprint).select("record_id", "content")
-    new = keyed.join(done, ["record_id", "content"], "left_anti")
+    one = ["record_id", "content"]
+    keyed = records.withColumn("content", content_digest())
+    if sets is not None:
+        keyed = keyed.dropDuplicates(one)
+    done = current_scores(table).where(F.col("fingerprint") == fingerprint).select(*one)
+    new = keyed.join(done, one, "left_anti")
     if sets is not None:
         # what is known of their files is asked for in steps of their own: a stream's records would be read, parted from repeated ones and joined again for each
         new = cut(new, "new")
     out = scored(decide(new, catalog, sets), catalog)
-    table.commit(batch, out.select("record_id", "content", F.lit(fingerprint).alias("fingerprint"), "action", "reason", "score", "matched_profiles"), note=fingerprint)
+    rows = out.select(*one, F.lit(fingerprint).alias("fingerprint"), "action", "reason", "score", "matched_profiles")
+    # repeated rows are scored where they are and one of them kept then: to find them first, all texts would be sorted and moved
+    table.commit(batch, rows.dropDuplicates(one) if sets is None else rows, note=fingerprint)
     if sets is not None:
         discard(new)
 
