@@ -78,6 +78,15 @@ def reason_counts(rows: DataFrame, column: str = "filter_reason") -> DataFrame:
     return rows.groupBy(F.col(column).alias("filter_reason")).agg(F.count("*").alias("n"))
 
 
+def dropped_counts(judged: DataFrame) -> DataFrame:
+    """filter_reason, n of all records that triage.judged has seen, without those that nothing drops.
+
+    A condition on the reason itself would be put before the count and below the scores, and every record be decided and scored once for it and once more for its reason.
+    """
+    some = judged.groupBy("filter_reason").agg(F.count_if(F.col("filter_reason").isNotNull()).alias("n"))
+    return some.where("n > 0")
+
+
 def by_reason_class(rows: DataFrame, which: str = "all") -> DataFrame:
     """Dropped rows of a class: all, prefilter or low-score."""
     low = F.col("filter_reason").startswith("score_below_threshold")
