@@ -2,6 +2,7 @@
 
 import os.path
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +130,41 @@ def test_single_files_are_summed_up_where_they_are(spark, monkeypatch, capsys, f
     assert not few or ("hashpartitioning(file" not in plan and "hashpartitioning(at" not in plan)
 
 
+def test_records_are_tested_before_the_join(spark, monkeypatch, capsys):
+    """Where records are joined with what is known of their files, they are decided by themselves and scored before: texts and files are in no exchange."""
+    from winnow import queries as Q
+
+    columns = ["seq", "action", "reason", "score", "filter_reason", "src", "n"]
+    judged = lambda: Q._judged(spark, SMALL).withColumn("n", F.size("matched_profiles")).select(columns)
+    sent = sorted(map(str, judged().collect()))
+    monkeypatch.setattr(prefilter, "FEW_LISTS", 0)
+    joined = judged()
+    assert sorted(map(str, joined.collect())) == sent
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        capsys.readouterr()
+        judged().explain("formatted")
+        blocks = capsys.readouterr().out.split("\n\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for b in blocks if re.match(r"\(\d+\) Exchange\n", b) for line in b.splitlines() if line.startswith("Input")]
+    assert len(moved) == 2 and not any(re.search(r"\b(body|files|subject)#", line) for line in moved), moved
+
+
+def test_files_are_looked_up_in_one_pass(spark, monkeypatch, capsys):
+    """Files that steer the build count as covered, with or without a map, and records are read once for all kinds."""
+    plans, write = [], evidence.cut
+    monkeypatch.setattr(evidence, "cut", lambda df, name: plans.append(plan_of(df, capsys)) or write(df, name))
+    rows = [("a", ["x/Makefile"]), ("b", ["x/y.c", "x/z.mk"]), ("c", ["x/y.c"]), ("d", ["s/t.c"]), ("e", []), ("f", None), ("g", ["s/Kconfig", "q/w.c"]), ("h", ["q/w.h"])]
+    r = cut(spark.createDataFrame(rows, "record_id string, files array<string>"), "lists")
+    sets = spark.createDataFrame([("dir", "s"), ("artifact", "q/w"), ("file", "s/t.c")], "kind string, value string")
+    key = r.select("record_id", evidence.list_key(F.col("files")).alias("key"))
+    of = lambda sets: {x.record_id: (x.has_artifact, x.covered) for x in key.join(evidence.file_flags(r, sets), "key").collect()}
+    assert of(sets) == {"a": (False, True), "b": (False, True), "d": (False, True), "g": (True, True), "h": (True, False)}
+    assert of(sets.where("false")) == {"a": (False, True), "b": (False, True), "g": (False, True)}
+    assert [p.count("FileScan parquet") for p in plans] == [1, 1]
+
+
 def _sets(s):
     return product.compiled_sets(B.config_paths(s, SMALL), B.enabled(s, SMALL), B.artifacts(s, SMALL), product.log_objects(B.log_lines(s, SMALL)))
 

@@ -145,14 +145,18 @@ def file_flags(records: DataFrame, sets: DataFrame) -> DataFrame:
     """
     # lists stay where they are: digests and single files move, summed up before they do
     each = records.where(F.size("files") > 0).select(list_key(F.col("files")).alias("key"), F.explode("files").alias("file"))
-    asked = F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in (("artifact", stem(F.col("file"))), ("log", stem(basename(F.col("file")))), ("file", F.col("file")), ("dir", dirname(F.col("file"))))))
+    asks = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+    asked = F.array(*(asks(k, v) for k, v in (("artifact", stem(F.col("file"))), ("log", stem(basename(F.col("file")))), ("file", F.col("file")), ("dir", dirname(F.col("file"))))))
+    # what steers the build asks for a row that is always there: in a branch of its own all records would be read once more
+    steers = F.array(asks("steers", F.lit("")))
+    asked = F.when(is_build_file(F.col("file")), F.concat(asked, steers)).otherwise(asked)
+    wanted = sets.select("kind", "value").union(sets.sparkSession.range(1).select(F.lit("steers"), F.lit("")))
     files = each.select("file").distinct()
-    hits = files.select("file", F.explode(asked).alias("x")).select("file", "x.kind", "x.value").join(sets.select("kind", "value"), ["kind", "value"]).select("file", "kind")
-    steering = files.where(is_build_file(F.col("file"))).select("file", F.lit("file").alias("kind"))
-    of = hits.union(steering).groupBy("file").agg(F.bool_or(F.col("kind").isin("artifact", "log")).alias("has_artifact"), F.bool_or(F.col("kind").isin("file", "dir")).alias("covered"))
-    known = cut(of.select(list_key(F.col("file")).alias("at"), "has_artifact", "covered"), "files")
+    hits = files.select("file", F.explode(asked).alias("x")).select("file", "x.kind", "x.value").join(wanted, ["kind", "value"]).select("file", "kind")
+    of = hits.groupBy("file").agg(F.bool_or(F.col("kind").isin("artifact", "log")).alias("has_artifact"), F.bool_or(F.col("kind").isin("file", "dir", "steers")).alias("covered"))
+    known = cut(of.select(list_key(F.col("file")).alias("at"), "has_artifact", "covered").select("at.a", "at.b", "has_artifact", "covered"), "files")
     sent = F.broadcast(known) if known.count() <= FEW_FILES else known
-    met = each.select("key", list_key(F.col("file")).alias("at")).join(sent, "at")
+    met = each.select("key", list_key(F.col("file")).alias("at")).select("key", "at.a", "at.b").join(sent, ["a", "b"])
     return met.groupBy("key").agg(F.bool_or("has_artifact").alias("has_artifact"), F.bool_or("covered").alias("covered"))
 
 

@@ -16,52 +16,62 @@ from winnow.sources.stages import cut
 FEW_LISTS = 1_000_000
 TEXTS = ("subject", "body")
 LOWS = tuple(f"_low_{t}" for t in TEXTS)
+#: Reasons that stand whatever is known of the product.
+SETTLED = ("commit_whitelist", "commit_blacklist", "filter_disabled", "path_blacklist_all", "path_whitelist")
 
 
-def decision(lists: dict[str, list[str]], enabled: bool = True, require_coverage: bool | None = None, available: Column | bool = False, has_artifact: Column | None = None, covered: Column | None = None, lows: Sequence[Column] = ()) -> Column:
-    """struct(action, reason): the first rule that holds, in this order.
+def _says(action: str, reason: str) -> Column:
+    return F.struct(F.lit(action).alias("action"), F.lit(reason).alias("reason"))
 
-    lists: patterns by kind, over all profiles. Texts are subject and body as one. Coverage is required as told, or
-    else where a product map is available; without one nothing is required. A record without files is not covered.
-    lows: the lowered() subject and body; see any_match.
+
+def decision(lists: dict[str, list[str]], enabled: bool = True, lows: Sequence[Column] = ()) -> Column:
+    """struct(action, reason): the first rule that holds, in this order, for a record by itself; see in_product.
+
+    lists: patterns by kind, over all profiles. Texts are subject and body as one. lows: the lowered() subject and body; see any_match.
     """
-    says = lambda action, reason: F.struct(F.lit(action).alias("action"), F.lit(reason).alias("reason"))
     text = F.concat(F.coalesce("subject", F.lit("")), F.lit("\n"), F.coalesce("body", F.lit("")))
     of = lambda kind: lists.get(kind, [])
-    no = F.lit(False)
-    wanted = any_match(of("keywords_whitelist"), text, lows)
-    chain = F.when(any_match(of("commit_whitelist"), F.col("record_id")), says("keep", "commit_whitelist"))
-    chain = chain.when(any_match(of("commit_blacklist"), F.col("record_id")), says("drop", "commit_blacklist"))
+    chain = F.when(any_match(of("commit_whitelist"), F.col("record_id")), _says("keep", "commit_whitelist"))
+    chain = chain.when(any_match(of("commit_blacklist"), F.col("record_id")), _says("drop", "commit_blacklist"))
     if not enabled:
-        return chain.otherwise(says("keep", "filter_disabled"))
-    chain = chain.when(all_files_match(of("path_blacklist"), F.col("files")), says("drop", "path_blacklist_all"))
-    chain = chain.when(any_file_match(of("path_whitelist"), F.col("files")), says("keep", "path_whitelist"))
-    chain = chain.when(has_artifact if has_artifact is not None else no, says("keep", "build_artifact"))
-    if require_coverage is not False and available is not False:
-        lacks = ~(covered if covered is not None else no) & ~wanted
-        chain = chain.when(lacks if available is True else available & lacks, says("drop", "no_kconfig_coverage"))
-    chain = chain.when(wanted, says("keep", "keywords_whitelist"))
-    chain = chain.when(any_match(of("keywords_blacklist"), text, lows), says("drop", "keywords_blacklist"))
-    return chain.otherwise(says("keep", "default"))
+        return chain.otherwise(_says("keep", "filter_disabled"))
+    chain = chain.when(all_files_match(of("path_blacklist"), F.col("files")), _says("drop", "path_blacklist_all"))
+    chain = chain.when(any_file_match(of("path_whitelist"), F.col("files")), _says("keep", "path_whitelist"))
+    chain = chain.when(any_match(of("keywords_whitelist"), text, lows), _says("keep", "keywords_whitelist"))
+    chain = chain.when(any_match(of("keywords_blacklist"), text, lows), _says("drop", "keywords_blacklist"))
+    return chain.otherwise(_says("keep", "default"))
+
+
+def in_product(own: Column, has_artifact: Column, covered: Column, required: bool) -> Column:
+    """A decision() with what is known of the record's files: an artifact keeps what is not settled, and where coverage is required uncovered records without a wanted word are dropped."""
+    chain = F.when(own["reason"].isin(*SETTLED), own).when(has_artifact, _says("keep", "build_artifact"))
+    if required:
+        chain = chain.when(~covered & (own["reason"] != "keywords_whitelist"), _says("drop", "no_kconfig_coverage"))
+    return chain.otherwise(own)
 
 
 def decide(records: DataFrame, catalog: Catalog, sets: DataFrame | None = None, enabled: bool = True, require_coverage: bool | None = None) -> DataFrame:
     """The records with action and reason. sets: what is built; see compiled_sets. Every row is decided by itself, whether its record_id is null or repeated.
 
+    Coverage is required as told, or else where a product map is available; without one nothing is required. A record without files is not covered.
     Records keep their place: what is known of their files comes in a narrow table by a digest of the list of files, which
-    is written, counted, and sent to them up to FEW_LISTS rows. Beyond that they are joined by the digest.
+    is written, counted, and sent to them up to FEW_LISTS rows. Beyond that they are joined by the digest. Texts and
+    files are tested before, and so not moved unless the caller asks for them: give records with their scores where these are wanted.
     """
     prepare(p for *_, p in catalog.patterns)
     lists = {k: catalog.overall(k) for k in KINDS}
     if sets is None:
-        made = decision(lists, enabled, require_coverage, lows=[F.col(c) for c in LOWS])
+        made = decision(lists, enabled, lows=[F.col(c) for c in LOWS])
         return with_lowered(records, TEXTS).withColumn("d", made).select(*records.columns, "d.action", "d.reason")
     available = not sets.isEmpty()
-    flags = cut(file_flags(records, sets).select(F.col("key").alias("_key"), "has_artifact", "covered"), "flags")
+    # two numbers are sorted by the first of them as it is, a struct only by comparing rows
+    flags = cut(file_flags(records, sets).select(F.col("key.a").alias("_a"), F.col("key.b").alias("_b"), "has_artifact", "covered"), "flags")
     few = flags.count() <= FEW_LISTS
     no = F.lit(False)
-    flagged = records.join(F.broadcast(flags) if few else flags, list_key(F.col("files")) == F.col("_key"), "left")
-    made = decision(lists, enabled, require_coverage, available, F.coalesce("has_artifact", no), F.coalesce("covered", no))
+    key = list_key(F.col("files"))
+    own = records.withColumns({"_own": decision(lists, enabled), "_a": key["a"], "_b": key["b"]})
+    flagged = own.join(F.broadcast(flags) if few else flags, ["_a", "_b"], "left")
+    made = in_product(F.col("_own"), F.coalesce("has_artifact", no), F.coalesce("covered", no), available and require_coverage is not False)
     return flagged.withColumn("d", made).select(*records.columns, "d.action", "d.reason")
 
 

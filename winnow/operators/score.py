@@ -75,8 +75,10 @@ def scored(records: DataFrame, catalog: Catalog) -> DataFrame:
             )
         )
     out = out.withColumn("profile_scores", F.array(*per))
-    total = F.aggregate("profile_scores", F.lit(0), lambda s, x: s + x["final_score"])
-    matched = F.transform(F.filter("profile_scores", lambda x: (x["final_score"] > 0) | x["any_match"]), lambda x: x["profile"])
+    # by place: generated code, where functions over an array are interpreted for each record
+    each, none = [F.col("profile_scores")[j] for j in range(len(names))], F.array().cast("array<string>")
+    total = reduce(add, [x["final_score"] for x in each], F.lit(0))
+    matched = F.concat(none, *[F.when((x["final_score"] > 0) | x["any_match"], F.array(F.lit(p))).otherwise(none) for x, p in zip(each, names, strict=True)])
     return out.withColumns({"score": total, "matched_profiles": matched})
 
 

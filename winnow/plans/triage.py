@@ -20,9 +20,9 @@ class Triage:
 
 
 def judged(decided: DataFrame, catalog: Catalog, threshold: object = 0) -> DataFrame:
-    """Decided records with their scores, filter_reason (why either filter drops them, else null) and src (0: the pre-filter drops it, 1: the threshold decides)."""
+    """Decided records with their scores, unless they have them, filter_reason (why either filter drops them, else null) and src (0: the pre-filter drops it, 1: the threshold decides)."""
     early = F.col("action") == "drop"
-    late = rank.postfilter(score.scored(decided, catalog), threshold)
+    late = rank.postfilter(decided if "score" in decided.columns else score.scored(decided, catalog), threshold)
     return late.withColumns({"filter_reason": F.when(early, F.col("reason")).otherwise(F.col("filter_reason")), "src": F.when(early, 0).otherwise(1)})
 
 
