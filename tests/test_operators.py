@@ -106,6 +106,35 @@ def test_records_are_scored_once(spark, capsys):
     assert scans_and_tests(queries()["ranked"](spark, d), capsys)[1] == 0  # scores are written before
 
 
+def test_steps_are_made_once_for_a_source(spark, monkeypatch, capsys):
+    """Each source's scores read the texts once, and what passes reads scores alone; sums and matches of profiles are generated code, not functions that are interpreted for every record."""
+    from winnow.queries import queries
+    from winnow.streaming import increments
+
+    plans, commit = [], increments.Table.commit
+
+    def told(table, batch, rows, note=""):
+        capsys.readouterr()
+        rows.explain()
+        plans.append((table.path.rsplit("/", 1)[1], note, capsys.readouterr().out))
+        commit(table, batch, rows, note)
+
+    monkeypatch.setattr(increments.Table, "commit", told)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    made = queries()["resumed_steps"](spark, "/root/testdata/sf0.001")
+    assert [(step, note) for step, note, _ in plans] == [("scores", "some"), ("passed", "some"), ("scores", "all"), ("passed", "all")]
+    for step, _, plan in plans:
+        assert plan.count("FileScan parquet") == 1 and ("RLIKE" in plan) == (step == "scores")
+        assert "aggregate(" not in plan
+    s = score.scored(B.documents(spark, "/root/testdata/sf0.001"), B.DOC_CATALOG)
+    rows = s.select("record_id", "score", "matched_profiles", "profile_scores").collect()
+    for r in rows:
+        assert r.score == sum(p.final_score for p in r.profile_scores)
+        assert r.matched_profiles == [p.profile for p in r.profile_scores if p.final_score > 0 or p.any_match]
+    assert {(r.record_id, r.score) for r in made.collect()} == {(r.record_id, r.score) for r in rows if r.score >= 40}
+
+
 def test_best_is_the_start_of_the_rank(docs):
     s = score.scored(docs, B.DOC_CATALOG)
     want = {(r.record_id, r.rank) for r in rank.top_n(rank.ranked(s), 15).collect()}
