@@ -135,6 +135,40 @@ def test_steps_are_made_once_for_a_source(spark, monkeypatch, capsys):
     assert {(r.record_id, r.score) for r in made.collect()} == {(r.record_id, r.score) for r in rows if r.score >= 40}
 
 
+def test_a_table_of_one_row_group_is_scored_by_all_tasks(spark, tmp_path, monkeypatch):
+    """A file is parted by its size: with one row group, one of many tasks reads all rows, and they are dealt again; rows that are even already are not moved."""
+    from winnow.queries import queries
+    from winnow.sources.stages import spread
+
+    cores, commit, shares = spark.sparkContext.defaultParallelism, increments.Table.commit, []
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs.coalesce(1).write.parquet(str(tmp_path / "one" / "documents.parquet"))
+    docs.repartition(4 * cores).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+
+    def by_task(df):
+        return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect())
+
+    def told(table, batch, rows, note=""):
+        if table.path.endswith("/scores"):
+            shares.append(by_task(rows))
+        commit(table, batch, rows, note)
+
+    monkeypatch.setattr(increments.Table, "commit", told)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        one, many = (spark.read.parquet(str(tmp_path / d / "documents.parquet")) for d in ("one", "many"))
+        assert one.rdd.getNumPartitions() >= cores and len(by_task(one)) == 1
+        assert len(by_task(spread(one))) >= cores and spread(one).exceptAll(docs).isEmpty() and docs.exceptAll(spread(one)).isEmpty()
+        assert spread(many) is many and spread(one.where("false")).isEmpty()
+        made = queries()["resumed_steps"](spark, str(tmp_path / "one"))
+        got = {(r.record_id, r.score) for r in made.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(shares) == 2 and all(len(s) >= cores and s[-1] * cores <= 2 * sum(s) for s in shares)
+    assert got == {(r.record_id, r.score) for r in score.scored(B.documents(spark, "/root/testdata/sf0.01"), B.DOC_CATALOG).where("score >= 40").select("record_id", "score").collect()} and got
+
+
 def test_best_is_the_start_of_the_rank(docs):
     s = score.scored(docs, B.DOC_CATALOG)
     want = {(r.record_id, r.rank) for r in rank.top_n(rank.ranked(s), 15).collect()}
