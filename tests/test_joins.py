@@ -417,6 +417,74 @@ def test_a_batch_is_read_once(spark, tmp_path):
     assert table.has("none") and table.rows().count() == n
 
 
+def test_steps_of_a_batch_move_no_texts(spark, tmp_path, monkeypatch, capsys):
+    """Digests tell which records repeat or were scored before, and scores are joined with what is known of files: texts and files are in no exchange, and a batch without records reads no table."""
+    o, sets = cut(B.orders(spark, SMALL), "orders"), cut(_sets(spark), "sets")
+    moved, read, write, commit = [], [], increments.cut, increments.Table.commit
+
+    def told(df):
+        capsys.readouterr()
+        df.explain("formatted")
+        blocks = capsys.readouterr().out.split("\n\n")
+        moved.extend(line for b in blocks if re.match(r"\(\d+\) Exchange\n", b) for line in b.splitlines() if line.startswith("Input"))
+        read.append(sum("/t/batches" in b for b in blocks))
+
+    monkeypatch.setattr(prefilter, "FEW_LISTS", 0)
+    monkeypatch.setattr(increments, "cut", lambda df, name: told(df) or write(df, name))
+    monkeypatch.setattr(increments.Table, "commit", lambda self, batch, rows, note="": told(rows) or commit(self, batch, rows, note))
+    table = increments.scores_table(spark, str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    try:
+        for batch, rows in (("one", o.where("seq % 2 = 0")), ("two", o.where("seq % 2 = 1"))):
+            increments.score_batch(rows, table, B.ORDER_CATALOG, "f", batch, sets)
+        assert any(read)
+        del read[:]
+        increments.score_batch(o.where("seq < 0"), table, B.ORDER_CATALOG, "f", "none", sets)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moved and not any(re.search(r"\b(body|files|subject)#", line) for line in moved), moved
+    assert read and not any(read)
+    assert table.has("none") and table.rows().count() == increments.current_scores(table).count() == o.count()
+
+
+@pytest.mark.parametrize("few", [increments.FEW_REPEATED, 0])
+def test_repeated_and_known_records_of_a_batch_with_sets(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(increments, "FEW_REPEATED", few)
+    o, sets = cut(B.orders(spark, SMALL), "orders"), cut(_sets(spark), "sets")
+    other = o.where("seq % 4 = 0").withColumn("body", F.lit("other"))
+    unnamed = o.limit(1).withColumn("record_id", F.lit(None).cast("string"))
+    table = increments.scores_table(spark, str(tmp_path / "t"))
+    add = lambda rows, batch: increments.score_batch(rows, table, B.ORDER_CATALOG, "f", batch, sets)
+    n, m = o.count(), other.count()
+    add(o.union(o.where("seq % 3 = 0")).union(other).union(unnamed).union(unnamed), "one")
+    assert table.rows().count() == n + m + 1
+    last = {r.record_id: r.content for r in increments.current_scores(table).collect()}
+    both = o.union(other).withColumn("content", increments.content_digest())
+    assert {k: v for k, v in last.items() if k} == {r.record_id: r.c for r in both.groupBy("record_id").agg(F.max("content").alias("c")).collect()}
+    # what is not the content scored last is new: of records with two the lesser one; rows without an id always
+    add(o.union(o).union(unnamed), "two")
+    lesser = sum(last[r.record_id] != r.content for r in o.withColumn("content", increments.content_digest()).collect())
+    assert 0 < lesser < m and table.rows().where("_batch = 'two'").count() == lesser + 1
+    want = {(r.record_id, r.action, r.reason) for r in prefilter.decide(o, B.ORDER_CATALOG, sets).collect()}
+    add(o, "three")
+    got = {(r.record_id, r.action, r.reason) for r in increments.current_scores(table).join(o.withColumn("content", increments.content_digest()).select("record_id", "content"), ["record_id", "content"], "left_semi").collect()}
+    assert got == want
+
+
+def test_a_stream_takes_its_files_by_parts(spark, tmp_path):
+    """Micro-batches of one file each decide as one batch does; records that come again in a later one are left out."""
+    o, sets = cut(B.orders(spark, SMALL), "orders"), cut(_sets(spark), "sets")
+    report.write_lines(o.union(o.where("seq % 5 = 0")).repartition(3), str(tmp_path / "in"), compression="gzip")
+    assert all(f.suffix == ".gz" for f in (tmp_path / "in").glob("part-*"))
+    table = increments.scores_table(spark, str(tmp_path / "out"))
+    read = streaming.read_stream(spark, str(tmp_path / "in"), f"{streaming.RECORD}, author_time long", 1)
+    streaming.decide_stream(streaming.once(read, "author_time", "10000 days"), table, B.ORDER_CATALOG, "f", str(tmp_path / "state"), sets).awaitTermination()
+    assert table.manifests().where("n > 0").count() == 3 and table.rows().count() == o.count()
+    want = {(r.record_id, r.action, r.reason) for r in prefilter.decide(o, B.ORDER_CATALOG, sets).collect()}
+    assert {(r.record_id, r.action, r.reason) for r in increments.current_scores(table).collect()} == want
+
+
 def test_invalid_expressions_are_listed(spark):
     bad = ["re:(", "re:(a)?(?(1)b|x)", "re:*"]
     c = C.Catalog(patterns=[("r", "keywords_whitelist", i, p) for i, p in enumerate([*bad, "re:a(?P<b_c>d)", "(", "re:x"])])

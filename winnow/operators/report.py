@@ -150,9 +150,9 @@ def write_json(records: DataFrame, path: str) -> None:
     ordered(records).write.mode("overwrite").json(path)
 
 
-def write_lines(records: DataFrame, path: str) -> None:
-    """Collected records as they are, a JSON row each."""
-    records.write.mode("overwrite").json(path)
+def write_lines(records: DataFrame, path: str, **options: object) -> None:
+    """Collected records as they are, a JSON row each. options: those of Spark's writer of JSON (compression, maxRecordsPerFile)."""
+    records.write.mode("overwrite").options(**options).json(path)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from winnow.operators.prefilter import decide
 from winnow.operators.score import scored
 from winnow.sources.catalog import Catalog
-from winnow.sources.stages import cut, discard, exists, remove
+from winnow.sources.stages import cut, discard, dropping_shuffles, exists, remove
 
 MANIFEST = "batch string, place long, n long, note string"
 SCORES = "record_id string, content string, fingerprint string, action string, reason string, score int, matched_profiles array<string>"
@@ -64,7 +64,8 @@ class Table:
             return
         place = (self.manifests().agg(F.max("place")).first()[0] or 0) + 1
         at = f"{self.path}/batches/_batch={batch}"
-        rows.write.mode("overwrite").parquet(at)
+        with dropping_shuffles(rows.sparkSession):
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(at)
         n = self.spark.read.parquet(at).count()
         self.spark.createDataFrame([(batch, place, n, note)], MANIFEST).coalesce(1).write.mode("overwrite").json(f"{self.path}/manifests/{batch}")
 
@@ -77,8 +78,8 @@ class Table:
 def latest(rows: DataFrame, key: str = "record_id") -> DataFrame:
     """Of each key the row of the latest batch."""
     columns = [c for c in rows.columns if c not in (key, "_batch", "_place")]
-    one = rows.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct("_place", *columns)).alias("_r"))
-    return one.select(key, "_r.*")
+    one = rows.groupBy(key).agg(F.max(F.struct("_place", *columns)).alias("_r"))
+    return one.select(key, *(f"_r.{c}" for c in columns))
 
 
 def scores_table(spark: SparkSession, path: str) -> Table:
@@ -90,6 +91,43 @@ def current_scores(table: Table) -> DataFrame:
     return latest(table.rows())
 
 
+#: Records that repeat, or that were scored before, by their digests up to which these are sent to every task.
+FEW_REPEATED = 1_000_000
+_ONE = ["record_id", "content"]
+
+
+def _narrow(table: Table) -> DataFrame:
+    """What tells of a table whether a record was scored: rows are in order of content and fingerprint first, so that no more of them is moved."""
+    return table.rows().select(*_ONE, "fingerprint", "_batch", "_place")
+
+
+def _few(found: DataFrame) -> DataFrame:
+    return F.broadcast(found) if found.count() <= FEW_REPEATED else found
+
+
+def _undone(batch: DataFrame, table: Table, fingerprint: str) -> DataFrame:
+    """The records of a written batch that were not yet scored, written: ids and digests tell which, and where none was the batch stays as it is."""
+    if table.manifests().isEmpty() or batch.isEmpty():
+        return batch
+    # put together by id in one pass: joined with what was scored last, that would be moved once more
+    told = _narrow(table).select("record_id", F.struct("_place", "content", "fingerprint").alias("last"), F.lit(None).cast("string").alias("asked"))
+    both = told.union(batch.select("record_id", F.lit(None), F.col("content"))).where("record_id is not null")
+    by = both.groupBy("record_id").agg(F.max("last").alias("last"), F.collect_set("asked").alias("asked"))
+    same = by.where((F.col("last.fingerprint") == fingerprint) & F.array_contains("asked", F.col("last.content")))
+    known = cut(same.select("record_id", "last.content"), "known")
+    return batch if known.isEmpty() else cut(batch.join(_few(known), _ONE, "left_anti"), "new")
+
+
+def _unrepeated(batch: DataFrame) -> DataFrame:
+    """The records of a written batch without those that repeat one, written: digests tell which may, only these are moved, and where there are none the batch stays as it is."""
+    keyed = batch.withColumns({"_a": F.xxhash64(*_ONE), "_b": F.xxhash64(F.lit(1), *_ONE)})
+    twice = cut(keyed.groupBy("_a", "_b").count().where("count > 1").select("_a", "_b", F.lit(True).alias("_twice")), "twice")
+    if twice.isEmpty():
+        return batch
+    marked = keyed.join(_few(twice), ["_a", "_b"], "left").drop("_a", "_b")
+    return cut(marked.where("_twice is null").drop("_twice").union(marked.where("_twice").drop("_twice").dropDuplicates(_ONE)), "single")
+
+
 def score_batch(records: DataFrame, table: Table, catalog: Catalog, fingerprint: str, batch: str, sets: DataFrame | None = None) -> None:
     """Decide and score the records whose content or catalog is not the one that they were last scored with, and add them as a batch.
 
@@ -98,21 +136,21 @@ def score_batch(records: DataFrame, table: Table, catalog: Catalog, fingerprint:
     """
     if table.has(batch):
         return
-    one = ["record_id", "content"]
     keyed = records.withColumn("content", content_digest())
-    if sets is not None:
-        keyed = keyed.dropDuplicates(one)
-    done = current_scores(table).where(F.col("fingerprint") == fingerprint).select(*one)
-    new = keyed.join(done, one, "left_anti")
-    if sets is not None:
-        # what is known of their files is asked for in steps of their own: a stream's records would be read, parted from repeated ones and joined again for each
-        new = cut(new, "new")
-    out = scored(decide(new, catalog, sets), catalog)
-    rows = out.select(*one, F.lit(fingerprint).alias("fingerprint"), "action", "reason", "score", "matched_profiles")
-    # repeated rows are scored where they are and one of them kept then: to find them first, all texts would be sorted and moved
-    table.commit(batch, rows.dropDuplicates(one) if sets is None else rows, note=fingerprint)
-    if sets is not None:
-        discard(new)
+    rows = lambda out: out.select(*_ONE, F.lit(fingerprint).alias("fingerprint"), "action", "reason", "score", "matched_profiles")
+    if sets is None:
+        done = latest(_narrow(table)).where(F.col("fingerprint") == fingerprint).select(*_ONE)
+        new = keyed.join(done, _ONE, "left_anti")
+        # repeated rows are scored where they are and one of them kept then: to find them first, all texts would be sorted and moved
+        table.commit(batch, rows(scored(decide(new, catalog), catalog)).dropDuplicates(_ONE), note=fingerprint)
+        return
+    # what is known of their files is asked for in steps of their own: a stream's records would be read, parted from repeated ones and joined again for each
+    whole = cut(keyed.select(*_ONE, "subject", "body", "files"), "batch")
+    undone = _undone(whole, table, fingerprint)
+    single = _unrepeated(undone)
+    # scored before they are joined with what is known of their files: rows are narrow there
+    table.commit(batch, rows(decide(scored(single, catalog), catalog, sets)), note=fingerprint)
+    discard(*{t.cut_path: t for t in (whole, undone, single)}.values())
 
 
 @dataclass

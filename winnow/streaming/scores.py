@@ -14,6 +14,8 @@ from winnow.streaming.increments import Table, score_batch
 
 #: Records of a stream whose ids repeat within so long are one.
 REPEATS_WITHIN = "1 day"
+#: Bytes of files that a micro-batch of decisions takes: what it moves and writes between its steps is bounded by these, and not by what is there.
+AT_ONCE = 1 << 30
 RECORD = "record_id string, seq long, subject string, body string, files array<string>, author_name string"
 
 
@@ -40,8 +42,10 @@ def score_stream(records: DataFrame, catalog: Catalog) -> DataFrame:
     return out.select("record_id", "d.action", "d.reason", "score", "matched_profiles")
 
 
-def read_stream(spark: SparkSession, folder: str, schema: str = RECORD) -> DataFrame:
-    return spark.readStream.schema(schema).json(folder)
+def read_stream(spark: SparkSession, folder: str, schema: str = RECORD, at_once: int | None = None) -> DataFrame:
+    """Records of a folder of JSON rows. at_once: bytes of files that a micro-batch takes; else one takes all that is there, and moves all of it at a time."""
+    stream = spark.readStream.schema(schema)
+    return (stream.option("maxBytesPerTrigger", at_once) if at_once else stream).json(folder)
 
 
 def write_stream(scores: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
