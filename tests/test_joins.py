@@ -90,6 +90,48 @@ def test_symbols_in_texts_are_the_plain_join(spark, docs, monkeypatch):
         assert {tuple(r) for r in evidence.config_text(docs, rows).collect()} == want and want
 
 
+def _map_tags(files, mapped):
+    under = lambda f, p: "/" in p.lstrip("/") and f.startswith(p.rsplit("/", 1)[0] + "/")
+    return {"config_map:" + s for f in files or [] for s, p in mapped if f and (f == p and p or under(f, p))}
+
+
+@pytest.mark.parametrize("few", [evidence.FEW_SYMBOLS, 0])
+def test_all_tags_of_a_record_are_put_together_in_one_exchange(spark, monkeypatch, capsys, few):
+    """Every kind of link, looked up together, is the plain join; records without any, repeated ones and ones without an id stay, and one row of each is moved."""
+    monkeypatch.setattr(evidence, "FEW_SYMBOLS", few)
+    mapped = [("S1", "a/b/x.c"), ("S2", "a/y.c"), ("S3", "z.c"), ("S4", "/r.c"), ("S5", ""), ("S6", "d/e/f/g.c"), ("S1", "a/b/w.c"), ("S7", "/s/t.c")]
+    rows = [
+        ("one", "usb fix", "the end-of-it", ["a/b/c/d.c", "a/q.c"]), ("two", "plain", None, ["z.c", "/r.c", "y/z.c", ""]), ("three", None, "of\nusbx A-B", None), ("four", "nothing", "zzz", []),
+        ("five", "net USB", "", ["d/e/f/g.c", "d/e/h.c", "a/b", None]), ("five", "net", "the", ["a/y.c"]), (None, "usb", "the", ["z.c"]), ("six", "x", "y", ["/s/u.c", "a/bb/x.c"]),
+    ]
+    symbols = ["CONFIG_THE=y", "CONFIG_USB", "CONFIG_OF=m", "CONFIG_A-B=y", "CONFIG_END-OF", "CONFIG_-"]
+    hints = [("usb", "d/e"), ("net", "a/b/deep"), ("usb", "lib/usbcore"), ("plain", "no/where")]
+    r = cut(spark.createDataFrame(rows, "record_id string, subject string, body string, files array<string>"), "records")
+    paths = cut(spark.createDataFrame(mapped, "symbol string, path string"), "paths")
+    log, built = (spark.createDataFrame([(x,)], f"{c} string") for x, c in (("usbcore2.o", "name"), ("x/deep.ko", "path")))
+    touched = evidence.with_touched(r, spark.createDataFrame(hints, "keyword string, prefix string"))
+    made = lambda: evidence.product_evidence(touched, paths, product.config_dirs(paths), log, built, spark.createDataFrame([(x,) for x in symbols], "symbol string"))
+    of_prefix = {"d/e": {"config_dir:d/e/f/", "artifact:e", "build_log:e"}, "a/b/deep": {"config_dir:a/", "artifact:deep"}, "lib/usbcore": {"build_log:usbcore"}, "no/where": set()}
+
+    def tags(subject, body, files):
+        low = f"{subject or ''}\n{body or ''}".lower()
+        found = _map_tags(files, mapped).union(*(of_prefix[p] for k, p in hints if k in (subject or "").lower()))
+        return found | {"config_text:" + s.split("=")[0] for s in symbols if s.split("=")[0].removeprefix("CONFIG_").lower() in low}
+
+    want = [(i, sorted(set().union(*(tags(*x) for k, *x in rows if k == i)) if i else [])) for i, *_ in rows]
+    got = [(x.record_id, x.product_evidence) for x in made().collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    each = {(x.record_id, x.tag) for x in evidence.config_map(r, paths).collect()}
+    assert each == {(i, t) for i, _, _, files in rows for t in _map_tags(files, mapped)} and each
+    o = cut(B.orders(spark, SMALL), "orders")
+    mine = B.config_paths(spark, SMALL)
+    some = evidence.product_evidence(evidence.with_touched(o, B.hints(spark)), mine, product.config_dirs(mine), product.log_objects(B.log_lines(spark, SMALL)), B.artifacts(spark, SMALL), B.symbols(spark, SMALL))
+    plan = plan_of(some, capsys)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "record_id" in line]
+    assert not few or (len(moved) == 1 and plan.count("SortMergeJoin") == 0)
+    assert some.count() == o.count()
+
+
 # pre-filter
 
 

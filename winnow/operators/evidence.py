@@ -19,33 +19,70 @@ from winnow.sources.product import bare
 from winnow.sources.stages import cut
 
 
-def infer_paths(records: DataFrame, hints: DataFrame) -> DataFrame:
-    """record_id, touched: the prefixes of all hint keywords that the lower-cased subject holds, distinct and sorted.
+def with_touched(records: DataFrame, hints: DataFrame) -> DataFrame:
+    """The records with touched: the prefixes of all hint keywords that the lower-cased subject holds, distinct and sorted.
 
-    hints(keyword, prefix) is a list that people write; it is matched against the distinct subjects.
+    hints(keyword, prefix) is a list that people write; it is matched against the distinct subjects. Those that hold any are written, counted, and sent to the records up to FEW_SYMBOLS.
     """
-    subjects = records.select(F.lower(F.coalesce("subject", F.lit(""))).alias("low")).distinct()
-    hit = subjects.join(hints, F.col("low").contains(F.lower("keyword"))).groupBy("low").agg(F.array_sort(F.collect_set("prefix")).alias("touched"))
-    keyed = records.select("record_id", F.lower(F.coalesce("subject", F.lit(""))).alias("low")).join(hit, "low", "left")
-    return keyed.select("record_id", F.coalesce("touched", F.array().cast("array<string>")).alias("touched"))
+    low = F.lower(F.coalesce("subject", F.lit("")))
+    hit = records.select(low.alias("_low")).distinct().join(hints, F.col("_low").contains(F.lower("keyword"))).groupBy("_low").agg(F.array_sort(F.collect_set("prefix")).alias("touched"))
+    hit = cut(hit, "subjects")
+    keyed = records.withColumn("_low", low).join(F.broadcast(hit) if hit.count() <= FEW_SYMBOLS else hit, "_low", "left")
+    return keyed.select(*records.columns, F.coalesce("touched", F.array().cast("array<string>")).alias("touched"))
+
+
+def infer_paths(records: DataFrame, hints: DataFrame) -> DataFrame:
+    """record_id, touched: see with_touched."""
+    return with_touched(records.select("record_id", "subject"), hints).select("record_id", "touched")
 
 
 def _files(records: DataFrame) -> DataFrame:
     return records.select("record_id", F.explode("files").alias("file"))
 
 
+def _ask(kind: str, value: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), value.alias("at"))
+
+
+def _at_root(path: Column) -> Column:
+    """Whether a path has no directory."""
+    return F.length(path) <= F.length(basename(path)) + 1
+
+
+def _of_files() -> Column:
+    """What a record's files ask the map for: each of their directories, and files at the root as themselves."""
+    files = F.coalesce("files", F.array().cast("array<string>"))
+    dirs = F.array_distinct(F.flatten(F.transform(files, ancestors)))
+    return F.concat(F.transform(dirs, lambda d: _ask("under", d)), F.transform(F.filter(files, _at_root), lambda f: _ask("same", f)))
+
+
+def _mapped(config_paths: DataFrame) -> DataFrame:
+    """kind, at, tag: what _of_files asks for. A file that equals a mapped path lies beside it as well, so that paths answer by their directory; those at the root by themselves."""
+    path = F.col("path")
+    answer = F.when(dirname(path) != "", _ask("under", dirname(path))).otherwise(_ask("same", path))
+    return config_paths.select(answer.alias("x"), F.concat(F.lit("config_map:"), "symbol").alias("tag")).select("x.kind", "x.at", "tag").where("at <> ''").distinct()
+
+
+def _answered(records: DataFrame, asks: Column, answers: DataFrame) -> DataFrame:
+    """record_id, kind, tags: what of answers(kind, at, tag) a record's asks meet. Answers are few beside the records: they are written, counted, and sent to them up to FEW_SYMBOLS tags."""
+    known = cut(answers.groupBy("kind", "at").agg(F.collect_set("tag").alias("tags")), "answers")
+    few = known.agg(F.coalesce(F.sum(F.size("tags") + 1), F.lit(0))).first()[0] <= FEW_SYMBOLS
+    asked = records.select("record_id", F.explode(asks).alias("x")).select("record_id", "x.kind", "x.at")
+    return asked.join(F.broadcast(known) if few else known, ["kind", "at"]).select("record_id", "kind", "tags")
+
+
+def _all_tags() -> Column:
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_set("tags"))))
+
+
 def config_map(records: DataFrame, config_paths: DataFrame) -> DataFrame:
     """record_id, tag: one `config_map:SYMBOL` per symbol with a mapped path that a file equals or lies beside or below.
 
     Symbols count whether enabled or not.
     """
-    # a file is asked for as itself and below each of its directories: one join by equality finds both
-    ways = F.concat(F.array(F.struct(F.lit("same").alias("way"), F.col("file").alias("at"))), F.transform(ancestors(F.col("file")), lambda d: F.struct(F.lit("under").alias("way"), d.alias("at"))))
-    asked = _files(records).select("file").distinct().select("file", F.explode(ways).alias("x")).select("file", "x.way", "x.at")
-    answers = F.array(F.struct(F.lit("same").alias("way"), F.col("path").alias("at")), F.struct(F.lit("under").alias("way"), dirname(F.col("path")).alias("at")))
-    mapped = config_paths.select("symbol", F.explode(answers).alias("x")).select("symbol", "x.way", "x.at").where("at <> ''").distinct()
-    tags = asked.join(mapped, ["way", "at"]).select("file", "symbol").distinct()
-    return _files(records).join(tags, "file").select("record_id", F.concat(F.lit("config_map:"), "symbol").alias("tag")).distinct()
+    found = _answered(records, _of_files(), _mapped(config_paths))
+    # a row of a record is moved, and not one of each tag
+    return found.groupBy("record_id").agg(_all_tags().alias("tags")).select("record_id", F.explode("tags").alias("tag"))
 
 
 def _guesses(touched: DataFrame) -> DataFrame:
@@ -90,41 +127,77 @@ def artifact(touched: DataFrame, artifacts: DataFrame) -> DataFrame:
 FEW_SYMBOLS = 200_000
 
 
-def config_text(records: DataFrame, symbols: DataFrame, literal_suffix: bool = False) -> DataFrame:
-    """record_id, tag: symbols whose lower-cased name, without CONFIG_, the lower-cased subject and body hold.
+def _low_text() -> Column:
+    return F.lower(F.concat_ws("\n", F.coalesce("subject", F.lit("")), F.coalesce("body", F.lit(""))))
 
-    literal_suffix keeps =y and =m as a part of the name. A name is looked up among the distinct tokens of all texts, and found in a
-    text by the token that holds it: a row of a text per distinct token, and none per symbol. Names that are no token (short ones,
-    or such with other characters) are tested for their longest token, in the texts that hold it.
-    """
+
+def _symbol_links(records: DataFrame, symbols: DataFrame, literal_suffix: bool = False) -> tuple[DataFrame, DataFrame]:
+    """A written table of the tokens of all texts that hold a name (token, symbol, needle, sure), or its longest token where it is not sure; and one of the names that have none (symbol, needle). See config_text."""
     name = F.col("symbol") if literal_suffix else bare(F.col("symbol"))
     needles = symbols.select(name.alias("symbol")).distinct().withColumn("needle", F.lower(F.regexp_replace("symbol", "^CONFIG_", ""))).where("needle <> ''")
-    low = F.lower(F.concat_ws("\n", F.coalesce("subject", F.lit("")), F.coalesce("body", F.lit(""))))
-    texts = records.select("record_id", low.alias("low"))
     part = F.try_element_at(F.array_sort(F.transform(F.regexp_extract_all("needle", F.lit(TOKEN), F.lit(0)), lambda t: F.struct(F.length(t).alias("n"), t.alias("t")))), F.lit(-1))["t"]
     known = needles.withColumn("part", part)
     key = F.array(F.struct(F.lit(False).alias("whole"), F.col("part").alias("key")))
     keyed = known.where(F.length("part") >= 3).select(F.col("symbol").alias("id"), key.alias("keys"), "needle", "part")
-    broken = texts.withColumn("token", F.explode(tokens(F.col("low"))))
-    vocabulary = cut(broken.select("token").distinct(), "vocabulary")
-    found = cut(links(key_tokens(vocabulary, keyed), keyed).join(keyed.select("id", "needle", "part"), "id").select("token", F.col("id").alias("symbol"), "needle", (F.col("needle") == F.col("part")).alias("sure")), "links")
+    vocabulary = cut(records.select(F.explode(tokens(_low_text())).alias("token")).distinct(), "vocabulary")
+    found = links(key_tokens(vocabulary, keyed), keyed).join(keyed.select("id", "needle", "part"), "id").select("token", F.col("id").alias("symbol"), "needle", (F.col("needle") == F.col("part")).alias("sure"))
+    return cut(found, "links"), cut(known.where(F.coalesce(F.length("part"), F.lit(0)) < 3).select("symbol", "needle"), "short")
+
+
+def _by_links(records: DataFrame, found: DataFrame) -> DataFrame:
+    """record_id, symbol of the links' names that texts hold."""
     few = found.limit(FEW_SYMBOLS + 1).count() <= FEW_SYMBOLS
+    broken = records.select("record_id", _low_text().alias("low")).withColumn("token", F.explode(tokens(F.col("low"))))
     met = broken.join(F.broadcast(found) if few else found, "token")
-    hit = met.where(F.col("sure") | F.col("low").contains(F.col("needle"))).select("record_id", "symbol")
-    # names of one or two characters, or without any of the alphabet of tokens: there are few such names, one row of them
-    short = known.where(F.coalesce(F.length("part"), F.lit(0)) < 3).agg(F.collect_list(F.struct("symbol", "needle")).alias("s"))
-    tested = texts.crossJoin(F.broadcast(short)).select("record_id", F.explode(F.filter("s", lambda x: F.contains(F.col("low"), x["needle"]))).alias("x")).select("record_id", "x.symbol")
-    return hit.union(tested).select("record_id", F.concat(F.lit("config_text:"), "symbol").alias("tag")).distinct()
+    return met.where(F.col("sure") | F.col("low").contains(F.col("needle"))).select("record_id", "symbol")
+
+
+def _by_short(records: DataFrame, short: DataFrame) -> DataFrame:
+    """record_id, symbol of names of one or two characters, or without any of the alphabet of tokens: there are few such names, one row of them."""
+    listed = short.agg(F.collect_list(F.struct("symbol", "needle")).alias("s"))
+    texts = records.select("record_id", _low_text().alias("low"))
+    return texts.crossJoin(F.broadcast(listed)).select("record_id", F.explode(F.filter("s", lambda x: F.contains(F.col("low"), x["needle"]))).alias("x")).select("record_id", "x.symbol")
+
+
+def config_text(records: DataFrame, symbols: DataFrame, literal_suffix: bool = False) -> DataFrame:
+    """record_id, tag: symbols whose lower-cased name, without CONFIG_, the lower-cased subject and body hold.
+
+    literal_suffix keeps =y and =m as a part of the name. A name is looked up among the distinct tokens of all texts, and found in a
+    text by the token that holds it: a row of a text per distinct token, and none per symbol. Names that are no token (short ones,
+    or such with other characters) are tested for their longest token, in the texts that hold it.
+    """
+    found, short = _symbol_links(records, symbols, literal_suffix)
+    hit = _by_links(records, found).union(_by_short(records, short))
+    return hit.select("record_id", F.concat(F.lit("config_text:"), "symbol").alias("tag")).distinct()
 
 
-def product_evidence(records: DataFrame, touched: DataFrame, config_paths: DataFrame, dirs: DataFrame, log_objects: DataFrame, artifacts: DataFrame, symbols: DataFrame) -> DataFrame:
+def product_evidence(records: DataFrame, config_paths: DataFrame, dirs: DataFrame, log_objects: DataFrame, artifacts: DataFrame, symbols: DataFrame) -> DataFrame:
     """record_id, product_evidence: all tags of a record, sorted; none is an empty list.
 
-    Five links read the records and the map: give tables that are written (see stages.cut) where they come from joins.
+    records have touched (see with_touched). Every link is looked up by what records ask for (directories, prefixes, tokens): the answers go to the records, and one row of each record is
+    moved, with all its tags. Records and the map are read several times: give tables that are written (see stages.cut) where they come from joins. Rows that repeat a record_id have the tags of all.
     """
-    tags = config_map(records, config_paths).union(config_dir(touched, dirs)).union(build_log(touched, log_objects)).union(artifact(touched, artifacts)).union(config_text(records, symbols))
-    found = tags.groupBy("record_id").agg(F.array_sort(F.collect_set("tag")).alias("product_evidence"))
-    return records.select("record_id").join(found, "record_id", "left").select("record_id", F.coalesce("product_evidence", F.array().cast("array<string>")).alias("product_evidence"))
+    # what is known of a prefix is the same in all records that touch it
+    guess = records.select(F.explode("touched").alias("record_id")).distinct()
+    each = cut(guess.select("record_id", F.array("record_id").alias("touched")), "prefixes")
+    of_guess = config_dir(each, dirs).union(build_log(each, log_objects)).union(artifact(each, artifacts))
+    found, short = _symbol_links(records, symbols)
+    tag = F.concat(F.lit("config_text:"), "symbol")
+    # every record asks for one row that is always there, so that none is lost
+    always = records.sparkSession.range(1).select(F.lit("").alias("kind"), F.lit("").alias("at"), F.lit(None).cast("string").alias("tag"))
+    answers = always.union(_mapped(config_paths)).union(of_guess.select(F.lit("guess"), "record_id", "tag")).union(found.where("sure").select(F.lit("token"), "token", tag))
+    asks = F.concat(F.array(_ask("", F.lit(""))), _of_files(), F.transform(F.coalesce("touched", F.array().cast("array<string>")), lambda g: _ask("guess", g)), F.transform(tokens(_low_text()), lambda t: _ask("token", t)))
+    tags = _answered(records, asks, answers)
+    # names that are tested in the texts themselves
+    unsure = found.where("not sure")
+    for some, by in ((unsure, _by_links), (short, _by_short)):
+        if not some.isEmpty():
+            tags = tags.union(by(records, some).select("record_id", F.lit(None), F.array(tag)))
+    one = tags.groupBy("record_id").agg(F.count_if(F.col("kind") == "").cast("int").alias("n"), _all_tags().alias("tags"))
+    none = F.array().cast("array<string>")
+    # as often as records have it; without an id rows are no record's
+    rows = one.withColumn("_i", F.explode(F.array_repeat(F.lit(0), F.col("n"))))
+    return rows.select("record_id", F.when(F.col("record_id").isNull(), none).otherwise(F.col("tags")).alias("product_evidence"))
 
 
 def list_key(files: Column) -> Column:
