@@ -283,6 +283,30 @@ def test_a_long_text_is_not_copied_for_each_token(spark):
     assert found == {(1, p) for _, _, p in patterns[:4]} | {(2, "word7")}
 
 
+@pytest.mark.parametrize("few", [literal_index.FEW_LINKS, 0])
+def test_two_words_are_decided_by_parts_of_a_text(spark, monkeypatch, capsys, few):
+    """Patterns of two words are tested on two parts that follow each other: no text is tested whole, or moved, and the hits are those of the plain join."""
+    monkeypatch.setattr(literal_index, "FEW_LINKS", few)
+
+    def whole(*_):
+        raise AssertionError("a text is tested whole")
+
+    monkeypatch.setattr(literal_index, "survivors", whole)
+    r = random.Random(5)
+    words = ["is", "of", "this", "Of", "THE", "the", "ſum", "Sum", "sum", "\u212aey", "key", "İt", "it", "a_b", "x", "(of", "of,", "sum.", "é", "theé", "the\u0301", "", "", "of\nthe", "the\tof", "\u00a0of", "Σ"]
+    texts = [(n, " ".join(r.choices(words, k=r.randint(0, 14)))) for n in range(400)] + [(400, None), (401, "of"), (402, " "), (403, "of the"), (403, "of the"), (404, "x" * 3000 + "of thex" + "y" * 3000)]
+    pairs = ["is of", "of the", "the of", "this sum", "sum the", "key it", "it key", "a_b x", "of Sum", "he of", "m th"]
+    patterns = [(f"r{n % 3}", "keywords_whitelist", made) for n, p in enumerate(pairs) for made in (p, f"*{p.lower()}*", f"re:{p}", p.upper())] + [("again", "keywords_whitelist", "of the")]
+    df = cut(spark.createDataFrame(texts, "n int, t string"), "texts")
+    known = literal_index.keyed_patterns(df, patterns)[0].select("pattern").distinct().count()
+    plain = sorted(map(repr, score.pattern_join(df, patterns, "t").collect()))
+    found = literal_index.pattern_index(df, patterns, "t")
+    assert sorted(map(repr, found.collect())) == plain and len(plain) > 500 and known > 30
+    narrow = plan_of(found.select("n", "rule", "pattern").where("length(pattern) > 0"), capsys)
+    assert all(" t#" not in line and ", t#" not in line for line in narrow.splitlines() if "Exchange hashpartitioning" in line)
+    assert literal_index.pattern_index(df, [], "t").count() == 0
+
+
 def test_short_words_at_open_ends_have_keys(spark):
     """Patterns of two short words are met at a short joint, and not tested against every text."""
     texts = spark.createDataFrame([("proof iterates",), ("of it",), ("of - Item",), ("o fit",), ("if it",), ("of",)], "t string")

@@ -9,11 +9,12 @@ nearly match, and not with the catalog.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnow.functions.literals import GRAM, SHORT, decided, index_keys, joints, joints_of, lowered, shortcut, tokens, words_of  # noqa: F401  (tokens, joints: as literals has them)
+from winnow.functions.literals import BY_EXPRESSION, GRAM, SHORT, decided, index_keys, joints, joints_of, lowered, shortcut, tokens, words_of  # noqa: F401  (tokens, joints: as literals has them)
 from winnow.functions.patterns import prepare, search_regex
 from winnow.operators.score import PATTERNS_TOGETHER, TEXTS
 from winnow.sources.catalog import CAP, Catalog
@@ -24,6 +25,8 @@ FEW_LINKS = 200_000
 #: Distinct tokens that may hold a part before it is too common to look for.
 MOST_TOKENS = 500
 _KEYS = "array<struct<whole:boolean,key:string>>"
+#: Literals that two parts of a text decide, where it is cut at its spaces.
+_TWO_WORDS = r"\A[A-Za-z0-9_]+ [A-Za-z0-9_]+\z"
 
 
 def _grams(text: Column) -> Column:
@@ -78,12 +81,39 @@ def survivors(texts: DataFrame, column: str, keyed: DataFrame, by_key: DataFrame
         found = cut(found.join(each.select("token").distinct(), "token", "left_semi"), "links")
         n = found.count()
     pairs = each.join(F.broadcast(found) if n <= FEW_LINKS else found, "token").select("_d", "id").distinct()
+    met = _with_lists(texts, column, pairs).withColumn("_f", lowered(F.col(column)))
+    # a catalog, which the driver has as a list
+    whole = F.broadcast(keyed.select("id", F.struct(*keyed.columns).alias("_p")))
+    return met.withColumn("id", F.explode("_ids")).drop("_ids").join(whole, "id").drop("id")
+
+
+def _with_lists(texts: DataFrame, column: str, pairs: DataFrame) -> DataFrame:
+    """The texts of pairs(_d, id) with _ids, all ids of a text as one list: a text meets it once."""
     lists = cut(pairs.groupBy("_d").agg(F.collect_list("id").alias("_ids")), "pairs")
     few = lists.agg(F.coalesce(F.sum(F.size("_ids")), F.lit(0))).first()[0] <= FEW_LINKS
-    met = texts.withColumn("_d", _digest(F.col(column))).join(F.broadcast(lists) if few else lists, "_d").drop("_d")
+    return texts.withColumn("_d", _digest(F.col(column))).join(F.broadcast(lists) if few else lists, "_d").drop("_d")
+
+
+def met_by_parts(texts: DataFrame, column: str, near: DataFrame) -> DataFrame:
+    """_d, id: the digest of each text with each pattern of near(id, e, how, lit) that it matches, whose literals are two words with a space between them.
+
+    A text holds such a literal where one of its parts, cut at its spaces, ends with the first word and the next part starts with the second; what stands around is told by these two parts, as a space is
+    no letter. So a pattern is tested on two parts that have the ends it asks for, and never on a whole text.
+    """
+    first, second = F.substring_index("lit", " ", 1), F.substring_index("lit", " ", -1)
+    side = lambda word: F.least(F.length(word), F.lit(GRAM))
+    joint = lambda a, n, b, m: F.concat(F.right(a, F.lit(n)), F.lit(" "), F.left(b, F.lit(m)))
+    # as many as nine
+    sides = [tuple(r) for r in near.select(side(first).alias("n"), side(second).alias("m")).distinct().collect()]
     # a catalog, which the driver has as a list
-    whole = F.broadcast(keyed.select("id", F.struct(*keyed.columns).alias("_p")))
-    return met.withColumn("_f", lowered(F.col(column))).withColumn("id", F.explode("_ids")).drop("_ids").join(whole, "id").drop("id")
+    whole = F.broadcast(near.select(F.lower(joint(first, GRAM, second, GRAM)).alias("key"), "id", F.struct("e", "how", "lit").alias("_p")))
+    parts = texts.select(_digest(F.col(column)).alias("_d"), F.split(F.coalesce(F.col(column), F.lit("")), " ").alias("_w"))
+    # the last part has none that follows
+    pairs = F.array_compact(F.zip_with("_w", F.slice("_w", 2, F.greatest(F.size("_w"), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b)))
+    each = parts.select("_d", F.explode_outer(pairs).alias("pair")).where("pair is not null").select("_d", "pair", lowered(F.col("pair")).alias("_f"))
+    left, right = F.substring_index("_f", " ", 1), F.substring_index("_f", " ", -1)
+    asked = each.withColumn("key", F.explode(F.array(*(joint(left, n, right, m) for n, m in sides))))
+    return asked.join(whole, "key").where(decided(F.col("pair"), F.col("_f"), F.col("_p"))).select("_d", "id").distinct()
 
 
 def vocabulary(texts: DataFrame, column: str, keyed: DataFrame) -> DataFrame:
@@ -122,19 +152,26 @@ def pattern_index(texts: DataFrame, patterns: Iterable[tuple[str, str, str]], co
     if taken := {"_w", "_p", "_d", "_f", "_l", "_h", "_ids", "token", "id", "rule", "kind", "pattern"} & set(texts.columns):
         raise ValueError(f"rename the columns {sorted(taken)}")
     keyed, others = keyed_patterns(texts, patterns)
-    by_key = cut(key_tokens(vocabulary(texts, column, keyed), keyed), "keys")
-    common = by_key.where("not whole").groupBy("whole", "key").agg(F.count("*").alias("n")).where(F.col("n") > MOST_TOKENS).select("whole", "key")
-    each = keyed.select("id", "rule", "kind", "pattern", F.explode("keys").alias("k")).select("id", "rule", "kind", "pattern", "k.whole", "k.key")
-    # a part of the catalog, which is a list of the driver's
-    wide = {r["id"]: (r["rule"], r["kind"], r["pattern"]) for r in each.join(common, ["whole", "key"]).select("id", "rule", "kind", "pattern").distinct().collect()}
-    others = others + list(wide.values())
-    if wide:
-        known = texts.sparkSession.createDataFrame([(i,) for i in wide], "id int")
-        keyed = keyed.join(known, "id", "left_anti")
-    tested = survivors(texts, column, keyed, by_key).where(decided(F.col(column), F.col("_f"), F.col("_p")))
-    found = tested.select(*texts.columns, "_p.rule", "_p.kind", "_p.pattern")
-    lowest = texts.withColumn("_f", lowered(F.col(column)))
-    return found.union(every(lowest, others, column).select(*found.columns)) if others else found
+    two = (F.col("how") != BY_EXPRESSION) & F.col("lit").rlike(_TWO_WORDS)
+    near, keyed, out = keyed.where(two), keyed.where(~two), []
+    if not near.isEmpty():
+        met = _with_lists(texts, column, met_by_parts(texts, column, near)).withColumn("id", F.explode("_ids"))
+        out.append(met.join(F.broadcast(near.select("id", "rule", "kind", "pattern")), "id"))
+    if not keyed.isEmpty():
+        by_key = cut(key_tokens(vocabulary(texts, column, keyed), keyed), "keys")
+        common = by_key.where("not whole").groupBy("whole", "key").agg(F.count("*").alias("n")).where(F.col("n") > MOST_TOKENS).select("whole", "key")
+        each = keyed.select("id", "rule", "kind", "pattern", F.explode("keys").alias("k")).select("id", "rule", "kind", "pattern", "k.whole", "k.key")
+        # a part of the catalog, which is a list of the driver's
+        wide = {r["id"]: (r["rule"], r["kind"], r["pattern"]) for r in each.join(common, ["whole", "key"]).select("id", "rule", "kind", "pattern").distinct().collect()}
+        others = others + list(wide.values())
+        if wide:
+            known = texts.sparkSession.createDataFrame([(i,) for i in wide], "id int")
+            keyed = keyed.join(known, "id", "left_anti")
+        tested = survivors(texts, column, keyed, by_key).where(decided(F.col(column), F.col("_f"), F.col("_p")))
+        out.append(tested.select(*texts.columns, "_p.rule", "_p.kind", "_p.pattern"))
+    if others or not out:
+        out.append(every(texts.withColumn("_f", lowered(F.col(column))), others, column))
+    return reduce(DataFrame.union, [df.select(*texts.columns, "rule", "kind", "pattern") for df in out])
 
 
 def every(texts: DataFrame, patterns: list[tuple[str, str, str]], column: str) -> DataFrame:
