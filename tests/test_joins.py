@@ -1,5 +1,6 @@
 """Joins without nested loops, indexes over large catalogs, increments: against plain versions."""
 
+import hashlib
 import os.path
 import random
 import re
@@ -388,6 +389,17 @@ def test_fingerprint_is_a_sum(spark, capsys):
     assert C.fingerprint(twice, *frames[1:]).first()[0] != one.first()[0]
 
 
+def test_a_fingerprint_is_of_whole_digests(spark):
+    """Every digit of every line's digest counts."""
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    patterns = [("r", "k", n, f"p{n}") for n in range(300)]
+    frames = spark.createDataFrame(patterns, "rule string, kind string, ord int, pattern string"), spark.createDataFrame([("a", 50.0)], "profile string, weight double"), spark.createDataFrame([("a", "r", 7)], "profile string, rule string, weight int")
+    digests = [sha("\t".join(("pattern", *map(str, p)))) for p in patterns] + [sha("profile\ta\t50.0"), sha("rule\ta\tr\t7")]
+    assert {len(h) for h in digests} == {C.LANE * C.LANES}
+    lanes = [sum(int(h[at : at + 16], 16) for h in digests) for at in (0, 16, 32, 48)]
+    assert C.fingerprint(*frames).first()[0] == sha(":".join(map(str, (len(digests), *lanes))))
+
+
 @pytest.mark.parametrize("tracked", [64, tokens.TRACKED])
 def test_most_frequent_tokens_are_exact(spark, docs, tracked):
     every = cut(tokens.tokens_of(docs, "body"), "tokens")
