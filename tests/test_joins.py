@@ -306,6 +306,14 @@ def test_two_words_are_decided_by_parts_of_a_text(spark, monkeypatch, capsys, fe
     narrow = plan_of(found.select("n", "rule", "pattern").where("length(pattern) > 0"), capsys)
     assert all(" t#" not in line and ", t#" not in line for line in narrow.splitlines() if "Exchange hashpartitioning" in line)
     assert literal_index.pattern_index(df, [], "t").count() == 0
+    # beside other patterns as well
+    monkeypatch.undo()
+    monkeypatch.setattr(literal_index, "FEW_LINKS", few)
+    mixed = [*patterns, ("other", "keywords_whitelist", "sum"), ("other", "keywords_whitelist", "re:(of|is)\\s+the")]
+    plain = sorted(map(repr, score.pattern_join(df, mixed, "t").collect()))
+    for worth in (1, 1000):
+        monkeypatch.setattr(literal_index, "WORTH_PARTS", worth)
+        assert sorted(map(repr, literal_index.pattern_index(df, mixed, "t").collect())) == plain
 
 
 def test_short_words_at_open_ends_have_keys(spark):

@@ -27,6 +27,8 @@ MOST_TOKENS = 500
 _KEYS = "array<struct<whole:boolean,key:string>>"
 #: Literals that two parts of a text decide, where it is cut at its spaces.
 _TWO_WORDS = r"\A[A-Za-z0-9_]+ [A-Za-z0-9_]+\z"
+#: Patterns of such literals for which texts are cut into parts in a pass of its own, where other patterns need one anyhow.
+WORTH_PARTS = 100
 
 
 def _grams(text: Column) -> Column:
@@ -153,8 +155,10 @@ def pattern_index(texts: DataFrame, patterns: Iterable[tuple[str, str, str]], co
         raise ValueError(f"rename the columns {sorted(taken)}")
     keyed, others = keyed_patterns(texts, patterns)
     two = (F.col("how") != BY_EXPRESSION) & F.col("lit").rlike(_TWO_WORDS)
-    near, keyed, out = keyed.where(two), keyed.where(~two), []
-    if not near.isEmpty():
+    near, rest, out = keyed.where(two), keyed.where(~two), []
+    n, m = near.count(), rest.count()
+    if n and (n >= WORTH_PARTS or not m):
+        keyed = rest
         met = _with_lists(texts, column, met_by_parts(texts, column, near)).withColumn("id", F.explode("_ids"))
         out.append(met.join(F.broadcast(near.select("id", "rule", "kind", "pattern")), "id"))
     if not keyed.isEmpty():
